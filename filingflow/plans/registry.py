@@ -1,0 +1,31 @@
+"""Registry of driver queries: name -> (Spark callable, oracle SQL or None)."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QueryFn = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, QueryFn] = {}
+ORACLES: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query; ``sql`` is its DuckDB oracle (None: rows-only check)."""
+    def deco(fn: QueryFn) -> QueryFn:
+        QUERIES[name] = fn
+        if sql is not None:
+            ORACLES[name] = sql
+        return fn
+    return deco
+
+
+def load_all() -> None:
+    from . import queries_a  # noqa: F401
+    for mod in ("queries_b", "queries_c", "queries_d"):
+        try:
+            __import__(f"{__package__}.{mod}")
+        except ModuleNotFoundError as e:
+            if mod not in str(e):
+                raise

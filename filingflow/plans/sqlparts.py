@@ -1,0 +1,36 @@
+"""SQL fragments shared by the oracle queries (DuckDB dialect)."""
+
+from __future__ import annotations
+
+from ..functions.text import FILING_TYPE_RULES, OTHER_TYPE
+
+
+def lit(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def classify_sql(h: str) -> str:
+    """CASE over the ordered rules; DuckDB's 'i' flag folds Unicode case."""
+    whens = " ".join(f"WHEN regexp_matches({h}, {lit(p)}, 'i') THEN {lit(label)}"
+                     for label, p in FILING_TYPE_RULES)
+    return f"(CASE WHEN {h} IS NULL THEN {lit(OTHER_TYPE)} {whens} ELSE {lit(OTHER_TYPE)} END)"
+
+
+def strip_sql(x: str) -> str:
+    return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
+
+
+def unescape_sql(x: str) -> str:
+    out = x
+    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
+                    ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+        out = f"replace({out}, {lit(ent)}, {lit(ch)})"
+    return out
+
+
+def html_text_sql(x: str) -> str:
+    return strip_sql(unescape_sql(f"regexp_replace({x}, '\\s*<[^>]*>\\s*', '', 'g')"))
+
+
+def iso_sql(ts: str) -> str:
+    return f"strftime({ts}, '%Y-%m-%dT%H:%M:%S.%f')"
