@@ -35,13 +35,26 @@ def repair_fenced_json(text) -> Column:
     return c
 
 
+_SCALAR_JSON = r'^(?:"(?:[^"\\]|\\.)*+"|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)$'
+
+
+def is_json(text) -> Column:
+    """Whole-text JSON validity. ``try_parse_json`` stops after the first
+    complete value, so the text must also end where that value ends: an
+    object or array must close on its last character."""
+    t = strip_ws(as_col(text))
+    shape = ((t.startswith("{") & t.endswith("}")) | (t.startswith("[") & t.endswith("]"))
+             | t.rlike(_SCALAR_JSON))
+    return F.coalesce(F.try_parse_json(t).isNotNull() & shape, F.lit(False))
+
+
 def parse_model_json(text) -> tuple[Column, Column]:
     """F8: (json_text, parse_error). The text as is when it parses, else the
     cleaned text when that parses, else null with parse_error = true."""
     t = as_col(text)
     cleaned = repair_fenced_json(t)
-    ok_raw = F.try_parse_json(t).isNotNull()
-    ok_clean = F.try_parse_json(cleaned).isNotNull()
+    ok_raw = is_json(t)
+    ok_clean = is_json(cleaned)
     js = F.when(ok_raw, t).when(ok_clean, cleaned)
     return js, js.isNull()
 

@@ -113,6 +113,11 @@ def to_filings_rows(records: DataFrame, created_at: str, isin_col: str | None =
     have = set(records.columns)
     ftype = F.coalesce(F.col("filing_type"), classify_filing_type(F.col("asunto"))) \
         if "filing_type" in have else classify_filing_type(F.col("asunto"))
+    # the record is serialised after classification, as the source does
+    records = records.withColumn("filing_type", ftype)
+    for n in FILING_RECORD_SCHEMA.fieldNames():
+        if n not in have and n != "filing_type":
+            records = records.withColumn(n, F.lit(None).cast("string"))
     return records.select(
         filing_id(F.col("key"), F.col("asunto")).alias("filing_id"),
         F.lit(SOURCE_NAME).alias("source"), F.lit(COUNTRY).alias("country"),
@@ -122,7 +127,7 @@ def to_filings_rows(records: DataFrame, created_at: str, isin_col: str | None =
         normalize_date(F.coalesce(F.col("fecha"), F.lit(""))).alias("filing_date"),
         F.lit("").alias("filing_time"),
         F.coalesce(F.col("asunto"), F.lit("")).alias("headline"),
-        ftype.alias("filing_type"),
+        F.col("filing_type"),
         F.lit("").alias("category"), F.lit("").alias("document_url"),
         F.lit("").alias("direct_download_url"), F.lit("").alias("file_size"),
         F.lit(None).cast("int").alias("num_pages"), F.lit(False).alias("price_sensitive"),
@@ -161,7 +166,7 @@ def write_version(df: DataFrame, table_dir: str, version: int) -> str:
 # M4 / M5: event-sourced crawl log
 # ---------------------------------------------------------------------------
 
-def crawl_log(starts: DataFrame, completions: DataFrame) -> DataFrame:
+def crawl_log(starts: DataFrame, completions: DataFrame, carry: list[str] | None = None) -> DataFrame:
     """Current crawl log: start events (id, crawl_type, query_params,
     started_at) left-joined with the latest completion per id (id, seq,
     filings_found, filings_new, pages_crawled, errors, completed_ts).
@@ -180,4 +185,5 @@ def crawl_log(starts: DataFrame, completions: DataFrame) -> DataFrame:
         "started_at",
         iso_text(F.col("c.completed_ts")).alias("completed_at"),
         duration_seconds(F.col("started_at"), F.col("c.completed_ts")).alias("duration_seconds"),
+        *(carry or []),
     )
