@@ -59,6 +59,20 @@ def parse_model_json(text) -> tuple[Column, Column]:
     return js, js.isNull()
 
 
+def with_model_json(df, text_col: str, json_col: str = "model_json", err_col: str = "parse_error"):
+    """F8 as DataFrame steps: the cleaned text and both validity tests are
+    columns of their own, so the repair expression is evaluated once per row
+    instead of being inlined into every test (which also keeps the generated
+    code small enough for whole-stage codegen)."""
+    t = F.col(text_col)
+    df = (df.withColumn("_mj_clean", repair_fenced_json(t))
+            .withColumn("_mj_raw_ok", is_json(t))
+            .withColumn("_mj_clean_ok", is_json(F.col("_mj_clean"))))
+    js = F.when(F.col("_mj_raw_ok"), t).when(F.col("_mj_clean_ok"), F.col("_mj_clean"))
+    return (df.withColumn(json_col, js).withColumn(err_col, F.col(json_col).isNull())
+              .drop("_mj_clean", "_mj_raw_ok", "_mj_clean_ok"))
+
+
 def top_level_field_count(json_text) -> Column:
     """Number of top-level keys of a JSON object text."""
     return F.size(F.json_object_keys(as_col(json_text)))

@@ -108,7 +108,7 @@ def mark_downloaded(filings: DataFrame, updates: DataFrame, id_col: str = "filin
 def pair_extractions(filings: DataFrame, extracted: DataFrame, path_col: str = "pdf_path") -> DataFrame:
     """Filings paired with their extracted document on the file path;
     filings without a (non-empty) extraction are dropped."""
-    e = extracted.filter(F.col("extracted_json").isNotNull() & (F.col("extracted_json") != "{}"))
+    e = extracted.filter(~F.col("extraction_empty")) if "extraction_empty" in extracted.columns else extracted
     return filings.join(e, filings[path_col] == e["source_file"], "inner")
 
 

@@ -83,7 +83,7 @@ def evolve(df: DataFrame, target: T.StructType, defaults: dict[str, object] | No
 # Records -> filings rows
 # ---------------------------------------------------------------------------
 
-def filing_record(df: DataFrame, scraped_at: str) -> DataFrame:
+def filing_record(df: DataFrame, scraped_at: str, carry: list[str] | None = None) -> DataFrame:
     """Dict -> record with defaults ('' for the three texts, null for the
     optional ones, ``scraped_at`` given)."""
     have = set(df.columns)
@@ -96,7 +96,7 @@ def filing_record(df: DataFrame, scraped_at: str) -> DataFrame:
         c("asunto", F.lit("")).alias("asunto"),
         *[(F.col(n) if n in have else F.lit(None)).cast("string").alias(n)
           for n in ("key", "enc", "pdf_path", "filing_type")],
-        c("scraped_at", F.lit(scraped_at)).alias("scraped_at"))
+        c("scraped_at", F.lit(scraped_at)).alias("scraped_at"), *(carry or []))
 
 
 def record_json(df: DataFrame) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import age_hours, iso_text
-from ..functions.docs import parse_model_json, to_json_text, top_level_field_count
+from ..functions.docs import to_json_text, top_level_field_count, with_model_json
 from ..functions.text import token_from_callback, truthy
 from ..operators import aggregates as A
 from ..operators.filters import filter_by_period, limit_pages
@@ -487,10 +487,10 @@ FROM t
 def q24_fenced_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = fx.read(spark, sf_dir, "events").select("event_id", "props")
     t = e.select("event_id", _model_text(F.col("event_id"), F.col("props")).alias("text"))
-    js, err = parse_model_json(F.col("text"))
-    return t.select("event_id", err.alias("parse_error"),
-                    F.get_json_object(js, "$.k").cast("bigint").alias("k"),
-                    F.length("text").alias("n_chars"), top_level_field_count(js).alias("n_fields"))
+    t = with_model_json(t, "text", "js", "parse_error")
+    return t.select("event_id", "parse_error",
+                    F.get_json_object("js", "$.k").cast("bigint").alias("k"),
+                    F.length("text").alias("n_chars"), top_level_field_count(F.col("js")).alias("n_fields"))
 
 
 # ---------------------------------------------------------------------------
