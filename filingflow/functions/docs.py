@@ -22,20 +22,19 @@ def to_json_text(*cols: Column) -> Column:
 
 def repair_fenced_json(text) -> Column:
     """F8 (text part): the candidate JSON text after the fallback clean-up:
-    strip, drop an opening fence line, a closing fence, a leading 'json'."""
-    t = as_col(text)
-    c = strip_ws(t)
-    big = F.lit(2_147_483_647)
-    c = F.when(c.startswith("```"),
-               F.when(F.instr(c, "\n") > 0, F.substring(c, F.instr(c, "\n") + 1, big))
-                .otherwise(F.substring(c, F.lit(4), big))).otherwise(c)
-    c = F.when(c.endswith("```"), F.substring(c, F.lit(1), F.length(c) - 3)).otherwise(c)
+    strip; drop an opening fence with the rest of its line (or just the
+    fence when there is no newline); drop one closing fence at the very end;
+    strip; drop a leading 'json'; strip. Each step rewrites the previous one
+    once, so the expression stays linear in size."""
+    c = strip_ws(as_col(text))
+    c = F.regexp_replace(c, r"^```(?:[^\n]*\n)?", "")
+    c = F.regexp_replace(c, r"```\z", "")
     c = strip_ws(c)
-    c = F.when(c.startswith("json"), strip_ws(F.substring(c, F.lit(5), big))).otherwise(c)
-    return c
+    c = F.regexp_replace(c, r"^json", "")
+    return strip_ws(c)
 
 
-_SCALAR_JSON = r'^(?:"(?:[^"\\]|\\.)*+"|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)$'
+_SCALAR_JSON = r'^(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)$'
 
 
 def is_json(text) -> Column:

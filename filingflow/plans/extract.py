@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.docs import with_model_json
 from ..functions.text import classify_filing_type, truthy
+from ..session import shared_dir
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -74,7 +75,13 @@ def process_filings(filings: DataFrame, documents: DataFrame, extractor: Extract
     filing struct, source_file, extracted struct, extracted_json."""
     todo = filings.filter(truthy(F.col(path_col)))
     docs = documents.join(todo.select(F.col(path_col).alias("source_file")).distinct(), "source_file", "left_semi")
-    ext = parse_extraction(run_extractor(docs, extractor))
+    # Extraction output is persisted (reliable checkpoint in the shared
+    # folder): a model call is the expensive step and must not be repeated
+    # when a later stage is retried; it also keeps the parse/filter stages
+    # from re-deriving the extractor expression.
+    shared_dir(documents.sparkSession)
+    raw = run_extractor(docs, extractor).checkpoint(eager=True)
+    ext = parse_extraction(raw)
     ext = ext.filter(~F.col("extraction_empty")).drop("extraction_empty")
     j = todo.join(ext, todo[path_col] == ext["source_file"], "inner")
     return j.select(
