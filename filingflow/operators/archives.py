@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import group_row_number
+
 # Member suffixes the document extraction accepts.
 PDF_SUFFIXES = (".pdf",)
 SHEET_SUFFIXES = (".xls", ".xlsx")
@@ -65,6 +67,10 @@ def first_pages(pages: DataFrame, doc_cols: list[str], page_col: str, max_pages:
     numbered in page order. ``row_number() <= n`` is planned as a group
     limit that also runs before the shuffle, so a document with many pages
     is cut map-side."""
+    if max_pages <= 0:
+        # all pages: numbering without a per-document window (hot documents
+        # are split by the range partitioning of the global numbering)
+        return group_row_number(pages, doc_cols, [page_col], "page_no").withColumn(
+            "page_no", F.col("page_no").cast("int"))
     w = Window.partitionBy(*doc_cols).orderBy(page_col)
-    numbered = pages.withColumn("page_no", F.row_number().over(w))
-    return numbered if max_pages <= 0 else numbered.filter(F.col("page_no") <= max_pages)
+    return pages.withColumn("page_no", F.row_number().over(w)).filter(F.col("page_no") <= max_pages)

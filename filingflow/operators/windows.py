@@ -64,24 +64,41 @@ def page_of(rn: Column, per_page: int = 20) -> Column:
     return (F.floor((rn - 1) / F.lit(per_page)) + 1).cast("bigint")
 
 
+def group_row_number(df: DataFrame, group_cols: list[str], order_cols: list[str],
+                     name: str = "rn") -> DataFrame:
+    """1-based row number inside each group without a per-group window: a
+    global numbering over (group, order) -- range-partitioned, so one large
+    group is spread over many tasks -- minus the group's first number (a
+    partial aggregate, joined back on the group key)."""
+    numbered = global_row_number(df, group_cols + order_cols, "_g")
+    starts = numbered.groupBy(*group_cols).agg(F.min("_g").alias("_g0"))
+    return (numbered.join(starts, group_cols)
+                    .withColumn(name, (F.col("_g") - F.col("_g0") + 1).cast("bigint"))
+                    .drop("_g", "_g0"))
+
+
 def miss_streak_cut(df: DataFrame, cycle_cols: list[str], order_col: str, hit_col: str,
                     streak: int = 3) -> DataFrame:
     """Within each cycle (ordered by ``order_col``), stop at the row that
     completes ``streak`` misses in a row; keep the hits before it.
 
-    The window is a bounded ROWS frame (streak rows), evaluated on rows that
-    are range-sorted by (cycle, order); a cycle's rows stream through the
-    frame, nothing is collected per cycle."""
-    w = Window.partitionBy(*cycle_cols).orderBy(order_col)
-    frame = w.rowsBetween(-(streak - 1), 0)
-    miss = F.when(F.col(hit_col), 0).otherwise(1)
-    marked = (df.withColumn("_misses", F.sum(miss).over(frame))
-                .withColumn("_n", F.count(F.lit(1)).over(frame)))
-    stop = (marked.filter((F.col("_misses") == streak) & (F.col("_n") == streak))
-                  .groupBy(*cycle_cols).agg(F.min(order_col).alias("_stop")))
-    kept = marked.filter(F.col(hit_col)).join(stop, cycle_cols, "left")
+    No per-cycle window: rows get a global number in (cycle, order) order
+    (range-partitioned, so a hot cycle is split over tasks); a miss ends a
+    streak when the rows numbered just before it are misses of the same
+    cycle, found by equi-joins on the unique number; the first stop of a
+    cycle is a partial aggregate."""
+    numbered = global_row_number(df, cycle_cols + [order_col], "_g")
+    misses = numbered.filter(~F.col(hit_col)).select(*cycle_cols, order_col, "_g")
+    ends = misses
+    for back in range(1, streak):
+        prev = misses.select(*[F.col(c).alias(f"_b{back}_{c}") for c in cycle_cols],
+                             (F.col("_g") + back).alias(f"_b{back}_g"))
+        cond = [ends["_g"] == prev[f"_b{back}_g"]] + [ends[c] == prev[f"_b{back}_{c}"] for c in cycle_cols]
+        ends = ends.join(prev, cond, "inner").select(*cycle_cols, order_col, "_g")
+    stops = ends.groupBy(*cycle_cols).agg(F.min(order_col).alias("_stop"))
+    kept = numbered.filter(F.col(hit_col)).join(stops, cycle_cols, "left")
     return (kept.filter(F.col("_stop").isNull() | (F.col(order_col) < F.col("_stop")))
-                .drop("_misses", "_n", "_stop"))
+                .drop("_stop", "_g"))
 
 
 def next_ids(df: DataFrame, start_after: int, order_cols: list[str], name: str = "id") -> DataFrame:

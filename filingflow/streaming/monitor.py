@@ -83,10 +83,14 @@ class MonitorPaths:
     checkpoint: str
 
 
-def _prior_keys(spark: SparkSession, sink: str, batch_id: int) -> DataFrame | None:
-    if not _exists(spark, sink):
+def _prior_keys(spark: SparkSession, sink: str, batch_id: int, lo, hi) -> DataFrame | None:
+    """Keys written by earlier batches within [lo, hi]: partition pruning on
+    batch_id and min/max pruning of parquet row groups on key keep this
+    read proportional to the batch's key range, not to the whole sink."""
+    if not _exists(spark, sink) or lo is None:
         return None
-    return spark.read.parquet(sink).filter(F.col("batch_id") < batch_id).select("key")
+    return (spark.read.parquet(sink).filter(F.col("batch_id") < batch_id)
+                 .filter(F.col("key").between(lo, hi)).select("key"))
 
 
 def run_monitor(spark: SparkSession, paths: MonitorPaths, schema: T.StructType, baseline: int,
@@ -105,7 +109,8 @@ def run_monitor(spark: SparkSession, paths: MonitorPaths, schema: T.StructType,
 
     def sink_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        prior = _prior_keys(s, paths.sink, batch_id)
+        rng = batch.agg(F.min("key"), F.max("key")).first()
+        prior = _prior_keys(s, paths.sink, batch_id, rng[0], rng[1])
         new = batch if prior is None else batch.join(prior, "key", "left_anti")
         target = f"{paths.sink}/batch_id={batch_id}"
         new.write.mode("overwrite").parquet(target)
