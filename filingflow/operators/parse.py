@@ -104,30 +104,34 @@ def callback_rows(df: DataFrame, text_col: str = "body", keep: list[str] | None
 
 def _attr(tag: Column, name: str) -> tuple[Column, Column]:
     """(present, value) of an attribute in an opening tag; value unquoted and
-    entity-decoded."""
+    entity-decoded. One regex per attribute: the captured text keeps its
+    quotes, so a present but empty attribute is '""', never ''."""
     pat = r"(?is)\s" + name + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
     raw = F.regexp_extract(tag, pat, 1)
     quoted = raw.startswith('"') | raw.startswith("'")
     val = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return tag.rlike(pat), html_unescape(val)
+    return raw != "", html_unescape(val)
+
+
+_HIDDEN_TYPE = r"""(?is)\stype\s*=\s*(?:"\s*hidden\s*"|'\s*hidden\s*'|hidden(?=[\s/>]|$))"""
 
 
 def hidden_fields(html) -> Column:
     """Map name (or id) -> value of the hidden inputs of a page; later
-    duplicates win (session policy LAST_WIN); missing value -> ''."""
+    duplicates win (session policy LAST_WIN); missing value -> ''. Inputs are
+    first narrowed to hidden ones, so names and values are read only there."""
     tags = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<input\b[^>]*>"), 0)
+    hidden = F.filter(tags, lambda t: t.rlike(_HIDDEN_TYPE))
 
     def entry(tag):
-        has_type, typ = _attr(tag, "type")
         has_name, name = _attr(tag, "name")
         has_id, ident = _attr(tag, "id")
         has_val, val = _attr(tag, "value")
         key = F.when(has_name & (name != ""), name).when(has_id & (ident != ""), ident)
-        hidden = has_type & (F.lower(typ) == "hidden")
-        return F.when(hidden & key.isNotNull(),
+        return F.when(key.isNotNull(),
                       F.struct(key.alias("k"), F.when(has_val, val).otherwise(F.lit("")).alias("v")))
 
-    entries = F.filter(F.transform(tags, entry), lambda e: e.isNotNull())
+    entries = F.filter(F.transform(hidden, entry), lambda e: e.isNotNull())
     return F.map_from_entries(entries)
 
 

@@ -63,7 +63,16 @@ def pick(values: list[str], idx: Column) -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan over all cores when it has fewer input partitions than
+    the cluster can run (a small file with one row group is one task; the
+    parsing work on it is CPU-bound). Large inputs already have many splits
+    and pass through unchanged, without a shuffle."""
+    par = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
 
 
 # ---------------------------------------------------------------------------
