@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
 
 def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn",
                       partitions: int | None = None) -> DataFrame:
@@ -26,7 +28,7 @@ def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn",
                 .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in order_cols])
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
-    ranged = ranged.checkpoint(eager=True)
+    ranged = reliable_checkpoint(ranged)
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     # one row per partition: the window below runs over at most n rows

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.docs import with_model_json
 from ..functions.text import classify_filing_type, truthy
-from ..session import shared_dir
+from ..session import reliable_checkpoint
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -79,8 +79,7 @@ def process_filings(filings: DataFrame, documents: DataFrame, extractor: Extract
     # folder): a model call is the expensive step and must not be repeated
     # when a later stage is retried; it also keeps the parse/filter stages
     # from re-deriving the extractor expression.
-    shared_dir(documents.sparkSession)
-    raw = run_extractor(docs, extractor).checkpoint(eager=True)
+    raw = reliable_checkpoint(run_extractor(docs, extractor))
     ext = parse_extraction(raw)
     ext = ext.filter(~F.col("extraction_empty")).drop("extraction_empty")
     j = todo.join(ext, todo[path_col] == ext["source_file"], "inner")

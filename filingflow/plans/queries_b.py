@@ -17,7 +17,7 @@ from ..operators.joins import new_ids, resolve_tokens
 from ..operators.store import (TOKEN_CACHE_SCHEMA, crawl_log, evolve, filing_record,
                                to_filings_rows, upsert)
 from ..operators.windows import chunk_batches, global_row_number, latest_per_key, miss_streak_cut
-from ..session import ensure_conf, new_run_dir
+from ..session import ensure_conf, new_run_dir, reliable_checkpoint
 from ..sources.documents import read_filings_document, write_filings_document
 from . import fixtures as fx
 from .queries_a import missing_order_keys
@@ -366,7 +366,7 @@ FROM m
 
 @query("q20_batches", _Q20_SQL)
 def q20_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    miss = missing_order_keys(spark, sf_dir).checkpoint(eager=True)
+    miss = reliable_checkpoint(missing_order_keys(spark, sf_dir))
     total = miss.count()
     numbered = global_row_number(miss, ["key"], "rn")
     return chunk_batches(numbered, "rn", total, WORKERS).select("key", "batch_id")

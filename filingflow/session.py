@@ -77,3 +77,11 @@ def local_path(path: str) -> str:
     if path.startswith("file:"):
         return path[len("file:"):]
     return path
+
+
+def reliable_checkpoint(df):
+    """Cut lineage with a reliable checkpoint in the shared folder (never a
+    local checkpoint): recomputation after an executor loss reads the
+    written data instead of re-running upstream stages."""
+    shared_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
