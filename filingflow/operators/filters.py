@@ -72,3 +72,16 @@ def keyed_rows(df: DataFrame, key_col: str = "key", out_col: str = "key_num") ->
 def key_range(df: DataFrame, key_col: str, start: int, end: int) -> DataFrame:
     """Inclusive key range (pushed down to the parquet scan)."""
     return df.filter(F.col(key_col).between(start, end))
+
+
+def lookup(df: DataFrame, key_col: str, value) -> DataFrame:
+    """P5: rows of one key (pushed to the parquet scan as an equality)."""
+    return df.filter(F.col(key_col) == F.lit(value))
+
+
+def take_until_short_page(pages: DataFrame, page_col: str, count_col: str, full: int) -> DataFrame:
+    """Pages in order up to and including the first one with fewer than
+    ``full`` items (failed or malformed pages count 0). Only the stop page
+    number reaches the driver."""
+    stop = pages.filter(F.col(count_col) < full).agg(F.min(page_col)).first()[0]
+    return pages if stop is None else pages.filter(F.col(page_col) <= F.lit(stop))

@@ -155,6 +155,26 @@ def upsert(existing: DataFrame, batch: DataFrame, key_cols: list[str],
     return latest_per_key(both, key_cols, list(order_cols)).drop(*order_cols)
 
 
+def latest_version(spark: SparkSession, table_dir: str) -> int:
+    """Number of the newest version folder ``v=NNNNNNNN`` (0 when none)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(table_dir)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return 0
+    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
+    nums = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+    return max(nums, default=0)
+
+
+def read_table(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
+    """The current version of a keyed table; an absent table is empty."""
+    v = latest_version(spark, table_dir)
+    if v == 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{table_dir}/v={v:08d}")
+
+
 def write_version(df: DataFrame, table_dir: str, version: int) -> str:
     """Write a table version to its own directory (never over the input)."""
     path = f"{table_dir}/v={version:08d}"

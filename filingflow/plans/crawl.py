@@ -32,7 +32,13 @@ def crawl(bronze: DataFrame, isin_map: DataFrame | None, scraped_at: str,
           batch_seq: int = 0) -> DataFrame:
     """Filings rows of one crawl; with ``existing`` the result is the
     upserted table (last write wins per filing_id, payload order kept)."""
-    rec = parse_payloads(bronze, id_col)
+    return crawl_rows(parse_payloads(bronze, id_col), isin_map, scraped_at, id_col, existing, batch_seq)
+
+
+def crawl_rows(rows: DataFrame, isin_map: DataFrame | None, scraped_at: str, id_col: str = "payload_id",
+               existing: DataFrame | None = None, batch_seq: int = 0) -> DataFrame:
+    """The crawl after parsing: enrich, classify, filings rows, upsert."""
+    rec = rows
     if isin_map is not None:
         rec = enrich_isin(rec, isin_map, "emisora", "isin")
     else:

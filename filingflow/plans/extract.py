@@ -95,3 +95,11 @@ def document_tallies(filings: DataFrame, processed: DataFrame, path_col: str = "
                     F.count_if(truthy(F.col(path_col))).alias("processable")).withColumn("_k", F.lit(1))
     p = processed.agg(F.count("*").alias("total_processed")).withColumn("_k", F.lit(1))
     return t.join(p, "_k").drop("_k")
+
+
+def extract_single_file(spark, path: str, extractor: Extractor | None = None) -> DataFrame:
+    """One document file -> {source, extracted} (same job, one path)."""
+    from ..sources.files import binary_files
+    docs = binary_files(spark, path).select(F.col("path").alias("source_file"), "content")
+    ext = parse_extraction(reliable_checkpoint(run_extractor(docs, extractor)))
+    return ext.select(F.col("source_file").alias("source"), "extracted")

@@ -18,7 +18,7 @@ from ..functions.docs import (attached_name, is_file_response, is_pdf_response,
 from ..functions.text import page_text, strip_ws, title_text, truthy
 from ..operators import aggregates as A
 from ..operators.archives import first_pages, zip_members
-from ..operators.filters import key_range, keyed_rows
+from ..operators.filters import key_range, keyed_rows, take_until_short_page
 from ..operators.joins import merge_download_status
 from ..operators.parse import delta_hidden_fields, hidden_fields, json_page_items
 from ..operators.store import FILINGS_DEFAULTS, FILINGS_SCHEMA, evolve, filing_record, to_filings_rows
@@ -446,8 +446,7 @@ def q35_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = company_pages(spark, sf_dir)
     items = pages.select("page", json_page_items(F.col("body"), ITEM_SCHEMA).alias("items"))
     counted = items.select("page", F.size("items").alias("n"), "items")
-    stop = counted.filter(F.col("n") < PAGE_ITEMS).agg(F.min("page")).first()[0]
-    taken = counted if stop is None else counted.filter(F.col("page") <= F.lit(int(stop)))
+    taken = take_until_short_page(counted, "page", "n", PAGE_ITEMS)
     rows = taken.select("page", F.explode("items").alias("it"))
     cid = F.col("it.id").try_cast("bigint")
     key = F.upper(strip_ws(F.coalesce(F.col("it.clave"), F.lit(""))))

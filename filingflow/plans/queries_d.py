@@ -1,0 +1,54 @@
+"""Driver queries q45: token-cache build (E5: J2, F14, M2, A8)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import fixtures as fx
+from .cache_build import build_token_cache
+from .queries_a import order_key_bounds
+from .queries_b import T1, token_cache_from_orders
+from .registry import query
+
+_TOK = fx.TOKEN_SQL.format(k="o_orderkey")
+
+
+def _cache_build(spark: SparkSession, sf_dir: str):
+    k = F.col("o_orderkey")
+    cache = token_cache_from_orders(spark, sf_dir)
+    payloads = (fx.read(spark, sf_dir, "orders").select("o_orderkey").filter(k % 3 != 1)
+                  .select(k.alias("key"), fx.render_token_callback(k).alias("body")))
+    lo, hi = order_key_bounds(spark, sf_dir)
+    return build_token_cache(spark, cache, payloads, lo, hi, T1)
+
+
+_Q45_SQL = f"""
+SELECT o_orderkey AS key,
+  CASE WHEN o_orderkey % 2 = 0 THEN CASE WHEN o_orderkey % 10 = 0 THEN '' ELSE 'C' || CAST(o_orderkey AS VARCHAR) END
+       ELSE {_TOK} END AS enc,
+  CASE WHEN o_orderkey % 2 = 0 THEN '2024-01-01T00:00:00' ELSE '{T1}' END AS resolved_at
+FROM orders
+WHERE o_orderkey % 2 = 0 OR (o_orderkey % 3 <> 1 AND o_orderkey % 11 <> 0)
+"""
+
+
+@query("q45_cache_build", _Q45_SQL)
+def q45_cache_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    new_cache, _ = _cache_build(spark, sf_dir)
+    return new_cache.select("key", "enc", "resolved_at")
+
+
+_Q45B_SQL = """
+SELECT CAST(count(*) AS BIGINT) AS to_resolve,
+       CAST(count(*) FILTER (WHERE o_orderkey % 3 <> 1 AND o_orderkey % 11 <> 0) AS BIGINT) AS resolved,
+       CAST(count(*) FILTER (WHERE NOT (o_orderkey % 3 <> 1 AND o_orderkey % 11 <> 0)) AS BIGINT) AS failed,
+       CAST((SELECT count(*) FROM orders) - count(*) AS BIGINT) AS already_cached
+FROM orders WHERE o_orderkey % 2 = 1
+"""
+
+
+@query("q45b_cache_tallies", _Q45B_SQL)
+def q45b_cache_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, tallies = _cache_build(spark, sf_dir)
+    return tallies.select("to_resolve", "resolved", "failed", "already_cached")
