@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import has_equity_marker, strip_ws, ticker_key, truthy
+from ..session import reliable_checkpoint
 
 # Lookup tables below this many rows are broadcast; larger ones are joined by
 # shuffle. The reference map has ~350 entries.
@@ -25,11 +26,16 @@ def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
 
 
 def enrich_isin(filings: DataFrame, isin_map: DataFrame, emisora_col: str = "emisora",
-                out_col: str = "isin") -> DataFrame:
+                out_col: str = "isin", materialize: bool = True) -> DataFrame:
     """Left outer equi-join on the normalised issuer (F4); null when the
     issuer is blank or absent from the map. ``isin_map`` has (ticker_key, isin)
-    with one row per key."""
-    m = small_side(isin_map.select(F.col("ticker_key").alias("_tk"), F.col("isin").alias(out_col)))
+    with one row per key. A map that is computed (not a stored table) is
+    checkpointed first, so the size check and the join read it once instead
+    of building it twice."""
+    m = isin_map.select(F.col("ticker_key").alias("_tk"), F.col("isin").alias(out_col))
+    if materialize:
+        m = reliable_checkpoint(m)
+    m = small_side(m)
     return (filings.withColumn("_tk", ticker_key(F.col(emisora_col)))
                    .join(m, "_tk", "left").drop("_tk"))
 

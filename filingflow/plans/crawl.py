@@ -29,18 +29,19 @@ def parse_payloads(bronze: DataFrame, id_col: str = "payload_id") -> DataFrame:
 
 def crawl(bronze: DataFrame, isin_map: DataFrame | None, scraped_at: str,
           id_col: str = "payload_id", existing: DataFrame | None = None,
-          batch_seq: int = 0) -> DataFrame:
+          batch_seq: int = 0, map_is_table: bool = True) -> DataFrame:
     """Filings rows of one crawl; with ``existing`` the result is the
     upserted table (last write wins per filing_id, payload order kept)."""
-    return crawl_rows(parse_payloads(bronze, id_col), isin_map, scraped_at, id_col, existing, batch_seq)
+    return crawl_rows(parse_payloads(bronze, id_col), isin_map, scraped_at, id_col, existing, batch_seq,
+                      map_is_table)
 
 
 def crawl_rows(rows: DataFrame, isin_map: DataFrame | None, scraped_at: str, id_col: str = "payload_id",
-               existing: DataFrame | None = None, batch_seq: int = 0) -> DataFrame:
+               existing: DataFrame | None = None, batch_seq: int = 0, map_is_table: bool = True) -> DataFrame:
     """The crawl after parsing: enrich, classify, filings rows, upsert."""
     rec = rows
     if isin_map is not None:
-        rec = enrich_isin(rec, isin_map, "emisora", "isin")
+        rec = enrich_isin(rec, isin_map, "emisora", "isin", materialize=not map_is_table)
     else:
         rec = rec.withColumn("isin", F.lit(None).cast("string"))
     rec = (rec.withColumn("enc", F.lit(None).cast("string"))

@@ -71,8 +71,12 @@ def spread(df: DataFrame) -> DataFrame:
     the cluster can run (a small file with one row group is one task; the
     parsing work on it is CPU-bound). Large inputs already have many splits
     and pass through unchanged, without a shuffle."""
-    par = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(par) if df.rdd.getNumPartitions() < par else df
+    try:
+        par = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    return df.repartition(par) if parts < par else df
 
 
 # ---------------------------------------------------------------------------

@@ -24,7 +24,7 @@ def read_json_object_cache(spark: SparkSession, path: str) -> DataFrame | None:
     re-normalised (as in the source system)."""
     if not _exists(spark, path):
         return None
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     parsed = raw.select(F.from_json("value", "map<string,string>").alias("m"),
                         F.trim("value").startswith("{").alias("is_obj"))
     ok = parsed.filter(F.col("m").isNotNull() & F.col("is_obj"))

@@ -23,7 +23,8 @@ def read_payloads(spark: SparkSession, path: str, kinds: list[str] | None = None
 def read_text_payloads(spark: SparkSession, path: str, kind: str | None = None) -> DataFrame:
     """One payload per file (``wholetext``): id = file path; kind given or the
     name of the file's parent folder."""
-    raw = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(path)
+    # wholetext must be the method argument: text() would reset the option
+    raw = spark.read.option("recursiveFileLookup", True).text(path, wholetext=True)
     src = F.input_file_name()
     k = F.lit(kind) if kind else F.regexp_extract(src, r"/([^/]+)/[^/]+$", 1)
     return raw.select(src.alias("payload_id"), k.alias("kind"), F.lit(None).cast("timestamp").alias("captured_at"),
