@@ -43,16 +43,19 @@ def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = No
                      .alias("pos", "_tr"))
     rows = rows.withColumn("_td", F.regexp_extract_all("_tr", F.lit(CELL_RE), 1)) \
                .filter(F.size("_td") >= 3)
-    subj = F.get(F.col("_td"), 2)
-    has_link = subj.rlike(LINK_RE)
-    link_attrs = F.regexp_extract(subj, LINK_RE, 1)
-    link_body = F.regexp_extract(subj, LINK_RE, 2)
+    # the subject cell is scanned once for the callback link; attributes and
+    # text are then taken from that (short) match
+    rows = rows.withColumn("_a", F.regexp_extract(F.get(F.col("_td"), 2), LINK_RE, 0))
+    link = F.col("_a")
+    has_link = link != ""
+    link_attrs = F.regexp_extract(link, r"(?is)^<a\b([^>]*)>", 1)
+    link_body = F.regexp_extract(link, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)
     key = F.nullif(F.regexp_extract(link_attrs, KEY_RE, 1), F.lit(""))
     return rows.select(
         *keep, "pos",
         html_text(F.get(F.col("_td"), 0)).alias("fecha"),
         html_text(F.get(F.col("_td"), 1)).alias("emisora"),
-        F.when(has_link, html_text(link_body)).otherwise(html_text(subj)).alias("asunto"),
+        F.when(has_link, html_text(link_body)).otherwise(html_text(F.get(F.col("_td"), 2))).alias("asunto"),
         F.when(has_link, key).alias("key"),
     )
 

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from ..functions.dates import duration_seconds, iso_text, normalize_date
 from ..functions.docs import to_json_text
 from ..functions.text import COUNTRY, SOURCE_NAME, classify_filing_type, filing_id, truthy
+from ..session import reliable_checkpoint
 from .windows import latest_per_key
 
 S = T.StringType()
@@ -148,11 +149,17 @@ def upsert(existing: DataFrame, batch: DataFrame, key_cols: list[str],
     """Full-row replace by key; inside a batch the last row wins.
 
     ``batch`` carries ``_seq`` (batch number) and ``_pos`` (position in the
-    batch); existing rows count as ``_seq = -1``."""
-    ex = existing.withColumn("_seq", F.lit(-1).cast("long")).withColumn("_pos", F.lit(-1).cast("long"))
+    batch). Only the batch is shuffled (to pick its last write per key); the
+    stored table is filtered with an anti-join on the batch keys -- a
+    broadcast when the batch is proven small -- and is never re-shuffled, so
+    a small crawl does not move the whole table."""
+    from .joins import small_side
+    cols = list(existing.columns)
     b = batch.withColumn("_seq", F.col("_seq").cast("long")).withColumn("_pos", F.col("_pos").cast("long"))
-    both = ex.unionByName(b.select(*ex.columns))
-    return latest_per_key(both, key_cols, list(order_cols)).drop(*order_cols)
+    latest = reliable_checkpoint(latest_per_key(b.select(*cols, *order_cols), key_cols, list(order_cols)))
+    replaced = small_side(latest.select(*key_cols))
+    kept = existing.join(replaced, key_cols, "left_anti")
+    return kept.unionByName(latest.select(*cols))
 
 
 def latest_version(spark: SparkSession, table_dir: str) -> int:
