@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import GRID_ROW_MARKER, ROW_CALLBACK
+from ..operators.windows import page_of
 
 # Fixed test values: one headline per rule, plus case/accent variants, a
 # headline matching two rules, a 'rating' inside a word, and non-matches.
@@ -99,7 +100,7 @@ def order_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
                   .otherwise(F.col("c_name")).alias("emisora"),
                  F.concat(pick(HEADLINES, k % len(HEADLINES)), F.lit(" "), F.col("o_orderpriority"))
                   .alias("asunto"),
-                 (F.floor(k / ROWS_PER_PAGE) + 1).cast("bigint").alias("page"),
+                 page_of(k + 1, ROWS_PER_PAGE).alias("page"),
                  (k % ROWS_PER_PAGE).cast("int").alias("pos"),
              ))
 
@@ -152,6 +153,8 @@ def render_grid_pages(filings: DataFrame, total_pages: int = 0, total_rows: int
     return pages.select(
         "page", F.lit("grid").alias("kind"),
         F.concat(F.lit('<table id="grid"><tbody>\n'), F.col("trs"),
+                 # a data-classed summary row with two cells: dropped by the parser (P10)
+                 F.lit(f'<tr class="{GRID_ROW_MARKER}_Aqua"><td colspan="2">Total</td><td>20</td></tr>\n'),
                  F.lit('</tbody></table><div class="pager">P&aacute;gina '), F.col("page").cast("string"),
                  F.lit(f" de {total_pages} ({total_rows} Env&iacute;os)</div>")).alias("body"))
 

@@ -52,6 +52,8 @@ def test_normalize_date(spark, raw, expected):
     ("Rating upgrade", "credit_rating"),
     ("Operating income", "credit_rating"),
     ("Ventas del mes", "other"),
+    ("informe\u00a0anual", "annual_report"),
+    ("comunicado\u2003de prensa", "press_release"),
     ("Operating rating", "credit_rating"),
     ("Designación del auditor", "auditor_change"),
     ("Segundo trimestre", "quarterly_report"),
