@@ -19,7 +19,7 @@ from ..operators.parse import callback_rows, delta_hidden_fields, delta_rows, gr
 from ..session import ensure_conf
 from . import fixtures as fx
 from .registry import query
-from .sqlparts import classify_sql, html_text_sql, lit, strip_sql, unescape_sql
+from .sqlparts import classify_sql, html_text_sql, lit, unescape_sql
 
 OF = fx.ORDER_FILINGS_SQL
 

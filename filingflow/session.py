@@ -75,15 +75,6 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so stdlib code can open local paths in tests."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
 def reliable_checkpoint(df):
     """Cut lineage with a reliable checkpoint in the shared folder (never a
     local checkpoint): recomputation after an executor loss reads the

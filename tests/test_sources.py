@@ -7,7 +7,6 @@ import zipfile
 
 from pyspark.sql import functions as F
 
-from filingflow.functions.text import token_from_callback  # noqa: F401
 from filingflow.local_paths import to_local
 from filingflow.operators.archives import zip_members
 from filingflow.operators.filters import lookup, take_until_short_page
