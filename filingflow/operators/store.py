@@ -162,6 +162,26 @@ def upsert(existing: DataFrame, batch: DataFrame, key_cols: list[str],
     return kept.unionByName(latest.select(*cols))
 
 
+def upsert_filings(existing: DataFrame, batch: DataFrame, mode: str = "replace") -> DataFrame:
+    """M1 for the filings table. ``replace`` (parity): a later batch row
+    replaces the stored row whole, so a re-crawl without a document resets
+    ``downloaded``. ``preserve``: a batch row without a document keeps the
+    stored download fields. The preserve lookup joins only the batch's keys."""
+    if mode == "replace":
+        return upsert(existing, batch, ["filing_id"])
+    if mode != "preserve":
+        raise ValueError(f"unknown mode {mode}")
+    prev = (existing.join(batch.select("filing_id").distinct(), "filing_id", "left_semi")
+                    .filter(F.col("downloaded"))
+                    .select("filing_id", F.col("download_path").alias("_prev_path")))
+    b = batch.join(prev, "filing_id", "left").withColumn(
+        "_keep", ~F.coalesce(F.col("downloaded"), F.lit(False)) & F.col("_prev_path").isNotNull())
+    b = (b.withColumn("downloaded", F.when(F.col("_keep"), F.lit(True)).otherwise(F.col("downloaded")))
+          .withColumn("download_path", F.when(F.col("_keep"), F.col("_prev_path")).otherwise(F.col("download_path")))
+          .drop("_prev_path", "_keep"))
+    return upsert(existing, b, ["filing_id"])
+
+
 def latest_version(spark: SparkSession, table_dir: str) -> int:
     """Number of the newest version folder ``v=NNNNNNNN`` (0 when none)."""
     jvm = spark.sparkContext._jvm
@@ -169,8 +189,13 @@ def latest_version(spark: SparkSession, table_dir: str) -> int:
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return 0
-    names = [st.getPath().getName() for st in fs.listStatus(p) if st.isDirectory()]
-    nums = [int(n[2:]) for n in names if n.startswith("v=") and n[2:].isdigit()]
+    nums = []
+    for st in fs.listStatus(p):
+        name = st.getPath().getName()
+        # only committed versions: a write that failed half way has no _SUCCESS
+        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit() \
+                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
+            nums.append(int(name[2:]))
     return max(nums, default=0)
 
 

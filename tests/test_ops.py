@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from filingflow.operators import aggregates as A
 from filingflow.operators.filters import filter_by_period, limit_pages
 from filingflow.operators.joins import build_isin_map, enrich_isin, missing_keys, resolve_tokens
-from filingflow.operators.store import FILINGS_DEFAULTS, FILINGS_SCHEMA, evolve, to_filings_rows, upsert
+from filingflow.operators.store import (FILINGS_DEFAULTS, FILINGS_SCHEMA, evolve, to_filings_rows, upsert,
+                                       upsert_filings)
 from filingflow.operators.windows import global_row_number, latest_per_key, miss_streak_cut
 
 
@@ -132,3 +133,17 @@ def test_date_range_strings(spark):
                                     "filing_id string, filing_date string, ticker string, downloaded boolean")
     r = A.filings_counters(filings).first()
     assert (r.earliest_record, r.latest_record, r.unique_companies, r.downloaded) == ("", "not-a-date", 1, 1)
+
+
+def test_upsert_filings_modes(spark):
+    rec = spark.createDataFrame([("01/01/2026", "A", "x", "1", "/d/1.pdf"), ("01/01/2026", "B", "y", "2", None)],
+                                "fecha string, emisora string, asunto string, key string, pdf_path string")
+    existing = to_filings_rows(rec, "t0", None)
+    again = spark.createDataFrame([("02/01/2026", "A", "x2", "1", None)],
+                                  "fecha string, emisora string, asunto string, key string, pdf_path string")
+    batch = to_filings_rows(again, "t1", None).withColumn("_seq", F.lit(1)).withColumn("_pos", F.lit(0))
+    rep = {r.filing_id: (r.downloaded, r.download_path, r.headline) for r in upsert_filings(existing, batch).collect()}
+    assert rep["cnbv_1"] == (False, "", "x2")
+    pre = {r.filing_id: (r.downloaded, r.download_path, r.headline)
+           for r in upsert_filings(existing, batch, "preserve").collect()}
+    assert pre["cnbv_1"] == (True, "/d/1.pdf", "x2") and pre["cnbv_2"] == (False, "", "y")
