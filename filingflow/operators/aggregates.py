@@ -75,7 +75,7 @@ def stats_record(filings: DataFrame, log: DataFrame, as_of, db_size_bytes: int =
     f = filings_counters(filings).withColumn("_k", F.lit(1))
     g = log.agg(F.count("completed_at").alias("total_crawl_runs"),
                 F.max_by(F.struct("id", "completed_at", "errors"), "id").alias("r")).withColumn("_k", F.lit(1))
-    j = f.join(g, "_k")
+    j = f.join(F.broadcast(g), "_k")  # both sides are one row
     return j.select(
         F.lit(SCRAPER_NAME).alias("scraper"), F.lit(COUNTRY).alias("country"),
         F.array(F.lit(SOURCE_NAME)).alias("sources"),

@@ -94,7 +94,7 @@ def document_tallies(filings: DataFrame, processed: DataFrame, path_col: str = "
     t = filings.agg(F.count("*").alias("total_filings"),
                     F.count_if(truthy(F.col(path_col))).alias("processable")).withColumn("_k", F.lit(1))
     p = processed.agg(F.count("*").alias("total_processed")).withColumn("_k", F.lit(1))
-    return t.join(p, "_k").drop("_k")
+    return t.join(F.broadcast(p), "_k").drop("_k")  # both sides are one row
 
 
 def extract_single_file(spark, path: str, extractor: Extractor | None = None) -> DataFrame:

@@ -169,7 +169,7 @@ def q15_new_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     batch_rows = to_filings_rows(batch, T1, None)
     fresh = new_ids(batch_rows, existing).agg(F.count("*").alias("filings_new"))
     tallies = A.run_tallies(batch.withColumn("downloads_enabled", F.lit(True)), max_pages=0)
-    return (tallies.withColumn("_k", F.lit(1)).join(fresh.withColumn("_k", F.lit(1)), "_k")
+    return (tallies.withColumn("_k", F.lit(1)).join(F.broadcast(fresh.withColumn("_k", F.lit(1))), "_k")
                    .select("filings_found", "filings_new", "pages_crawled", "pdfs_downloaded", "pdfs_failed"))
 
 

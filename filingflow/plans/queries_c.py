@@ -482,7 +482,7 @@ def q36_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
     res = merged.agg(F.count_if(F.col("enc").isNotNull()).alias("resolved"),
                      F.count_if(F.col("enc").isNull()).alias("failed")).withColumn("_k", F.lit(1))
     mk = A.max_key(merged).withColumn("_k", F.lit(1))
-    return (runs.join(res, "_k").join(mk, "_k")
+    return (runs.join(F.broadcast(res), "_k").join(F.broadcast(mk), "_k")
                 .select("filings_found", "pdfs_downloaded", "pdfs_failed", "resolved", "failed", "max_key"))
 
 
@@ -661,7 +661,8 @@ def q44_run_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     latest = latest_row(log.select("id"), "id").select(F.col("id").alias("_latest"), F.lit(1).alias("_k"))
     versions = spark.createDataFrame([(1,), (2,), (3,)], "version int")
     ver = versions.agg(F.coalesce(F.max("version"), F.lit(0)).alias("schema_version")).withColumn("_k", F.lit(1))
-    out = log.withColumn("_k", F.lit(1)).join(latest, "_k", "left").join(ver, "_k", "left")
+    # one-row sides, broadcast: a shuffle on the constant key would put every row in one task
+    out = log.withColumn("_k", F.lit(1)).join(F.broadcast(latest), "_k", "left").join(F.broadcast(ver), "_k", "left")
     return out.select("id", age_hours(F.col("completed_at"), A._ts(as_of)).alias("age_hours"),
                       (F.col("id") == F.col("_latest")).alias("is_latest"), "schema_version")
 
