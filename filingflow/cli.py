@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .operators.joins import new_ids
 from .operators.store import (FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, crawl_log, latest_version, read_table,
-                              write_version)
+                              upsert_filings, write_version)
 from .plans.crawl import crawl_rows, parse_payloads
 from .session import get_spark, reliable_checkpoint
 from .sources.documents import _exists, export_document, write_filings_document
@@ -75,8 +75,10 @@ def cmd_crawl(spark: SparkSession, a: argparse.Namespace) -> int:
             return 1
         batch = crawl_rows(rows, isin_map, a.as_of)
         fresh = new_ids(batch, existing).count()
-        table = crawl_rows(rows, isin_map, a.as_of, existing=existing,
-                           batch_seq=latest_version(spark, a.filings) + 1)
+        seq = latest_version(spark, a.filings) + 1
+        # batch order = (payload, position): a later row of the crawl wins
+        batch_rows = crawl_rows(rows, isin_map, a.as_of, batch_seq=seq, keep_order=True)
+        table = upsert_filings(existing, batch_rows, a.mode)
         write_version(table, a.filings, latest_version(spark, a.filings) + 1)
         if a.json_out:
             write_filings_document(rows, a.json_out, source="payloads", scraped_at=a.as_of, mode="overwrite")
@@ -161,6 +163,8 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--as-of", required=True)
     c.add_argument("--period", type=int, default=2, choices=range(0, 5))
     c.add_argument("--max-pages", type=int, default=1)
+    c.add_argument("--mode", choices=("replace", "preserve"), default="replace",
+                   help="replace: a re-crawl resets download fields (source behaviour); preserve keeps them")
     s = sub.add_parser("stats")
     s.add_argument("--filings", required=True)
     s.add_argument("--log", required=True)

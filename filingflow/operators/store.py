@@ -155,7 +155,7 @@ def upsert(existing: DataFrame, batch: DataFrame, key_cols: list[str],
     a small crawl does not move the whole table."""
     from .joins import small_side
     cols = list(existing.columns)
-    b = batch.withColumn("_seq", F.col("_seq").cast("long")).withColumn("_pos", F.col("_pos").cast("long"))
+    b = batch.withColumn("_seq", F.col("_seq").cast("long"))  # _pos: any orderable column
     latest = reliable_checkpoint(latest_per_key(b.select(*cols, *order_cols), key_cols, list(order_cols)))
     replaced = small_side(latest.select(*key_cols))
     kept = existing.join(replaced, key_cols, "left_anti")

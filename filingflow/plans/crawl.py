@@ -37,7 +37,8 @@ def crawl(bronze: DataFrame, isin_map: DataFrame | None, scraped_at: str,
 
 
 def crawl_rows(rows: DataFrame, isin_map: DataFrame | None, scraped_at: str, id_col: str = "payload_id",
-               existing: DataFrame | None = None, batch_seq: int = 0, map_is_table: bool = True) -> DataFrame:
+               existing: DataFrame | None = None, batch_seq: int = 0, map_is_table: bool = True,
+               keep_order: bool = False) -> DataFrame:
     """The crawl after parsing: enrich, classify, filings rows, upsert."""
     rec = rows
     if isin_map is not None:
@@ -49,8 +50,11 @@ def crawl_rows(rows: DataFrame, isin_map: DataFrame | None, scraped_at: str, id_
               .withColumn("filing_type", F.lit(None).cast("string"))
               .withColumn("scraped_at", F.lit(scraped_at))
               .withColumn("_seq", F.lit(batch_seq).cast("long"))
-              .withColumn("_pos", F.col(id_col).cast("long") * F.lit(1_000_000) + F.col("pos")))
+              # crawl order: numeric payload ids numerically, others by text, then row position
+              .withColumn("_pos", F.struct(F.coalesce(F.col(id_col).cast("string").try_cast("long"), F.lit(-1)),
+                                           F.col(id_col).cast("string"), F.col("pos"))))
     if existing is None:
-        return to_filings_rows(rec, created_at=scraped_at, isin_col="isin")
+        return to_filings_rows(rec, created_at=scraped_at, isin_col="isin",
+                               carry=["_seq", "_pos"] if keep_order else None)
     batch = to_filings_rows(rec, created_at=scraped_at, isin_col="isin", carry=["_seq", "_pos"])
     return upsert(existing, batch, ["filing_id"])

@@ -147,3 +147,16 @@ def test_upsert_filings_modes(spark):
     pre = {r.filing_id: (r.downloaded, r.download_path, r.headline)
            for r in upsert_filings(existing, batch, "preserve").collect()}
     assert pre["cnbv_1"] == (True, "/d/1.pdf", "x2") and pre["cnbv_2"] == (False, "", "y")
+
+
+def test_group_numbering_with_a_hot_group(spark):
+    from filingflow.operators.archives import first_pages
+    hot = [(0, t) for t in range(3000)]
+    rest = [(g, t) for g in range(1, 200) for t in range(3)]
+    df = spark.createDataFrame(hot + rest, "doc long, page long")
+    ours = {(r.doc, r.page): r.page_no for r in first_pages(df, ["doc"], "page", 0).collect()}
+    ref = {(r.doc, r.page): r.rn for r in
+           df.withColumn("rn", F.row_number().over(Window.partitionBy("doc").orderBy("page"))).collect()}
+    assert ours == ref
+    assert {k: v for k, v in ours.items() if v <= 3} == \
+        {(r.doc, r.page): r.page_no for r in first_pages(df, ["doc"], "page", 3).collect()}
