@@ -78,10 +78,15 @@ def top_level_field_count(json_text) -> Column:
 
 
 def percent_decode(name) -> Column:
-    """percent-decoding that keeps '+' and falls back to the raw text
-    when an escape is invalid."""
+    """percent-decoding as ``urllib.parse.unquote``: runs of valid %XX
+    escapes are decoded as UTF-8 (malformed bytes -> U+FFFD), everything else
+    -- '+', stray or invalid '%' -- is kept as it is. The text is cut into
+    runs of escapes, other text and lone '%'; only escape runs are decoded."""
     n = as_col(name)
-    return F.coalesce(F.try_url_decode(F.replace(n, F.lit("+"), F.lit("%2B"))), n)
+    parts = F.regexp_extract_all(n, F.lit(r"(?:%[0-9A-Fa-f]{2})++|[^%]++|%"), 0)
+    decoded = F.transform(parts, lambda t: F.when(t.startswith("%") & (F.length(t) >= 3),
+                                                  F.url_decode(t)).otherwise(t))
+    return F.when(n.isNotNull(), F.array_join(decoded, ""))
 
 
 def has_known_extension(name) -> Column:

@@ -113,6 +113,14 @@ def test_fenced_json(spark, text, js, err):
     assert (out["js"], out["err"]) == (js, err)
 
 
+@pytest.mark.parametrize("raw,expected", [
+    ("a%20b", "a b"), ("a+b", "a+b"), ("R%C3%A9sum%C3%A9", "Résumé"), ("100%", "100%"),
+    ("a%zzb%20c", "a%zzb c"), ("%2", "%2"), ("%E2%82", "\ufffd"), ("plain", "plain"), ("", ""),
+])
+def test_percent_decode(spark, raw, expected):
+    assert apply(spark, [raw], X.percent_decode) == [expected]
+
+
 def test_download_names(spark):
     rows = [
         ("attachment; filename=\"R%C3%A9sum%C3%A9+v2.pdf\"", "x", True),
