@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .._col import ntz_lit
 from ..functions.dates import age_hours
 from ..functions.text import COUNTRY, SOURCE_NAME, strip_ws, truthy
 
@@ -24,7 +25,7 @@ def _ts(as_of) -> Column:
     if isinstance(as_of, Column):
         return as_of
     if isinstance(as_of, dt.datetime):
-        return F.lit(as_of).cast("timestamp_ntz").cast("timestamp")
+        return ntz_lit(as_of).cast("timestamp")
     return F.lit(str(as_of)).cast("timestamp")
 
 

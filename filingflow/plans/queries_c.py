@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .._col import ntz_lit
 from ..functions.dates import age_hours, epoch_ms_text
 from ..functions.docs import (attached_name, is_file_response, is_pdf_response, name_hint,
                               resolve_file_name, to_json_text)
@@ -222,7 +223,7 @@ def _monitor_run(spark: SparkSession, sf_dir: str, max_files: int | None) -> Mon
     write_landing(e.filter(F.col("event_id") % 10 == 0), paths.landing, 1, "ts")
     first_day = e.agg(F.min("ts")).first()[0]
     import datetime as dt
-    cached = e.filter(F.col("ts") < F.lit(first_day + dt.timedelta(days=1))).select(F.col("event_id").alias("key"))
+    cached = e.filter(F.col("ts") < ntz_lit(first_day + dt.timedelta(days=1))).select(F.col("event_id").alias("key"))
     base = baseline_key(spark, paths.state, cached)
     schema = spark.read.parquet(paths.landing).schema
     run_monitor(spark, paths, schema, base, key_col="event_id", ts_col="ts", max_files=max_files)

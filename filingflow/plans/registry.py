@@ -14,7 +14,13 @@ ORACLES: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` is its DuckDB oracle (None: rows-only check)."""
     def deco(fn: QueryFn) -> QueryFn:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from ..session import ensure_conf
+            ensure_conf(spark)  # UTC, AQE, map-key policy: the queries rely on them
+            return fn(spark, sf_dir)
+        run.__name__ = fn.__name__
+        run.__doc__ = fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return fn

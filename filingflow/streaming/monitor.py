@@ -42,17 +42,17 @@ def next_look_ahead(look_ahead: int, new_count: int) -> tuple[int, str]:
 
 def write_landing(df: DataFrame, path: str, drops: int, ts_col: str) -> None:
     """Test feed: drop rows into the landing folder in event-time order, one
-    file per time slice, written one after the other (as files arrive)."""
-    bounds = df.agg(F.min(ts_col), F.max(ts_col)).first()
-    lo, hi = bounds[0], bounds[1]
+    file per time slice, written one after the other (as files arrive).
+    Slices are cut on epoch microseconds, so no time zone enters."""
+    m = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    lo, hi = df.agg(F.min(m), F.max(m)).first()
     if lo is None:
         return
     span = (hi - lo) / drops
     for i in range(drops):
-        a = lo + span * i
-        cond = F.col(ts_col) >= F.lit(a)
+        cond = m >= F.lit(int(lo + span * i)) if i else F.lit(True)
         if i < drops - 1:
-            cond = cond & (F.col(ts_col) < F.lit(lo + span * (i + 1)))
+            cond = cond & (m < F.lit(int(lo + span * (i + 1))))
         df.filter(cond).coalesce(1).write.mode("append").parquet(path)
 
 
