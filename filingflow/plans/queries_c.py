@@ -242,7 +242,37 @@ def q29_stream_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(paths.sink).select("key")
 
 
-@query("q30_stream_burst")
+# One micro-batch per landing file: four event-time slices (cut on epoch
+# microseconds as the feed writes them), then the duplicate drop (no new key).
+# The look-ahead fold is a recursive CTE over the batches.
+_Q30_SQL = """
+WITH RECURSIVE
+bnd AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi FROM events),
+base AS (SELECT max(event_id) AS k FROM events WHERE ts < (SELECT min(ts) FROM events) + INTERVAL 1 DAY),
+sl AS (SELECT i,
+              CASE WHEN i = 0 THEN NULL ELSE CAST(trunc(lo + ((hi - lo) / 4.0) * i) AS BIGINT) END AS a,
+              CASE WHEN i = 3 THEN NULL ELSE CAST(trunc(lo + ((hi - lo) / 4.0) * (i + 1)) AS BIGINT) END AS z
+       FROM bnd, range(4) t(i)),
+cnt AS (
+  SELECT i AS batch_id, (SELECT count(*) FROM events
+                         WHERE (a IS NULL OR epoch_us(ts) >= a) AND (z IS NULL OR epoch_us(ts) < z)
+                           AND event_id > (SELECT k FROM base)) AS n FROM sl
+  UNION ALL SELECT 4, 0),
+fold(batch_id, n, la, mode) AS (
+  SELECT batch_id, n, CASE WHEN n > 0 AND n >= 3 THEN 10 ELSE 5 END,
+         CASE WHEN n > 0 AND n >= 3 THEN 'burst' WHEN n > 0 THEN 'normal' ELSE 'idle' END
+  FROM cnt WHERE batch_id = 0
+  UNION ALL
+  SELECT c.batch_id, c.n,
+         CASE WHEN c.n > 0 AND c.n >= f.la - 2 THEN least(f.la * 2, 200) ELSE 5 END,
+         CASE WHEN c.n > 0 AND c.n >= f.la - 2 THEN 'burst' WHEN c.n > 0 THEN 'normal' ELSE 'idle' END
+  FROM fold f JOIN cnt c ON c.batch_id = f.batch_id + 1)
+SELECT CAST(batch_id AS INTEGER) AS batch_id, CAST(n AS BIGINT) AS new_count, CAST(la AS INTEGER) AS look_ahead, mode
+FROM fold
+"""
+
+
+@query("q30_stream_burst", _Q30_SQL)
 def q30_stream_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
     paths = _monitor_run(spark, sf_dir, 1)
     return burst_log(spark, paths.bursts).select("batch_id", "new_count", "look_ahead", "mode")
