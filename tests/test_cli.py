@@ -40,3 +40,20 @@ def test_crawl_stats_export(spark, capsys):
     assert code == 1 and "stale" in capsys.readouterr().out
     assert cli.main(["export", "--src", f"{run}/json", "--dest", f"{run}/exported"], spark) == 0
     assert spark.read.json(f"{run}/exported/filings").count() == 1500
+
+
+def test_monitor_command(spark):
+    import datetime as dt
+    from filingflow.streaming.monitor import write_landing
+    run = new_run_dir(spark, "test-cli-monitor")
+    ev = spark.createDataFrame([(i, dt.datetime(2026, 4, 1) + dt.timedelta(minutes=7 * i)) for i in range(1, 301)],
+                               "key long, ts timestamp_ntz")
+    write_landing(ev, f"{run}/landing", 3, "ts")
+    args = ["monitor", "--landing", f"{run}/landing", "--out", f"{run}/out", "--start-key", "250", "--once"]
+    assert cli.main(args, spark) == 0
+    keys = sorted(r.key for r in spark.read.parquet(f"{run}/out/sink").collect())
+    assert keys == list(range(251, 301))
+    # restarting with nothing new adds nothing
+    assert cli.main(args, spark) == 0
+    assert spark.read.parquet(f"{run}/out/sink").count() == 50
+    assert cli.main(["monitor", "--landing", f"{run}/landing", "--out", f"{run}/fresh", "--once"], spark) == 1
