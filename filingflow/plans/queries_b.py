@@ -8,9 +8,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import age_hours, iso_text
+from ..functions.dates import iso_text
 from ..functions.docs import to_json_text, top_level_field_count, with_model_json
-from ..functions.text import token_from_callback, truthy
+from ..functions.text import token_from_callback
 from ..operators import aggregates as A
 from ..operators.filters import filter_by_period, limit_pages
 from ..operators.joins import new_ids, resolve_tokens
@@ -526,5 +526,3 @@ def q25_json_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("fecha", "emisora", "asunto", "key", "enc", "pdf_path", "filing_type", "scraped_at",
                        F.get_json_object("raw", "$.h").alias("raw_headline"))
 
-
-__all__ = ["upserted_filings", "current_log", "run_events", "events_as_of", "truthy", "age_hours"]
