@@ -128,8 +128,9 @@ def cmd_monitor(spark: SparkSession, a: argparse.Namespace) -> int:
 def cmd_cache(spark: SparkSession, a: argparse.Namespace) -> int:
     from .plans.cache_build import build_token_cache
     cache = read_table(spark, a.cache, TOKEN_CACHE_SCHEMA)
-    payloads = read_payloads(spark, a.payloads, ["token_callback"]).select(
-        F.col("payload_id").cast("bigint").alias("key"), "body")
+    payloads = (read_payloads(spark, a.payloads, ["token_callback"])
+                .select(F.col("payload_id").try_cast("bigint").alias("key"), "body")
+                .filter(F.col("key").isNotNull()))
     new_cache, tallies = build_token_cache(spark, cache, payloads, a.start, a.end, a.as_of)
     write_version(new_cache, a.cache, latest_version(spark, a.cache) + 1)
     print(json.dumps(tallies.first().asDict()))
@@ -145,7 +146,9 @@ def cmd_extract(spark: SparkSession, a: argparse.Namespace) -> int:
         print(json.dumps(out.first().asDict(recursive=True), ensure_ascii=False, default=str))
         return 0
     filings = read_filings_document(spark, a.filings)
-    docs = binary_files(spark, a.documents).select(F.col("path").alias("source_file"), "content")
+    # binaryFile reports local files as file: URIs; filings record plain paths
+    docs = binary_files(spark, a.documents).select(
+        F.regexp_replace("path", r"^file:(?://)?", "").alias("source_file"), "content")
     write_extracted(process_filings(filings, docs).select("filing", "source_file", "extracted"),
                     a.out, DEFAULT_MODEL)
     return 0

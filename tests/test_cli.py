@@ -57,3 +57,31 @@ def test_monitor_command(spark):
     assert cli.main(args, spark) == 0
     assert spark.read.parquet(f"{run}/out/sink").count() == 50
     assert cli.main(["monitor", "--landing", f"{run}/landing", "--out", f"{run}/fresh", "--once"], spark) == 1
+
+
+def test_cache_and_extract_commands(spark, capsys):
+    import os
+    from filingflow.local_paths import to_local
+    run = new_run_dir(spark, "test-cli-cache")
+    rows = [(str(k), "token_callback", None, 200, None, None,
+             f"/*DX*/<a href=\\\"Detalle.aspx?enc=T{k}\\\">" if k % 2 else "/*DX*/<p>none<\\/p>")
+            for k in range(1, 11)] + [("bad-id", "token_callback", None, 200, None, None, "/*DX*/")]
+    spark.createDataFrame(rows, "payload_id string, kind string, captured_at timestamp, http_status int, "
+                                "content_type string, content_disposition string, body string") \
+         .write.parquet(f"{run}/payloads")
+    assert cli.main(["cache", "--payloads", f"{run}/payloads", "--cache", f"{run}/cache", "--start", "1",
+                     "--end", "10", "--as-of", "2026-01-01T00:00:00"], spark) == 0
+    t = json.loads(capsys.readouterr().out.strip().splitlines()[-1])
+    assert (t["resolved"], t["failed"], t["already_cached"]) == (5, 5, 0)
+    docs = to_local(f"{run}/docs")
+    os.makedirs(docs)
+    for name, text in [("a.pdf", "Informe anual de la emisora"), ("b.pdf", "Aviso de dividendo")]:
+        with open(f"{docs}/{name}", "w") as fh:
+            fh.write(text)
+    spark.createDataFrame([("1", f"{docs}/a.pdf"), ("2", f"{docs}/b.pdf"), ("3", "")], "key string, pdf_path string") \
+         .write.json(f"{run}/filings/filings")
+    assert cli.main(["extract", "--filings", f"{run}/filings", "--documents", f"{run}/docs",
+                     "--out", f"{run}/extracted"], spark) == 0
+    got = {r["filing"]["key"]: r["extracted"]["document_type"]
+           for r in spark.read.json(f"{run}/extracted/documents").collect()}
+    assert got == {"1": "annual_report", "2": "dividend"}
