@@ -85,3 +85,19 @@ def test_cache_and_extract_commands(spark, capsys):
     got = {r["filing"]["key"]: r["extracted"]["document_type"]
            for r in spark.read.json(f"{run}/extracted/documents").collect()}
     assert got == {"1": "annual_report", "2": "dividend"}
+
+
+def test_empty_crawl_is_degraded(spark, capsys):
+    run = new_run_dir(spark, "test-cli-empty")
+    spark.createDataFrame([("1", "grid", None, 200, None, None, "<html>no grid</html>")],
+                          "payload_id string, kind string, captured_at timestamp, http_status int, "
+                          "content_type string, content_disposition string, body string").write.parquet(f"{run}/p")
+    assert cli.main(["crawl", "--payloads", f"{run}/p", "--filings", f"{run}/f", "--log", f"{run}/l",
+                     "--as-of", "2026-03-01T00:00:00"], spark) == 1
+    capsys.readouterr()
+    code = cli.main(["stats", "--filings", f"{run}/f", "--log", f"{run}/l", "--docs", f"{run}/d",
+                     "--as-of", "2026-03-01T01:00:00", "--json"], spark)
+    s = json.loads(capsys.readouterr().out)
+    assert (s["health"], s["total_filings"], s["total_crawl_runs"], code) == ("degraded", 0, 1, 0)
+    log = cli.read_log(spark, f"{run}/l").first()
+    assert log.errors == "No filings found" and log.filings_found == 0
