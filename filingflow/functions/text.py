@@ -130,11 +130,23 @@ def html_unescape(c) -> Column:
     return F.when(F.instr(raw, "&") > 0, F.array_join(F.transform(parts, one), "")).otherwise(raw)
 
 
+def strip_tags(fragment) -> Column:
+    """Tags removed together with the whitespace around them (every text
+    node stripped, nodes joined without a separator)."""
+    return F.regexp_replace(as_col(fragment), r"(?U)\s*<[^>]*>\s*", "")
+
+
+def finish_text(stripped) -> Column:
+    """Entities decoded and the ends stripped, after ``strip_tags``. Callers
+    with many rows put ``strip_tags`` in a column of its own first, so the
+    regex runs once even though the decoder reads its input several times."""
+    return strip_ws(html_unescape(as_col(stripped)))
+
+
 def html_text(fragment) -> Column:
     """Text of an HTML fragment with every text node stripped and the nodes
     joined without a separator (``get_text(strip=True)``)."""
-    no_tags = F.regexp_replace(as_col(fragment), r"(?U)\s*<[^>]*>\s*", "")
-    return strip_ws(html_unescape(no_tags))
+    return finish_text(strip_tags(fragment))
 
 
 def page_text(html) -> Column:

@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._col import as_col
-from ..functions.text import (DX_MARKER, GRID_ROW_MARKER, ROW_CALLBACK, html_text,
-                              html_unescape)
+from ..functions.text import (DX_MARKER, GRID_ROW_MARKER, ROW_CALLBACK, finish_text, html_unescape,
+                              strip_tags)
 
 # Markers of the asynchronous page-update format.
 DELTA_RESULTS_MARKER = "updatePanel|DefaultPlaceholder_UpdatePanelResultados|"
@@ -51,13 +51,15 @@ def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = No
     link_attrs = F.regexp_extract(link, r"(?is)^<a\b([^>]*)>", 1)
     link_body = F.regexp_extract(link, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)
     key = F.nullif(F.regexp_extract(link_attrs, KEY_RE, 1), F.lit(""))
-    return rows.select(
+    # tags are stripped into columns first: each cell regex runs once
+    cells = rows.select(
         *keep, "pos",
-        html_text(F.get(F.col("_td"), 0)).alias("fecha"),
-        html_text(F.get(F.col("_td"), 1)).alias("emisora"),
-        F.when(has_link, html_text(link_body)).otherwise(html_text(F.get(F.col("_td"), 2))).alias("asunto"),
-        F.when(has_link, key).alias("key"),
-    )
+        strip_tags(F.get(F.col("_td"), 0)).alias("_f"),
+        strip_tags(F.get(F.col("_td"), 1)).alias("_e"),
+        strip_tags(F.when(has_link, link_body).otherwise(F.get(F.col("_td"), 2))).alias("_s"),
+        F.when(has_link, key).alias("key"))
+    return cells.select(*keep, "pos", finish_text("_f").alias("fecha"), finish_text("_e").alias("emisora"),
+                        finish_text("_s").alias("asunto"), "key")
 
 
 def delta_grid_html(text) -> Column:
@@ -105,15 +107,15 @@ def callback_rows(df: DataFrame, text_col: str = "body", keep: list[str] | None
     return grid_rows(inner, "_html", keep)
 
 
-def _attr(tag: Column, name: str) -> tuple[Column, Column]:
-    """(present, value) of an attribute in an opening tag; value unquoted and
-    entity-decoded. One regex per attribute: the captured text keeps its
-    quotes, so a present but empty attribute is '""', never ''."""
+def _attr_raw(tag: Column, name: str) -> Column:
+    """Raw attribute text with its quotes ('' when absent, '""' when empty)."""
     pat = r"(?is)\s" + name + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-    raw = F.regexp_extract(tag, pat, 1)
+    return F.regexp_extract(tag, pat, 1)
+
+
+def _unquote(raw: Column) -> Column:
     quoted = raw.startswith('"') | raw.startswith("'")
-    val = F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
-    return raw != "", html_unescape(val)
+    return html_unescape(F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
 
 
 _HIDDEN_TYPE = r"""(?is)\stype\s*=\s*(?:"\s*hidden\s*"|'\s*hidden\s*'|hidden(?=[\s/>]|$))"""
@@ -122,19 +124,21 @@ _HIDDEN_TYPE = r"""(?is)\stype\s*=\s*(?:"\s*hidden\s*"|'\s*hidden\s*'|hidden(?=[
 def hidden_fields(html) -> Column:
     """Map name (or id) -> value of the hidden inputs of a page; later
     duplicates win (session policy LAST_WIN); missing value -> ''. Inputs are
-    first narrowed to hidden ones, so names and values are read only there."""
+    first narrowed to hidden ones; each attribute regex then runs once per
+    input (a first pass builds a struct of raw attributes, the second pass
+    works on its fields: lambdas get no common-subexpression elimination)."""
     tags = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<input\b[^>]*>"), 0)
     hidden = F.filter(tags, lambda t: t.rlike(_HIDDEN_TYPE))
+    raw = F.transform(hidden, lambda t: F.struct(_attr_raw(t, "name").alias("n"), _attr_raw(t, "id").alias("i"),
+                                                 _attr_raw(t, "value").alias("v")))
 
-    def entry(tag):
-        has_name, name = _attr(tag, "name")
-        has_id, ident = _attr(tag, "id")
-        has_val, val = _attr(tag, "value")
-        key = F.when(has_name & (name != ""), name).when(has_id & (ident != ""), ident)
+    def entry(r):
+        name, ident = _unquote(r["n"]), _unquote(r["i"])
+        key = F.when((r["n"] != "") & (name != ""), name).when((r["i"] != "") & (ident != ""), ident)
         return F.when(key.isNotNull(),
-                      F.struct(key.alias("k"), F.when(has_val, val).otherwise(F.lit("")).alias("v")))
+                      F.struct(key.alias("k"), F.when(r["v"] != "", _unquote(r["v"])).otherwise(F.lit("")).alias("v")))
 
-    entries = F.filter(F.transform(hidden, entry), lambda e: e.isNotNull())
+    entries = F.filter(F.transform(raw, entry), lambda e: e.isNotNull())
     return F.map_from_entries(entries)
 
 
