@@ -4,8 +4,9 @@ Each parser takes a DataFrame with a text column holding one payload per
 row and returns rows; the work is regex/explode expressions evaluated inside
 whole-stage code generation, so it scales with the number of payloads and
 parallelises per partition. No HTML library is involved: the grid markup is
-regular (rows, cells, one link per subject cell). Nested tables, ``>`` inside
-attribute values and entities other than the common ones are not handled.
+regular (rows, cells, one link per subject cell). Nested tables and ``>``
+inside attribute values are not handled; entities are decoded by
+``functions.text.html_unescape`` (fixed named list plus numeric references).
 """
 
 from __future__ import annotations

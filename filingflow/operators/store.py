@@ -1,9 +1,10 @@
 """Keyed tables on parquet: schemas, upserts, crawl log, evolution (M1-M7).
 
 Parquet has no primary key and no row-level update; the key is kept by the
-operators: an upsert is ``unionByName`` + last-write-wins per key, written
-as a new version directory (never over the path being read); the current
-version is the newest directory name. The crawl log is event-sourced:
+operators: an upsert picks the last write per key inside the batch, drops
+the replaced keys from the stored rows with an anti-join and appends the
+batch; the result is written as a new version directory (never over the
+path being read); the current version is the newest committed directory. The crawl log is event-sourced:
 start and completion events are appended, the current log is starts
 left-joined with the latest completion per id.
 """
