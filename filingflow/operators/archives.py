@@ -57,6 +57,8 @@ def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def zip_members(archives: DataFrame, archive_col: str = "archive", content_col: str = "content") -> DataFrame:
     """(archive, content) rows -> one row per kept member."""
+    from ..session import ship_package
+    ship_package(archives.sparkSession)
     src = archives.select(F.col(archive_col).cast("string").alias("archive"),
                           F.col(content_col).alias("content"))
     return src.mapInPandas(_members, MEMBER_SCHEMA)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.docs import with_model_json
 from ..functions.text import classify_filing_type, truthy
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, ship_package
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -52,6 +52,7 @@ def run_extractor(docs: DataFrame, extractor: Extractor | None = None) -> DataFr
         content = F.col("content")
         text = F.decode(content, "UTF-8") if dict(docs.dtypes)["content"] == "binary" else content
         return docs.select("source_file", default_model_text(text).alias("model_text"))
+    ship_package(docs.sparkSession)
     return docs.select("source_file", "content").mapInPandas(extractor, "source_file string, model_text string")
 
 

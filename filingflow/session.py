@@ -25,9 +25,37 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
+    ship_package(spark)
     return spark
 
 
+_SHIPPED: set[int] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers (what ``--py-files``
+    does): zip it once per SparkContext and ``addPyFile`` it. Needed by the
+    operators that run Python in tasks (zip reader, custom extractors)."""
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote session: ship with --py-files instead
+        return
+    key = id(sc._jsc)
+    if key in _SHIPPED:
+        return
+    import zipfile
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="filingflow-pyfiles-"), "filingflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
+        for root, _dirs, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def get_spark(master: str | None = None, app: str = "filingflow",
               shuffle_partitions: int | None = None) -> SparkSession:
     """Build (or reuse) a session. Cluster settings come from spark-submit;
