@@ -37,13 +37,22 @@ def repair_fenced_json(text) -> Column:
 _SCALAR_JSON = r'^(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)$'
 
 
+_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+
+
 def is_json(text) -> Column:
     """Whole-text JSON validity. ``try_parse_json`` stops after the first
     complete value, so the text must also end where that value ends: an
-    object or array must close on its last character."""
+    object or array must close on its last character, its brackets must
+    balance, and no closing bracket may be followed directly by an opening
+    one (two values side by side) -- all checked outside string literals."""
     t = strip_ws(as_col(text))
-    shape = ((t.startswith("{") & t.endswith("}")) | (t.startswith("[") & t.endswith("]"))
-             | t.rlike(_SCALAR_JSON))
+    bare = F.regexp_replace(t, _JSON_STRING, '""')
+    opens = F.length(bare) - F.length(F.regexp_replace(bare, r"[\[{]", ""))
+    closes = F.length(bare) - F.length(F.regexp_replace(bare, r"[\]}]", ""))
+    container = ((t.startswith("{") & t.endswith("}")) | (t.startswith("[") & t.endswith("]"))) \
+        & (opens == closes) & ~bare.rlike(r"[}\]]\s*[{\[]")
+    shape = container | t.rlike(_SCALAR_JSON)
     return F.coalesce(F.try_parse_json(t).isNotNull() & shape, F.lit(False))
 
 

@@ -115,6 +115,11 @@ def test_epoch_ms(spark):
     ('json {"a": 4}', '{"a": 4}', False),
     ('The answer is {"a": 5}', None, True),
     ('"k": 1}', None, True),
+    ('{"a": 1}}', None, True),
+    ('{"a": 1} {"b": 2}', None, True),
+    ('[1] [2]', None, True),
+    ('{"s": "}{ [x] }}"}', '{"s": "}{ [x] }}"}', False),
+    ('{"a": [1, {"b": 2}], "c": {}}', '{"a": [1, {"b": 2}], "c": {}}', False),
 ])
 def test_fenced_json(spark, text, js, err):
     df = one_col(spark, [text], "t")
