@@ -56,6 +56,9 @@ def run_extractor(docs: DataFrame, extractor: Extractor | None = None) -> DataFr
     return docs.select("source_file", "content").mapInPandas(extractor, "source_file string, model_text string")
 
 
+_EMPTY_OBJECT = r"(?U)^\s*(?:```(?:[^\n]*\n)?)?\s*(?:json)?\s*\{\s*\}\s*(?:```)?\s*$"
+
+
 def parse_extraction(df: DataFrame, text_col: str = "model_text") -> DataFrame:
     """F8 + nested parse: adds ``extracted`` (struct) and ``extracted_json``.
     Unparsable text becomes {raw_text: text, _parse_error: true}."""
@@ -63,8 +66,12 @@ def parse_extraction(df: DataFrame, text_col: str = "model_text") -> DataFrame:
     fallback = F.to_json(F.struct(F.col(text_col).alias("raw_text"), F.lit(True).alias("_parse_error")))
     out_json = F.when(F.col("_err"), fallback).otherwise(F.col("_js"))
     df = df.withColumn("extracted_json", out_json)
-    # an empty object counts as "nothing extracted" (J7 drops it)
-    df = df.withColumn("extraction_empty", ~F.col("_err") & (F.regexp_replace("_js", r"\s", "") == "{}"))
+    # an empty object counts as "nothing extracted" (J7 drops it). Tested on
+    # the model text itself: {} after the same clean-up steps as F8 (fence
+    # line, closing fence, leading 'json', whitespace). It must not refer to
+    # the parse columns, or the J7 filter pushed below this projection would
+    # inline the whole validity expression.
+    df = df.withColumn("extraction_empty", F.coalesce(F.col(text_col).rlike(_EMPTY_OBJECT), F.lit(False)))
     parsed = F.from_json(F.col("extracted_json"), EXTRACTED_SCHEMA)
     return df.withColumn("extracted", parsed.withField("_parse_error", F.col("_err"))).drop("_js", "_err")
 

@@ -147,3 +147,12 @@ def test_single_file_extraction(spark):
         fh.write("Aviso de Oferta Pública de acciones")
     r = extract_single_file(spark, f"{d}/aviso.pdf").first()
     assert r.source.endswith("aviso.pdf") and r.extracted.document_type == "public_offering"
+
+
+def test_empty_extraction_flag(spark):
+    from filingflow.plans.extract import parse_extraction
+    texts = ["{}", " { } ", "```json\n{}\n```", "```{}```", "```json {}```", "json {}", '{"a": 1}', "{json}",
+             "Sorry", "```json\n{\"a\": {}}\n```"]
+    df = spark.createDataFrame([(t,) for t in texts], "model_text string")
+    got = [r.extraction_empty for r in parse_extraction(df).collect()]
+    assert got == [True, True, True, True, True, True, False, False, False, False]
