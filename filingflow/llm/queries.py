@@ -43,6 +43,27 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_OP6_SQL = f"""
+WITH RECURSIVE t AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+             ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END)) AS g FROM t),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS k FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+e AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * k >= 90 * (x.n + y.n - k)),
+r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a)
+SELECT t.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, least(t.doc_id, coalesce(min(r.b), t.doc_id)) AS component_id
+FROM t LEFT JOIN n ON n.doc_id = t.doc_id LEFT JOIN r ON r.a = t.doc_id GROUP BY t.doc_id
+"""
+
+
+@query("op6_ngram_jaccard", _OP6_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents linked by three-word shingles at 0.9."""
+    from .ngram_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
+
+
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents encoded and decoded with the merge-type piece vocabulary."""
