@@ -118,7 +118,9 @@ def ragged_take(flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray, which
     n = lengths[which]
     total = int(n.sum())
     before = np.cumsum(n) - n
-    return flat[np.repeat(starts[which] - before, n) + np.arange(total)]
+    at = np.repeat((starts[which] - before).astype(np.int64), n)
+    at += np.arange(total)
+    return flat[at]
 
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)

@@ -21,8 +21,8 @@ of all rows is spread over many tasks.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,8 +33,10 @@ from pyspark.sql.window import Window
 from .common import blocks, prepare, ragged_take, stored, texts_of, words_of
 
 RANK_BUCKETS = 256
-#: words remembered by a worker before it starts afresh
-MEMO_WORDS = 1_000_000
+#: words, and parts of words, remembered by a worker before it starts afresh
+MEMO_WORDS = 400_000
+#: text bytes handled at once: ids and their places take about 15 times that
+IDS_BLOCK_BYTES = 6 << 20
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -55,12 +57,13 @@ class WordEncoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.parts: dict[str, tuple[int, ...]] = {}
+        # ids are remembered as packed 32-bit numbers
+        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
         self.by_parts = self._agrees()
 
-    def _whole(self, word: str) -> tuple[int, ...]:
-        return tuple(self.tokenizer.encode(word, add_special_tokens=False).ids)
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
     def _agrees(self) -> bool:
         """Whether the direct way gives the tokenizer's ids on words of every
@@ -68,24 +71,27 @@ class WordEncoder:
         probe = ["the", "The", "Éauouon.", "schön,", "WORD!!", "ab%%%", "ça&&&", "x", "ÿß;", "ÀÖØ(", "a###"]
         return all(self._by_parts(w) == self._whole(w) for w in probe)
 
-    def _by_parts(self, word: str) -> tuple[int, ...] | None:
+    def _by_parts(self, word: str) -> bytes | None:
         m = self._plain.fullmatch(word)
         if m is None:
             return None
-        out: tuple[int, ...] = ()
+        out = b""
         for part in m.groups():
             if part:
                 ids = self.parts.get(part)
                 if ids is None:
                     low = part.lower()
                     text = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_LETTERS)
-                    ids = self.parts[part] = tuple(t.id for t in self.model.tokenize(text))
+                    ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(text)]).tobytes()
                 out += ids
         return out
 
-    def encode(self, words: list[str]) -> list[tuple[int, ...]]:
-        if len(self.words) > MEMO_WORDS or len(self.parts) > MEMO_WORDS:
-            self.words, self.parts = {}, {}
+    def encode(self, words: list[str]) -> list[bytes]:
+        """Packed ids of each word."""
+        if len(self.words) > MEMO_WORDS:
+            self.words = {}
+        if len(self.parts) > MEMO_WORDS:
+            self.parts = {}
         memo, found = self.words, []
         for w in words:
             ids = memo.get(w)
@@ -121,8 +127,8 @@ def document_ids(texts: pa.Array, path: str, end_id: int) -> tuple[np.ndarray, n
     """Token ids of a block of texts, each closed by ``end_id``: (ids, offsets)."""
     codes, words, offsets = words_of(texts, lower=False)
     per_word = encoder(path).encode(words.to_pylist())
-    lengths = np.fromiter(map(len, per_word), np.int64, len(per_word))
-    flat = np.fromiter(chain.from_iterable(per_word), np.uint32, int(lengths.sum()))
+    lengths = np.fromiter(map(len, per_word), np.int64, len(per_word)) // 4
+    flat = np.frombuffer(b"".join(per_word), np.uint32)
     starts = np.cumsum(lengths) - lengths
     ids = ragged_take(flat, starts, lengths, codes)
     ends = np.concatenate([[0], np.cumsum(lengths[codes])])[offsets]
@@ -146,7 +152,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
     path = tokenizer
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", IDS_BLOCK_BYTES):
             ids, offsets = document_ids(texts_of(block, "text"), path, end_id)
             sizes = np.diff(offsets)
             count = -(-sizes // capacity)

@@ -18,8 +18,8 @@ from __future__ import annotations
 
 import heapq
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,9 @@ from .common import blocks, interned, prepare, ragged_take, texts_of
 
 MARK = "▁"
 #: chunks remembered by a worker before it starts afresh
-MEMO_CHUNKS = 1_000_000
+MEMO_CHUNKS = 500_000
+#: text bytes handled at once: ids and their places take about 15 times that
+IDS_BLOCK_BYTES = 6 << 20
 
 _CODECS: dict[str, PieceCodec] = {}
 
@@ -53,7 +55,7 @@ class PieceCodec:
             raise ValueError("vocabularies with unused pieces aren't supported")
         self.ranks = {p: (-sp.get_score(i)) for p, i in self.ids.items()}
         self.bytes = [sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.memo: dict[str, bytes] = {}  # ids as packed 32-bit numbers
 
     def merge(self, chunk: str) -> tuple[int, ...]:
         """Ids of one chunk (blanks as marks), by the agenda."""
@@ -97,8 +99,8 @@ class PieceCodec:
         """Chunks of a whole text: one blank in front, blanks as marks."""
         return self._chunk.findall(MARK + text.replace(" ", MARK)) if text else []
 
-    def encode(self, chunks: list[str]) -> list[tuple[int, ...]]:
-        """Ids of chunks. Each new one is checked against the library, which
+    def encode(self, chunks: list[str]) -> list[bytes]:
+        """Packed ids of chunks. Each new one is checked against the library, which
         puts a blank in front itself."""
         if len(self.memo) > MEMO_CHUNKS:
             self.memo = {}
@@ -111,7 +113,7 @@ class PieceCodec:
                 # of a lone blank the library makes nothing: it stands inside a text only
                 if list(a) != b and c != MARK:
                     raise ValueError(f"the agenda and the library differ on {c!r}: {a} and {b}")
-                memo[c] = a
+                memo[c] = array("i", a).tobytes()
         return [memo[c] for c in chunks]
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -139,8 +141,8 @@ class PieceCodec:
         else:
             starts, stops = offsets[:-1], offsets[1:]
         per_chunk = self.encode([*chunks, *extra])
-        lengths = np.fromiter(map(len, per_chunk), np.int64, len(per_chunk))
-        flat = np.fromiter(chain.from_iterable(per_chunk), np.int32, int(lengths.sum()))
+        lengths = np.fromiter(map(len, per_chunk), np.int64, len(per_chunk)) // 4
+        flat = np.frombuffer(b"".join(per_chunk), np.int32)
         if len(odd):
             codes = ragged_take(codes, starts, stops - starts, np.arange(len(starts)))
             counts = stops - starts
@@ -168,7 +170,7 @@ def encode_decode(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(model)
-        for block in blocks(batches, "text"):
+        for block in blocks(batches, "text", IDS_BLOCK_BYTES):
             ids, offsets = c.encode_texts(texts_of(block, "text"))
             listed, ends = ids.tolist(), offsets.tolist()
             decoded = [c.library.decode(listed[a:b]) if b > a else "" for a, b in zip(ends, ends[1:])]
