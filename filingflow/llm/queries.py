@@ -35,6 +35,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_suffix_tree")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents scored by a suffix tree learnt from nine tenths of them."""
+    from .suffix_tree import score_documents
+    return score_documents(table(spark, sf_dir, "documents"), crc_remainder("doc_id", 10) == 0)
+
+
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens."""
