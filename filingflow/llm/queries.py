@@ -42,6 +42,26 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(table(spark, sf_dir, "documents"), crc_remainder("doc_id", 10) == 0)
 
 
+@query("op3_boosted_quality")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality scores of documents by trees learnt from two thirds of the labels."""
+    from .boosted_quality import score, train
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, table(spark, sf_dir, "labels"), crc_remainder("doc_id", 3) != 1)
+    out = score(docs, model)
+    return out.select("doc_id", (crc_remainder("doc_id", 3) == 1).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query("op4_crf_language")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of documents by a field learnt from three quarters of them."""
+    from .crf_language import predict, train
+    docs = table(spark, sf_dir, "documents")
+    field = train(docs, crc_remainder("doc_id", 4) != 2)
+    out = predict(docs.select("doc_id", "text"), field)
+    return out.select("doc_id", (crc_remainder("doc_id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
 @query("op5_best_fit_packing")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents packed into sequences of 2048 tokens."""
