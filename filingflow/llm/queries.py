@@ -35,6 +35,13 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_warc")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written into WARC archives and read back."""
+    from .warc import round_trip
+    return round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query("op2_suffix_tree")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents scored by a suffix tree learnt from nine tenths of them."""
@@ -91,6 +98,33 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), n=3, percent=90)
 
 
+_OP7_SQL = """
+WITH c AS (SELECT DISTINCT vec_id, list_sum([CASE WHEN embedding[i] > 0 THEN (1::HUGEINT << (i - 1)::INTEGER) ELSE 0::HUGEINT END
+                                             for i in range(1, least(len(embedding), 64) + 1)])::UBIGINT AS code
+           FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
+p AS (SELECT q.vec_id AS query_id, r.vec_id AS vec_id, min(bit_count(xor(q.code, r.code)::BIT)) AS distance
+      FROM c q JOIN c r ON q.vec_id <> r.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2)
+SELECT query_id, (row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id))::INTEGER AS rank, vec_id, distance::INTEGER AS distance
+FROM p QUALIFY rank <= 10
+"""
+
+
+@query("op7_multi_index_hash", _OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest sign codes of every hundredth vector, exactly."""
+    from .multi_index_hash import nearest_codes, sign_code
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), sign_code(F.col("embedding")).alias("code"))
+    found = nearest_codes(rows, rows.where("id % 100 = 0"), 10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "distance")
+
+
+@query("op8_adaptive_scan")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest vectors found for every hundredth one."""
+    from .adaptive_scan import nearest_vectors
+    return nearest_vectors(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, 10)
+
+
 @query("op9_sentencepiece")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents encoded and decoded with the merge-type piece vocabulary."""
