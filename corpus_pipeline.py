@@ -1,44 +1,79 @@
-"""Corpus pipeline: documents -> quality -> language -> line dedup ->
-n-gram Jaccard join -> packed sequences.
+"""Corpus pipeline: documents -> quality classifier -> language ID -> line
+dedup -> n-gram Jaccard join -> packed sequences.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows that the stage
-before kept. All but the last return the columns of ``documents``.
+before kept. All but the last return the columns of ``documents``; the last
+returns the token pieces with their sequence and place.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from filingflow.llm.common import prepare, stored, table
+from pyspark.sql import functions as F
+
+from filingflow.llm.boosted_quality import score, train as train_quality
+from filingflow.llm.common import crc_remainder, prepare, stored, table
+from filingflow.llm.crf_language import UNKNOWN, predict, train as train_language
+from filingflow.llm.graph import hinted
+from filingflow.llm.line_dedup import dedup_lines
+from filingflow.llm.ngram_join import jaccard_components
+from filingflow.llm.packing import pack
 from filingflow.llm.queries import tokenizer_file
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
-def _with_text(docs: DataFrame, text: str) -> DataFrame:
-    from pyspark.sql import functions as F
-    return docs.withColumn("text", F.col(text)).withColumn("n_chars", F.length("text").cast("long"))
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects (a score below 0.5) go.
+    It learns from the labelled documents that its query learns from."""
+    docs = docs.select(*COLUMNS)
+    model = train_quality(docs, table(spark, sf_dir, "labels"), crc_remainder("doc_id", 3) != 1)
+    return score(docs, model, out="quality_score").where("quality_score >= 0.5").select(*COLUMNS)
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later occurrences of repeated three-line windows go; a document of
-    which nothing is left goes with them."""
-    from pyspark.sql import functions as F
-    from filingflow.llm.line_dedup import dedup_lines
-    out = dedup_lines(docs.select(*COLUMNS)).where((F.size("removed_lines") == 0) | (F.col("text") != ""))
-    return _with_text(out, "text").select(*COLUMNS)
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a letter, and those in which no language has a third
+    of the words, go. ``lang`` stays as it came."""
+    docs = docs.select(*COLUMNS)
+    field = train_language(docs, crc_remainder("doc_id", 4) != 2)
+    out = predict(docs, field, out="lang_pred", score="lang_score")
+    return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= 1 / 3)).select(*COLUMNS)
 
 
-def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token pieces with their sequence and place."""
-    from pyspark.sql import functions as F
-    from filingflow.llm.packing import pack
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Later occurrences of repeated three-line windows go from the texts; a
+    document of which nothing is left goes with them."""
+    out = dedup_lines(docs.select(*COLUMNS)).where((F.size("removed_lines") == 0) | (F.col("text") != ""))
+    return out.withColumn("n_chars", F.when(F.size("removed_lines") == 0, F.col("n_chars")).otherwise(F.length("text"))).select(*COLUMNS)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents linked by five-word shingles at 0.8 the one with the
+    smallest id stays. Documents without words or without an id all stay; of
+    several rows with one id, one."""
+    docs = docs.select(*COLUMNS)
+    linked = jaccard_components(docs, n=5, percent=80).where("n_shingles > 0 AND doc_id IS NOT NULL")
+    linked = stored(linked.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "components")
+    gone = stored(linked.where("component_id <> doc_id").select("doc_id"), "near-copies")
+    apart = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]") & F.col("doc_id").isNotNull()
+    kept = docs.where(apart).join(hinted(gone), "doc_id", "left_anti")
+    twice = stored(linked.where("n > 1").select("doc_id"), "repeated-ids")
+    if not twice.isEmpty():
+        once = kept.join(hinted(twice), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
+        kept = kept.join(hinted(twice), "doc_id", "left_anti").union(once)
+    return kept.select(*COLUMNS).union(docs.where(~apart))
+
+
+def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces in sequences of 2048 tokens."""
     return pack(docs, tokenizer_file("word_bpe_49k.json"), 2048, payload={"ids_crc32": F.crc32("ids")})
 
 
-STAGES = [("line dedup", line_dedup), ("best-fit packing", pack_sequences)]
+STAGES = [("quality classifier", quality), ("language ID", language), ("line dedup", line_dedup), ("n-gram Jaccard join", near_copies),
+          ("best-fit packing", sequences)]
 
-#: the stages use trained models and a tokenizer, which SQL can't express
+#: SQL can't express trained models and the tokenizer; tests hold the stages
+#: against brute-force versions
 ORACLE_SQL = None
 
 

@@ -17,6 +17,7 @@ queries of a list.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +33,8 @@ STEP, EPSILON = 16, 2.1
 #: vectors of a slice, and queries that scan it at once
 SLICE_ROWS, SLICE_QUERIES = 8192, 8192
 MOST_LISTS = 1024
+#: share of the lists that a query probes: vectors without clusters need most
+PROBE_SHARE = 0.75
 
 
 def usable(vector: Column, dimensions: int | None = None) -> Column:
@@ -107,8 +110,8 @@ def nearest_vectors(rows: DataFrame, is_query: Column, k: int = 10, train_rows:
     holds: query_id, rank (from 1), vec_id, score (the Euclidean distance);
     nearest first, ties to the smaller id, the query's own id left out.
 
-    By default there are about sqrt(n) lists (MOST_LISTS at most) and a
-    quarter of them is probed. Vectors that are null, zero, or hold null or
+    By default there are about sqrt(n) lists (MOST_LISTS at most) and
+    PROBE_SHARE of them are probed. Vectors that are null, zero, or hold null or
     non-finite components, those of another length than most, and null ids
     take no part; rows that repeat id and vector count once; an empty table
     gives an empty result.
@@ -124,7 +127,7 @@ def nearest_vectors(rows: DataFrame, is_query: Column, k: int = 10, train_rows:
     n_lists = lists or int(min(MOST_LISTS, max(1, round(sizes["n"] ** 0.5))))
     sample = vectors.select("vec_id", "v").orderBy(F.xxhash64("vec_id"), "vec_id", "v").limit(train_rows).toArrow()
     fitted = ListIndex(one_array(sample.column("v")).flatten().to_numpy().reshape(-1, sizes["d"]), n_lists)
-    probes = min(len(fitted.centroids), probes or -(-len(fitted.centroids) // 4))
+    probes = min(len(fitted.centroids), probes or math.ceil(PROBE_SHARE * len(fitted.centroids)))
     index = spark.sparkContext.broadcast(fitted)  # at most MOST_LISTS centroids
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
