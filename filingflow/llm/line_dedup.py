@@ -18,6 +18,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import prepare
 
@@ -43,7 +44,7 @@ def line_windows(rows: DataFrame, window: int) -> DataFrame:
                         F.col("w.at").alias("lines"), F.col("w.at")[0].alias("at"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _without_lines(text: pd.Series, covered: pd.Series) -> pd.Series:
     """Texts without the lines at the covered positions; blank lines alone are nothing."""
     def cut(t, c):
