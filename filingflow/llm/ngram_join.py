@@ -19,12 +19,15 @@ empty segments of nearly every set (``allocation``); the few sets with more
 have. A pair is missed by neither way: unless both sets are poor, one of them
 has shares enough on segments that both index.
 
-Buckets of equal keys give candidates. Instead of all pairs of a bucket, its
-members are checked with one representative (exactly, on whole sets); linked
-ones are merged into components, and what a bucket holds of other components
-goes through further representatives and finally pair by pair, so every link
-between components is found though most pairs inside one are never formed.
-Sets that are equal are one class from the start.
+Buckets of equal keys give candidates. A bucket's members meet in tiles of
+bounded size, where they are compared by *parity bitmaps*: an element flips one
+bit, so two bitmaps differ in at most as many bits as the sets in elements,
+and a pair whose bitmaps differ in more bits than the sets may is none. Of the
+pairs that pass, a tile gives a spanning forest only; these are compared whole
+and merged into components. A second round gives all passing pairs between
+different components, so no link between components is missed although most
+pairs inside one are never formed. Sets that are equal are one class from the
+start.
 """
 
 from __future__ import annotations
@@ -41,8 +44,8 @@ from pyspark.sql import functions as F
 from .common import blocks, hashes_of, mix64, prepare, stored, texts_of, words_of
 from .graph import components, hinted
 
-#: rounds with one representative per bucket before the rest goes pair by pair
-STAR_ROUNDS = 4
+#: members of a tile's side
+TILE = 1024
 
 
 def _widest(low_sum: int, high_sum: int, percent: int) -> int:
@@ -136,13 +139,64 @@ def index_keys(s: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return np.unique(np.concatenate([k for k, _ in found])), np.unique(np.concatenate([c for _, c in found]))
 
 
+def parity_bitmap(s: np.ndarray) -> bytes:
+    """Parities of the set's elements by hash: 512 to 4096 bits, about two per
+    element. Folding a bitmap in half gives that of half as many bits."""
+    bits = min(4096, max(512, 1 << (2 * len(s) - 1).bit_length()))
+    odd = np.bincount((mix64(s + np.uint64(0x1F83D9AB)) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def _folded(bitmaps: list[bytes]) -> np.ndarray:
+    """Bitmaps as rows of 64-bit words, folded to the shortest one's length."""
+    least = min(map(len, bitmaps))
+    out = np.empty((len(bitmaps), least // 8), np.uint64)
+    for i, b in enumerate(bitmaps):
+        x = np.frombuffer(b, np.uint64)
+        while len(x) * 8 > least:
+            x = x[:len(x) // 2] ^ x[len(x) // 2:]
+        out[i] = x
+    return out
+
+
+def tile_pairs(nodes: np.ndarray, sizes: np.ndarray, whole: np.ndarray, bitmaps: list[bytes], percent: int, labels: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of a tile that may link: all of different ``labels``, or, without
+    labels, a spanning forest of them."""
+    n = len(nodes)
+    words = _folded(bitmaps)
+    may = np.zeros((n, n), bool)
+    for i in range(n):
+        total = sizes[i] + sizes
+        most = total - 2 * -(-percent * total // (100 + percent))
+        may[i] = np.bitwise_count(words ^ words[i]).sum(axis=1, dtype=np.int64) <= most
+    may &= (whole[:, None] | whole[None, :]) & (nodes[:, None] != nodes[None, :])
+    if labels is not None:
+        x, y = np.nonzero(may & (labels[:, None] != labels[None, :]) & (nodes[:, None] < nodes[None, :]))
+        return nodes[x], nodes[y]
+    seen, left, right = np.zeros(n, bool), [], []
+    for start in np.argsort(-may.sum(axis=1), kind="stable"):
+        if seen[start]:
+            continue
+        seen[start] = True
+        front = [start]
+        while front:
+            i = front.pop(0)
+            new = np.flatnonzero(may[i] & ~seen)
+            seen[new] = True
+            left += [i] * len(new)
+            right += new.tolist()
+            front += new.tolist()
+    x, y = nodes[np.array(left, np.int64)], nodes[np.array(right, np.int64)]
+    return np.minimum(x, y), np.maximum(x, y)
+
+
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
     flat = np.concatenate(arrays).view(np.int64) if arrays else np.empty(0, np.int64)
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, arrays)]), pa.int32()), pa.array(flat))
 
 
 def signatures(rows: DataFrame, n: int, percent: int) -> DataFrame:
-    """doc_id, size, f1, f2 (128-bit fingerprint of the set), keys, cuts."""
+    """doc_id, size, f1, f2 (128-bit fingerprint of the set), bitmap, keys, cuts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", 8 << 20):
             sets = shingle_sets(texts_of(block, "text"), n)
@@ -151,9 +205,10 @@ def signatures(rows: DataFrame, n: int, percent: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [block.column("doc_id").combine_chunks(), pa.array([len(s) for s in sets], pa.int64()),
                  *[pa.array(np.array([p[i] for p in prints], np.uint64).view(np.int64)) for i in (0, 1)],
-                 _lists([k for k, _ in both]), _lists([c for _, c in both])], names=["doc_id", "size", "f1", "f2", "keys", "cuts"])
+                 pa.array([parity_bitmap(s) for s in sets], pa.binary()), _lists([k for k, _ in both]), _lists([c for _, c in both])],
+                names=["doc_id", "size", "f1", "f2", "bitmap", "keys", "cuts"])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, size long, f1 long, f2 long, keys array<long>, cuts array<long>")
+    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, size long, f1 long, f2 long, bitmap binary, keys array<long>, cuts array<long>")
 
 
 def whole_sets(rows: DataFrame, n: int) -> DataFrame:
@@ -173,8 +228,21 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * shared >= percent * (F.size("x") + F.size("y") - shared)).select("a", "b")
 
 
-def _ordered(x: str, y: str):
-    return F.least(x, y).alias("a"), F.greatest(x, y).alias("b")
+def _candidates(held: DataFrame, percent: int, labelled: bool) -> DataFrame:
+    """Pairs (a, b) from the tiles of all buckets. A bucket of n members is cut
+    into slices of about TILE; each two slices, and each with itself, are a tile."""
+    slices = F.greatest(F.lit(1), F.ceil(F.col("n") / TILE).cast("int"))
+    mine = F.pmod(F.xxhash64("node"), slices).cast("int")
+    tiles = held.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), slices - 1)))
+    tiles = tiles.withColumn("tile", F.least("mine", "other") * F.lit(1 << 32) + F.greatest("mine", "other")).drop("mine", "other", "n")
+    kind = held.schema["node"].dataType.simpleString()
+
+    def pairs(t: pa.Table) -> pa.Table:
+        x, y = tile_pairs(t.column("node").to_numpy(), t.column("size").to_numpy(), t.column("whole").to_numpy(),
+                          t.column("bitmap").to_pylist(), percent, t.column("label").to_numpy() if labelled else None)
+        return pa.table({"a": x, "b": y})
+
+    return tiles.groupBy("key", "tile").applyInArrow(pairs, f"a {kind}, b {kind}").distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -201,34 +269,29 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     nodes = linkable.join(hinted(copies), ["doc_id", "f1"], "left_anti")
     keyed = (nodes.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key"), F.lit(True).alias("whole"))
              .union(nodes.select("doc_id", F.explode("cuts"), F.lit(False))))
-    bucket = _buckets(keyed, "node")
-    bucket = stored(bucket, "shared-keys")
-    held = stored(keyed.join(hinted(bucket), "key"), "bucket-members")
-
-    wanted = stored(held.select(F.col("node").alias("doc_id")).distinct(), "candidates")
-    sets = stored(whole_sets(rows.join(hinted(wanted), "doc_id", "left_semi"), n), "candidate-sets")
-    links, labels, step = None, None, 0
-    while not held.isEmpty():
-        if step < STAR_ROUNDS:
-            pairs = held.where("node <> rep").select(*_ordered("node", "rep")).distinct()
-        else:
-            x = held.select("key", F.col("node").alias("u"), F.col("label").alias("lu"), F.col("whole").alias("wu"))
-            y = held.select("key", F.col("node").alias("v"), F.col("label").alias("lv"), F.col("whole").alias("wv"))
-            pairs = x.join(y, "key").where("u < v AND lu <> lv AND (wu OR wv)").select(F.col("u").alias("a"), F.col("v").alias("b")).distinct()
+    bucket = stored(_buckets(keyed, "node"), "shared-keys")
+    held = keyed.join(hinted(bucket), "key")
+    faces = nodes.select(F.col("doc_id").alias("node"), "size", "bitmap")
+    held = stored(held.join(faces, "node"), "bucket-members")
+    links, labels = None, None
+    for again in (False, True):
+        if again:
+            # only what different components share
+            held = held.drop("n")
+            held = held.withColumn("label", F.col("node")) if labels is None else \
+                held.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            mixed = stored(_buckets(held, "label"), "shared-keys")
+            held = held.join(hinted(mixed), "key")
+        pairs = stored(_candidates(held, percent, again), "candidates")
+        if pairs.isEmpty():
+            break
+        wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidate-nodes")
+        sets = stored(whole_sets(rows.join(hinted(wanted), "doc_id", "left_semi"), n), "candidate-sets")
         new = stored(_verified(pairs, sets, percent), "verified")
+        if new.isEmpty():
+            continue
         links = new if links is None else links.union(new)
-        found = not new.isEmpty()
-        if found:
-            labels = stored(components(links), "components")
-        if step == STAR_ROUNDS:
-            break
-        step += 1
-        # what a bucket holds besides its representative, if more than one component
-        rest = held.where("node <> rep").drop("rep", "label")
-        rest = rest.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node")) if labels is not None else rest.withColumn("label", F.col("node"))
-        rest = stored(rest, "bucket-rest")
-        again = stored(_buckets(rest, "label", step), "shared-keys")
-        held = stored(rest.join(hinted(again), "key"), "bucket-members")
+        labels = stored(components(links), "components")
 
     component = classes.select(*face, F.col("node").alias("known"))
     out = signed.select("doc_id", *face).join(component, face, "left").withColumn("node", F.coalesce("known", "doc_id"))
@@ -240,13 +303,8 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     return out.select("doc_id", F.col("size").alias("n_shingles"), mine.alias("component_id"))
 
 
-def _buckets(keyed: DataFrame, by: str, step: int = 0) -> DataFrame:
-    """(key, rep) of keys that more than one ``by`` shares. The representative
-    is a node with that key for a whole segment: the smallest, or in later
-    rounds the first by a hash."""
-    pick = F.when(F.col("whole"), F.col("node"))
-    if step:
-        pick = F.when(F.col("whole"), F.struct(F.xxhash64("node", F.lit(step)).alias("h"), F.col("node").alias("node")))
-    out = keyed.groupBy("key").agg(F.min(by).alias("lo"), F.max(by).alias("hi"), F.min(pick).alias("rep"))
-    out = out.where("lo <> hi AND rep IS NOT NULL")
-    return out.select("key", F.col("rep.node").alias("rep") if step else F.col("rep"))
+def _buckets(keyed: DataFrame, by: str) -> DataFrame:
+    """(key, n) of the keys that more than one ``by`` has, at least one of
+    them for a whole segment; n: how many rows have the key."""
+    out = keyed.groupBy("key").agg(F.min(by).alias("lo"), F.max(by).alias("hi"), F.max("whole").alias("any"), F.count("*").alias("n"))
+    return out.where("lo <> hi AND any").select("key", "n")
