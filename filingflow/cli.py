@@ -4,8 +4,7 @@ cache | extract.
     spark-submit -m filingflow crawl --payloads P --filings D --log L --as-of 2026-01-01T00:00:00
     python -m filingflow stats --filings D --log L --docs DOCS --json
 
-Tables are parquet folders; the filings table is versioned (``v=NNNNNNNN``),
-the crawl log is two append-only event tables (``starts``, ``completions``).
+Tables are parquet folders partitioned by a hash bucket of their key; the crawl log is two append-only event tables (``starts``, ``completions``).
 """
 
 from __future__ import annotations
@@ -14,14 +13,16 @@ import argparse
 import datetime as dt
 import json
 import sys
+import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .operators.joins import new_ids
-from .operators.store import (FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, crawl_log, latest_version, read_table,
-                              upsert_filings, write_version)
-from .plans.crawl import crawl_rows, parse_payloads
+from .operators.aggregates import resolve_rate, run_tallies
+from .operators.joins import merge_download_status, new_ids
+from .operators.store import (FILING_RECORD_SCHEMA, FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, crawl_log, keep_downloads, read_table,
+                              upsert_table)
+from .plans.crawl import GRID_KINDS, crawl_rows, download_results, parse_payloads, select_rows
 from .session import get_spark, reliable_checkpoint
 from .sources.documents import _exists, export_document, write_filings_document
 from .sources.isin import MAP_SCHEMA
@@ -41,12 +42,29 @@ def read_log(spark: SparkSession, log_dir: str) -> DataFrame:
     return crawl_log(starts, done)
 
 
-def log_start(spark: SparkSession, log_dir: str, crawl_type: str, params: dict, now: str) -> int:
-    """M4: append a start event; the id continues after the largest one."""
-    last = read_log(spark, log_dir).agg(F.max("id")).first()[0] or 0
-    run_id = int(last) + 1
+def utc(text: str | None) -> dt.datetime:
+    """An ISO time as an aware UTC time (without a zone it is UTC); now for None."""
+    if text is None:
+        return dt.datetime.now(dt.timezone.utc)
+    t = dt.datetime.fromisoformat(text)
+    return t.replace(tzinfo=dt.timezone.utc) if t.tzinfo is None else t.astimezone(dt.timezone.utc)
+
+
+def utc_text(t: dt.datetime) -> str:
+    """UTC wall time without a zone, as the tables hold it."""
+    return t.replace(tzinfo=None).isoformat()
+
+
+def log_start(spark: SparkSession, log_dir: str, crawl_type: str, params: dict, now: dt.datetime) -> int:
+    """M4: append a start event. The id is the start in microseconds, so it
+    grows from run to run without reading the log, and two runs at once get
+    two ids unless they start in the same microsecond."""
+    run_id = int(now.timestamp() * 1e6)
+    if _exists(spark, f"{log_dir}/starts"):
+        same = spark.read.schema(START_SCHEMA).parquet(f"{log_dir}/starts").filter(F.col("id") >= run_id).agg(F.max("id")).first()[0]
+        run_id = max(run_id, int(same or 0) + 1)
     q = json.dumps(params, ensure_ascii=False)  # a scalar, serialised on the driver
-    spark.createDataFrame([(run_id, crawl_type, q, now)], START_SCHEMA) \
+    spark.createDataFrame([(run_id, crawl_type, q, utc_text(now))], START_SCHEMA) \
          .write.mode("append").parquet(f"{log_dir}/starts")
     return run_id
 
@@ -60,38 +78,48 @@ def log_complete(spark: SparkSession, log_dir: str, run_id: int, found: int, new
 
 
 def cmd_crawl(spark: SparkSession, a: argparse.Namespace) -> int:
-    now = dt.datetime.fromisoformat(a.as_of)
-    run_id = log_start(spark, a.log, "crawl", {"period": a.period, "max_pages": a.max_pages}, a.as_of)
+    started, clock = utc(a.as_of), time.monotonic()
+    as_of = utc_text(started)
+
+    def finished() -> dt.datetime:
+        return started + dt.timedelta(seconds=time.monotonic() - clock)
+
+    run_id = log_start(spark, a.log, "crawl", {"period": a.period, "max_pages": a.max_pages}, started)
     try:
-        bronze = read_payloads(spark, a.payloads, ["grid", "delta", "grid_callback"])
+        bronze = read_payloads(spark, a.payloads, GRID_KINDS)
         isin_map = spark.read.schema(MAP_SCHEMA).parquet(a.isin_cache) \
             if a.isin_cache and _exists(spark, a.isin_cache) else None
-        existing = read_table(spark, a.filings, FILINGS_SCHEMA)
-        # parse once; the parsed rows feed the counts, the new-id check and the upsert
-        rows = reliable_checkpoint(parse_payloads(bronze))
+        # parse once; the selected rows feed the counts, the new-id check and the upsert
+        rows = reliable_checkpoint(select_rows(parse_payloads(bronze), bronze, as_of, a.period, a.max_pages))
+        if a.download_dir:
+            files = read_payloads(spark, a.payloads, ["download", "detail"])
+            rows = merge_download_status(rows, download_results(rows, files, a.download_dir))
         found = rows.count()
         if found == 0:
-            log_complete(spark, a.log, run_id, 0, 0, 0, "No filings found", now)
+            log_complete(spark, a.log, run_id, 0, 0, 0, "No filings found", finished())
             return 1
-        batch = crawl_rows(rows, isin_map, a.as_of)
-        fresh = new_ids(batch, existing).count()
-        seq = latest_version(spark, a.filings) + 1
         # batch order = (payload, position): a later row of the crawl wins
-        batch_rows = crawl_rows(rows, isin_map, a.as_of, batch_seq=seq, keep_order=True)
-        table = upsert_filings(existing, batch_rows, a.mode)
-        write_version(table, a.filings, latest_version(spark, a.filings) + 1)
+        batch = reliable_checkpoint(crawl_rows(rows, isin_map, as_of, batch_seq=run_id, keep_order=True))
+        existing = read_table(spark, a.filings, FILINGS_SCHEMA)
+        fresh = new_ids(batch, existing).count()
+        tallies = run_tallies(batch.select(F.nullif("download_path", F.lit("")).alias("pdf_path"), F.lit(bool(a.download_dir)).alias("downloads_enabled")),
+                              a.max_pages).first()
+        upsert_table(spark, a.filings, FILINGS_SCHEMA, keep_downloads(existing, batch) if a.mode == "preserve" else batch, ["filing_id"])
         if a.json_out:
-            write_filings_document(rows, a.json_out, source="payloads", scraped_at=a.as_of, mode="overwrite")
-        log_complete(spark, a.log, run_id, found, fresh, max(1, a.max_pages or 1), None, now)
+            record = F.from_json("raw_metadata", FILING_RECORD_SCHEMA)
+            document = batch.select(record.alias("r"), "isin").select("r.*", "isin")
+            write_filings_document(document, a.json_out, source="payloads", scraped_at=as_of,
+                                   downloads_enabled=bool(a.download_dir), mode="overwrite")
+        log_complete(spark, a.log, run_id, found, fresh, tallies["pages_crawled"], None, finished())
         return 0
     except Exception as exc:  # logged as completed with the error, then re-raised
-        log_complete(spark, a.log, run_id, 0, 0, 0, str(exc)[:1000], now)
+        log_complete(spark, a.log, run_id, 0, 0, 0, str(exc), finished())
         raise
 
 
 def cmd_stats(spark: SparkSession, a: argparse.Namespace) -> int:
     from .plans.stats import compute_stats, exit_code_of, stats_text
-    as_of = dt.datetime.fromisoformat(a.as_of) if a.as_of else dt.datetime.now()
+    as_of = utc(a.as_of).replace(tzinfo=None)
     s = compute_stats(spark, a.filings, read_log(spark, a.log), a.docs, as_of)
     print(json.dumps(s, ensure_ascii=False) if a.json else stats_text(s))
     return exit_code_of(s["health"])
@@ -106,7 +134,7 @@ def cmd_export(spark: SparkSession, a: argparse.Namespace) -> int:
 
 def cmd_monitor(spark: SparkSession, a: argparse.Namespace) -> int:
     from .streaming.monitor import MonitorPaths, baseline_key, run_monitor
-    p = MonitorPaths(a.landing, f"{a.out}/sink", f"{a.out}/state", f"{a.out}/bursts", f"{a.out}/checkpoint")
+    p = MonitorPaths(a.landing, f"{a.out}/sink", f"{a.out}/state", f"{a.out}/checkpoint")
     cached = read_table(spark, a.cache, TOKEN_CACHE_SCHEMA).select("key") if a.cache else None
     base = baseline_key(spark, p.state, cached, a.start_key)
     if base == 0 and not _exists(spark, p.state):
@@ -126,14 +154,25 @@ def cmd_monitor(spark: SparkSession, a: argparse.Namespace) -> int:
 
 
 def cmd_cache(spark: SparkSession, a: argparse.Namespace) -> int:
-    from .plans.cache_build import build_token_cache
+    from .operators.aggregates import max_key
+    from .plans.cache_build import resolve_missing
     cache = read_table(spark, a.cache, TOKEN_CACHE_SCHEMA)
     payloads = (read_payloads(spark, a.payloads, ["token_callback"])
                 .select(F.col("payload_id").try_cast("bigint").alias("key"), "body")
                 .filter(F.col("key").isNotNull()))
-    new_cache, tallies = build_token_cache(spark, cache, payloads, a.start, a.end, a.as_of)
-    write_version(new_cache, a.cache, latest_version(spark, a.cache) + 1)
-    print(json.dumps(tallies.first().asDict()))
+    clock = time.monotonic()
+    end = a.end
+    if end == 0:
+        # open end: up to the newest key of the newest search
+        end = int(max_key(parse_payloads(read_payloads(spark, a.payloads, GRID_KINDS))).first()[0])
+        if end == 0:
+            print("no end: the payloads hold no keyed rows", file=sys.stderr)
+            return 1
+    fresh, tallies = resolve_missing(spark, cache, payloads, a.start, end, a.as_of)
+    upsert_table(spark, a.cache, TOKEN_CACHE_SCHEMA, fresh, ["key"])
+    out = tallies.first().asDict()
+    rate, left = resolve_rate(out["resolved"] + out["failed"], out["to_resolve"], time.monotonic() - clock)
+    print(json.dumps(out | {"rate_per_sec": round(rate, 3), "remaining_sec": round(left, 3)}))
     return 0
 
 
@@ -163,7 +202,8 @@ def build_parser() -> argparse.ArgumentParser:
     c.add_argument("--log", required=True)
     c.add_argument("--isin-cache")
     c.add_argument("--json-out")
-    c.add_argument("--as-of", required=True)
+    c.add_argument("--download-dir", help="folder of the files named by the payloads of kind download")
+    c.add_argument("--as-of", help="start of the run (ISO, UTC unless it has a zone); now if left out")
     c.add_argument("--period", type=int, default=2, choices=range(0, 5))
     c.add_argument("--max-pages", type=int, default=1)
     c.add_argument("--mode", choices=("replace", "preserve"), default="replace",

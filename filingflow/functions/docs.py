@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .._col import as_col
-from .text import sanitize_filename, strip_ws, truthy
+from .text import sanitize_filename, strip_ws
 
 # File name extensions kept as they are, and fallbacks.
 KNOWN_EXTENSIONS = (".pdf", ".xls", ".xlsx", ".doc", ".docx", ".zip")
@@ -162,7 +162,3 @@ def suffix_kind(path) -> Column:
              .when(s == ".zip", F.lit("zip"))
              .otherwise(F.lit("unsupported")))
 
-
-def downloaded_flag(path) -> Column:
-    """document status from path truthiness."""
-    return truthy(path)

@@ -8,6 +8,7 @@ makes ``.`` and ``$`` treat only ``\\n`` as a line end, like Python.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from html.entities import html5
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -40,7 +41,8 @@ OTHER_TYPE = "other"
 SOURCE_NAME = "cnbv"
 COUNTRY = "MX"
 FILING_ID_PREFIX = "cnbv_"
-HEADLINE_ID_CHARS = 40
+#: between the parts of a key-less filing's id
+ID_SEPARATOR = "\x1f"
 
 # Markers in the portal's payloads.
 GRID_ROW_MARKER = "dxgvDataRow"
@@ -81,16 +83,16 @@ def ticker_key(emisora) -> Column:
     return F.when(k != "", k)
 
 
-def filing_id(key, headline, prefix: str = FILING_ID_PREFIX) -> Column:
-    """prefix + key, or prefix + first 40 code points of the headline."""
-    k = as_col(key)
-    h = F.coalesce(as_col(headline), F.lit(""))
+def filing_id(key, headline, fecha="fecha", emisora="emisora", prefix: str = FILING_ID_PREFIX) -> Column:
+    """prefix + key; without a key, prefix + a digest of the whole
+    headline, the date text and the issuer, so that different filings with
+    like headlines stay apart."""
+    parts = [F.coalesce(as_col(c), F.lit("")) for c in (headline, fecha, emisora)]
     return F.concat(F.lit(prefix),
-                    F.coalesce(F.nullif(k, F.lit("")), F.substring(h, 1, HEADLINE_ID_CHARS)))
+                    F.coalesce(F.nullif(as_col(key), F.lit("")), F.sha2(F.concat_ws(ID_SEPARATOR, *parts).cast("binary"), 256)))
 
 
-# Named HTML entities decoded by the parsers (HTML standard
-# values; Latin-1 letters used in Spanish text and common symbols).
+# Named HTML entities met most (looked up first).
 HTML_ENTITIES = {
     "&lt;": "<", "&gt;": ">", "&quot;": '"', "&apos;": "'", "&nbsp;": "\u00a0",
     "&aacute;": "á", "&eacute;": "é", "&iacute;": "í", "&oacute;": "ó", "&uacute;": "ú",
@@ -103,29 +105,49 @@ HTML_ENTITIES = {
 }
 
 
+def _literal_map(pairs: dict[str, str]) -> Column:
+    return F.create_map(*[F.lit(x) for kv in pairs.items() for x in kv])
+
+
+#: the HTML standard's names; those without a semicolon may stand before other text
+_NAMED = {f"&{n}": c for n, c in html5.items() if n.endswith(";")}
+_BARE = {n: c for n, c in html5.items() if not n.endswith(";")}
+_BARE_RE = "^&(" + "|".join(sorted(_BARE, key=len, reverse=True)) + ")"
+#: numeric references 128-159 mean Windows-1252 characters
+_CP1252 = {str(b): bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0)}
+
+
 def _code_point_text(n: Column) -> Column:
     """Code point -> one-character string (UTF-32 bytes decoded)."""
     return F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
 
 
+def _numeric_text(t: Column) -> Column:
+    """Character of a numeric reference; U+FFFD for one that names none."""
+    digits = F.regexp_extract(t, r"^&#([0-9]+);?$", 1)
+    hexa = F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]+);?$", 1)
+    cp = F.when(hexa != "", F.conv(hexa, 16, 10)).otherwise(digits).try_cast("long")
+    bad = cp.isNull() | (cp == 0) | (cp > 0x10FFFF) | cp.between(0xD800, 0xDFFF)
+    return F.when((digits != "") | (hexa != ""),
+                  F.when(bad, F.lit("\ufffd")).otherwise(F.coalesce(_literal_map(_CP1252)[cp.cast("string")], _code_point_text(cp))))
+
+
 def html_unescape(c) -> Column:
     """Single-pass entity decoding: the text is cut into entity-like tokens,
-    runs of other text and lone '&'; each token is looked up in a constant
-    map (the fixed list above plus ``&amp;``) or, for ``&#N;``/``&#xH;``,
-    turned into its code point; anything else stays. One pass means
-    ``&amp;lt;`` gives ``&lt;``. Text without '&' is returned as it is."""
+    runs of other text and lone '&'. A token with a semicolon is looked up
+    among the frequent names, then in the whole HTML table; numeric references
+    give their code point; a name that may go without a semicolon is decoded
+    at the front of a token; anything else stays. One pass means ``&amp;lt;``
+    gives ``&lt;``. Text without '&' is returned as it is."""
     raw = as_col(c)
-    table = F.create_map(*[F.lit(x) for kv in list(HTML_ENTITIES.items()) + [("&amp;", "&")] for x in kv])
-    parts = F.regexp_extract_all(raw, F.lit(r"&#?[0-9A-Za-z]{1,10};|[^&]++|&"), 0)
+    often, named, bare = (_literal_map(m) for m in ({**HTML_ENTITIES, "&amp;": "&"}, _NAMED, _BARE))
+    parts = F.regexp_extract_all(raw, F.lit(r"&#[0-9]++;?|&#[xX][0-9a-fA-F]++;?|&[0-9A-Za-z]++;?|[^&]++|&"), 0)
 
     def one(t):
-        dec = F.regexp_extract(t, r"^&#([0-9]{1,7});$", 1).try_cast("long")
-        hexa = F.conv(F.regexp_extract(t, r"^&#[xX]([0-9a-fA-F]{1,6});$", 1), 16, 10).try_cast("long")
-        cp = F.coalesce(hexa, dec)
-        ok = cp.isNotNull() & (cp > 0) & (cp <= 0x10FFFF) & ~cp.between(0xD800, 0xDFFF)
-        numeric = F.when(ok, _code_point_text(cp))
+        front = F.regexp_extract(t, _BARE_RE, 1)
+        loose = F.when(front != "", F.concat(bare[front], F.substring(t, F.length(front) + 2, F.length(t))))
         return F.when(t.startswith("&") & (F.length(t) > 1),
-                      F.coalesce(table[t], F.when(t.startswith("&#"), numeric), t)).otherwise(t)
+                      F.coalesce(often[t], F.when(t.startswith("&#"), _numeric_text(t)), named[t], loose, t)).otherwise(t)
 
     return F.when(F.instr(raw, "&") > 0, F.array_join(F.transform(parts, one), "")).otherwise(raw)
 
@@ -189,23 +211,29 @@ def detail_fields(html) -> dict[str, Column]:
     }
 
 
+# Patterns of the portal's texts.
+TOKEN_PARAMETER = "enc="
+PAGER_PATTERN = r"(?U)gina\s+\d+\s+de\s+(\d+)\s+\((\d+)\s+Env"
+
+
 def token_from_callback(text) -> Column:
     """token after ``enc=`` in a callback payload (kept percent-encoded);
-    null without the marker or without a token."""
+    null without the marker or without a token. A token ends at a blank, a
+    quote, ``&``, ``>`` or a backslash, except that an escaped slash is part
+    of it; only the short match is unescaped."""
     t = as_col(text)
-    pos = F.instr(t, DX_MARKER)
-    payload = F.substring(t, pos + len(DX_MARKER), F.lit(2_147_483_647))
-    payload = F.replace(payload, F.lit("\\'"), F.lit("'"))
-    payload = F.replace(payload, F.lit("\\r\\n"), F.lit("\n"))
-    payload = F.replace(payload, F.lit("\\/"), F.lit("/"))
-    pat = r"(?U)enc=([^&\"'\s>\\]+)"
-    return F.when((pos > 0) & payload.rlike(pat), F.regexp_extract(payload, pat, 1))
+    found = F.regexp_extract(t, r"(?sU)" + _quoted(DX_MARKER) + ".*?" + TOKEN_PARAMETER + r"((?:[^&\"'\s>\\]|\\/)++)", 1)
+    return F.replace(F.nullif(found, F.lit("")), F.lit("\\/"), F.lit("/"))
+
+
+def _quoted(text: str) -> str:
+    return r"\Q" + text + r"\E"
 
 
 def pager_totals(text) -> tuple[Column, Column]:
     """(total pages, total rows) from the pager text, default (1, 0)."""
     t = as_col(text)
-    pat = r"(?U)gina\s+\d+\s+de\s+(\d+)\s+\((\d+)\s+Env"
+    pat = PAGER_PATTERN
     ok = F.coalesce(t.rlike(pat), F.lit(False))
     pages = F.regexp_extract(t, pat, 1).try_cast("bigint")
     rows = F.regexp_extract(t, pat, 2).try_cast("bigint")

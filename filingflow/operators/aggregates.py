@@ -1,7 +1,8 @@
 """Aggregations (A1-A14) and the health rules built on them.
 
-All aggregates are global or per group with partial (map-side) aggregation;
-single-row results are combined by equi-joins on a constant key.
+All aggregates are global or per group with partial (map-side) aggregation.
+Two one-row results are put side by side with a join on a constant, which
+Spark plans as a nested loop over one row each.
 """
 
 from __future__ import annotations
@@ -87,33 +88,44 @@ def stats_record(filings: DataFrame, log: DataFrame, as_of, db_size_bytes: int =
         health_of(F.col("r.id"), F.col("r.completed_at"), F.col("r.errors"), as_of).alias("health"))
 
 
-def run_tallies(batch: DataFrame, max_pages: int | None) -> DataFrame:
-    """Found (duplicates included), downloaded/failed documents
-    (failed = 0 when downloads are off), requested pages."""
-    ok = truthy(F.col("pdf_path"))
+def run_tally_columns(batch: DataFrame) -> list[Column]:
+    """Found (duplicates included) and downloaded documents, and
+    whether downloads are on."""
     enabled = F.coalesce(F.first("downloads_enabled"), F.lit(False)) \
         if "downloads_enabled" in batch.columns else F.lit(False)
-    agg = batch.agg(F.count("*").alias("filings_found"), F.count_if(ok).alias("pdfs_downloaded"),
-                    enabled.alias("_on"))
-    return agg.select(
-        "filings_found", F.lit(max(1, max_pages or 1)).alias("pages_crawled"), "pdfs_downloaded",
-        F.when(F.col("_on"), F.col("filings_found") - F.col("pdfs_downloaded")).otherwise(F.lit(0))
-         .cast("bigint").alias("pdfs_failed"))
-
-
-def resolve_tallies(resolved: DataFrame, started: dt.datetime, finished: dt.datetime,
-                    total: int | None = None) -> DataFrame:
-    """Resolved / failed counts, rate per second and remaining seconds."""
-    secs = max((finished - started).total_seconds(), 1e-9)
-    agg = resolved.agg(F.count_if(F.col("enc").isNotNull()).alias("resolved"),
-                       F.count_if(F.col("enc").isNull()).alias("failed"))
-    done = F.col("resolved") + F.col("failed")
-    rate = done / F.lit(secs)
-    remaining = (F.lit(total) - done) / rate if total is not None else F.lit(0.0)
-    return agg.select("resolved", "failed", rate.alias("rate_per_sec"),
-                      F.when(rate > 0, remaining).otherwise(F.lit(0.0)).alias("remaining_sec"))
+    return [F.count("*").alias("filings_found"), F.count_if(truthy(F.col("pdf_path"))).alias("pdfs_downloaded"),
+            enabled.alias("_on")]
 
 
-def max_key(rows: DataFrame, key_col: str = "key") -> DataFrame:
+def with_failed_downloads(tallies: DataFrame, max_pages: int | None) -> DataFrame:
+    """Failed documents (0 when downloads are off) and requested pages."""
+    return (tallies.withColumn("pages_crawled", F.lit(max(1, max_pages or 1)))
+                   .withColumn("pdfs_failed", F.when(F.col("_on"), F.col("filings_found") - F.col("pdfs_downloaded"))
+                               .otherwise(F.lit(0)).cast("bigint")).drop("_on"))
+
+
+def run_tallies(batch: DataFrame, max_pages: int | None) -> DataFrame:
+    """A9/A10 of one run."""
+    return with_failed_downloads(batch.agg(*run_tally_columns(batch)), max_pages).select(
+        "filings_found", "pages_crawled", "pdfs_downloaded", "pdfs_failed")
+
+
+def resolve_tally_columns() -> list[Column]:
+    """Resolved and failed keys."""
+    return [F.count_if(F.col("enc").isNotNull()).alias("resolved"), F.count_if(F.col("enc").isNull()).alias("failed")]
+
+
+def resolve_rate(done: int, total: int, seconds: float) -> tuple[float, float]:
+    """(keys per second, seconds left) of a build that has handled
+    ``done`` of ``total`` keys in ``seconds``."""
+    rate = done / seconds if seconds > 0 else 0.0
+    return rate, (total - done) / rate if rate > 0 else 0.0
+
+
+def max_key_column(key_col: str = "key") -> Column:
     """Largest integer key, 0 when there is none."""
-    return rows.agg(F.coalesce(F.max(F.col(key_col).try_cast("bigint")), F.lit(0)).cast("bigint").alias("max_key"))
+    return F.coalesce(F.max(F.col(key_col).try_cast("bigint")), F.lit(0)).cast("bigint").alias("max_key")
+
+
+def max_key(rows: DataFrame, key_col: str = "key") -> DataFrame:
+    return rows.agg(max_key_column(key_col))

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from .joins import missing_keys
 
-# The look-back of period 2 and the CLI's "all pages".
+# Fixed value: the look-back of period 2.
 RECENT_DAYS = 180
-ALL_PAGES = 99_999
 
 
 def _as_date(c):
@@ -39,11 +38,9 @@ def filter_by_period(df: DataFrame, date_col: str, period: int, as_of: str) -> D
     raise ValueError(f"unknown period {period}")
 
 
-def effective_max_pages(max_pages: int) -> int:
-    """0 and 1 both mean the first page; -1 means all."""
-    if max_pages < 0:
-        return ALL_PAGES
-    return max(1, max_pages or 1)
+def effective_max_pages(max_pages: int) -> int | None:
+    """0 and 1 both mean the first page; -1 means all (None: no bound)."""
+    return None if max_pages < 0 else max(1, max_pages)
 
 
 def limit_pages(rows: DataFrame, page_col: str, max_pages: int, total_pages: int) -> DataFrame:
@@ -52,7 +49,8 @@ def limit_pages(rows: DataFrame, page_col: str, max_pages: int, total_pages: int
     distributed range anti-join over page numbers (no page list on the
     driver); only its number comes back."""
     spark = rows.sparkSession
-    limit = min(effective_max_pages(max_pages), total_pages)
+    most = effective_max_pages(max_pages)
+    limit = total_pages if most is None else min(most, total_pages)
     empty = missing_keys(spark, rows.select(F.col(page_col).alias("key")), 1, max(1, total_pages))
     first_empty = empty.agg(F.min("key")).first()[0]
     cond = F.col(page_col) <= F.lit(limit)

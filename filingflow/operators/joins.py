@@ -1,8 +1,8 @@
 """Join operators.
 
-Broadcasts happen only behind a bounded row count (``small_side``); above
-the bound the plain join is kept and Catalyst/AQE choose sort-merge or a
-runtime broadcast. Anti joins pre-aggregate the right side (distinct keys)
+Joins carry no broadcast hints: statistics and AQE pick the strategy from the
+sizes met at run time. Rows with a null join key are split off before a left
+join, so that they don't meet in one task. Anti joins pre-aggregate the right side (distinct keys)
 so that duplicate keys are combined map-side before the shuffle.
 """
 
@@ -14,15 +14,13 @@ from pyspark.sql import functions as F
 from ..functions.text import has_equity_marker, strip_ws, ticker_key, truthy
 from ..session import reliable_checkpoint
 
-# Lookup tables below this many rows are broadcast; larger ones are joined by
-# shuffle. The reference map has ~350 entries.
-BROADCAST_MAX_ROWS = 2_000_000
 
-
-def small_side(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only when the side is proven small (bounded count)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def left_join_keyed(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Left outer equi-join on ``key``. Left rows without a key take no part
+    in the shuffle: they are added with nulls for the right side's columns."""
+    extra = [f for f in right.schema.fields if f.name != key]
+    keyless = left.filter(F.col(key).isNull()).select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
+    return left.filter(F.col(key).isNotNull()).join(right, key, "left").select(*keyless.columns).unionByName(keyless)
 
 
 def enrich_isin(filings: DataFrame, isin_map: DataFrame, emisora_col: str = "emisora",
@@ -30,14 +28,11 @@ def enrich_isin(filings: DataFrame, isin_map: DataFrame, emisora_col: str = "emi
     """Left outer equi-join on the normalised issuer (F4); null when the
     issuer is blank or absent from the map. ``isin_map`` has (ticker_key, isin)
     with one row per key. A map that is computed (not a stored table) is
-    checkpointed first, so the size check and the join read it once instead
-    of building it twice."""
+    checkpointed first, so it is built once."""
     m = isin_map.select(F.col("ticker_key").alias("_tk"), F.col("isin").alias(out_col))
     if materialize:
         m = reliable_checkpoint(m)
-    m = small_side(m)
-    return (filings.withColumn("_tk", ticker_key(F.col(emisora_col)))
-                   .join(m, "_tk", "left").drop("_tk"))
+    return left_join_keyed(filings.withColumn("_tk", ticker_key(F.col(emisora_col))), m, "_tk").drop("_tk")
 
 
 def missing_keys(spark: SparkSession, cached_keys: DataFrame, start: int, end: int,
@@ -56,11 +51,9 @@ def resolve_tokens(keys: DataFrame, cache: DataFrame, payload_tokens: DataFrame,
     """Cache-first token resolution. A truthy cached token wins, else the
     token parsed from the key's callback payload; misses stay null.
     Output: key, enc, resolved_from ('cache' | 'payload' | null)."""
-    c = cache.select(F.col(key_col), F.col("enc").alias("_cenc"))
-    # prune payloads whose key already has a truthy cached token before parsing
-    need = keys.join(c.filter(truthy("_cenc")).select(key_col), key_col, "left_anti")
-    p = payload_tokens.join(need, key_col, "left_semi").select(key_col, F.col("enc").alias("_penc"))
-    j = keys.join(c, key_col, "left").join(p, key_col, "left")
+    # one shuffle per side on the key: both joins share the keys' partitioning
+    j = (keys.join(cache.select(F.col(key_col), F.col("enc").alias("_cenc")), key_col, "left")
+             .join(payload_tokens.select(F.col(key_col), F.col("enc").alias("_penc")), key_col, "left"))
     hit = truthy("_cenc")
     return j.select(
         key_col,
@@ -111,13 +104,6 @@ def mark_downloaded(filings: DataFrame, updates: DataFrame, id_col: str = "filin
              .drop("_path"))
 
 
-def pair_extractions(filings: DataFrame, extracted: DataFrame, path_col: str = "pdf_path") -> DataFrame:
-    """Filings paired with their extracted document on the file path;
-    filings without a (non-empty) extraction are dropped."""
-    e = extracted.filter(~F.col("extraction_empty")) if "extraction_empty" in extracted.columns else extracted
-    return filings.join(e, filings[path_col] == e["source_file"], "inner")
-
-
 def merge_download_status(filings: DataFrame, downloads: DataFrame, key_col: str = "key") -> DataFrame:
     """Download results merged by key (never by position)."""
-    return filings.join(downloads.select(key_col, "pdf_path"), key_col, "left")
+    return left_join_keyed(filings, downloads.select(key_col, "pdf_path"), key_col)

@@ -6,7 +6,7 @@ whole-stage code generation, so it scales with the number of payloads and
 parallelises per partition. No HTML library is involved: the grid markup is
 regular (rows, cells, one link per subject cell). Nested tables and ``>``
 inside attribute values are not handled; entities are decoded by
-``functions.text.html_unescape`` (fixed named list plus numeric references).
+``functions.text.html_unescape`` (the whole HTML table).
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from ..functions.text import (DX_MARKER, GRID_ROW_MARKER, ROW_CALLBACK, finish_t
 
 # Markers of the asynchronous page-update format.
 DELTA_RESULTS_MARKER = "updatePanel|DefaultPlaceholder_UpdatePanelResultados|"
-DELTA_FALLBACK_CHARS = 50_000
 
 _BIG = 2_147_483_647
 # Attribute quotes may come backslash-escaped inside callback payloads.
@@ -65,8 +64,9 @@ def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = No
 
 def delta_grid_html(text) -> Column:
     """G2 (text part): the results segment of a delta response, cut by its
-    length prefix; a bad length takes the next 50,000 characters; without the
-    marker the whole text is returned."""
+    length prefix; with a bad length it is the rest of the text (what follows
+    the segment holds no grid rows); without the marker the whole text is
+    returned."""
     t = as_col(text)
     idx = F.instr(t, DELTA_RESULTS_MARKER)
     start = idx + F.lit(len(DELTA_RESULTS_MARKER))
@@ -75,7 +75,7 @@ def delta_grid_html(text) -> Column:
     len_text = F.regexp_extract(before, r"(?s)([^|]*)\|[^|]*$", 1)
     seg_len = F.trim(len_text).try_cast("int")
     seg = F.when(has_pipe & seg_len.isNotNull(), F.substring(t, start, F.greatest(seg_len, F.lit(0)))) \
-           .otherwise(F.substring(t, start, F.lit(DELTA_FALLBACK_CHARS)))
+           .otherwise(F.substring(t, start, F.lit(_BIG)))
     return F.when(idx > 0, seg).otherwise(t)
 
 
@@ -85,26 +85,30 @@ def delta_rows(df: DataFrame, text_col: str = "body", keep: list[str] | None = N
     return grid_rows(df.select(*keep, delta_grid_html(F.col(text_col)).alias("_html")), "_html", keep)
 
 
+# The callback's result string, and the escape sequences in it.
+# Unrolled loop with possessive runs: recursion depth follows the number of
+# escapes, not the payload length (Java regex recurses per repetition).
+RESULT_RE = r"(?s)'result'\s*:\s*'([^'\\]*+(?:\\.[^'\\]*+)*+)'"
+ESCAPES = (("\\'", "'"), ("\\r\\n", "\n"), ("\\n", "\n"), ("\\/", "/"))
+
+
 def callback_grid_html(text) -> Column:
-    """G3 (text part): the single-quoted ``result`` string of a callback with
-    four escape sequences undone in order; null without marker or result."""
+    """G3 (text part): the single-quoted ``result`` string behind the marker
+    of a callback, its escape sequences undone; '' without marker or result
+    (null for a null text). The pattern runs once."""
     t = as_col(text)
     pos = F.instr(t, DX_MARKER)
-    payload = F.substring(t, pos + len(DX_MARKER), F.lit(_BIG))
-    # unrolled loop with possessive runs: recursion depth follows the number
-    # of escapes, not the payload length (Java regex recurses per repetition)
-    pat = r"(?s)'result'\s*:\s*'([^'\\]*+(?:\\.[^'\\]*+)*+)'"
-    h = F.regexp_extract(payload, pat, 1)
-    for a, b in (("\\'", "'"), ("\\r\\n", "\n"), ("\\n", "\n"), ("\\/", "/")):
-        h = F.replace(h, F.lit(a), F.lit(b))
-    return F.when((pos > 0) & payload.rlike(pat), h)
+    inner = F.regexp_extract(F.when(pos > 0, F.substring(t, pos + len(DX_MARKER), F.lit(_BIG))).otherwise(F.lit("")), RESULT_RE, 1)
+    for escaped, plain in ESCAPES:
+        inner = F.replace(inner, F.lit(escaped), F.lit(plain))
+    return inner
 
 
 def callback_rows(df: DataFrame, text_col: str = "body", keep: list[str] | None = None) -> DataFrame:
-    """Grid callback -> grid rows (zero rows when the payload is not one)."""
+    """Grid callback -> grid rows (zero rows when the payload is not one).
+    The filter is a plain search for the marker; an empty result holds no rows."""
     keep = keep or []
-    inner = df.select(*keep, callback_grid_html(F.col(text_col)).alias("_html")) \
-              .filter(F.col("_html").isNotNull())
+    inner = df.filter(F.instr(F.col(text_col), DX_MARKER) > 0).select(*keep, callback_grid_html(F.col(text_col)).alias("_html"))
     return grid_rows(inner, "_html", keep)
 
 

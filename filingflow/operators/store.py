@@ -3,8 +3,9 @@
 Parquet has no primary key and no row-level update; the key is kept by the
 operators: an upsert picks the last write per key inside the batch, drops
 the replaced keys from the stored rows with an anti-join and appends the
-batch; the result is written as a new version directory (never over the
-path being read); the current version is the newest committed directory. The crawl log is event-sourced:
+batch. A stored table is partitioned by a hash bucket of its key, and an
+upsert reads and rewrites (dynamic partition overwrite) the buckets that the
+batch touches and no other. The crawl log is event-sourced:
 start and completion events are appended, the current log is starts
 left-joined with the latest completion per id.
 """
@@ -21,6 +22,7 @@ from ..functions.text import COUNTRY, SOURCE_NAME, classify_filing_type, filing_
 from ..session import reliable_checkpoint
 from .windows import latest_per_key
 
+# The tables' columns.
 S = T.StringType()
 FILINGS_SCHEMA = T.StructType([
     T.StructField("filing_id", S, False), T.StructField("source", S), T.StructField("country", S),
@@ -67,6 +69,19 @@ def create_table(spark: SparkSession, path: str, schema: T.StructType) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(path)
 
 
+def write_schema_version(spark: SparkSession, path: str, version: int) -> None:
+    """Record a schema version (one row per migration run)."""
+    spark.range(1).select(F.lit(version).alias("version")).write.mode("append").parquet(path)
+
+
+def schema_version(spark: SparkSession, path: str) -> int:
+    """The largest recorded version, 0 when there is none."""
+    from ..sources.documents import _exists
+    if not _exists(spark, path):
+        return 0
+    return spark.read.schema("version int").parquet(path).agg(F.coalesce(F.max("version"), F.lit(0))).first()[0]
+
+
 def evolve(df: DataFrame, target: T.StructType, defaults: dict[str, object] | None = None) -> DataFrame:
     """M7: add missing columns with typed defaults (null when none), cast
     present ones, return columns in target order. Idempotent."""
@@ -121,7 +136,7 @@ def to_filings_rows(records: DataFrame, created_at: str, isin_col: str | None =
         if n not in have and n != "filing_type":
             records = records.withColumn(n, F.lit(None).cast("string"))
     return records.select(
-        filing_id(F.col("key"), F.col("asunto")).alias("filing_id"),
+        filing_id("key", "asunto", "fecha", "emisora").alias("filing_id"),
         F.lit(SOURCE_NAME).alias("source"), F.lit(COUNTRY).alias("country"),
         F.coalesce(F.col("emisora"), F.lit("")).alias("ticker"),
         (F.col(isin_col) if isin_col and isin_col in have else F.lit(None)).cast("string").alias("isin"),
@@ -154,65 +169,93 @@ def upsert(existing: DataFrame, batch: DataFrame, key_cols: list[str],
     stored table is filtered with an anti-join on the batch keys -- a
     broadcast when the batch is proven small -- and is never re-shuffled, so
     a small crawl does not move the whole table."""
-    from .joins import small_side
     cols = list(existing.columns)
     b = batch.withColumn("_seq", F.col("_seq").cast("long"))  # _pos: any orderable column
     latest = reliable_checkpoint(latest_per_key(b.select(*cols, *order_cols), key_cols, list(order_cols)))
-    replaced = small_side(latest.select(*key_cols))
-    kept = existing.join(replaced, key_cols, "left_anti")
+    kept = existing.join(latest.select(*key_cols), key_cols, "left_anti")
     return kept.unionByName(latest.select(*cols))
 
 
-def upsert_filings(existing: DataFrame, batch: DataFrame, mode: str = "replace") -> DataFrame:
-    """M1 for the filings table. ``replace`` (parity): a later batch row
-    replaces the stored row whole, so a re-crawl without a document resets
-    ``downloaded``. ``preserve``: a batch row without a document keeps the
-    stored download fields. The preserve lookup joins only the batch's keys."""
-    if mode == "replace":
-        return upsert(existing, batch, ["filing_id"])
-    if mode != "preserve":
-        raise ValueError(f"unknown mode {mode}")
-    prev = (existing.join(batch.select("filing_id").distinct(), "filing_id", "left_semi")
-                    .filter(F.col("downloaded"))
-                    .select("filing_id", F.col("download_path").alias("_prev_path")))
+def keep_downloads(existing: DataFrame, batch: DataFrame) -> DataFrame:
+    """The batch with stored download fields where it has no document itself
+    (without this a re-crawl resets them, as in the source system). The
+    lookup joins only the batch's keys."""
+    prev = (existing.filter(F.col("downloaded")).select("filing_id", F.col("download_path").alias("_prev_path"))
+                    .join(batch.select("filing_id").distinct(), "filing_id", "left_semi"))
     b = batch.join(prev, "filing_id", "left").withColumn(
         "_keep", ~F.coalesce(F.col("downloaded"), F.lit(False)) & F.col("_prev_path").isNotNull())
-    b = (b.withColumn("downloaded", F.when(F.col("_keep"), F.lit(True)).otherwise(F.col("downloaded")))
-          .withColumn("download_path", F.when(F.col("_keep"), F.col("_prev_path")).otherwise(F.col("download_path")))
-          .drop("_prev_path", "_keep"))
-    return upsert(existing, b, ["filing_id"])
-
-
-def latest_version(spark: SparkSession, table_dir: str) -> int:
-    """Number of the newest version folder ``v=NNNNNNNN`` (0 when none)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(table_dir)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return 0
-    nums = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        # only committed versions: a write that failed half way has no _SUCCESS
-        if st.isDirectory() and name.startswith("v=") and name[2:].isdigit() \
-                and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-            nums.append(int(name[2:]))
-    return max(nums, default=0)
-
-
-def read_table(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
-    """The current version of a keyed table; an absent table is empty."""
-    v = latest_version(spark, table_dir)
-    if v == 0:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{table_dir}/v={v:08d}")
+    return (b.withColumn("downloaded", F.when(F.col("_keep"), F.lit(True)).otherwise(F.col("downloaded")))
+             .withColumn("download_path", F.when(F.col("_keep"), F.col("_prev_path")).otherwise(F.col("download_path")))
+             .drop("_prev_path", "_keep"))
 
 
-def write_version(df: DataFrame, table_dir: str, version: int) -> str:
-    """Write a table version to its own directory (never over the input)."""
-    path = f"{table_dir}/v={version:08d}"
-    df.write.mode("errorifexists").parquet(path)
-    return path
+def upsert_filings(existing: DataFrame, batch: DataFrame, mode: str = "replace") -> DataFrame:
+    """M1 for filings rows. ``replace`` (parity): a later batch row replaces
+    the stored row whole. ``preserve``: see ``keep_downloads``."""
+    if mode not in ("replace", "preserve"):
+        raise ValueError(f"unknown mode {mode}")
+    return upsert(existing, keep_downloads(existing, batch) if mode == "preserve" else batch, ["filing_id"])
+
+
+#: hash buckets of a new table; a table keeps the number it was made with.
+#: Choose it so that a bucket stays a few hundred MB.
+BUCKETS = 64
+
+
+def table_buckets(spark: SparkSession, table_dir: str) -> int | None:
+    """The number of buckets that a table was made with (None: no table)."""
+    from ..sources.documents import _exists
+    if not _exists(spark, f"{table_dir}/_buckets"):
+        return None
+    return spark.read.schema("n int").json(f"{table_dir}/_buckets").first()["n"]
+
+
+def read_table(spark: SparkSession, table_dir: str, schema: T.StructType, buckets: list[int] | None = None) -> DataFrame:
+    """A keyed table, or some of its buckets (partition pruning); an
+    absent table is empty."""
+    from ..sources.documents import _exists
+    if table_buckets(spark, table_dir) is None or not _exists(spark, f"{table_dir}/rows"):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(f"{table_dir}/rows")
+    if buckets is not None:
+        rows = rows.filter(F.col("bucket").isin(buckets))
+    return rows.select(*schema.fieldNames())
+
+
+def rewrite_buckets(spark: SparkSession, table_dir: str, schema: T.StructType, key_cols: list[str], changed: DataFrame,
+                    merge, buckets: int = BUCKETS) -> None:
+    """Replace the rows of the buckets that ``changed`` (rows with the key
+    columns) touches by ``merge(stored rows, changed)``. Rows are written by
+    bucket, a task each; other buckets keep their files. The bucket numbers,
+    at most as many as the table has buckets, are all that the driver sees."""
+    n = table_buckets(spark, table_dir)
+    if n is None:
+        n = buckets
+        spark.range(1).select(F.lit(n).alias("n")).write.mode("overwrite").json(f"{table_dir}/_buckets")
+    bucket = F.pmod(F.xxhash64(*key_cols), F.lit(n)).cast("int")
+    touched = [r["bucket"] for r in changed.select(bucket.alias("bucket")).distinct().collect()]
+    if not touched:
+        return
+    merged = merge(read_table(spark, table_dir, schema, touched), changed)
+    (merged.select(*schema.fieldNames(), bucket.alias("bucket")).repartition(len(touched), "bucket")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{table_dir}/rows"))
+
+
+def upsert_table(spark: SparkSession, table_dir: str, schema: T.StructType, batch: DataFrame, key_cols: list[str],
+                 order_cols: tuple[str, ...] = ("_seq", "_pos"), buckets: int = BUCKETS) -> None:
+    """M1/M2 on a stored table: only the batch's buckets move."""
+    cols = schema.fieldNames()
+    latest = latest_per_key(batch.withColumn("_seq", F.col("_seq").cast("long")).select(*cols, *order_cols), key_cols, list(order_cols))
+    latest = reliable_checkpoint(latest.select(*cols))
+    rewrite_buckets(spark, table_dir, schema, key_cols, latest,
+                    lambda old, new: old.join(new.select(*key_cols), key_cols, "left_anti").unionByName(new), buckets)
+
+
+def mark_downloaded_table(spark: SparkSession, table_dir: str, updates: DataFrame) -> None:
+    """M3 on the stored filings table: ``updates`` (filing_id, download_path,
+    seq) touch only their buckets; unknown ids are ignored."""
+    from .joins import mark_downloaded
+    rewrite_buckets(spark, table_dir, FILINGS_SCHEMA, ["filing_id"], reliable_checkpoint(updates), mark_downloaded)
 
 
 # ---------------------------------------------------------------------------

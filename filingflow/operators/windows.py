@@ -3,14 +3,14 @@
 Global numbering avoids the single-partition window Spark would plan for
 ``row_number() over (order by ...)``: rows are range-partitioned on the
 order key, numbered inside each partition, and shifted by the row counts of
-the partitions before them (a table with one row per partition, broadcast).
+the partitions before them (one number per partition).
 Per-key "latest row" picks use ``max_by`` aggregates, which combine partial
 results map-side, so a hot key does not land in one task as a whole.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint
@@ -29,13 +29,17 @@ def global_row_number(df: DataFrame, order_cols: list[str], name: str = "rn",
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_mid", F.monotonically_increasing_id()))
     ranged = reliable_checkpoint(ranged)
-    counts = ranged.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: the window below runs over at most n rows
-    offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    return (ranged.join(F.broadcast(offsets), "_pid")
-                  .withColumn(name, (F.col("_off") + F.col("_mid") - F.col("_first") + 1).cast("bigint"))
-                  .drop("_pid", "_mid", "_first", "_off"))
+    # one row per partition reaches the driver; the shift of each partition goes
+    # back as a literal, so consumers read the checkpoint and nothing else
+    counts = {r["_pid"]: (r["_n"], r["_first"]) for r in
+              ranged.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_first")).collect()}
+    shifts, before = [], 0
+    for pid in range(max(counts, default=-1) + 1):
+        rows, first = counts.get(pid, (0, 0))
+        shifts.append(before - first + 1)
+        before += rows
+    shift = F.get(F.array(*[F.lit(x).cast("bigint") for x in shifts or [0]]), F.col("_pid"))
+    return ranged.withColumn(name, (F.col("_mid") + shift).cast("bigint")).drop("_pid", "_mid")
 
 
 def latest_per_key(df: DataFrame, key_cols: list[str], order_cols: list[str]) -> DataFrame:
@@ -101,9 +105,3 @@ def miss_streak_cut(df: DataFrame, cycle_cols: list[str], order_col: str, hit_co
     kept = numbered.filter(F.col(hit_col)).join(stops, cycle_cols, "left")
     return (kept.filter(F.col("_stop").isNull() | (F.col(order_col) < F.col("_stop")))
                 .drop("_stop", "_g"))
-
-
-def next_ids(df: DataFrame, start_after: int, order_cols: list[str], name: str = "id") -> DataFrame:
-    """Auto-increment ids continuing after ``start_after``."""
-    numbered = global_row_number(df, order_cols, "_rn")
-    return numbered.withColumn(name, (F.col("_rn") + F.lit(start_after)).cast("bigint")).drop("_rn")

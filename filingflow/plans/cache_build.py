@@ -11,13 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.text import token_from_callback
+from ..operators.aggregates import resolve_tally_columns
 from ..operators.joins import missing_keys
 from ..operators.store import TOKEN_CACHE_SCHEMA, evolve, upsert
 
 
-def build_token_cache(spark: SparkSession, cache: DataFrame, payloads: DataFrame, start: int, end: int,
-                      resolved_at: str) -> tuple[DataFrame, DataFrame]:
-    """Returns (new cache, tallies). ``payloads``: key, body (callback text)."""
+def resolve_missing(spark: SparkSession, cache: DataFrame, payloads: DataFrame, start: int, end: int,
+                    resolved_at: str) -> tuple[DataFrame, DataFrame]:
+    """(rows to upsert, tallies) for the keys of [start, end] that the cache
+    lacks. ``payloads``: key, body (callback text)."""
     uncached = missing_keys(spark, cache.select("key"), start, end)
     need = payloads.join(uncached, "key", "left_semi")
     tokens = need.select("key", token_from_callback(F.col("body")).alias("enc")).filter(F.col("enc").isNotNull())
@@ -26,10 +28,13 @@ def build_token_cache(spark: SparkSession, cache: DataFrame, payloads: DataFrame
     fresh = resolved.filter(F.col("enc").isNotNull()).select(
         "key", "enc", *[F.lit("").alias(n) for n in ("emisora", "asunto", "fecha")],
         F.lit(resolved_at).alias("resolved_at"), F.lit(1).alias("_seq"), F.col("key").alias("_pos"))
-    new_cache = upsert(evolve(cache, TOKEN_CACHE_SCHEMA), fresh, ["key"])
-    total = end - start + 1
-    tallies = resolved.agg(F.count("*").alias("to_resolve"),
-                           F.count_if(F.col("enc").isNotNull()).alias("resolved"),
-                           F.count_if(F.col("enc").isNull()).alias("failed")) \
-                      .withColumn("already_cached", F.lit(total) - F.col("to_resolve"))
-    return new_cache, tallies
+    tallies = resolved.agg(F.count("*").alias("to_resolve"), *resolve_tally_columns()) \
+                      .withColumn("already_cached", F.lit(end - start + 1) - F.col("to_resolve"))
+    return fresh, tallies
+
+
+def build_token_cache(spark: SparkSession, cache: DataFrame, payloads: DataFrame, start: int, end: int,
+                      resolved_at: str) -> tuple[DataFrame, DataFrame]:
+    """(new cache, tallies)."""
+    fresh, tallies = resolve_missing(spark, cache, payloads, start, end, resolved_at)
+    return upsert(evolve(cache, TOKEN_CACHE_SCHEMA), fresh, ["key"]), tallies

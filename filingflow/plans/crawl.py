@@ -8,12 +8,19 @@ logical plan; Catalyst prunes the bronze columns and AQE sizes the shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import normalize_date
+from ..functions.docs import attached_name, is_file_response, is_pdf_response, name_hint, resolve_file_name
+from ..functions.text import page_text
+from ..operators.filters import filter_by_period, limit_pages
 from ..operators.joins import enrich_isin
 from ..operators.parse import callback_rows, delta_rows, grid_rows
 from ..operators.store import to_filings_rows, upsert
+from ..operators.windows import global_row_number
+
+GRID_KINDS = ["grid", "delta", "grid_callback"]
 
 
 def parse_payloads(bronze: DataFrame, id_col: str = "payload_id") -> DataFrame:
@@ -27,6 +34,42 @@ def parse_payloads(bronze: DataFrame, id_col: str = "payload_id") -> DataFrame:
     return g.unionByName(d).unionByName(c)
 
 
+def payload_order(id_col: str = "payload_id") -> list[Column]:
+    """Crawl order: numeric payload ids numerically, others by text."""
+    text = F.col(id_col).cast("string")
+    return [F.coalesce(text.try_cast("long"), F.lit(-1)), text]
+
+
+def select_rows(rows: DataFrame, bronze: DataFrame, as_of: str, period: int = 0, max_pages: int = -1,
+                id_col: str = "payload_id") -> DataFrame:
+    """Rows of the first ``max_pages`` payloads (in crawl order,
+    ending before the first without rows) whose date lies in ``period``."""
+    if max_pages >= 0:
+        number, text = payload_order(id_col)
+        pages = global_row_number(bronze.select(id_col).distinct().select(id_col, number.alias("_n"), text.alias("_t")), ["_n", "_t"], "_page")
+        pages = pages.select(id_col, "_page")
+        rows = limit_pages(rows.join(pages, id_col), "_page", max_pages, pages.count()).drop("_page")
+    if period:
+        rows = filter_by_period(rows.withColumn("_date", normalize_date(F.col("fecha"))), "_date", period, as_of[:10]).drop("_date")
+    return rows
+
+
+def download_results(rows: DataFrame, downloads: DataFrame, folder: str) -> DataFrame:
+    """(key, pdf_path) of the accepted downloads. ``downloads`` are
+    payloads of kind 'download' (payload_id is the key, body the first part
+    of the file); a 'detail' payload of the key may name the file."""
+    d = downloads.filter(F.col("kind") == "download").select(F.col("payload_id").alias("key"), "content_type", "content_disposition", "body")
+    detail = downloads.filter(F.col("kind") == "detail").select(F.col("payload_id").alias("key"), page_text(F.col("body")).alias("_text"))
+    named = rows.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min(F.struct("emisora", "asunto")).alias("_r"))
+    j = d.join(named, "key").join(detail, "key", "left")
+    is_pdf = is_pdf_response(F.col("content_type"), F.col("body"))
+    attached = attached_name(F.coalesce(F.col("_text"), F.lit("")), name_hint(F.col("_r.emisora"), F.col("_r.asunto")))
+    name = resolve_file_name(F.col("content_disposition"), attached, is_pdf)
+    return (j.filter(is_pdf | is_file_response(F.col("content_type")))
+             .select("key", F.concat(F.lit(folder.rstrip("/") + "/"), name).alias("pdf_path"))
+             .groupBy("key").agg(F.min("pdf_path").alias("pdf_path")))
+
+
 def crawl(bronze: DataFrame, isin_map: DataFrame | None, scraped_at: str,
           id_col: str = "payload_id", existing: DataFrame | None = None,
           batch_seq: int = 0, map_is_table: bool = True) -> DataFrame:
@@ -46,13 +89,12 @@ def crawl_rows(rows: DataFrame, isin_map: DataFrame | None, scraped_at: str, id_
     else:
         rec = rec.withColumn("isin", F.lit(None).cast("string"))
     rec = (rec.withColumn("enc", F.lit(None).cast("string"))
-              .withColumn("pdf_path", F.lit(None).cast("string"))
+              .withColumn("pdf_path", (F.col("pdf_path") if "pdf_path" in rows.columns else F.lit(None)).cast("string"))
               .withColumn("filing_type", F.lit(None).cast("string"))
               .withColumn("scraped_at", F.lit(scraped_at))
               .withColumn("_seq", F.lit(batch_seq).cast("long"))
-              # crawl order: numeric payload ids numerically, others by text, then row position
-              .withColumn("_pos", F.struct(F.coalesce(F.col(id_col).cast("string").try_cast("long"), F.lit(-1)),
-                                           F.col(id_col).cast("string"), F.col("pos"))))
+              # crawl order, then row position
+              .withColumn("_pos", F.struct(*payload_order(id_col), F.col("pos"))))
     if existing is None:
         return to_filings_rows(rec, created_at=scraped_at, isin_col="isin",
                                carry=["_seq", "_pos"] if keep_order else None)

@@ -99,10 +99,10 @@ def process_filings(filings: DataFrame, documents: DataFrame, extractor: Extract
 
 def document_tallies(filings: DataFrame, processed: DataFrame, path_col: str = "pdf_path") -> DataFrame:
     """Total filings, processable ones, processed documents."""
-    t = filings.agg(F.count("*").alias("total_filings"),
-                    F.count_if(truthy(F.col(path_col))).alias("processable")).withColumn("_k", F.lit(1))
-    p = processed.agg(F.count("*").alias("total_processed")).withColumn("_k", F.lit(1))
-    return t.join(F.broadcast(p), "_k").drop("_k")  # both sides are one row
+    marks = (filings.select(truthy(F.col(path_col)).alias("p"), F.lit(False).alias("d"))
+                    .unionByName(processed.select(F.lit(False).alias("p"), F.lit(True).alias("d"))))
+    return marks.agg(F.count_if(~F.col("d")).alias("total_filings"), F.count_if("p").alias("processable"),
+                     F.count_if("d").alias("total_processed"))
 
 
 def extract_single_file(spark, path: str, extractor: Extractor | None = None) -> DataFrame:

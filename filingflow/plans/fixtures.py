@@ -21,29 +21,29 @@ from ..operators.windows import page_of
 # Fixed test values: one headline per rule, plus case/accent variants, a
 # headline matching two rules, a 'rating' inside a word, and non-matches.
 HEADLINES = [
-    "Informe Anual 2024",
+    "Informe anual sustentable, ejercicio cerrado",
     "REPORTE ANUAL DEL CONSEJO",
     "Annual Report to shareholders",
     "Resultados Financieros del 3T",
     "Estados financieros dictaminados",
-    "Prospecto de colocación",
+    "Prospecto “preliminar” de notas § 4",
     "Aviso de Oferta Pública & canje",
     "OFERTA PÚBLICA INICIAL",
     "Asamblea General Ordinaria",
-    "Junta de Accionistas",
+    "Convocatoria a junta de accionistas",
     "Pago de dividendo en efectivo",
     "FUSIÓN con subsidiaria",
     "Escisión de la sociedad",
     "Adquisicion de activos",
     "CALIFICACIÓN crediticia",
-    "Cambio de auditor externo",
+    "Nombramiento por cambio de auditor: Garçon & Söhne",
     "Reporte Trimestral <4T>",
     "Primer trimestre",
     "Informe semestral",
     "Evento Relevante",
     "Hecho relevante: dividendo",
     "Material event notice",
-    "Comunicado de prensa",
+    "Comunicado de prensa núm. 12",
     "Press Release",
     "Actualización de datos",
     "Operating results",
@@ -64,20 +64,7 @@ def pick(values: list[str], idx: Column) -> Column:
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan over all cores when it has fewer input partitions than
-    the cluster can run (a small file with one row group is one task; the
-    parsing work on it is CPU-bound). Large inputs already have many splits
-    and pass through unchanged, without a shuffle."""
-    try:
-        par = df.sparkSession.sparkContext.defaultParallelism
-        parts = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
-        return df
-    return df.repartition(par) if parts < par else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 # ---------------------------------------------------------------------------
@@ -123,7 +110,11 @@ order_filings AS (
 def html_escape(c: Column) -> Column:
     x = F.replace(c, F.lit("&"), F.lit("&amp;"))
     x = F.replace(x, F.lit("<"), F.lit("&lt;"))
-    return F.replace(x, F.lit(">"), F.lit("&gt;"))
+    x = F.replace(x, F.lit(">"), F.lit("&gt;"))
+    # named, bare (no semicolon) and numeric references
+    for ch, ref in (("“", "&ldquo;"), ("”", "&#8221;"), ("ö", "&ouml;"), ("§", "&sect;"), ("ç", "&#xE7;"), ("ú", "&uacute")):
+        x = F.replace(x, F.lit(ch), F.lit(ref))
+    return x
 
 
 def render_row(f: DataFrame) -> Column:
@@ -152,7 +143,8 @@ def render_grid_pages(filings: DataFrame, total_pages: int = 0, total_rows: int
          .alias("trs"))
     return pages.select(
         "page", F.lit("grid").alias("kind"),
-        F.concat(F.lit('<table id="grid"><tbody>\n'), F.col("trs"),
+        # every seventh page opens with a long comment, as pages with scripts do
+        F.concat(F.lit('<table id="grid"><tbody>\n'), F.when(F.col("page") % 7 == 0, F.repeat(F.lit("<!-- filler -->"), 4000)).otherwise(F.lit("")), F.col("trs"),
                  # a data-classed summary row with two cells: dropped by the parser (P10)
                  F.lit(f'<tr class="{GRID_ROW_MARKER}_Aqua"><td colspan="2">Total</td><td>20</td></tr>\n'),
                  F.lit('</tbody></table><div class="pager">P&aacute;gina '), F.col("page").cast("string"),

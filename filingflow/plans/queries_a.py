@@ -14,12 +14,12 @@ from ..functions.docs import resolve_file_name
 from ..functions.text import (classify_filing_type, filing_id, html_text, is_error_page,
                               detail_fields, pager_totals, sanitize_filename, title_text,
                               token_from_callback)
-from ..operators.joins import build_isin_map, enrich_isin, missing_keys
+from ..operators.joins import build_isin_map, enrich_isin, left_join_keyed, missing_keys
 from ..operators.parse import callback_rows, delta_hidden_fields, delta_rows, grid_rows
 from ..session import ensure_conf
 from . import fixtures as fx
 from .registry import query
-from .sqlparts import classify_sql, html_text_sql, lit, unescape_sql
+from .sqlparts import classify_sql, filing_id_sql, html_text_sql, lit, unescape_sql
 
 OF = fx.ORDER_FILINGS_SQL
 
@@ -120,7 +120,7 @@ def q03_classify_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _Q04_SQL = f"""
 WITH {OF}
-SELECT o_orderkey, 'cnbv_' || coalesce(nullif(key, ''), substr(asunto, 1, 40)) AS filing_id
+SELECT o_orderkey, {filing_id_sql()} AS filing_id
 FROM order_filings
 """
 
@@ -243,7 +243,7 @@ def q08_callback_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     keyed = fx.order_filings(spark, sf_dir).filter(F.col("key").isNotNull())
     tokens = keyed.select("key", fx.render_token_callback(F.col("o_orderkey")).alias("payload")) \
                   .select("key", token_from_callback("payload").alias("enc"))
-    return rows.join(tokens, "key", "left") \
+    return left_join_keyed(rows, tokens, "key") \
                .select("page", "pos", "fecha", "emisora", "asunto", "key", "enc")
 
 

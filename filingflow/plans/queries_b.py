@@ -22,7 +22,7 @@ from ..sources.documents import read_filings_document, write_filings_document
 from . import fixtures as fx
 from .queries_a import missing_order_keys
 from .registry import query
-from .sqlparts import classify_sql, iso_sql
+from .sqlparts import classify_sql, filing_id_sql, iso_sql
 
 OF = fx.ORDER_FILINGS_SQL
 T0, T1 = "2024-01-01T00:00:00", "2024-01-02T00:00:00"
@@ -125,7 +125,7 @@ recs AS (
 typed AS (
   SELECT *, {classify_sql('asunto')} AS filing_type,
          CASE WHEN seq = 0 THEN '{T0}' ELSE '{T1}' END AS ts,
-         'cnbv_' || coalesce(nullif(key, ''), substr(asunto, 1, 40)) AS filing_id
+         {filing_id_sql()} AS filing_id
   FROM recs),
 rowsx AS (
   SELECT filing_id, 'cnbv' AS source, 'MX' AS country, coalesce(emisora, '') AS ticker,
@@ -379,14 +379,14 @@ def q20_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LIMITS = (0, 30, -1)
 _Q21_SQL = f"""
 WITH {OF},
-shown AS (SELECT o_orderkey, page FROM order_filings WHERE page % 97 <> 50),
+shown AS (SELECT o_orderkey, page FROM order_filings WHERE page <> (SELECT max(page) - 3 FROM order_filings)),
 tot AS (SELECT max(page) AS total FROM order_filings),
 fe AS (SELECT min(p) AS first_empty FROM (SELECT unnest(range(1, (SELECT total FROM tot) + 1)) AS p) r
        WHERE NOT EXISTS (SELECT 1 FROM shown WHERE shown.page = r.p)),
-lim AS (SELECT * FROM (VALUES (0, 1), (30, 30), (-1, 99999)) v(max_pages, eff))
+lim AS (SELECT * FROM (VALUES (0, 1), (30, 30), (-1, NULL)) v(max_pages, eff))
 SELECT lim.max_pages, o_orderkey, page
 FROM shown, lim
-WHERE page <= least(lim.eff, (SELECT total FROM tot))
+WHERE page <= coalesce(lim.eff, (SELECT total FROM tot))
   AND ((SELECT first_empty FROM fe) IS NULL OR page < (SELECT first_empty FROM fe))
 """
 
@@ -395,7 +395,7 @@ WHERE page <= least(lim.eff, (SELECT total FROM tot))
 def q21_pages_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = fx.order_filings(spark, sf_dir).select("o_orderkey", "page")
     total = int(f.agg(F.max("page")).first()[0] or 0)
-    shown = f.filter(F.col("page") % 97 != 50)
+    shown = f.filter(F.col("page") != total - 3)  # the empty page stands near the end
     outs = [limit_pages(shown, "page", m, total).withColumn("max_pages", F.lit(m)) for m in _LIMITS]
     out = outs[0]
     for o in outs[1:]:
@@ -465,7 +465,7 @@ def _model_text(eid, props):
              .when(shape == 1, F.concat(F.lit("```json\n"), props, F.lit("\n```")))
              .when(shape == 2, F.concat(F.lit("json "), props))
              .when(shape == 3, F.concat(F.lit("  ```\n"), props, F.lit("```  ")))
-             .otherwise(F.substring(props, 2, 1_000_000)))
+             .otherwise(F.substring(props, F.lit(2), F.length(props))))
 
 
 _Q24_SQL = """

@@ -22,19 +22,20 @@ from ..operators.archives import first_pages, zip_members
 from ..operators.filters import key_range, keyed_rows, take_until_short_page
 from ..operators.joins import merge_download_status
 from ..operators.parse import delta_hidden_fields, hidden_fields, json_page_items
-from ..operators.store import FILINGS_DEFAULTS, FILINGS_SCHEMA, evolve, filing_record, to_filings_rows
+from ..operators.store import (FILINGS_DEFAULTS, FILINGS_SCHEMA, SCHEMA_VERSION, evolve, filing_record, schema_version,
+                               to_filings_rows, write_schema_version)
 from ..operators.windows import latest_row
 from ..session import ensure_conf, new_run_dir
 from ..sources.documents import append_filings, export_document, read_filings_document, write_extracted
 from ..sources.files import dir_size
 from ..sources.isin import load_isin_map
-from ..streaming.monitor import MonitorPaths, baseline_key, burst_log, run_daily_counts, run_monitor, write_landing
+from ..streaming.monitor import MonitorPaths, baseline_key, burst_log, run_daily_counts, run_monitor, time_slices, write_drop
 from . import fixtures as fx
 from .extract import DEFAULT_MODEL, document_tallies, process_filings
 from .queries_a import _Q05_SQL, _Q10_SQL, q05_sanitize, q10_isin_build
 from .queries_b import RUNS_SQL, _AS_OF_SQL, current_log, events_as_of, token_cache_from_orders
 from .registry import query
-from .sqlparts import classify_sql, html_text_sql, lit
+from .sqlparts import classify_sql, filing_id_sql, html_text_sql, lit
 
 OF = fx.ORDER_FILINGS_SQL
 T0 = "2024-01-01T00:00:00"
@@ -189,7 +190,7 @@ def q27c_doc_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _Q28_SQL = f"""
 WITH {OF}
-SELECT 'cnbv_' || coalesce(nullif(key, ''), substr(asunto, 1, 40)) AS filing_id, 'cnbv' AS source,
+SELECT {filing_id_sql()} AS filing_id, 'cnbv' AS source,
        'MX' AS country, CAST(NULL AS VARCHAR) AS isin, false AS downloaded, false AS price_sensitive,
        {classify_sql('asunto')} AS filing_type, CAST(NULL AS INTEGER) AS num_pages
 FROM order_filings
@@ -213,20 +214,22 @@ def q28_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
 EVENT_COLS = ["event_id", "ts", "user_id", "event_type"]
 
 
-def _monitor_run(spark: SparkSession, sf_dir: str, max_files: int | None) -> MonitorPaths:
+def _monitor_run(spark: SparkSession, sf_dir: str) -> MonitorPaths:
+    """Five drops, a monitor run after each: four event-time slices of which
+    the last comes third (so new keys arrive late), the held-back slice, and
+    every 10th event once more (duplicates that the sink must absorb)."""
     ensure_conf(spark)
     run = new_run_dir(spark, "monitor")
-    paths = MonitorPaths(f"{run}/landing", f"{run}/sink", f"{run}/state", f"{run}/bursts", f"{run}/ckpt")
+    paths = MonitorPaths(f"{run}/landing", f"{run}/sink", f"{run}/state", f"{run}/ckpt")
     e = fx.read(spark, sf_dir, "events").select(*EVENT_COLS)
-    write_landing(e, paths.landing, 4, "ts")
-    # a later drop repeats every 10th event (duplicates the sink must absorb)
-    write_landing(e.filter(F.col("event_id") % 10 == 0), paths.landing, 1, "ts")
     first_day = e.agg(F.min("ts")).first()[0]
     import datetime as dt
     cached = e.filter(F.col("ts") < ntz_lit(first_day + dt.timedelta(days=1))).select(F.col("event_id").alias("key"))
     base = baseline_key(spark, paths.state, cached)
-    schema = spark.read.parquet(paths.landing).schema
-    run_monitor(spark, paths, schema, base, key_col="event_id", ts_col="ts", max_files=max_files)
+    a, b, c, d = time_slices(e, 4, "ts")
+    for drop in (a, b, d, c, e.filter(F.col("event_id") % 10 == 0)):
+        write_drop(drop, paths.landing)
+        run_monitor(spark, paths, e.schema, base, key_col="event_id", ts_col="ts")
     return paths
 
 
@@ -238,12 +241,12 @@ WHERE event_id > (SELECT max(event_id) FROM events WHERE ts < (SELECT min(ts) FR
 
 @query("q29_stream_new_keys", _Q29_SQL)
 def q29_stream_new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _monitor_run(spark, sf_dir, None)
+    paths = _monitor_run(spark, sf_dir)
     return spark.read.parquet(paths.sink).select("key")
 
 
-# One micro-batch per landing file: four event-time slices (cut on epoch
-# microseconds as the feed writes them), then the duplicate drop (no new key).
+# One micro-batch per drop: four event-time slices (cut on epoch microseconds,
+# the last before the third), then the duplicate drop (no new key).
 # The look-ahead fold is a recursive CTE over the batches.
 _Q30_SQL = """
 WITH RECURSIVE
@@ -254,7 +257,7 @@ sl AS (SELECT i,
               CASE WHEN i = 3 THEN NULL ELSE CAST(trunc(lo + ((hi - lo) / 4.0) * (i + 1)) AS BIGINT) END AS z
        FROM bnd, range(4) t(i)),
 cnt AS (
-  SELECT i AS batch_id, (SELECT count(*) FROM events
+  SELECT CASE i WHEN 2 THEN 3 WHEN 3 THEN 2 ELSE i END AS batch_id, (SELECT count(*) FROM events
                          WHERE (a IS NULL OR epoch_us(ts) >= a) AND (z IS NULL OR epoch_us(ts) < z)
                            AND event_id > (SELECT k FROM base)) AS n FROM sl
   UNION ALL SELECT 4, 0),
@@ -274,8 +277,7 @@ FROM fold
 
 @query("q30_stream_burst", _Q30_SQL)
 def q30_stream_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = _monitor_run(spark, sf_dir, 1)
-    return burst_log(spark, paths.bursts).select("batch_id", "new_count", "look_ahead", "mode")
+    return burst_log(spark, _monitor_run(spark, sf_dir).state)
 
 
 # ---------------------------------------------------------------------------
@@ -308,7 +310,7 @@ r AS (
          CASE WHEN o_orderkey % 13 = 2 THEN NULL ELSE emisora END AS emisora, asunto, key,
          CASE o_orderkey % 3 WHEN 0 THEN '/d/' || CAST(o_orderkey AS VARCHAR) WHEN 1 THEN '' END AS pdf_path
   FROM order_filings)
-SELECT o_orderkey, 'cnbv_' || coalesce(nullif(key, ''), substr(asunto, 1, 40)) AS filing_id,
+SELECT o_orderkey, {filing_id_sql()} AS filing_id,
        coalesce(emisora, '') AS ticker, coalesce(emisora, '') AS company_name,
        CASE WHEN fecha IS NULL THEN '' ELSE substr(fecha, 7, 4) || '-' || substr(fecha, 4, 2) || '-' || substr(fecha, 1, 2) END AS filing_date,
        asunto AS headline, {classify_sql('asunto')} AS filing_type,
@@ -508,13 +510,10 @@ def q36_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
         k.cast("string").alias("key"), F.concat(F.lit("/pdf/"), k.cast("string"), F.lit(".pdf")).alias("pdf_path"))
     merged = merge_download_status(f, downloads)
     enc = F.when(F.col("key").isNotNull() & (k % 11 != 0), fx.token_of(k))
-    merged = merged.withColumn("enc", enc).withColumn("downloads_enabled", F.lit(True)).withColumn("_k", F.lit(1))
-    runs = A.run_tallies(merged, None).withColumn("_k", F.lit(1))
-    res = merged.agg(F.count_if(F.col("enc").isNotNull()).alias("resolved"),
-                     F.count_if(F.col("enc").isNull()).alias("failed")).withColumn("_k", F.lit(1))
-    mk = A.max_key(merged).withColumn("_k", F.lit(1))
-    return (runs.join(F.broadcast(res), "_k").join(F.broadcast(mk), "_k")
-                .select("filings_found", "pdfs_downloaded", "pdfs_failed", "resolved", "failed", "max_key"))
+    merged = merged.withColumn("enc", enc).withColumn("downloads_enabled", F.lit(True))
+    # one pass: the tallies' aggregates side by side
+    out = merged.agg(*A.run_tally_columns(merged), *A.resolve_tally_columns(), A.max_key_column())
+    return A.with_failed_downloads(out, None).select("filings_found", "pdfs_downloaded", "pdfs_failed", "resolved", "failed", "max_key")
 
 
 # ---------------------------------------------------------------------------
@@ -607,13 +606,15 @@ def q40_append_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_filings_document(spark, dest).select("fecha", "emisora", "asunto", "key")
 
 
-@query("q41_dir_size")
+# the text writer puts one line feed behind each row, so the size is known
+_Q41_SQL = "SELECT CAST(sum(strlen(text) + 1) AS BIGINT) AS total_bytes, true AS has_files FROM documents"
+
+
+@query("q41_dir_size", _Q41_SQL)
 def q41_dir_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run, _ = _append_export(spark, sf_dir)
-    filings, docs = document_filings(spark, sf_dir)
-    write_extracted(process_filings(filings, docs).select("filing", "source_file", "extracted"),
-                    f"{run}/extracted", DEFAULT_MODEL)
-    return dir_size(spark, run)
+    run = new_run_dir(spark, "sizes")
+    fx.read(spark, sf_dir, "documents").select("text").write.text(f"{run}/nested/texts")
+    return dir_size(spark, run).select("total_bytes", (F.col("n_files") > 0).alias("has_files"))
 
 
 # ---------------------------------------------------------------------------
@@ -631,9 +632,11 @@ def q42_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
     run = new_run_dir(spark, "daily")
     e = fx.read(spark, sf_dir, "events").select(*EVENT_COLS)
-    write_landing(e, f"{run}/landing", 4, "ts")
-    schema = spark.read.parquet(f"{run}/landing").schema
-    return run_daily_counts(spark, f"{run}/landing", f"{run}/out", f"{run}/ckpt", schema, max_files=1)
+    a, b, c, d = time_slices(e, 4, "ts")
+    for drop in (a, d, b, c):  # the last days come second
+        write_drop(drop, f"{run}/landing")
+        out = run_daily_counts(spark, f"{run}/landing", f"{run}/out", f"{run}/ckpt", e.schema)
+    return out
 
 
 # ---------------------------------------------------------------------------
@@ -689,11 +692,12 @@ def q44_run_age(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = events_as_of(spark, sf_dir)
     log = current_log(spark, sf_dir)
     log = log.withColumn("completed_at", F.when(F.col("id") % 9 == 0, F.lit("n/a")).otherwise(F.col("completed_at")))
-    latest = latest_row(log.select("id"), "id").select(F.col("id").alias("_latest"), F.lit(1).alias("_k"))
-    versions = spark.createDataFrame([(1,), (2,), (3,)], "version int")
-    ver = versions.agg(F.coalesce(F.max("version"), F.lit(0)).alias("schema_version")).withColumn("_k", F.lit(1))
-    # one-row sides, broadcast: a shuffle on the constant key would put every row in one task
-    out = log.withColumn("_k", F.lit(1)).join(F.broadcast(latest), "_k", "left").join(F.broadcast(ver), "_k", "left")
-    return out.select("id", age_hours(F.col("completed_at"), A._ts(as_of)).alias("age_hours"),
-                      (F.col("id") == F.col("_latest")).alias("is_latest"), "schema_version")
+    latest = latest_row(log.select("id"), "id").first()
+    versions = new_run_dir(spark, "schema-version")
+    for v in range(1, SCHEMA_VERSION + 1):
+        write_schema_version(spark, versions, v)
+    # two scalars: the latest id and the stored schema version
+    return log.select("id", age_hours(F.col("completed_at"), A._ts(as_of)).alias("age_hours"),
+                      (F.col("id") == F.lit(latest["id"] if latest else None)).alias("is_latest"),
+                      F.lit(schema_version(spark, versions)).alias("schema_version"))
 

@@ -16,6 +16,12 @@ def classify_sql(h: str) -> str:
     return f"(CASE WHEN {h} IS NULL THEN {lit(OTHER_TYPE)} {whens} ELSE {lit(OTHER_TYPE)} END)"
 
 
+def filing_id_sql() -> str:
+    """F5 over the columns key, asunto, fecha and emisora."""
+    parts = ", ".join(f"coalesce({c}, '')" for c in ("asunto", "fecha", "emisora"))
+    return f"'cnbv_' || coalesce(nullif(key, ''), sha256(concat_ws(chr(31), {parts})))"
+
+
 def strip_sql(x: str) -> str:
     return f"regexp_replace({x}, '^\\s+|\\s+$', '', 'g')"
 

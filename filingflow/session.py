@@ -90,6 +90,8 @@ def shared_dir(spark: SparkSession) -> str:
     if not d and sc is not None:
         d = sc.getCheckpointDir()
     if not d:
+        if sc is None or not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="filingflow-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if sc is not None and sc.getCheckpointDir() is None:

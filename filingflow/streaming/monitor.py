@@ -2,11 +2,11 @@
 
 The source system polls a portal for keys above a high-water mark. Here new
 filings arrive as files in a landing folder; a streaming query reads them,
-keeps keys above the baseline, drops duplicates within an event-time
-watermark (bounded state), and a ``foreachBatch`` sink:
+keeps keys above the baseline however late they come, and a ``foreachBatch``
+sink:
 
-* anti-joins the batch with keys already written by earlier batches
-  (duplicates later than the watermark are caught there),
+* drops duplicates inside the batch and anti-joins it with the keys already
+  written by earlier batches,
 * writes the batch to ``sink/batch_id=N`` with overwrite, so a replayed
   batch after a failure rewrites the same folder (exactly-once with the
   checkpoint),
@@ -40,28 +40,45 @@ def next_look_ahead(look_ahead: int, new_count: int) -> tuple[int, str]:
     return LOOK_AHEAD_START, ("normal" if new_count > 0 else "idle")
 
 
-def write_landing(df: DataFrame, path: str, drops: int, ts_col: str) -> None:
-    """Test feed: drop rows into the landing folder in event-time order, one
-    file per time slice, written one after the other (as files arrive).
-    Slices are cut on epoch microseconds, so no time zone enters."""
+def write_drop(df: DataFrame, landing: str) -> None:
+    """Test feed: one drop of rows into the landing folder, as many files as
+    the rows have partitions."""
+    df.write.mode("append").parquet(landing)
+
+
+def time_slices(df: DataFrame, drops: int, ts_col: str) -> list[DataFrame]:
+    """The rows cut into ``drops`` event-time slices. Slices are cut on epoch
+    microseconds, so no time zone enters."""
     m = F.unix_micros(F.col(ts_col).cast("timestamp"))
     lo, hi = df.agg(F.min(m), F.max(m)).first()
     if lo is None:
-        return
-    span = (hi - lo) / drops
+        return []
+    span, out = (hi - lo) / drops, []
     for i in range(drops):
         cond = m >= F.lit(int(lo + span * i)) if i else F.lit(True)
         if i < drops - 1:
             cond = cond & (m < F.lit(int(lo + span * (i + 1))))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
+        out.append(df.filter(cond))
+    return out
+
+
+STATE_SCHEMA = "last_key long, new_count long, look_ahead int, mode string"
 
 
 def stored_last_key(spark: SparkSession, state_dir: str) -> int:
     """High-water mark of the state table (0 when absent)."""
+    return last_state(spark, state_dir)[0]
+
+
+def last_state(spark: SparkSession, state_dir: str, before: int | None = None) -> tuple[int, int]:
+    """(high-water mark, look-ahead) of the batches before ``before``."""
     if not _exists(spark, state_dir):
-        return 0
-    r = spark.read.parquet(state_dir).agg(F.max("last_key")).first()[0]
-    return int(r or 0)
+        return 0, LOOK_AHEAD_START
+    rows = spark.read.schema(f"{STATE_SCHEMA}, batch_id long").parquet(state_dir)
+    if before is not None:
+        rows = rows.filter(F.col("batch_id") < before)
+    last, la = rows.agg(F.max("last_key"), F.max_by("look_ahead", "batch_id")).first()
+    return int(last or 0), int(la or LOOK_AHEAD_START)
 
 
 def baseline_key(spark: SparkSession, state_dir: str, cached_keys: DataFrame | None,
@@ -79,7 +96,6 @@ class MonitorPaths:
     landing: str
     sink: str
     state: str
-    bursts: str
     checkpoint: str
 
 
@@ -94,7 +110,7 @@ def _prior_keys(spark: SparkSession, sink: str, batch_id: int, lo, hi) -> DataFr
 
 
 def run_monitor(spark: SparkSession, paths: MonitorPaths, schema: T.StructType, baseline: int,
-                key_col: str = "key", ts_col: str = "ts", watermark: str = "2 days",
+                key_col: str = "key", ts_col: str = "ts",
                 max_files: int | None = None, available_now: bool = True) -> None:
     """Run the monitor over the landing folder until the files
     present are consumed (``availableNow``) or forever at the poll interval."""
@@ -105,63 +121,51 @@ def run_monitor(spark: SparkSession, paths: MonitorPaths, schema: T.StructType,
     keyed = (stream.withColumn("key", F.col(key_col).cast("bigint"))
                    .withColumn("ts", F.col(ts_col).cast("timestamp"))
                    .filter(F.col("key") > F.lit(baseline)))
-    deduped = keyed.withWatermark("ts", watermark).dropDuplicatesWithinWatermark(["key"])
 
     def sink_batch(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        rng = batch.agg(F.min("key"), F.max("key")).first()
-        prior = _prior_keys(s, paths.sink, batch_id, rng[0], rng[1])
-        new = batch if prior is None else batch.join(prior, "key", "left_anti")
-        target = f"{paths.sink}/batch_id={batch_id}"
-        new.write.mode("overwrite").parquet(target)
-        written = s.read.parquet(target).agg(F.count("*").alias("n"), F.max("key").alias("mx")).first()
-        n, mx = int(written["n"]), written["mx"]
-        last = max(stored_last_key(s, paths.state), int(mx or 0), baseline)
-        s.createDataFrame([(last,)], "last_key long") \
+        batch = batch.dropDuplicates(["key"]).persist()
+        try:
+            lo, hi = batch.agg(F.min("key"), F.max("key")).first()
+            prior = _prior_keys(s, paths.sink, batch_id, lo, hi)
+            new = batch if prior is None else batch.join(prior, "key", "left_anti")
+            target = f"{paths.sink}/batch_id={batch_id}"
+            new.write.mode("overwrite").parquet(target)
+        finally:
+            batch.unpersist()
+        n, mx = s.read.parquet(target).agg(F.count("*"), F.max("key")).first()
+        last, look_ahead = last_state(s, paths.state, batch_id)
+        la, mode = next_look_ahead(look_ahead, n)
+        # one row per batch; batch_id is the partition folder, not a column of the row
+        s.createDataFrame([(max(last, int(mx or 0), baseline), int(n), la, mode)], STATE_SCHEMA) \
          .write.mode("overwrite").parquet(f"{paths.state}/batch_id={batch_id}")
-        prev = LOOK_AHEAD_START
-        if _exists(s, paths.bursts):
-            row = (s.read.parquet(paths.bursts).filter(F.col("batch_id") < batch_id)
-                    .agg(F.max_by("look_ahead", "batch_id")).first())
-            prev = int(row[0]) if row and row[0] is not None else LOOK_AHEAD_START
-        la, mode = next_look_ahead(prev, n)
-        # batch_id is the partition folder, so it is not a column of the row
-        s.createDataFrame([(n, la, mode)], "new_count long, look_ahead int, mode string") \
-         .write.mode("overwrite").parquet(f"{paths.bursts}/batch_id={batch_id}")
-
-    w = deduped.writeStream.foreachBatch(sink_batch).option("checkpointLocation", paths.checkpoint)
+
+    w = keyed.writeStream.foreachBatch(sink_batch).option("checkpointLocation", paths.checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=POLL_INTERVAL)
     q = w.start()
     if available_now:
         q.awaitTermination()
 
 
-def new_keys(spark: SparkSession, sink: str) -> DataFrame:
-    """Keys written by the monitor (one row per key)."""
-    return spark.read.parquet(sink)
-
-
-def burst_log(spark: SparkSession, bursts: str) -> DataFrame:
-    return spark.read.parquet(bursts)
+def burst_log(spark: SparkSession, state_dir: str) -> DataFrame:
+    """The look-ahead fold, one row per batch."""
+    return spark.read.parquet(state_dir).select("batch_id", "new_count", "look_ahead", "mode")
 
 
 def run_daily_counts(spark: SparkSession, landing: str, out: str, checkpoint: str, schema: T.StructType,
-                     ts_col: str = "ts", delay: str = "2 days", max_files: int | None = None) -> DataFrame:
-    """Events per day with a watermark, ``update`` output folded in
-    ``foreachBatch``: each batch appends the changed day counts; the final
-    count of a day is the one from its latest batch."""
+                     ts_col: str = "ts", max_files: int | None = None) -> DataFrame:
+    """Events per day. Each micro-batch writes its own count per day (a
+    grouped count, replayed batches rewrite their folder); a day's count is
+    the sum over batches, so late rows count whenever they come and no state
+    is kept in the stream."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    ev = reader.parquet(landing).withColumn("_ts", F.col(ts_col).cast("timestamp"))
-    daily = ev.withWatermark("_ts", delay).groupBy(F.window("_ts", "1 day")).agg(F.count("*").alias("n"))
+    ev = reader.parquet(landing).select(F.date_format(F.col(ts_col).cast("timestamp"), "yyyy-MM-dd").alias("day"))
 
     def fold(batch: DataFrame, batch_id: int) -> None:
-        (batch.select(F.date_format(F.col("window.start"), "yyyy-MM-dd").alias("day"), "n")
-              .write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}"))
+        batch.groupBy("day").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
 
-    q = (daily.writeStream.outputMode("update").foreachBatch(fold)
-              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = ev.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     q.awaitTermination()
-    folded = spark.read.parquet(out)
-    return folded.groupBy("day").agg(F.max_by("n", "batch_id").alias("n_events"))
+    return spark.read.parquet(out).groupBy("day").agg(F.sum("n").alias("n_events"))

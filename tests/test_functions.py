@@ -1,6 +1,8 @@
 """Scalar functions (F1-F26) on hand-made rows."""
 
 import datetime as dt
+import hashlib
+import html
 
 import pytest
 from pyspark.sql import functions as F
@@ -89,13 +91,15 @@ def test_sanitize(spark, name, expected):
 def test_ticker_key_and_filing_id(spark):
     assert apply(spark, ["  abc ", "", None, "Xy z"], T.ticker_key) == ["ABC", None, None, "XY Z"]
     df = spark.createDataFrame([("12", "h"), (None, "á" * 50), ("", "short")], "k string, h string")
-    got = [r[0] for r in df.select(T.filing_id("k", "h")).collect()]
-    assert got == ["cnbv_12", "cnbv_" + "á" * 40, "cnbv_short"]
+    ids = T.filing_id("k", "h", F.lit("01/02/2026"), F.lit(None).cast("string"))
+    digest = [hashlib.sha256("\x1f".join([h, "01/02/2026", ""]).encode()).hexdigest() for h in ("á" * 50, "short")]
+    assert [r[0] for r in df.select(ids).collect()] == ["cnbv_12", "cnbv_" + digest[0], "cnbv_" + digest[1]]
 
 
 @pytest.mark.parametrize("raw,expected", [
     ("a &amp; b", "a & b"), ("&amp;lt;", "&lt;"), ("&#233;t&#xE9;", "été"), ("&#39;x&#x27;", "'x'"),
-    ("caf&eacute; &copy; &middot;", "café © ·"), ("&nbsp;", "\u00a0"), ("&#0; &#xFFFFFFF; &bogus;", "&#0; &#xFFFFFFF; &bogus;"),
+    ("caf&eacute; &copy; &middot;", "café © ·"), ("&nbsp;", "\u00a0"), ("&#0; &#xFFFFFFF; &bogus;", "\ufffd \ufffd &bogus;"),
+    ("&ldquo;a&rdquo; &ouml; &sect; &aacute &notit; &amp &#150; &#39x", html.unescape("&ldquo;a&rdquo; &ouml; &sect; &aacute &notit; &amp &#150; &#39x")),
     ("&amp;#39;", "&#39;"), ("no entities", "no entities"),
 ])
 def test_html_unescape(spark, raw, expected):

@@ -10,8 +10,7 @@ from pyspark.sql import functions as F
 from filingflow.local_paths import to_local
 from filingflow.operators.archives import zip_members
 from filingflow.operators.filters import lookup, take_until_short_page
-from filingflow.operators.store import (TOKEN_CACHE_SCHEMA, create_table, latest_version, read_table,
-                                        write_version)
+from filingflow.operators.store import TOKEN_CACHE_SCHEMA, create_table, read_table, table_buckets, upsert_table
 from filingflow.plans.cache_build import build_token_cache
 from filingflow.plans.extract import extract_single_file
 from filingflow.plans.stats import exit_code_of, stats_text
@@ -22,18 +21,27 @@ from filingflow.sources.isin import load_isin_map, read_json_object_cache, write
 from filingflow.sources.payloads import read_text_payloads
 
 
-def test_create_and_versions(spark):
+def test_create_and_upsert_by_bucket(spark):
     d = new_run_dir(spark, "t-tables")
     create_table(spark, f"{d}/cache", TOKEN_CACHE_SCHEMA)
     create_table(spark, f"{d}/cache", TOKEN_CACHE_SCHEMA)  # idempotent
     assert spark.read.parquet(f"{d}/cache").count() == 0
-    assert latest_version(spark, f"{d}/t") == 0 and read_table(spark, f"{d}/t", TOKEN_CACHE_SCHEMA).count() == 0
-    rows = spark.createDataFrame([(1, "a", "", "", "", "t")], TOKEN_CACHE_SCHEMA)
-    write_version(rows, f"{d}/t", 1)
-    write_version(rows.union(rows.withColumn("key", F.lit(2).cast("long"))), f"{d}/t", 2)
-    assert latest_version(spark, f"{d}/t") == 2
-    assert sorted(r.key for r in read_table(spark, f"{d}/t", TOKEN_CACHE_SCHEMA).collect()) == [1, 2]
-    assert [r.key for r in lookup(read_table(spark, f"{d}/t", TOKEN_CACHE_SCHEMA), "key", 2).collect()] == [2]
+    t = f"{d}/t"
+    assert table_buckets(spark, t) is None and read_table(spark, t, TOKEN_CACHE_SCHEMA).count() == 0
+
+    def batch(rows, seq):
+        return spark.createDataFrame([(k, e, "", "", "", "t", seq, i) for i, (k, e) in enumerate(rows)],
+                                     "key long, enc string, emisora string, asunto string, fecha string, resolved_at string, _seq long, _pos long")
+
+    upsert_table(spark, t, TOKEN_CACHE_SCHEMA, batch([(k, f"a{k}") for k in range(40)], 1), ["key"], buckets=8)
+    files = {b: sorted(os.listdir(f"{to_local(t)}/rows/bucket={b}")) for b in range(8)}
+    upsert_table(spark, t, TOKEN_CACHE_SCHEMA, batch([(3, "old"), (3, "new"), (3000, "x")], 2), ["key"], buckets=99)
+    assert table_buckets(spark, t) == 8  # a table keeps its number
+    got = {r.key: r.enc for r in read_table(spark, t, TOKEN_CACHE_SCHEMA).collect()}
+    assert got == {**{k: f"a{k}" for k in range(40)}, 3: "new", 3000: "x"}
+    same = [b for b in range(8) if sorted(os.listdir(f"{to_local(t)}/rows/bucket={b}")) == files[b]]
+    assert len(same) >= 6  # two keys touch two buckets at most
+    assert [r.key for r in lookup(read_table(spark, t, TOKEN_CACHE_SCHEMA), "key", 2).collect()] == [2]
 
 
 def test_json_object_cache(spark):
