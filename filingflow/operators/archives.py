@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import io
 import zipfile
+import zlib
 from collections.abc import Iterator
 
 import pandas as pd
@@ -36,23 +37,22 @@ def _suffix(name: str) -> str:
 
 
 def _members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """An archive at a time: all of its members, or none if any is damaged,
+    encrypted or packed in an unknown way."""
     for pdf in batches:
-        out = []
         for archive, content in zip(pdf["archive"], pdf["content"]):
+            out = []
             try:
                 with zipfile.ZipFile(io.BytesIO(bytes(content))) as zf:
-                    names = sorted(i.filename for i in zf.infolist() if not i.is_dir())
-                    pos = 0
+                    names = sorted((i.filename for i in zf.infolist() if not i.is_dir()), key=lambda n: n.split("/"))
                     for name in names:
-                        suf = _suffix(name)
-                        if suf not in KEPT_SUFFIXES:
-                            continue
-                        data = zf.read(name)
-                        out.append((archive, name, suf, pos, len(data), data))
-                        pos += 1
-            except (zipfile.BadZipFile, OSError, EOFError):
+                        if _suffix(name) in KEPT_SUFFIXES:
+                            data = zf.read(name)
+                            out.append((archive, name, _suffix(name), len(out), len(data), data))
+            except (zipfile.BadZipFile, zlib.error, OSError, EOFError, RuntimeError, NotImplementedError):
                 continue
-        yield pd.DataFrame(out, columns=["archive", "member", "suffix", "member_pos", "n_bytes", "content"])
+            if out:
+                yield pd.DataFrame(out, columns=["archive", "member", "suffix", "member_pos", "n_bytes", "content"])
 
 
 def zip_members(archives: DataFrame, archive_col: str = "archive", content_col: str = "content") -> DataFrame:

@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.docs import with_model_json
+from ..functions.docs import file_suffix, with_model_json
 from ..functions.text import classify_filing_type, truthy
 from ..session import reliable_checkpoint, ship_package
 
@@ -46,6 +46,17 @@ def default_model_text(text: Column) -> Column:
         text.alias("raw_text")), {"ignoreNullFields": "false"})
 
 
+#: suffixes whose bytes are text; pdf counts where its text has been extracted
+TEXT_SUFFIXES = (".txt", ".md", ".html", ".htm", ".json", ".csv", ".xml", "")
+
+
+def is_text_file(path: Column) -> Column:
+    """F18 dispatch: whether a file's bytes may be decoded as text. Archives,
+    sheets, images and pdf files are never read as text; they are skipped and
+    counted (``document_tallies``)."""
+    return file_suffix(path).isin(*TEXT_SUFFIXES)
+
+
 def run_extractor(docs: DataFrame, extractor: Extractor | None = None) -> DataFrame:
     """(source_file, content) -> (source_file, model_text)."""
     if extractor is None:
@@ -77,11 +88,12 @@ def parse_extraction(df: DataFrame, text_col: str = "model_text") -> DataFrame:
 
 
 def process_filings(filings: DataFrame, documents: DataFrame, extractor: Extractor | None = None,
-                    path_col: str = "pdf_path") -> DataFrame:
-    """P4 filter, extraction of each processable filing's document, J7
+                    path_col: str = "pdf_path", accepts: Callable[[Column], Column] = is_text_file) -> DataFrame:
+    """P4 filter and F18 dispatch (``accepts``: the paths that the extractor
+    takes; text files by default), extraction of each processable filing's document, J7
     pairing (filings whose extraction is empty are dropped). Output:
     filing struct, source_file, extracted struct, extracted_json."""
-    todo = filings.filter(truthy(F.col(path_col)))
+    todo = filings.filter(truthy(F.col(path_col)) & accepts(F.col(path_col)))
     docs = documents.join(todo.select(F.col(path_col).alias("source_file")).distinct(), "source_file", "left_semi")
     # Extraction output is persisted (reliable checkpoint in the shared
     # folder): a model call is the expensive step and must not be repeated
@@ -98,11 +110,13 @@ def process_filings(filings: DataFrame, documents: DataFrame, extractor: Extract
 
 
 def document_tallies(filings: DataFrame, processed: DataFrame, path_col: str = "pdf_path") -> DataFrame:
-    """Total filings, processable ones, processed documents."""
-    marks = (filings.select(truthy(F.col(path_col)).alias("p"), F.lit(False).alias("d"))
-                    .unionByName(processed.select(F.lit(False).alias("p"), F.lit(True).alias("d"))))
+    """Total filings, those with a document, processed documents, and
+    documents skipped because they aren't text."""
+    has, skip = truthy(F.col(path_col)), truthy(F.col(path_col)) & ~is_text_file(F.coalesce(F.col(path_col), F.lit("")))
+    marks = (filings.select(has.alias("p"), F.lit(False).alias("d"), skip.alias("s"))
+                    .unionByName(processed.select(F.lit(False).alias("p"), F.lit(True).alias("d"), F.lit(False).alias("s"))))
     return marks.agg(F.count_if(~F.col("d")).alias("total_filings"), F.count_if("p").alias("processable"),
-                     F.count_if("d").alias("total_processed"))
+                     F.count_if("d").alias("total_processed"), F.count_if("s").alias("skipped"))
 
 
 def extract_single_file(spark, path: str, extractor: Extractor | None = None) -> DataFrame:

@@ -5,8 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_conf, shared_dir
-from ..sources.isin import load_isin_map
+from ..session import ensure_conf
 from . import fixtures as fx
 from .crawl import crawl
 from .queries_a import customer_isin_map
@@ -20,12 +19,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = f.agg(F.max("page").alias("p"), F.count("*").alias("n")).first()
     bronze = fx.render_grid_pages(f, int(r["p"] or 0), int(r["n"] or 0)) \
                .withColumnRenamed("page", "payload_id")
-    # cache-first ISIN map (S8): built once, written to the shared folder,
-    # then read back small for the size-checked broadcast of J1
-    isin_map = load_isin_map(spark, isin_cache_path(spark, sf_dir), lambda: customer_isin_map(spark, sf_dir))
-    return crawl(bronze, isin_map, AS_OF)
-
-
-def isin_cache_path(spark: SparkSession, sf_dir: str) -> str:
-    tag = sf_dir.rstrip("/").replace("/", "_").replace(":", "_")
-    return f"{shared_dir(spark)}/isin-map{tag}"
+    return crawl(bronze, customer_isin_map(spark, sf_dir), AS_OF, map_is_table=False)

@@ -31,7 +31,8 @@ from ..sources.files import dir_size
 from ..sources.isin import load_isin_map
 from ..streaming.monitor import MonitorPaths, baseline_key, burst_log, run_daily_counts, run_monitor, time_slices, write_drop
 from . import fixtures as fx
-from .extract import DEFAULT_MODEL, document_tallies, process_filings
+from .extract import document_tallies, process_filings
+from .isin_build import PAGE_ITEMS, company_items
 from .queries_a import _Q05_SQL, _Q10_SQL, q05_sanitize, q10_isin_build
 from .queries_b import RUNS_SQL, _AS_OF_SQL, current_log, events_as_of, token_cache_from_orders
 from .registry import query
@@ -105,7 +106,8 @@ def document_filings(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     path) and the documents keyed by path."""
     d = fx.read(spark, sf_dir, "documents").select("doc_id", "text")
     k = F.col("doc_id")
-    path = F.concat(F.lit("/docs/"), k.cast("string"), F.lit(".pdf"))
+    # text files, and binary kinds that no text extractor may read
+    path = F.concat(F.lit("/docs/"), k.cast("string"), F.when(k % 7 == 3, F.lit(".zip")).when(k % 7 == 5, F.lit(".xlsx")).otherwise(F.lit(".txt")))
     filings = d.select(F.col("doc_id").cast("string").alias("key"), F.lit("01/01/2024").alias("fecha"),
                        F.lit("DOC").alias("emisora"), F.concat(F.lit("Documento "), k.cast("string")).alias("asunto"),
                        F.when(k % 4 == 0, F.lit("")).when(k % 4 == 1, F.lit(None)).otherwise(path).alias("pdf_path"))
@@ -134,9 +136,9 @@ def _model_like(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 _Q27_SQL = f"""
-SELECT CAST(doc_id AS VARCHAR) AS key, '/docs/' || CAST(doc_id AS VARCHAR) || '.pdf' AS source_file,
+SELECT CAST(doc_id AS VARCHAR) AS key, '/docs/' || CAST(doc_id AS VARCHAR) || '.txt' AS source_file,
        {classify_sql('text')} AS document_type, CAST(length(text) AS INTEGER) AS n_chars, false AS parse_error
-FROM documents WHERE doc_id % 4 NOT IN (0, 1)
+FROM documents WHERE doc_id % 4 NOT IN (0, 1) AND doc_id % 7 NOT IN (3, 5)
 """
 
 
@@ -156,7 +158,7 @@ SELECT CAST(doc_id AS VARCHAR) AS key,
        CAST(CASE WHEN doc_id % 13 = 0 THEN length('Sorry, no JSON for document ' || CAST(doc_id AS VARCHAR) || '.')
                  ELSE length(text) END AS INTEGER) AS n_chars,
        doc_id % 13 = 0 AS parse_error
-FROM documents WHERE doc_id % 4 NOT IN (0, 1)
+FROM documents WHERE doc_id % 4 NOT IN (0, 1) AND doc_id % 7 NOT IN (3, 5)
 """
 
 
@@ -173,7 +175,8 @@ def q27b_doc_extract_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 _Q27C_SQL = """
 SELECT CAST(count(*) AS BIGINT) AS total_filings,
        CAST(count(*) FILTER (WHERE doc_id % 4 NOT IN (0, 1)) AS BIGINT) AS processable,
-       CAST(count(*) FILTER (WHERE doc_id % 4 NOT IN (0, 1)) AS BIGINT) AS total_processed
+       CAST(count(*) FILTER (WHERE doc_id % 4 NOT IN (0, 1) AND doc_id % 7 NOT IN (3, 5)) AS BIGINT) AS total_processed,
+       CAST(count(*) FILTER (WHERE doc_id % 4 NOT IN (0, 1) AND doc_id % 7 IN (3, 5)) AS BIGINT) AS skipped
 FROM documents
 """
 
@@ -432,9 +435,6 @@ def q34_download_accept(spark: SparkSession, sf_dir: str) -> DataFrame:
 # q35 paged JSON lists
 # ---------------------------------------------------------------------------
 
-PAGE_ITEMS = 200
-ITEM_SCHEMA = "struct<id:string,clave:string>"
-
 
 def company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Company list pages of 200 customers; near the end one page has a
@@ -477,12 +477,9 @@ WHERE page <= coalesce((SELECT stop FROM stop), page)
 @query("q35_json_pages", _Q35_SQL)
 def q35_json_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = company_pages(spark, sf_dir)
-    items = pages.select("page", json_page_items(F.col("body"), ITEM_SCHEMA).alias("items"))
-    counted = items.select("page", F.size("items").alias("n"), "items")
-    taken = take_until_short_page(counted, "page", "n", PAGE_ITEMS)
-    rows = taken.select("page", F.explode("items").alias("it"))
-    cid = F.col("it.id").try_cast("bigint")
-    key = F.upper(strip_ws(F.coalesce(F.col("it.clave"), F.lit(""))))
+    rows = company_items(pages, PAGE_ITEMS)
+    cid = F.col("id").try_cast("bigint")
+    key = F.upper(strip_ws(F.coalesce(F.col("clave"), F.lit(""))))
     return rows.filter(cid.isNotNull() & (key != "")).select("page", cid.alias("company_id"), key.alias("ticker_key"))
 
 

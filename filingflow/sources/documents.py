@@ -42,9 +42,27 @@ def spark_meta(filings: DataFrame, source: str, scraped_at: str, downloads_enabl
                       "total_filings", "pdfs_downloaded", failed.alias("pdfs_failed"))
 
 
-def append_filings(filings: DataFrame, path: str) -> None:
-    """Append without de-duplication; counts are derived on read."""
+def append_filings(filings: DataFrame, path: str, last_updated: str | None = None) -> None:
+    """Append without de-duplication as new files; the metadata row is
+    written anew with the recounted totals and ``last_updated``."""
+    spark = filings.sparkSession
     filings.write.mode("append").json(f"{path}/filings")
+    meta = read_metadata(spark, path)
+    if meta is None:
+        return
+    rows = spark.read.json(f"{path}/filings")
+    ok = truthy(F.col("pdf_path")) if "pdf_path" in rows.columns else F.lit(False)
+    total, done = rows.agg(F.count("*"), F.count_if(ok)).first()
+    old = meta.first().asDict()
+    failed = total - done if old.get("pdfs_failed") else 0
+    spark.createDataFrame([(old.get("source"), old.get("scraped_at"), total, done, failed, last_updated)],
+                          "source string, scraped_at string, total_filings long, pdfs_downloaded long, pdfs_failed long, last_updated string") \
+         .write.mode("overwrite").json(f"{path}/metadata")
+
+
+def read_metadata(spark: SparkSession, path: str) -> DataFrame | None:
+    """The metadata row of a document directory (None when there is none)."""
+    return spark.read.json(f"{path}/metadata") if _exists(spark, f"{path}/metadata") else None
 
 
 def read_filings_document(spark: SparkSession, path: str,
@@ -60,22 +78,17 @@ def read_filings_document(spark: SparkSession, path: str,
               .select("f.*")
 
 
-def read_metadata(spark: SparkSession, path: str) -> DataFrame:
-    """Counters of a document; ``total_filings`` is recounted from the rows
-    so that appended files are included."""
-    rows = read_filings_document(spark, path)
-    return rows.agg(F.count("*").alias("total_filings"))
-
-
-def export_document(spark: SparkSession, src: str, dest: str, schema: T.StructType | None = None,
-                    files: int | None = None) -> DataFrame | None:
-    """Copy a document to another path; an absent source writes nothing
-    and returns None (a warning in the source system)."""
+def export_document(spark: SparkSession, src: str, dest: str, files: int | None = None) -> DataFrame | None:
+    """Copy a document, all columns of its rows and its metadata, to
+    another path; an absent source writes nothing and returns None (a warning
+    in the source system)."""
     if not _exists(spark, src):
         return None
-    rows = read_filings_document(spark, src, schema)
-    out = rows.coalesce(files) if files else rows
-    out.write.mode("overwrite").json(f"{dest}/filings")
+    rows = spark.read.json(f"{src}/filings") if _exists(spark, f"{src}/filings") else read_filings_document(spark, src)
+    (rows.coalesce(files) if files else rows).write.mode("overwrite").json(f"{dest}/filings")
+    meta = read_metadata(spark, src)
+    if meta is not None:
+        meta.write.mode("overwrite").json(f"{dest}/metadata")
     return rows
 
 

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
 from .documents import _exists
 
 MAP_SCHEMA = "ticker_key string, isin string"
@@ -36,9 +37,9 @@ def read_json_object_cache(spark: SparkSession, path: str) -> DataFrame | None:
 def write_cache(isin_map: DataFrame, path: str) -> bool:
     """Persist the map; an empty map is never written. Returns whether
     it was written; I/O errors are reported as False, never raised."""
-    if isin_map.limit(1).count() == 0:
-        return False
     try:
+        if isin_map.isEmpty():
+            return False
         isin_map.select("ticker_key", "isin").write.mode("overwrite").parquet(path)
         return True
     except Exception:  # noqa: BLE001 - a failed cache write must not stop a run
@@ -51,11 +52,13 @@ def load_isin_map(spark: SparkSession, cache_path: str, build: Callable[[], Data
     and cache it when not empty. A failed build gives an empty map."""
     if not force_refresh and _exists(spark, cache_path):
         try:
-            return spark.read.schema(MAP_SCHEMA).parquet(cache_path)
-        except Exception:  # noqa: BLE001 - unreadable cache = no cache
+            cached = spark.read.schema(MAP_SCHEMA).parquet(cache_path)
+            cached.isEmpty()  # reads are lazy: a broken file shows here
+            return cached
+        except Exception:  # noqa: BLE001 - unreadable cache = build again
             pass
     try:
-        built = build()
+        built = reliable_checkpoint(build().select("ticker_key", "isin"))  # errors of a lazy build show here
     except Exception:  # noqa: BLE001
         return spark.createDataFrame([], MAP_SCHEMA)
     if write_cache(built, cache_path):

@@ -75,10 +75,10 @@ def test_cache_and_extract_commands(spark, capsys):
     assert (t["resolved"], t["failed"], t["already_cached"]) == (5, 5, 0)
     docs = to_local(f"{run}/docs")
     os.makedirs(docs)
-    for name, text in [("a.pdf", "Informe anual de la emisora"), ("b.pdf", "Aviso de dividendo")]:
+    for name, text in [("a.txt", "Informe anual de la emisora"), ("b.txt", "Aviso de dividendo")]:
         with open(f"{docs}/{name}", "w") as fh:
             fh.write(text)
-    spark.createDataFrame([("1", f"{docs}/a.pdf"), ("2", f"{docs}/b.pdf"), ("3", "")], "key string, pdf_path string") \
+    spark.createDataFrame([("1", f"{docs}/a.txt"), ("2", f"{docs}/b.txt"), ("3", "")], "key string, pdf_path string") \
          .write.json(f"{run}/filings/filings")
     assert cli.main(["extract", "--filings", f"{run}/filings", "--documents", f"{run}/docs",
                      "--out", f"{run}/extracted"], spark) == 0
