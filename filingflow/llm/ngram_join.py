@@ -32,6 +32,7 @@ start.
 
 from __future__ import annotations
 
+import itertools
 import math
 from collections.abc import Iterator
 from functools import lru_cache
@@ -237,12 +238,33 @@ def _candidates(held: DataFrame, percent: int, labelled: bool) -> DataFrame:
     tiles = tiles.withColumn("tile", F.least("mine", "other") * F.lit(1 << 32) + F.greatest("mine", "other")).drop("mine", "other", "n")
     kind = held.schema["node"].dataType.simpleString()
 
-    def pairs(t: pa.Table) -> pa.Table:
-        x, y = tile_pairs(t.column("node").to_numpy(), t.column("size").to_numpy(), t.column("whole").to_numpy(),
+    def found(t: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+        return tile_pairs(t.column("node").to_numpy(), t.column("size").to_numpy(), t.column("whole").to_numpy(),
                           t.column("bitmap").to_pylist(), percent, t.column("label").to_numpy() if labelled else None)
-        return pa.table({"a": x, "b": y})
 
-    return tiles.groupBy("key", "tile").applyInArrow(pairs, f"a {kind}, b {kind}").distinct()
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # rows come sorted, so a tile is a run of rows; the last run of a batch
+        # may go on in the next one
+        rest: pa.Table | None = None
+        for batch in itertools.chain(batches, [None]):
+            if batch is None:
+                if rest is None:
+                    return
+                t, last = rest, True
+            else:
+                own = pa.Table.from_batches([batch])
+                t, last = (own if rest is None else pa.concat_tables([rest, own])).combine_chunks(), False
+            key, tile = t.column("key").to_numpy(), t.column("tile").to_numpy()
+            cuts = np.flatnonzero((key[1:] != key[:-1]) | (tile[1:] != tile[:-1])) + 1
+            cuts = [0, *cuts.tolist(), *([len(key)] if last else [])]
+            got = [found(t.slice(x, y - x)) for x, y in zip(cuts, cuts[1:])]
+            rest = t.slice(cuts[-1])
+            if got:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([g[i] for g in got]), at) for i in (0, 1)], names=["a", "b"])
+
+    at = pa.int64() if kind == "bigint" else None
+    tiles = tiles.repartition("key", "tile").sortWithinPartitions("key", "tile")
+    return tiles.mapInArrow(pairs, f"a {kind}, b {kind}").distinct()
 
 
 def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -270,7 +292,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     keyed = (nodes.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key"), F.lit(True).alias("whole"))
              .union(nodes.select("doc_id", F.explode("cuts"), F.lit(False))))
     bucket = stored(_buckets(keyed, "node"), "shared-keys")
-    held = keyed.join(hinted(bucket), "key")
+    # a bucket of two is a pair as it stands; larger ones go through tiles
+    two = bucket.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
+    held = keyed.join(hinted(stored(bucket.where("n > 2").select("key", "n"), "larger-keys")), "key")
     faces = nodes.select(F.col("doc_id").alias("node"), "size", "bitmap")
     held = stored(held.join(faces, "node"), "bucket-members")
     links, labels = None, None
@@ -280,9 +304,10 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
             held = held.drop("n")
             held = held.withColumn("label", F.col("node")) if labels is None else \
                 held.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-            mixed = stored(_buckets(held, "label"), "shared-keys")
+            mixed = stored(_buckets(held, "label").select("key", "n"), "shared-keys")
             held = held.join(hinted(mixed), "key")
-        pairs = stored(_candidates(held, percent, again), "candidates")
+        pairs = _candidates(held, percent, again)
+        pairs = stored(pairs if again else pairs.union(two).distinct(), "candidates")
         if pairs.isEmpty():
             break
         wanted = stored(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "candidate-nodes")
@@ -304,7 +329,7 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
 
 
 def _buckets(keyed: DataFrame, by: str) -> DataFrame:
-    """(key, n) of the keys that more than one ``by`` has, at least one of
-    them for a whole segment; n: how many rows have the key."""
+    """(key, lo, hi, n) of the keys that more than one ``by`` has, at least
+    one of them for a whole segment; n: how many rows have the key."""
     out = keyed.groupBy("key").agg(F.min(by).alias("lo"), F.max(by).alias("hi"), F.max("whole").alias("any"), F.count("*").alias("n"))
-    return out.where("lo <> hi AND any").select("key", "n")
+    return out.where("lo <> hi AND any").select("key", "lo", "hi", "n")
