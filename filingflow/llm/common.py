@@ -41,7 +41,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     lineage ends there, and a lost executor costs a read, not a recomputation."""
     spark = df.sparkSession
     path = new_run_dir(spark, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
