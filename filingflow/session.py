@@ -29,23 +29,24 @@ def ensure_conf(spark: SparkSession) -> SparkSession:
     return spark
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[tuple[int, str]] = set()
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in Python workers (what ``--py-files``
-    does): zip it once per SparkContext and ``addPyFile`` it. Needed by the
-    operators that run Python in tasks (zip reader, custom extractors)."""
+def ship_package(spark: SparkSession, folder: str | None = None) -> None:
+    """Make a package (this one, or the one in ``folder``) importable in Python
+    workers (what ``--py-files`` does): zip it once per SparkContext and
+    ``addPyFile`` it. Needed by the operators that run Python in tasks."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - remote session: ship with --py-files instead
         return
-    key = id(sc._jsc)
+    pkg = os.path.abspath(folder or os.path.dirname(__file__))
+    key = (id(sc._jsc), pkg)
     if key in _SHIPPED:
         return
     import zipfile
-    pkg = os.path.dirname(os.path.abspath(__file__))
-    out = os.path.join(tempfile.mkdtemp(prefix="filingflow-pyfiles-"), "filingflow.zip")
+    name = os.path.basename(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix=f"{name}-pyfiles-"), f"{name}.zip")
     with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as zf:
         for root, _dirs, files in os.walk(pkg):
             for f in files:

@@ -15,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import GRID_ROW_MARKER, ROW_CALLBACK
-from ..operators.windows import page_of
+from filingflow.functions.text import GRID_ROW_MARKER, ROW_CALLBACK
+from filingflow.operators.windows import page_of
 
 # Fixed test values: one headline per rule, plus case/accent variants, a
 # headline matching two rules, a 'rating' inside a word, and non-matches.

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ensure_conf
+from filingflow.session import ensure_conf
 from . import fixtures as fx
-from .crawl import crawl
+from filingflow.plans.crawl import crawl
 from .queries_a import customer_isin_map
 
 AS_OF = "2024-02-01T00:00:00"

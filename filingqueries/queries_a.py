@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import normalize_date
-from ..functions.docs import resolve_file_name
-from ..functions.text import (classify_filing_type, filing_id, html_text, is_error_page,
+from filingflow.functions.dates import normalize_date
+from filingflow.functions.docs import resolve_file_name
+from filingflow.functions.text import (classify_filing_type, filing_id, html_text, is_error_page,
                               detail_fields, pager_totals, sanitize_filename, title_text,
                               token_from_callback)
-from ..operators.joins import build_isin_map, enrich_isin, left_join_keyed, missing_keys
-from ..operators.parse import callback_rows, delta_hidden_fields, delta_rows, grid_rows
-from ..session import ensure_conf
+from filingflow.operators.joins import build_isin_map, enrich_isin, left_join_keyed, missing_keys
+from filingflow.operators.parse import callback_rows, delta_hidden_fields, delta_rows, grid_rows
+from filingflow.session import ensure_conf
 from . import fixtures as fx
 from .registry import query
 from .sqlparts import classify_sql, filing_id_sql, html_text_sql, lit, unescape_sql

@@ -8,17 +8,17 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.dates import iso_text
-from ..functions.docs import to_json_text, top_level_field_count, with_model_json
-from ..functions.text import token_from_callback
-from ..operators import aggregates as A
-from ..operators.filters import filter_by_period, limit_pages
-from ..operators.joins import new_ids, resolve_tokens
-from ..operators.store import (TOKEN_CACHE_SCHEMA, crawl_log, evolve, filing_record,
+from filingflow.functions.dates import iso_text
+from filingflow.functions.docs import to_json_text, top_level_field_count, with_model_json
+from filingflow.functions.text import token_from_callback
+from filingflow.operators import aggregates as A
+from filingflow.operators.filters import filter_by_period, limit_pages
+from filingflow.operators.joins import new_ids, resolve_tokens
+from filingflow.operators.store import (TOKEN_CACHE_SCHEMA, crawl_log, evolve, filing_record,
                                to_filings_rows, upsert)
-from ..operators.windows import chunk_batches, global_row_number, latest_per_key, miss_streak_cut
-from ..session import ensure_conf, new_run_dir, reliable_checkpoint
-from ..sources.documents import read_filings_document, write_filings_document
+from filingflow.operators.windows import chunk_batches, global_row_number, latest_per_key, miss_streak_cut
+from filingflow.session import ensure_conf, new_run_dir, reliable_checkpoint
+from filingflow.sources.documents import read_filings_document, write_filings_document
 from . import fixtures as fx
 from .queries_a import missing_order_keys
 from .registry import query
@@ -186,7 +186,7 @@ FROM upserted u LEFT JOIN upd ON u.filing_id = upd.filing_id
 
 @query("q16_mark_downloaded", _Q16_SQL)
 def q16_mark_downloaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..operators.joins import mark_downloaded
+    from filingflow.operators.joins import mark_downloaded
     k = F.col("o_orderkey")
     o = fx.read(spark, sf_dir, "orders").select("o_orderkey")
     known = o.filter(k % 4 == 1).select(
@@ -517,7 +517,7 @@ def q25_json_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
         f.select("fecha", "emisora", "asunto", "key",
                  F.when(k % 3 == 0, F.concat(F.lit("/docs/"), k.cast("string"), F.lit(".pdf"))).alias("pdf_path")),
         T0)
-    from ..functions.text import classify_filing_type
+    from filingflow.functions.text import classify_filing_type
     rec = rec.withColumn("filing_type", classify_filing_type("asunto")) \
              .withColumn("raw", to_json_text(F.col("key").alias("k"), F.col("asunto").alias("h")))
     out = new_run_dir(spark, "filings-json")

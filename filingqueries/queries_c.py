@@ -12,27 +12,27 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .._col import ntz_lit
-from ..functions.dates import age_hours, epoch_ms_text
-from ..functions.docs import (attached_name, is_file_response, is_pdf_response, name_hint,
+from filingflow._col import ntz_lit
+from filingflow.functions.dates import age_hours, epoch_ms_text
+from filingflow.functions.docs import (attached_name, is_file_response, is_pdf_response, name_hint,
                               resolve_file_name, to_json_text)
-from ..functions.text import page_text, strip_ws, title_text, truthy
-from ..operators import aggregates as A
-from ..operators.archives import first_pages, zip_members
-from ..operators.filters import key_range, keyed_rows, take_until_short_page
-from ..operators.joins import merge_download_status
-from ..operators.parse import delta_hidden_fields, hidden_fields, json_page_items
-from ..operators.store import (FILINGS_DEFAULTS, FILINGS_SCHEMA, SCHEMA_VERSION, evolve, filing_record, schema_version,
+from filingflow.functions.text import page_text, strip_ws, title_text, truthy
+from filingflow.operators import aggregates as A
+from filingflow.operators.archives import first_pages, zip_members
+from filingflow.operators.filters import key_range, keyed_rows, take_until_short_page
+from filingflow.operators.joins import merge_download_status
+from filingflow.operators.parse import delta_hidden_fields, hidden_fields, json_page_items
+from filingflow.operators.store import (FILINGS_DEFAULTS, FILINGS_SCHEMA, SCHEMA_VERSION, evolve, filing_record, schema_version,
                                to_filings_rows, write_schema_version)
-from ..operators.windows import latest_row
-from ..session import ensure_conf, new_run_dir
-from ..sources.documents import append_filings, export_document, read_filings_document, write_extracted
-from ..sources.files import dir_size
-from ..sources.isin import load_isin_map
-from ..streaming.monitor import MonitorPaths, baseline_key, burst_log, run_daily_counts, run_monitor, time_slices, write_drop
+from filingflow.operators.windows import latest_row
+from filingflow.session import ensure_conf, new_run_dir
+from filingflow.sources.documents import append_filings, export_document, read_filings_document, write_extracted
+from filingflow.sources.files import dir_size
+from filingflow.sources.isin import load_isin_map
+from filingflow.streaming.monitor import MonitorPaths, baseline_key, burst_log, run_daily_counts, run_monitor, time_slices, write_drop
 from . import fixtures as fx
-from .extract import document_tallies, process_filings
-from .isin_build import PAGE_ITEMS, company_items
+from filingflow.plans.extract import document_tallies, process_filings
+from filingflow.plans.isin_build import PAGE_ITEMS, company_items
 from .queries_a import _Q05_SQL, _Q10_SQL, q05_sanitize, q10_isin_build
 from .queries_b import RUNS_SQL, _AS_OF_SQL, current_log, events_as_of, token_cache_from_orders
 from .registry import query
@@ -92,7 +92,7 @@ WHERE suffix IN ('.pdf', '.xls', '.xlsx', '.png', '.jpg', '.jpeg', '.tiff', '.bm
 
 @query("q26_zip_members", _Q26_SQL)
 def q26_zip_members(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from ..functions.docs import suffix_kind
+    from filingflow.functions.docs import suffix_kind
     m = zip_members(document_archives(spark, sf_dir))
     return m.select("archive", "member", "suffix", "n_bytes", "member_pos", suffix_kind("member").alias("kind"))
 

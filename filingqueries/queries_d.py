@@ -6,19 +6,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.store import FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, read_table, upsert_table
-from ..session import ensure_conf, new_run_dir
-from ..sources.payloads import BRONZE_SCHEMA, read_payloads
-from ..streaming.filings import FilingsPaths, run_filings_monitor
+from filingflow.operators.store import FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, read_table, upsert_table
+from filingflow.session import ensure_conf, new_run_dir
+from filingflow.sources.payloads import BRONZE_SCHEMA, read_payloads
+from filingflow.streaming.filings import FilingsPaths, run_filings_monitor
 from . import fixtures as fx
-from .cache_build import build_token_cache
-from .crawl import GRID_KINDS, crawl_rows, download_results, parse_payloads, select_rows
-from .isin_build import isin_map_from_pages
+from filingflow.plans.cache_build import build_token_cache
+from filingflow.plans.crawl import GRID_KINDS, crawl_rows, download_results, parse_payloads, select_rows
+from filingflow.plans.isin_build import isin_map_from_pages
 from .queries_a import OF, SUPPLIER_MARKER, _Q10_SQL, lineitem_issues, order_key_bounds, supplier_companies
 from .queries_b import T1, token_cache_from_orders
 from .registry import query
 from .sqlparts import classify_sql, filing_id_sql
-from ..operators.joins import merge_download_status
+from filingflow.operators.joins import merge_download_status
 
 _TOK = fx.TOKEN_SQL.format(k="o_orderkey")
 
@@ -70,11 +70,11 @@ def q45b_cache_tallies(spark: SparkSession, sf_dir: str) -> DataFrame:
 _CRAWL_AS_OF = "1998-06-30T00:00:00"
 
 
-def bronze(df: DataFrame, payload_id, kind, body, http_status=F.lit(200), content_type=None, disposition=None) -> DataFrame:
+def bronze(df: DataFrame, payload_id, kind, body, http_status=None, content_type=None, disposition=None) -> DataFrame:
     """Payload rows in the bronze table's columns."""
     null = F.lit(None).cast("string")
     return df.select(payload_id.cast("string").alias("payload_id"), kind.alias("kind"), F.lit(None).cast("timestamp").alias("captured_at"),
-                     http_status.cast("int").alias("http_status"), (null if content_type is None else content_type).alias("content_type"),
+                     (F.lit(200) if http_status is None else http_status).cast("int").alias("http_status"), (null if content_type is None else content_type).alias("content_type"),
                      (null if disposition is None else disposition).alias("content_disposition"), body.alias("body"))
 
 

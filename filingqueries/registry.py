@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from filingflow.session import ensure_conf, ship_package
+
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
 ORACLES: dict[str, str] = {}
@@ -15,8 +18,8 @@ def query(name: str, sql: str | None = None):
     """Register a query; ``sql`` is its DuckDB oracle (None: rows-only check)."""
     def deco(fn: QueryFn) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            from ..session import ensure_conf
             ensure_conf(spark)  # UTC, AQE, map-key policy: the queries rely on them
+            ship_package(spark, os.path.dirname(os.path.abspath(__file__)))
             return fn(spark, sf_dir)
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__
@@ -28,10 +31,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import queries_a  # noqa: F401
-    for mod in ("queries_b", "queries_c", "queries_d"):
-        try:
-            __import__(f"{__package__}.{mod}")
-        except ModuleNotFoundError as e:
-            if mod not in str(e):
-                raise
+    from . import queries_a, queries_b, queries_c, queries_d  # noqa: F401

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..functions.text import FILING_TYPE_RULES, OTHER_TYPE
+from filingflow.functions.text import FILING_TYPE_RULES, OTHER_TYPE
 
 
 def lit(s: str) -> str:
@@ -29,7 +29,7 @@ def strip_sql(x: str) -> str:
 def unescape_sql(x: str) -> str:
     """Named entities of the test pages, then '&amp;' last (the pages carry
     no numeric references)."""
-    from ..functions.text import HTML_ENTITIES
+    from filingflow.functions.text import HTML_ENTITIES
     out = x
     for ent, ch in list(HTML_ENTITIES.items()) + [("&amp;", "&")]:
         out = f"replace({out}, {lit(ent)}, {lit(ch)})"

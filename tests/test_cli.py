@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from filingflow import cli
-from filingflow.plans import fixtures as fx
+from filingqueries import fixtures as fx
 from filingflow.session import new_run_dir
 
 SF = "/root/testdata/sf0.001"
