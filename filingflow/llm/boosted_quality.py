@@ -177,7 +177,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, train_rows: int = 2
     rows = rows.join(F.broadcast(chosen), "doc_id").select("text", "label")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", 8 << 20):
+        for block in blocks(batches, "text", 4 << 20):
             x = statistics(texts_of(block, "text"))
             yield pa.RecordBatch.from_arrays([one_array(block.column("label")), pa.array(x.tolist(), pa.list_(pa.float32()))], names=["label", "x"])
 
@@ -201,7 +201,7 @@ def score(docs: DataFrame, model: BoostedTrees, id_col: str = "doc_id", text_col
     shape = T.StructType([*docs.schema.fields, T.StructField(out, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col, 8 << 20):
+        for block in blocks(batches, text_col, 4 << 20):
             s = shared.value.scores(statistics(texts_of(block, text_col)))
             yield from block.append_column(out, pa.array(s)).to_batches()
 

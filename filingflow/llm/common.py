@@ -8,6 +8,7 @@ work is done per distinct word wherever the method allows it.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from ..session import ensure_conf, new_run_dir
 
 #: text bytes that a worker handles at once
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 16 << 20
 #: rows and bytes that the JVM hands to Python at once
 ARROW_ROWS, ARROW_BYTES = 2000, 32 << 20
 
@@ -51,6 +52,16 @@ def crc_remainder(doc_id: str | Column, n: int) -> Column:
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % n, F.lit(-1)).cast("int")
 
 
+def give_back() -> None:
+    """Return memory that a block has freed to the system: workers live on,
+    and an executor's limit counts what they hold."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # a C library without it
+        pass
+
+
 def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTES) -> Iterator[pa.Table]:
     """Regroup Arrow batches into tables of about ``limit`` bytes of text.
     A longer text is a block of its own; it is never cut."""
@@ -69,9 +80,12 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int = BLOCK_BYTE
                 yield pa.Table.from_batches(held).combine_chunks()
                 ends = ends - size
                 held, size = [], 0
+                give_back()
             start = stop
     if held:
         yield pa.Table.from_batches(held).combine_chunks()
+        held.clear()
+        give_back()
 
 
 def one_array(column: pa.ChunkedArray | pa.Array) -> pa.Array:

@@ -79,18 +79,18 @@ class LanguageField:
         self.transitions, self.start = np.zeros((k, k)), np.zeros(k)
 
     def emissions(self, words: pa.Array) -> np.ndarray:
-        features, offsets = word_features(words, self.lexicon)
-        out = np.empty((len(offsets) - 1, len(self.labels)))
-        for a in range(0, len(out), 1 << 16):
-            b = min(len(out), a + (1 << 16))
-            part = self.weights[features[offsets[a]:offsets[b]]]
-            out[a:b] = np.add.reduceat(part, offsets[a:b] - offsets[a], axis=0)  # every word has features
+        """Scores of distinct words, some thousands at a time."""
+        out = np.empty((len(words), len(self.labels)), np.float32)
+        for a in range(0, len(out), 1 << 14):
+            features, offsets = word_features(words.slice(a, 1 << 14), self.lexicon)
+            out[a:a + (1 << 14)] = np.add.reduceat(self.weights[features], offsets[:-1], axis=0)  # every word has features
         return out
 
     def marginals(self, emissions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         """Label probabilities of every word, given whole texts (word scores by
         text), by forward-backward."""
         n, k = emissions.shape
+        emissions = emissions.astype(np.float64)
         e = np.exp(emissions - emissions.max(axis=1, keepdims=True)) if n else emissions
         e = np.vstack([e, np.ones((1, k))])
         a = np.exp(self.transitions - self.transitions.max())
@@ -225,9 +225,12 @@ def train(docs: DataFrame, learn: Column, train_rows: int = 4000, id_col: str =
     which ``learn`` holds: those that come first by a hash of id and text
     among texts of at most 20,000 characters (longer ones would fill the
     driver; they are predicted like any other). Fit on the driver."""
-    rows = (docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) <= 20_000))
-            .select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col, text_col).alias("h"))
-            .orderBy("h", "lang", "text").limit(train_rows).select("text", "lang").toArrow())
+    known = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) <= 20_000))
+    known = known.withColumn("__h", F.xxhash64(id_col, text_col))
+    # the hash that the last row of the sample has; texts move only below it
+    last = known.select("__h").orderBy("__h").limit(train_rows).agg(F.max("__h")).first()[0]
+    rows = (known.where(F.col("__h") <= F.lit(last)).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), "__h")
+            .limit(2 * train_rows).toArrow().sort_by([("__h", "ascending"), ("lang", "ascending"), ("text", "ascending")]).slice(0, train_rows))
     return fit(one_array(rows.column("text")).cast(pa.string()) if rows.num_rows else pa.array([], pa.string()), rows.column("lang").to_pylist())
 
 
@@ -260,7 +263,7 @@ def predict(docs: DataFrame, field: LanguageField, text_col: str = "text", out:
     shape = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col, 8 << 20):
+        for block in blocks(batches, text_col, 4 << 20):
             langs, scores = predict_block(shared.value, texts_of(block, text_col))
             yield from block.append_column(out, pa.array(langs, pa.string())).append_column(score, pa.array(scores)).to_batches()
 
