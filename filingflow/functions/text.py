@@ -71,10 +71,16 @@ def classify_filing_type(headline, rules: Sequence[tuple[str, str]] = FILING_TYP
     return expr.otherwise(F.lit(OTHER_TYPE)) if expr is not None else F.lit(OTHER_TYPE)
 
 
+# Characters that file names may not hold, and what is cut off
+# at their ends.
+UNSAFE_NAME_CHARS = r'[<>:"/\\|?*\x00-\x1f]'
+NAME_ENDS = ". "
+
+
 def sanitize_filename(name) -> Column:
     """unsafe characters and control chars to '_', then strip dots/blanks."""
-    replaced = F.regexp_replace(as_col(name), r'[<>:"/\\|?*\x00-\x1f]', "_")
-    return F.btrim(replaced, F.lit(". "))
+    replaced = F.regexp_replace(as_col(name), UNSAFE_NAME_CHARS, "_")
+    return F.btrim(replaced, F.lit(NAME_ENDS))
 
 
 def ticker_key(emisora) -> Column:
@@ -204,14 +210,14 @@ def labelled_field(text, label_regex: str, default: str = "?") -> Column:
     return F.when(t.rlike(pat), strip_ws(F.regexp_extract(t, pat, 1))).otherwise(F.lit(default))
 
 
+# Labels of the detail page.
+DETAIL_LABELS = {"emisora": r"Emisora:", "asunto": r"Asunto\s*:?", "fecha": r"Fecha de recepción.*?:"}
+
+
 def detail_fields(html) -> dict[str, Column]:
     """F16 over a detail page: issuer, subject and received-at."""
     t = page_text(html)
-    return {
-        "emisora": labelled_field(t, r"Emisora:"),
-        "asunto": labelled_field(t, r"Asunto\s*:?"),
-        "fecha": labelled_field(t, r"Fecha de recepción.*?:"),
-    }
+    return {name: labelled_field(t, label) for name, label in DETAIL_LABELS.items()}
 
 
 # Patterns of the portal's texts.

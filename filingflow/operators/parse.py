@@ -147,6 +147,7 @@ def hidden_fields(html) -> Column:
     return F.map_from_entries(entries)
 
 
+# Fixed value: header of a hidden field in a delta response.
 _DELTA_FIELD_RE = r"(\d+)\|hiddenField\|([^|]+)\|"
 
 
