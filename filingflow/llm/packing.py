@@ -30,13 +30,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import blocks, prepare, ragged_take, stored, texts_of, words_of
+from .common import blocks, give_back, prepare, ragged_take, stored, texts_of, words_of
 
 RANK_BUCKETS = 256
 #: words, and parts of words, remembered by a worker before it starts afresh
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 #: text bytes handled at once: ids and their places take about 15 times that
-IDS_BLOCK_BYTES = 6 << 20
+IDS_BLOCK_BYTES = 3 << 20
 
 _ENCODERS: dict[str, WordEncoder] = {}
 
@@ -86,6 +86,10 @@ class WordEncoder:
                 out += ids
         return out
 
+    def forget(self) -> None:
+        """Drop what is remembered: the worker may turn to other work."""
+        self.words, self.parts = {}, {}
+
     def encode(self, words: list[str]) -> list[bytes]:
         """Packed ids of each word."""
         if len(self.words) > MEMO_WORDS:
@@ -166,6 +170,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = 2048, end_id:
                 [block.column("doc_id").combine_chunks().take(pa.array(row)), pa.array(piece, pa.int32()), pa.array(start, pa.int64()),
                  pa.array(length, pa.int64()), pa.array(data, pa.binary())],
                 names=["doc_id", "piece", "start", "length", "ids"])
+        encoder(path).forget()
+        give_back()
 
     return rows.mapInArrow(cut, f"doc_id {kind}, piece int, start long, length long, ids binary")
 
