@@ -291,6 +291,9 @@ def jaccard_components(docs: DataFrame, n: int = 5, percent: int = 80, id_col: s
     nodes = linkable.join(hinted(copies), ["doc_id", "f1"], "left_anti")
     keyed = (nodes.select(F.col("doc_id").alias("node"), F.explode("keys").alias("key"), F.lit(True).alias("whole"))
              .union(nodes.select("doc_id", F.explode("cuts"), F.lit(False))))
+    # most keys stand alone: counting first keeps the shuffled rows narrow
+    shared = stored(keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key"), "keys-twice")
+    keyed = stored(keyed.join(hinted(shared), "key"), "shared-key-rows")
     bucket = stored(_buckets(keyed, "node"), "shared-keys")
     # a bucket of two is a pair as it stands; larger ones go through tiles
     two = bucket.where("n = 2").select(F.col("lo").alias("a"), F.col("hi").alias("b"))
