@@ -100,6 +100,44 @@ def test_scores(spark, odd, empty):
     assert S.score_documents(empty, held).count() == 0
 
 
+def test_longer_states_as_in_the_whole_tree():
+    rng = np.random.default_rng(4)
+    seqs = [rng.integers(1, 4, rng.integers(1, 60)) for _ in range(120)]
+    flat, off = np.concatenate(seqs), np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
+    every = S.class_runs(flat, off, 4)
+    runs, counts = np.unique(every[:-400], return_counts=True)
+    levels = []
+    for k in range(5):
+        r, which = np.unique(runs & ((1 << S.BITS * (k + 1)) - 1), return_inverse=True)
+        levels.append((r, np.bincount(which, weights=counts).astype(np.int64)))
+    whole, low = S.fit(levels, 4, 0.3, 4), S.fit(levels[:2], 1, 0.3, 4)
+    assert len(whole.states[3]) and len(whole.states[4])
+    asked = np.unique(every)
+    n = np.zeros(len(asked))
+    n[np.searchsorted(asked, runs)] = counts
+    assert (n == 0).any()
+    bucket = S.buckets_of(asked, 5)
+    for b in range(5):
+        mine = bucket == b
+        assert np.allclose(S.lengthened(low, asked[mine], n[mine], 4, 0.3, 4), whole.log10(asked[mine]))
+    x = np.array([0, 1, -5, 1 << 62])
+    assert (S.unpacked(S.packed(x), 4) == x).all()
+
+
+def test_contexts_stay_in_a_larger_corpus(spark):
+    """Three classes back decide the next one, with five occurrences each,
+    however much other text there is."""
+    words = ["qa", "qbb", "xccc", "ydddd", "Peeeee", "Qffffff"]
+    assert len(set(S.word_classes(pa.array([w.lower() for w in words] + ["w"])))) == 7
+    a, b, x, y, p, q = words
+    rows = [(i, f"{a} {x} {y} {p}" if i % 2 else f"{b} {x} {y} {q}") for i in range(10)]
+    rows += [(100, f"{a} {x} {y} {p}"), (101, f"{a} {x} {y} {q}")]
+    for more in ([], [(200, "w " * 700_000)]):
+        docs = spark.createDataFrame(rows + more, "doc_id long, text string")
+        got = {r.doc_id: r.score for r in S.score_documents(docs, F.col("doc_id").isin(100, 101)).collect()}
+        assert len(got) == len(rows + more) and got[100] - got[101] > 0.5
+
+
 # --- quality -----------------------------------------------------------------
 
 def test_statistics_by_hand():
