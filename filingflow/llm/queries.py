@@ -161,3 +161,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .line_dedup import dedup_lines
     out = dedup_lines(table(spark, sf_dir, "documents"))
     return out.select("doc_id", F.size("removed_lines").alias("n_removed"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+@query("op12_cholesky_whitening")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Embeddings projected on their first eight whitening components."""
+    from .whitening import whiten
+    out = whiten(table(spark, sf_dir, "embeddings"), components=8)
+    each = out.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
+    return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("c.whitened").alias("whitened"),
+                       F.col("c.explained").alias("explained"), "identity_error")
