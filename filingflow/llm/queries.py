@@ -163,6 +163,21 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.size("removed_lines").alias("n_removed"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+@query("op11_word_runs")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of words of documents, some of which are made to loop."""
+    from .word_runs import word_runs
+    found = word_runs(table(spark, sf_dir, "documents"), loop=F.crc32(F.col("doc_id").cast("string").cast("binary")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("start"), (-r["period"]).alias("period"))))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = found.withColumn("best", longest)
+    return best.select("doc_id", F.size("runs").cast("bigint").alias("n_runs"), (-F.col("best.start")).alias("start"), F.col("best.length").alias("length"),
+                       (-F.col("best.period")).alias("period"),
+                       F.expr("(1000 * best.length) div (-best.period)").alias("exponent_milli"),
+                       F.sha2(F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")).cast("binary"), 256).alias("runs_sha256"),
+                       F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"))
+
+
 @query("op12_cholesky_whitening")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Embeddings projected on their first eight whitening components."""
