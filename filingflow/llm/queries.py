@@ -186,3 +186,13 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     each = out.select("vec_id", "n", "deviation", "identity_error", F.posexplode(F.arrays_zip("whitened", "explained")).alias("at", "c"))
     return each.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", F.col("c.whitened").alias("whitened"),
                        F.col("c.explained").alias("explained"), "identity_error")
+
+
+@query("op13_flow_resharding")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents resharded from 16 shards to 24 of near-equal bytes."""
+    from .resharding import reshard, size_of
+    text = F.col("row.text")
+    out = reshard(table(spark, sf_dir, "documents"), shards=24, columns={
+        "doc_id": F.col("row.doc_id"), "size": size_of(text), "text_crc32": F.crc32(F.coalesce(text, F.lit("")).cast("binary"))})
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
