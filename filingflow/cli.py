@@ -1,5 +1,5 @@
 """Command line (spark-submit entry point): crawl | monitor | export | stats |
-cache | extract.
+cache | extract | isin | mark.
 
     spark-submit -m filingflow crawl --payloads P --filings D --log L --as-of 2026-01-01T00:00:00
     python -m filingflow stats --filings D --log L --docs DOCS --json
@@ -20,12 +20,12 @@ from pyspark.sql import functions as F
 
 from .operators.aggregates import resolve_rate, run_tallies
 from .operators.joins import merge_download_status, new_ids
-from .operators.store import (FILING_RECORD_SCHEMA, FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, crawl_log, keep_downloads, read_table,
-                              upsert_table)
+from .operators.store import FILING_RECORD_SCHEMA, FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, crawl_log, keep_downloads
+from .operators.tables import probe, read_table, upsert_table
 from .plans.crawl import GRID_KINDS, crawl_rows, download_results, parse_payloads, select_rows
 from .session import get_spark, reliable_checkpoint
 from .sources.documents import _exists, export_document, write_filings_document
-from .sources.isin import MAP_SCHEMA
+from .sources.isin import read_cache
 from .sources.payloads import read_payloads
 
 START_SCHEMA = "id long, crawl_type string, query_params string, started_at string"
@@ -87,8 +87,7 @@ def cmd_crawl(spark: SparkSession, a: argparse.Namespace) -> int:
     run_id = log_start(spark, a.log, "crawl", {"period": a.period, "max_pages": a.max_pages}, started)
     try:
         bronze = read_payloads(spark, a.payloads, GRID_KINDS)
-        isin_map = spark.read.schema(MAP_SCHEMA).parquet(a.isin_cache) \
-            if a.isin_cache and _exists(spark, a.isin_cache) else None
+        isin_map = read_cache(spark, a.isin_cache) if a.isin_cache else None
         # parse once; the selected rows feed the counts, the new-id check and the upsert
         rows = reliable_checkpoint(select_rows(parse_payloads(bronze), bronze, as_of, a.period, a.max_pages))
         if a.download_dir:
@@ -100,7 +99,7 @@ def cmd_crawl(spark: SparkSession, a: argparse.Namespace) -> int:
             return 1
         # batch order = (payload, position): a later row of the crawl wins
         batch = reliable_checkpoint(crawl_rows(rows, isin_map, as_of, batch_seq=run_id, keep_order=True))
-        existing = read_table(spark, a.filings, FILINGS_SCHEMA)
+        existing = probe(spark, a.filings, FILINGS_SCHEMA, batch)
         fresh = new_ids(batch, existing).count()
         tallies = run_tallies(batch.select(F.nullif("download_path", F.lit("")).alias("pdf_path"), F.lit(bool(a.download_dir)).alias("downloads_enabled")),
                               a.max_pages).first()
@@ -132,12 +131,19 @@ def cmd_export(spark: SparkSession, a: argparse.Namespace) -> int:
     return 0
 
 
+PAYLOAD_COLUMNS = {"payload_id", "kind", "body"}
+
+
 def cmd_monitor(spark: SparkSession, a: argparse.Namespace) -> int:
-    from .streaming.monitor import MonitorPaths, baseline_key, run_monitor
-    p = MonitorPaths(a.landing, f"{a.out}/sink", f"{a.out}/state", f"{a.out}/checkpoint")
-    cached = read_table(spark, a.cache, TOKEN_CACHE_SCHEMA).select("key") if a.cache else None
-    base = baseline_key(spark, p.state, cached, a.start_key)
-    if base == 0 and not _exists(spark, p.state):
+    """Payloads in the landing folder become tokens and filings; a
+    landing folder of plain keyed rows goes through the row monitor."""
+    from .streaming.cycles import baseline_key, poll, watch
+    from .streaming.filings import FilingsPaths, run_filings_monitor
+    from .streaming.monitor import MonitorPaths, run_monitor
+    state, tokens = f"{a.out}/state", a.cache or f"{a.out}/tokens"
+    cached = read_table(spark, tokens, TOKEN_CACHE_SCHEMA).select("key")
+    base = baseline_key(spark, state, cached, a.start_key)
+    if base == 0 and not _exists(spark, state):
         # No state and no start key -> newest key of the first search
         first = read_payloads(spark, a.baseline_payloads) if a.baseline_payloads else None
         if first is None:
@@ -149,7 +155,36 @@ def cmd_monitor(spark: SparkSession, a: argparse.Namespace) -> int:
             print("no filings in the baseline search", file=sys.stderr)
             return 1
     schema = spark.read.parquet(a.landing).schema
-    run_monitor(spark, p, schema, base, key_col=a.key_col, ts_col=a.ts_col, available_now=a.once)
+    if PAYLOAD_COLUMNS <= set(schema.fieldNames()):
+        paths = FilingsPaths(a.landing, a.filings or f"{a.out}/filings", tokens, state, f"{a.out}/checkpoint", a.json_out)
+
+        def run() -> None:
+            run_filings_monitor(spark, paths, base, utc_text(utc(a.as_of)), a.max_files)
+    else:
+        rows = MonitorPaths(a.landing, f"{a.out}/sink", state, f"{a.out}/checkpoint")
+
+        def run() -> None:
+            run_monitor(spark, rows, schema, base, a.key_col, a.ts_col, a.max_files, a.source_col)
+    watch(lambda: poll(spark, state, run), a.interval, polls=1 if a.once else None)
+    return 0
+
+
+def cmd_isin(spark: SparkSession, a: argparse.Namespace) -> int:
+    """The ISIN map from captured list pages, cached (S7); a cached map, or
+    the source system's JSON object, is used unless --refresh is given."""
+    from .plans.isin_build import isin_map_from_payloads
+    from .sources.isin import load_isin_map
+    built = load_isin_map(spark, a.cache, lambda: isin_map_from_payloads(read_payloads(spark, a.payloads)), a.refresh, a.json_cache)
+    print(json.dumps({"entries": built.count(), "cache": a.cache}))
+    return 0
+
+
+def cmd_mark(spark: SparkSession, a: argparse.Namespace) -> int:
+    """M3: mark filings as downloaded from a table of (filing_id,
+    download_path, seq); the last path of a filing counts."""
+    from .operators.tables import mark_downloaded_table
+    updates = spark.read.schema("filing_id string, download_path string, seq long").parquet(a.updates)
+    print(json.dumps({"marked": mark_downloaded_table(spark, a.filings, updates)}))
     return 0
 
 
@@ -225,7 +260,21 @@ def build_parser() -> argparse.ArgumentParser:
     m.add_argument("--baseline-payloads")
     m.add_argument("--key-col", default="key")
     m.add_argument("--ts-col", default="ts")
-    m.add_argument("--once", action="store_true", help="consume what is there and stop (availableNow)")
+    m.add_argument("--source-col", help="rows: keys are per value of this column")
+    m.add_argument("--filings", help="payloads: the filings table (default: OUT/filings)")
+    m.add_argument("--json-out", help="payloads: JSON document that new filings are appended to")
+    m.add_argument("--as-of", help="payloads: time of the rows (ISO); now if left out")
+    m.add_argument("--max-files", type=int, help="files of a micro-batch")
+    m.add_argument("--interval", type=float, default=300, help="seconds between polls, unless a burst was found")
+    m.add_argument("--once", action="store_true", help="consume what is there and stop")
+    i = sub.add_parser("isin")
+    i.add_argument("--payloads", required=True)
+    i.add_argument("--cache", required=True)
+    i.add_argument("--json-cache", help="JSON object {ticker: isin} to use where there is no cache")
+    i.add_argument("--refresh", action="store_true")
+    d = sub.add_parser("mark")
+    d.add_argument("--filings", required=True)
+    d.add_argument("--updates", required=True)
     k = sub.add_parser("cache")
     k.add_argument("--payloads", required=True)
     k.add_argument("--cache", required=True)
@@ -244,7 +293,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     a = build_parser().parse_args(argv)
     spark = spark or get_spark()
     fn = {"crawl": cmd_crawl, "stats": cmd_stats, "export": cmd_export, "monitor": cmd_monitor,
-          "cache": cmd_cache, "extract": cmd_extract}[a.cmd]
+          "cache": cmd_cache, "extract": cmd_extract, "isin": cmd_isin, "mark": cmd_mark}[a.cmd]
     return fn(spark, a)
 
 

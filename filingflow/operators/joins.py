@@ -1,9 +1,10 @@
 """Join operators.
 
 Joins carry no broadcast hints: statistics and AQE pick the strategy from the
-sizes met at run time. Rows with a null join key are split off before a left
-join, so that they don't meet in one task. Anti joins pre-aggregate the right side (distinct keys)
-so that duplicate keys are combined map-side before the shuffle.
+sizes met at run time. Left joins carry a salt in the join key that spreads
+rows without a key; hot keys are split by AQE's skew join, which may cut the
+left side of a left join anywhere. Anti joins pre-aggregate the right side
+(distinct keys) so that duplicate keys are combined map-side before the shuffle.
 """
 
 from __future__ import annotations
@@ -15,12 +16,24 @@ from ..functions.text import has_equity_marker, strip_ws, ticker_key, truthy
 from ..session import reliable_checkpoint
 
 
+#: parts that left rows without a key are dealt into
+KEYLESS_PARTS = 256
+
+
 def left_join_keyed(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Left outer equi-join on ``key``. Left rows without a key take no part
-    in the shuffle: they are added with nulls for the right side's columns."""
-    extra = [f for f in right.schema.fields if f.name != key]
-    keyless = left.filter(F.col(key).isNull()).select(*left.columns, *[F.lit(None).cast(f.dataType).alias(f.name) for f in extra])
-    return left.filter(F.col(key).isNotNull()).join(right, key, "left").select(*keyless.columns).unionByName(keyless)
+    """Left outer equi-join on ``key`` that reads ``left`` once. Rows without a
+    key match nothing; a salt of their content, part of the join key, deals
+    them over ``KEYLESS_PARTS`` values, so they don't meet in one task. The
+    right side has salt 0, as keyed rows have: it is not copied. (It is computed
+    from the key; a literal would be folded out of the join key.) The salt is a
+    hash, not a row number, so a repeated task deals its rows alike."""
+    # maps can't be hashed; such rows are dealt by their other columns
+    dealt_by = [F.col(f"`{f.name}`") for f in left.schema.fields if "map<" not in f.dataType.simpleString()]
+    zero = F.pmod(F.xxhash64(key), F.lit(1))
+    salt = F.when(F.col(key).isNull(), F.pmod(F.xxhash64(*dealt_by), F.lit(KEYLESS_PARTS))).otherwise(zero)
+    extra = [c for c in right.columns if c != key]
+    joined = left.withColumn("_salt", salt).join(right.withColumn("_salt", zero), [key, "_salt"], "left")
+    return joined.select(*left.columns, *extra)
 
 
 def enrich_isin(filings: DataFrame, isin_map: DataFrame, emisora_col: str = "emisora",

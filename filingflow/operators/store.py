@@ -1,11 +1,9 @@
-"""Keyed tables on parquet: schemas, upserts, crawl log, evolution (M1-M7).
+"""Keyed tables: schemas, records, upserts, crawl log, evolution (M1-M7).
 
 Parquet has no primary key and no row-level update; the key is kept by the
 operators: an upsert picks the last write per key inside the batch, drops
 the replaced keys from the stored rows with an anti-join and appends the
-batch. A stored table is partitioned by a hash bucket of its key, and an
-upsert reads and rewrites (dynamic partition overwrite) the buckets that the
-batch touches and no other. The crawl log is event-sourced:
+batch. ``tables`` does so on stored tables. The crawl log is event-sourced:
 start and completion events are appended, the current log is starts
 left-joined with the latest completion per id.
 """
@@ -197,67 +195,6 @@ def upsert_filings(existing: DataFrame, batch: DataFrame, mode: str = "replace")
     return upsert(existing, keep_downloads(existing, batch) if mode == "preserve" else batch, ["filing_id"])
 
 
-#: hash buckets of a new table; a table keeps the number it was made with.
-#: Choose it so that a bucket stays a few hundred MB.
-BUCKETS = 64
-
-
-def table_buckets(spark: SparkSession, table_dir: str) -> int | None:
-    """The number of buckets that a table was made with (None: no table)."""
-    from ..sources.documents import _exists
-    if not _exists(spark, f"{table_dir}/_buckets"):
-        return None
-    return spark.read.schema("n int").json(f"{table_dir}/_buckets").first()["n"]
-
-
-def read_table(spark: SparkSession, table_dir: str, schema: T.StructType, buckets: list[int] | None = None) -> DataFrame:
-    """A keyed table, or some of its buckets (partition pruning); an
-    absent table is empty."""
-    from ..sources.documents import _exists
-    if table_buckets(spark, table_dir) is None or not _exists(spark, f"{table_dir}/rows"):
-        return spark.createDataFrame([], schema)
-    rows = spark.read.schema(T.StructType([*schema.fields, T.StructField("bucket", T.IntegerType())])).parquet(f"{table_dir}/rows")
-    if buckets is not None:
-        rows = rows.filter(F.col("bucket").isin(buckets))
-    return rows.select(*schema.fieldNames())
-
-
-def rewrite_buckets(spark: SparkSession, table_dir: str, schema: T.StructType, key_cols: list[str], changed: DataFrame,
-                    merge, buckets: int = BUCKETS) -> None:
-    """Replace the rows of the buckets that ``changed`` (rows with the key
-    columns) touches by ``merge(stored rows, changed)``. Rows are written by
-    bucket, a task each; other buckets keep their files. The bucket numbers,
-    at most as many as the table has buckets, are all that the driver sees."""
-    n = table_buckets(spark, table_dir)
-    if n is None:
-        n = buckets
-        spark.range(1).select(F.lit(n).alias("n")).write.mode("overwrite").json(f"{table_dir}/_buckets")
-    bucket = F.pmod(F.xxhash64(*key_cols), F.lit(n)).cast("int")
-    touched = [r["bucket"] for r in changed.select(bucket.alias("bucket")).distinct().collect()]
-    if not touched:
-        return
-    merged = merge(read_table(spark, table_dir, schema, touched), changed)
-    (merged.select(*schema.fieldNames(), bucket.alias("bucket")).repartition(len(touched), "bucket")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket").parquet(f"{table_dir}/rows"))
-
-
-def upsert_table(spark: SparkSession, table_dir: str, schema: T.StructType, batch: DataFrame, key_cols: list[str],
-                 order_cols: tuple[str, ...] = ("_seq", "_pos"), buckets: int = BUCKETS) -> None:
-    """M1/M2 on a stored table: only the batch's buckets move."""
-    cols = schema.fieldNames()
-    latest = latest_per_key(batch.withColumn("_seq", F.col("_seq").cast("long")).select(*cols, *order_cols), key_cols, list(order_cols))
-    latest = reliable_checkpoint(latest.select(*cols))
-    rewrite_buckets(spark, table_dir, schema, key_cols, latest,
-                    lambda old, new: old.join(new.select(*key_cols), key_cols, "left_anti").unionByName(new), buckets)
-
-
-def mark_downloaded_table(spark: SparkSession, table_dir: str, updates: DataFrame) -> None:
-    """M3 on the stored filings table: ``updates`` (filing_id, download_path,
-    seq) touch only their buckets; unknown ids are ignored."""
-    from .joins import mark_downloaded
-    rewrite_buckets(spark, table_dir, FILINGS_SCHEMA, ["filing_id"], reliable_checkpoint(updates), mark_downloaded)
-
-
 # ---------------------------------------------------------------------------
 # M4 / M5: event-sourced crawl log
 # ---------------------------------------------------------------------------

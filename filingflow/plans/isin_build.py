@@ -29,6 +29,21 @@ def company_items(pages: DataFrame, full: int = PAGE_ITEMS) -> DataFrame:
     return taken.select("page", F.posexplode("items").alias("pos", "it")).select("page", "pos", "it.id", "it.clave")
 
 
+#: kinds of payload, and what the id of one holds
+COMPANY_KIND, ISSUE_KIND = "companies", "issues"
+# Fixed value: marker of equity issues.
+EQUITY_MARKER = "ACCION"
+
+
+def isin_map_from_payloads(bronze: DataFrame, marker: str = EQUITY_MARKER, full: int = PAGE_ITEMS) -> DataFrame:
+    """The map from captured payloads: company pages have the page number as
+    payload id, issue pages ``company/page``."""
+    page = F.regexp_extract("payload_id", r"(\d+)$", 1).try_cast("long")
+    companies = bronze.filter(F.col("kind") == COMPANY_KIND).select(page.alias("page"), "body")
+    issues = bronze.filter(F.col("kind") == ISSUE_KIND).select(F.regexp_extract("payload_id", r"^([^/]+)/", 1).alias("company_id"), page.alias("page"), "body")
+    return isin_map_from_pages(companies, issues, marker, full)
+
+
 def isin_map_from_pages(company_pages: DataFrame, issue_pages: DataFrame, marker: str, full: int = PAGE_ITEMS) -> DataFrame:
     """The map from company pages (page, body) and issue pages (company_id,
     page, body)."""

@@ -3,14 +3,18 @@
 from __future__ import annotations
 
 import datetime as dt
+import logging
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.aggregates import EXIT_CODES, SCRAPER_NAME, stats_record
-from ..operators.store import CRAWL_LOG_SCHEMA, FILINGS_SCHEMA, read_table
+from ..operators.store import CRAWL_LOG_SCHEMA, FILINGS_SCHEMA
+from ..operators.tables import read_table
 from ..sources.files import dir_size
 
+log = logging.getLogger(__name__)
+
 STATS_FIELDS = ["scraper", "country", "sources", "total_filings", "downloaded", "pending_download",
                 "unique_companies", "total_crawl_runs", "earliest_record", "latest_record",
                 "db_size_bytes", "documents_size_bytes", "health"]
@@ -27,7 +31,8 @@ def compute_stats(spark: SparkSession, filings_dir: str, log: DataFrame | str, d
         docs = dir_size(spark, docs_dir).first()["total_bytes"]
         row = stats_record(filings, log_df, as_of, db, docs).first().asDict(recursive=True)
         return {k: row[k] for k in STATS_FIELDS}
-    except Exception:  # noqa: BLE001 - stats never fail, they report 'error'
+    except Exception as e:  # noqa: BLE001 - stats never fail, they report 'error'
+        log.warning("statistics failed: %s", e)
         return {"scraper": SCRAPER_NAME, "country": "MX", "sources": ["cnbv"], "total_filings": 0,
                 "downloaded": 0, "pending_download": 0, "unique_companies": 0, "total_crawl_runs": 0,
                 "earliest_record": None, "latest_record": None, "db_size_bytes": 0,

@@ -16,6 +16,8 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # lists of keys reach Parquet's Bloom filters as values, not as a range
+    "spark.sql.parquet.pushdown.inFilterThreshold": "1000",
     # base64 text without MIME line breaks (as Python's b64encode)
     "spark.sql.chunkBase64String.enabled": "false",
 }

@@ -3,14 +3,15 @@
 The source system keeps one JSON document ``{metadata, filings: [...]}`` and
 rewrites it whole on every append. Here a document is a directory:
 ``filings/`` holds JSON lines (splittable, appended as new files) and
-``metadata/`` a one-row JSON with counters computed by an aggregate. A
+``metadata/`` a counter row per write or append, which the writes count
+themselves; reading the metadata adds the rows up. A
 single-file document in the source format can still be read (it is one
 multi-line JSON value, so Spark reads it in one task by nature).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,44 +26,51 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
-def write_filings_document(filings: DataFrame, path: str, source: str, scraped_at: str,
-                           downloads_enabled: bool = False, mode: str = "errorifexists") -> None:
-    """S3: filings as JSON lines plus a metadata row (source, scraped_at,
-    total_filings, pdfs_downloaded, pdfs_failed)."""
-    filings.write.mode(mode).json(f"{path}/filings")
-    meta = spark_meta(filings, source, scraped_at, downloads_enabled)
-    meta.coalesce(1).write.mode(mode).json(f"{path}/metadata")
+COUNTERS = "source string, scraped_at string, total_filings long, pdfs_downloaded long, pdfs_failed long, last_updated string"
 
 
-def spark_meta(filings: DataFrame, source: str, scraped_at: str, downloads_enabled: bool) -> DataFrame:
+def _write_counted(filings: DataFrame, folder: str, mode: str) -> tuple[int, int]:
+    """Write rows as JSON lines; (rows, rows with a document), counted by the
+    write itself."""
+    seen = Observation()
     ok = truthy(F.col("pdf_path")) if "pdf_path" in filings.columns else F.lit(False)
-    agg = filings.agg(F.count("*").alias("total_filings"), F.count_if(ok).alias("pdfs_downloaded"))
-    failed = (F.col("total_filings") - F.col("pdfs_downloaded")) if downloads_enabled else F.lit(0).cast("bigint")
-    return agg.select(F.lit(source).alias("source"), F.lit(scraped_at).alias("scraped_at"),
-                      "total_filings", "pdfs_downloaded", failed.alias("pdfs_failed"))
+    filings.observe(seen, F.count(F.lit(1)).alias("rows"), F.count_if(ok).alias("documents")).write.mode(mode).json(folder)
+    counts = seen.get
+    return counts["rows"], counts["documents"]
 
 
-def append_filings(filings: DataFrame, path: str, last_updated: str | None = None) -> None:
-    """Append without de-duplication as new files; the metadata row is
-    written anew with the recounted totals and ``last_updated``."""
+def _add_counters(spark: SparkSession, folder: str, mode: str, row: tuple) -> None:
+    spark.createDataFrame([row], COUNTERS).coalesce(1).write.mode(mode).option("ignoreNullFields", False).json(folder)
+
+
+def write_filings_document(filings: DataFrame, path: str, source: str, scraped_at: str,
+                           downloads_enabled: bool = False, mode: str = "errorifexists") -> None:
+    """S3: filings as JSON lines plus a counter row (source, scraped_at,
+    total_filings, pdfs_downloaded, pdfs_failed)."""
+    rows, done = _write_counted(filings, f"{path}/filings", mode)
+    _add_counters(filings.sparkSession, f"{path}/metadata", mode, (source, scraped_at, rows, done, rows - done if downloads_enabled else 0, None))
+
+
+def append_filings(filings: DataFrame, path: str, last_updated: str | None = None, append_id: str | None = None) -> None:
+    """Append without de-duplication as new files, with a counter row of
+    this append; nothing stored is read. With an ``append_id`` a repeated
+    append replaces itself."""
+    folder, mode = (f"/{append_id}", "overwrite") if append_id else ("", "append")
     spark = filings.sparkSession
-    filings.write.mode("append").json(f"{path}/filings")
-    meta = read_metadata(spark, path)
-    if meta is None:
-        return
-    rows = spark.read.json(f"{path}/filings")
-    ok = truthy(F.col("pdf_path")) if "pdf_path" in rows.columns else F.lit(False)
-    total, done = rows.agg(F.count("*"), F.count_if(ok)).first()
-    old = meta.first().asDict()
-    failed = total - done if old.get("pdfs_failed") else 0
-    spark.createDataFrame([(old.get("source"), old.get("scraped_at"), total, done, failed, last_updated)],
-                          "source string, scraped_at string, total_filings long, pdfs_downloaded long, pdfs_failed long, last_updated string") \
-         .write.mode("overwrite").json(f"{path}/metadata")
+    first = read_metadata(spark, path)
+    failing = first is not None and (first.first()["pdfs_failed"] or 0) > 0
+    rows, done = _write_counted(filings, f"{path}/filings{folder}", mode)
+    _add_counters(spark, f"{path}/metadata{folder}", mode, (None, None, rows, done, rows - done if failing else 0, last_updated))
 
 
 def read_metadata(spark: SparkSession, path: str) -> DataFrame | None:
-    """The metadata row of a document directory (None when there is none)."""
-    return spark.read.json(f"{path}/metadata") if _exists(spark, f"{path}/metadata") else None
+    """The metadata of a document directory, one row folded from its counter
+    rows (None when there is none)."""
+    if not _exists(spark, f"{path}/metadata"):
+        return None
+    rows = spark.read.schema(COUNTERS).option("recursiveFileLookup", True).json(f"{path}/metadata")
+    return rows.agg(F.max("source").alias("source"), F.max("scraped_at").alias("scraped_at"),
+                    *[F.sum(n).alias(n) for n in ("total_filings", "pdfs_downloaded", "pdfs_failed")], F.max("last_updated").alias("last_updated"))
 
 
 def read_filings_document(spark: SparkSession, path: str,
@@ -71,7 +79,7 @@ def read_filings_document(spark: SparkSession, path: str,
     in the source format (``filings`` array, empty when absent)."""
     schema = schema or FILING_RECORD_SCHEMA
     if _exists(spark, f"{path}/filings"):
-        return spark.read.schema(schema).json(f"{path}/filings")
+        return spark.read.schema(schema).option("recursiveFileLookup", True).json(f"{path}/filings")
     doc_schema = T.StructType([T.StructField("filings", T.ArrayType(schema))])
     doc = spark.read.schema(doc_schema).option("multiLine", True).json(path)
     return doc.select(F.explode(F.coalesce(F.col("filings"), F.array().cast(T.ArrayType(schema)))).alias("f")) \
@@ -84,7 +92,7 @@ def export_document(spark: SparkSession, src: str, dest: str, files: int | None
     in the source system)."""
     if not _exists(spark, src):
         return None
-    rows = spark.read.json(f"{src}/filings") if _exists(spark, f"{src}/filings") else read_filings_document(spark, src)
+    rows = spark.read.option("recursiveFileLookup", True).json(f"{src}/filings") if _exists(spark, f"{src}/filings") else read_filings_document(spark, src)
     (rows.coalesce(files) if files else rows).write.mode("overwrite").json(f"{dest}/filings")
     meta = read_metadata(spark, src)
     if meta is not None:

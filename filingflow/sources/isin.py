@@ -2,12 +2,14 @@
 
 Our cache is a parquet table (ticker_key, isin), written only when the map
 is not empty. The source system's cache format, one JSON object
-``{ticker: isin}``, can be read too: absent, unparsable or non-object files
-count as "no cache".
+``{ticker: isin}``, is read where there is no such table: absent, unparsable
+or non-object files count as "no cache". Failures that the source system
+survives are survived here too, with a warning in the log.
 """
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ from ..session import reliable_checkpoint
 from .documents import _exists
 
 MAP_SCHEMA = "ticker_key string, isin string"
+log = logging.getLogger(__name__)
 
 
 def read_json_object_cache(spark: SparkSession, path: str) -> DataFrame | None:
@@ -42,24 +45,40 @@ def write_cache(isin_map: DataFrame, path: str) -> bool:
             return False
         isin_map.select("ticker_key", "isin").write.mode("overwrite").parquet(path)
         return True
-    except Exception:  # noqa: BLE001 - a failed cache write must not stop a run
+    except Exception as e:  # noqa: BLE001 - a failed cache write must not stop a run
+        log.warning("ISIN map not cached at %s: %s", path, e)
         return False
 
 
+def read_cache(spark: SparkSession, path: str) -> DataFrame | None:
+    """The map cached at ``path``, as our table or as a JSON object; None
+    where there is neither."""
+    if not _exists(spark, path):
+        return None
+    if path.endswith(".json"):
+        return read_json_object_cache(spark, path)
+    try:
+        cached = spark.read.schema(MAP_SCHEMA).parquet(path)
+        cached.isEmpty()  # reads are lazy: a broken file shows here
+        return cached
+    except Exception as e:  # noqa: BLE001 - unreadable cache = build again
+        log.warning("ISIN cache %s can't be read: %s", path, e)
+        return None
+
+
 def load_isin_map(spark: SparkSession, cache_path: str, build: Callable[[], DataFrame],
-                  force_refresh: bool = False) -> DataFrame:
-    """The cached map unless ``force_refresh``; otherwise build it
-    and cache it when not empty. A failed build gives an empty map."""
-    if not force_refresh and _exists(spark, cache_path):
-        try:
-            cached = spark.read.schema(MAP_SCHEMA).parquet(cache_path)
-            cached.isEmpty()  # reads are lazy: a broken file shows here
+                  force_refresh: bool = False, fallback: str | None = None) -> DataFrame:
+    """The cached map unless ``force_refresh`` (our cache, else the JSON
+    object at ``fallback``); otherwise build it (J5) and cache it when not
+    empty. A failed build gives an empty map."""
+    for path in () if force_refresh else (cache_path, fallback):
+        cached = read_cache(spark, path) if path else None
+        if cached is not None:
             return cached
-        except Exception:  # noqa: BLE001 - unreadable cache = build again
-            pass
     try:
         built = reliable_checkpoint(build().select("ticker_key", "isin"))  # errors of a lazy build show here
-    except Exception:  # noqa: BLE001
+    except Exception as e:  # noqa: BLE001
+        log.warning("ISIN map not built: %s", e)
         return spark.createDataFrame([], MAP_SCHEMA)
     if write_cache(built, cache_path):
         return spark.read.schema(MAP_SCHEMA).parquet(cache_path)

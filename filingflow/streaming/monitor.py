@@ -3,17 +3,9 @@
 The source system polls a portal for keys above a high-water mark. Here new
 filings arrive as files in a landing folder; a streaming query reads them,
 keeps keys above the baseline however late they come, and a ``foreachBatch``
-sink:
-
-* drops duplicates inside the batch and anti-joins it with the keys already
-  written by earlier batches,
-* writes the batch to ``sink/batch_id=N`` with overwrite, so a replayed
-  batch after a failure rewrites the same folder (exactly-once with the
-  checkpoint),
-* records the high-water mark (X2/S12) and the burst-detection fold (X3)
-  as one row per batch.
-
-Per-batch bookkeeping reads only scalars (counts, one state row).
+sink writes the rows of new keys to ``sink/batch_id=N`` with overwrite, so a
+replayed batch after a failure rewrites the same folder (exactly-once with the
+checkpoint). ``cycles`` says which keys are new, and keeps the counts.
 """
 
 from __future__ import annotations
@@ -24,20 +16,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import SOURCE_NAME
 from ..sources.documents import _exists
-
-# Adaptive look-ahead and poll interval of the monitor.
-LOOK_AHEAD_START = 5
-LOOK_AHEAD_MAX = 200
-POLL_INTERVAL = "300 seconds"
-
-
-def next_look_ahead(look_ahead: int, new_count: int) -> tuple[int, str]:
-    """Double (up to 200) when a cycle found at least look_ahead - 2 new
-    keys; otherwise back to 5."""
-    if new_count > 0 and new_count >= look_ahead - 2:
-        return min(look_ahead * 2, LOOK_AHEAD_MAX), "burst"
-    return LOOK_AHEAD_START, ("normal" if new_count > 0 else "idle")
+from .cycles import fresh_keys, record_cycle
 
 
 def write_drop(df: DataFrame, landing: str) -> None:
@@ -62,35 +43,6 @@ def time_slices(df: DataFrame, drops: int, ts_col: str) -> list[DataFrame]:
     return out
 
 
-STATE_SCHEMA = "last_key long, new_count long, look_ahead int, mode string"
-
-
-def stored_last_key(spark: SparkSession, state_dir: str) -> int:
-    """High-water mark of the state table (0 when absent)."""
-    return last_state(spark, state_dir)[0]
-
-
-def last_state(spark: SparkSession, state_dir: str, before: int | None = None) -> tuple[int, int]:
-    """(high-water mark, look-ahead) of the batches before ``before``."""
-    if not _exists(spark, state_dir):
-        return 0, LOOK_AHEAD_START
-    rows = spark.read.schema(f"{STATE_SCHEMA}, batch_id long").parquet(state_dir)
-    if before is not None:
-        rows = rows.filter(F.col("batch_id") < before)
-    last, la = rows.agg(F.max("last_key"), F.max_by("look_ahead", "batch_id")).first()
-    return int(last or 0), int(la or LOOK_AHEAD_START)
-
-
-def baseline_key(spark: SparkSession, state_dir: str, cached_keys: DataFrame | None,
-                 start_key: int | None = None) -> int:
-    """max(stored state or the given start key, max cached key)."""
-    state = start_key if start_key is not None else stored_last_key(spark, state_dir)
-    cached = 0
-    if cached_keys is not None:
-        cached = int(cached_keys.agg(F.max(F.col("key").cast("bigint"))).first()[0] or 0)
-    return max(state, cached)
-
-
 @dataclass
 class MonitorPaths:
     landing: str
@@ -99,73 +51,106 @@ class MonitorPaths:
     checkpoint: str
 
 
-def _prior_keys(spark: SparkSession, sink: str, batch_id: int, lo, hi) -> DataFrame | None:
-    """Keys written by earlier batches within [lo, hi]: partition pruning on
-    batch_id and min/max pruning of parquet row groups on key keep this
-    read proportional to the batch's key range, not to the whole sink."""
-    if not _exists(spark, sink) or lo is None:
-        return None
-    return (spark.read.parquet(sink).filter(F.col("batch_id") < batch_id)
-                 .filter(F.col("key").between(lo, hi)).select("key"))
+def sink_rows(batch: DataFrame, batch_id: int, paths: MonitorPaths, by_source: bool) -> None:
+    """Rows of the batch's new keys, one per key, and the batch's cycle."""
+    batch = batch.dropDuplicates(["source", "key"]).persist()
+    try:
+        fresh = fresh_keys(batch.sparkSession, paths.state, batch, batch_id)
+        new = batch.join(fresh.select("source", "key"), ["source", "key"], "left_semi")
+        (new if by_source else new.drop("source")).write.mode("overwrite").parquet(f"{paths.sink}/batch_id={batch_id}")
+        record_cycle(batch, fresh, paths.state, batch_id, by_source)
+    finally:
+        batch.unpersist()
 
 
 def run_monitor(spark: SparkSession, paths: MonitorPaths, schema: T.StructType, baseline: int,
-                key_col: str = "key", ts_col: str = "ts",
-                max_files: int | None = None, available_now: bool = True) -> None:
-    """Run the monitor over the landing folder until the files
-    present are consumed (``availableNow``) or forever at the poll interval."""
+                key_col: str = "key", ts_col: str = "ts", max_files: int | None = None, source_col: str | None = None) -> None:
+    """Work off the files in the landing folder that no earlier run
+    has seen (``availableNow``). ``max_files`` splits a backlog into batches.
+    Keys are per source where ``source_col`` names one."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     stream = reader.parquet(paths.landing)
     keyed = (stream.withColumn("key", F.col(key_col).cast("bigint"))
                    .withColumn("ts", F.col(ts_col).cast("timestamp"))
+                   .withColumn("source", F.coalesce(F.col(source_col).cast("string"), F.lit("")) if source_col else F.lit(SOURCE_NAME))
                    .filter(F.col("key") > F.lit(baseline)))
+    q = (keyed.writeStream.foreachBatch(lambda batch, batch_id: sink_rows(batch, batch_id, paths, source_col is not None))
+              .option("checkpointLocation", paths.checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+
 
-    def sink_batch(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        batch = batch.dropDuplicates(["key"]).persist()
-        try:
-            lo, hi = batch.agg(F.min("key"), F.max("key")).first()
-            prior = _prior_keys(s, paths.sink, batch_id, lo, hi)
-            new = batch if prior is None else batch.join(prior, "key", "left_anti")
-            target = f"{paths.sink}/batch_id={batch_id}"
-            new.write.mode("overwrite").parquet(target)
-        finally:
-            batch.unpersist()
-        n, mx = s.read.parquet(target).agg(F.count("*"), F.max("key")).first()
-        last, look_ahead = last_state(s, paths.state, batch_id)
-        la, mode = next_look_ahead(look_ahead, n)
-        # one row per batch; batch_id is the partition folder, not a column of the row
-        s.createDataFrame([(max(last, int(mx or 0), baseline), int(n), la, mode)], STATE_SCHEMA) \
-         .write.mode("overwrite").parquet(f"{paths.state}/batch_id={batch_id}")
-
-    w = keyed.writeStream.foreachBatch(sink_batch).option("checkpointLocation", paths.checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=POLL_INTERVAL)
-    q = w.start()
-    if available_now:
-        q.awaitTermination()
-
-
-def burst_log(spark: SparkSession, state_dir: str) -> DataFrame:
-    """The look-ahead fold, one row per batch."""
-    return spark.read.parquet(state_dir).select("batch_id", "new_count", "look_ahead", "mode")
+# ---------------------------------------------------------------------------
+# Events per day
+# ---------------------------------------------------------------------------
+
+#: days that event times may lie behind the newest one before their day is closed
+DELAY_DAYS = 1
+_DAY_MICROS = 86_400_000_000
+_DAY_ROWS = "batch_id long, start timestamp, day string, n long, last_ts timestamp"
+
+
+def split_days(batch: DataFrame, batch_id: int, out: str, ts_col: str) -> None:
+    """Per-day counts of a batch, those of days that the watermark (the newest
+    event time of earlier batches less the delay) has closed apart."""
+    spark = batch.sparkSession
+    seen = [spark.read.schema(_DAY_ROWS).parquet(f"{out}/{part}") for part in ("on_time", "corrections") if _exists(spark, f"{out}/{part}")]
+    newest = None
+    for rows in seen:
+        m = rows.filter(F.col("batch_id") < batch_id).agg(F.max(F.unix_micros("last_ts"))).first()[0]
+        newest = m if newest is None or m is not None and m > newest else newest
+    ts = F.col(ts_col).cast("timestamp")
+    start = F.date_trunc("day", ts)
+    days = batch.filter(ts.isNotNull()).groupBy(start.alias("start")).agg(F.count("*").alias("n"), F.max(ts).alias("last_ts"))
+    late = F.lit(False) if newest is None else F.unix_micros("start") + _DAY_MICROS <= F.lit(newest - DELAY_DAYS * _DAY_MICROS)
+    rows = days.select(F.lit(batch_id).cast("long").alias("batch_id"), "start", F.date_format("start", "yyyy-MM-dd").alias("day"), "n", "last_ts",
+                       late.alias("late")).persist()
+    try:
+        # appended for the next stream, which takes a repeated batch once
+        rows.filter(~F.col("late")).drop("late").coalesce(1).write.mode("append").parquet(f"{out}/on_time")
+        rows.filter("late").drop("late").coalesce(1).write.mode("append").parquet(f"{out}/corrections")
+    finally:
+        rows.unpersist()
+
+
+def close_days(spark: SparkSession, out: str) -> None:
+    """Windows of a day in append mode: a day is written once, when the
+    watermark has passed its end. No row comes later than the watermark: such
+    rows went to the corrections."""
+    on_time = spark.readStream.schema(_DAY_ROWS).parquet(f"{out}/on_time").withWatermark("last_ts", f"{DELAY_DAYS} days")
+    days = (on_time.dropDuplicatesWithinWatermark(["batch_id", "day"]).groupBy(F.window("last_ts", "1 day"))
+                   .agg(F.sum("n").alias("n")).select(F.date_format("window.start", "yyyy-MM-dd").alias("day"), "n"))
+    (days.writeStream.format("parquet").option("path", f"{out}/closed").option("checkpointLocation", f"{out}/close")
+         .outputMode("append").trigger(availableNow=True).start().awaitTermination())
+
+
+def daily_counts(spark: SparkSession, out: str) -> DataFrame:
+    """Day, events (closed or open windows, and corrections), late events, and
+    whether the day is closed."""
+    def rows(part: str) -> DataFrame:
+        there = _exists(spark, f"{out}/{part}")
+        return (spark.read.schema(_DAY_ROWS).parquet(f"{out}/{part}") if there else spark.createDataFrame([], _DAY_ROWS)).dropDuplicates(["batch_id", "day"])
+
+    closed = spark.read.schema("day string, n long").parquet(f"{out}/closed") if _exists(spark, f"{out}/closed") else spark.createDataFrame([], "day string, n long")
+    open_ = rows("on_time").join(closed.select("day"), "day", "left_anti")
+    zero = F.lit(0).cast("long")
+    parts = (closed.select("day", "n", zero.alias("late"), F.lit(True).alias("closed"))
+             .unionByName(open_.select("day", "n", zero.alias("late"), F.lit(False).alias("closed")))
+             .unionByName(rows("corrections").select("day", "n", F.col("n").alias("late"), F.lit(True).alias("closed"))))
+    return parts.groupBy("day").agg(F.sum("n").alias("n_events"), F.sum("late").alias("n_late"), F.bool_or("closed").alias("closed"))
 
 
 def run_daily_counts(spark: SparkSession, landing: str, out: str, checkpoint: str, schema: T.StructType,
                      ts_col: str = "ts", max_files: int | None = None) -> DataFrame:
-    """Events per day. Each micro-batch writes its own count per day (a
-    grouped count, replayed batches rewrite their folder); a day's count is
-    the sum over batches, so late rows count whenever they come and no state
-    is kept in the stream."""
+    """Events per day of what has landed. Days close behind the watermark;
+    rows of closed days go to a correction stream, so none is lost."""
     reader = spark.readStream.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    ev = reader.parquet(landing).select(F.date_format(F.col(ts_col).cast("timestamp"), "yyyy-MM-dd").alias("day"))
-
-    def fold(batch: DataFrame, batch_id: int) -> None:
-        batch.groupBy("day").agg(F.count("*").alias("n")).write.mode("overwrite").parquet(f"{out}/batch_id={batch_id}")
-
-    q = ev.writeStream.foreachBatch(fold).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    q = (reader.parquet(landing).writeStream.foreachBatch(lambda batch, batch_id: split_days(batch, batch_id, out, ts_col))
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(out).groupBy("day").agg(F.sum("n").alias("n_events"))
+    if _exists(spark, f"{out}/on_time"):
+        close_days(spark, out)
+    return daily_counts(spark, out)

@@ -26,10 +26,11 @@ from filingflow.operators.store import (FILINGS_DEFAULTS, FILINGS_SCHEMA, SCHEMA
                                to_filings_rows, write_schema_version)
 from filingflow.operators.windows import latest_row
 from filingflow.session import ensure_conf, new_run_dir
-from filingflow.sources.documents import append_filings, export_document, read_filings_document, write_extracted
+from filingflow.sources.documents import append_filings, export_document, read_filings_document, read_metadata, write_extracted
 from filingflow.sources.files import dir_size
 from filingflow.sources.isin import load_isin_map
-from filingflow.streaming.monitor import MonitorPaths, baseline_key, burst_log, run_daily_counts, run_monitor, time_slices, write_drop
+from filingflow.streaming.cycles import baseline_key, burst_log, fold_cycles
+from filingflow.streaming.monitor import MonitorPaths, run_daily_counts, run_monitor, time_slices, write_drop
 from . import fixtures as fx
 from filingflow.plans.extract import document_tallies, process_filings
 from filingflow.plans.isin_build import PAGE_ITEMS, company_items
@@ -280,7 +281,9 @@ FROM fold
 
 @query("q30_stream_burst", _Q30_SQL)
 def q30_stream_burst(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return burst_log(spark, _monitor_run(spark, sf_dir).state)
+    state = _monitor_run(spark, sf_dir).state
+    fold_cycles(spark, state)
+    return burst_log(spark, state).select(F.col("batch_id").cast("int").alias("batch_id"), "new_count", "look_ahead", "mode")
 
 
 # ---------------------------------------------------------------------------
@@ -597,6 +600,20 @@ def _append_export(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return run, f"{run}/export"
 
 
+_Q40B_SQL = f"""
+WITH {OF}
+SELECT CAST(count(*) AS BIGINT) AS total_filings, CAST(0 AS BIGINT) AS pdfs_downloaded, CAST(count(DISTINCT o_orderkey % 2) AS BIGINT) AS appends FROM order_filings
+"""
+
+
+@query("q40b_append_metadata", _Q40B_SQL)
+def q40b_append_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counters of the exported document, which the appends counted."""
+    run, dest = _append_export(spark, sf_dir)
+    appends = spark.read.json(f"{run}/monitor/metadata").count()
+    return read_metadata(spark, dest).select("total_filings", "pdfs_downloaded", F.lit(appends).cast("long").alias("appends"))
+
+
 @query("q40_append_export", _Q40_SQL)
 def q40_append_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, dest = _append_export(spark, sf_dir)
@@ -618,14 +635,21 @@ def q41_dir_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 # q42 daily counts stream
 # ---------------------------------------------------------------------------
 
+# rows of the two middle slices come after the newest event: they are late where
+# their day ended a day or more before it
 _Q42_SQL = """
 SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS n_events
 FROM events GROUP BY 1
 """
+_Q42B_SQL = """
+WITH bnd AS (SELECT min(epoch_us(ts)) AS lo, max(epoch_us(ts)) AS hi, max(ts) AS newest FROM events),
+cut AS (SELECT CAST(trunc(lo + (hi - lo) / 4.0) AS BIGINT) AS a, CAST(trunc(lo + ((hi - lo) / 4.0) * 3) AS BIGINT) AS z, newest FROM bnd),
+e AS (SELECT CAST(ts AS DATE) AS day, epoch_us(ts) >= a AND epoch_us(ts) < z AND CAST(ts AS DATE) + INTERVAL 1 DAY <= newest - INTERVAL 1 DAY AS late FROM events, cut)
+SELECT strftime(day, '%Y-%m-%d') AS day, CAST(count(*) AS BIGINT) AS n_events, CAST(count(*) FILTER (WHERE late) AS BIGINT) AS n_late FROM e GROUP BY 1
+"""
 
 
-@query("q42_stream_daily", _Q42_SQL)
-def q42_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ensure_conf(spark)
     run = new_run_dir(spark, "daily")
     e = fx.read(spark, sf_dir, "events").select(*EVENT_COLS)
@@ -636,6 +660,17 @@ def q42_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
+@query("q42_stream_daily", _Q42_SQL)
+def q42_stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _daily(spark, sf_dir).select("day", "n_events")
+
+
+@query("q42b_stream_late", _Q42B_SQL)
+def q42b_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events per day, and those that came after their day was closed."""
+    return _daily(spark, sf_dir).select("day", "n_events", "n_late")
+
+
 # ---------------------------------------------------------------------------
 # q43 hidden fields merged with a delta
 # ---------------------------------------------------------------------------

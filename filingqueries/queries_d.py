@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from filingflow.operators.store import FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, read_table, upsert_table
+from filingflow.operators.store import FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA
+from filingflow.operators.tables import read_table, upsert_table
 from filingflow.session import ensure_conf, new_run_dir
 from filingflow.sources.payloads import BRONZE_SCHEMA, read_payloads
 from filingflow.streaming.filings import FilingsPaths, run_filings_monitor

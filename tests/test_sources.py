@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from filingflow.local_paths import to_local
 from filingflow.operators.archives import zip_members
 from filingflow.operators.filters import lookup, take_until_short_page
-from filingflow.operators.store import TOKEN_CACHE_SCHEMA, create_table, read_table, table_buckets, upsert_table
+from filingflow.operators.store import TOKEN_CACHE_SCHEMA, create_table
+from filingflow.operators.tables import read_table, table_buckets, upsert_table
 from filingflow.plans.cache_build import build_token_cache
 from filingflow.plans.extract import extract_single_file
 from filingflow.plans.stats import exit_code_of, stats_text
