@@ -34,26 +34,42 @@ def repair_fenced_json(text) -> Column:
     return strip_ws(c)
 
 
-_SCALAR_JSON = r'^(?:"[^"\\]*+(?:\\.[^"\\]*+)*+"|-?\d+(?:\.\d+)?(?:[eE][+-]?\d+)?|true|false|null)$'
+# The tokens of JSON text (with the non-finite numbers that the
+# source system's parser takes too), behind JSON white space.
+_JSON_TOKEN = (r'[ \t\r\n]*+("(?:[^"\\\x00-\x1f]++|\\(?:["\\/bfnrt]|u[0-9a-fA-F]{4}))*+"'
+               r"|-?(?:0|[1-9][0-9]*+)(?:\.[0-9]++)?+(?:[eE][+-]?[0-9]++)?+|-?Infinity|NaN|true|false|null|(?s:.))")
+_STACK = "struct<stack:string,state:string>"
 
 
-_JSON_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
+def _token_class(t: Column) -> Column:
+    """s: string, v: other scalar, x: no token; punctuation stands for itself."""
+    return (F.when(t.isin(*"{}[]:,"), t).when(t.startswith('"'), F.when(F.length(t) > 1, F.lit("s")).otherwise(F.lit("x")))
+             .when(t.rlike("^(?:-?[0-9].*|true|false|null|NaN|-?Infinity)$"), F.lit("v")).otherwise(F.lit("x")))
 
 
 def is_json(text) -> Column:
-    """Whole-text JSON validity. ``try_parse_json`` stops after the first
-    complete value, so the text must also end where that value ends: an
-    object or array must close on its last character, its brackets must
-    balance, and no closing bracket may be followed directly by an opening
-    one (two values side by side) -- all checked outside string literals."""
+    """Whole-text JSON validity, by a pushdown automaton over the tokens: the
+    stack holds the open brackets, the state says what may come next (V a
+    value, F a value or ']', K a key or '}', k a key, C a colon, E what follows
+    a value, X nothing: an error)."""
     t = strip_ws(as_col(text))
-    bare = F.regexp_replace(t, _JSON_STRING, '""')
-    opens = F.length(bare) - F.length(F.regexp_replace(bare, r"[\[{]", ""))
-    closes = F.length(bare) - F.length(F.regexp_replace(bare, r"[\]}]", ""))
-    container = ((t.startswith("{") & t.endswith("}")) | (t.startswith("[") & t.endswith("]"))) \
-        & (opens == closes) & ~bare.rlike(r"[}\]]\s*[{\[]")
-    shape = container | t.rlike(_SCALAR_JSON)
-    return F.coalesce(F.try_parse_json(t).isNotNull() & shape, F.lit(False))
+    tokens = F.transform(F.regexp_extract_all(t, F.lit(_JSON_TOKEN), 1), _token_class)
+
+    def step(acc, c):
+        stack, state = acc["stack"], acc["state"]
+        top = F.right(stack, F.lit(1))
+        value = state.isin("V", "F")
+        opens = value & c.isin("{", "[")
+        after = state == "E"
+        closes = ((c == "}") & ((state == "K") | after & (top == "{"))) | ((c == "]") & ((state == "F") | after & (top == "[")))
+        then = (F.when(opens, F.when(c == "{", "K").otherwise("F")).when(closes, "E")
+                 .when(value & c.isin("s", "v"), "E").when(state.isin("K", "k") & (c == "s"), "C").when((state == "C") & (c == ":"), "V")
+                 .when(after & (c == ",") & (top == "{"), "k").when(after & (c == ",") & (top == "["), "V").otherwise("X"))
+        return F.struct(F.when(opens, F.concat(stack, c)).when(closes, F.substring(stack, F.lit(1), F.length(stack) - 1)).otherwise(stack).alias("stack"),
+                        then.alias("state")).cast(_STACK)
+
+    start = F.struct(F.lit("").alias("stack"), F.lit("V").alias("state")).cast(_STACK)
+    return F.coalesce(F.aggregate(tokens, start, step, lambda acc: (acc["state"] == "E") & (acc["stack"] == "")), F.lit(False))
 
 
 def parse_model_json(text) -> tuple[Column, Column]:

@@ -149,22 +149,42 @@ def html_unescape(c) -> Column:
     at the front of a token; anything else stays. One pass means ``&amp;lt;``
     gives ``&lt;``. Text without '&' is returned as it is."""
     raw = as_col(c)
+    loose_reference = raw.rlike(r"&[A-Za-z][0-9A-Za-z]*+(?!;)")
     often, named, bare = (_literal_map(m) for m in ({**HTML_ENTITIES, "&amp;": "&"}, _NAMED, _BARE))
     parts = F.regexp_extract_all(raw, F.lit(r"&#[0-9]++;?|&#[xX][0-9a-fA-F]++;?|&[0-9A-Za-z]++;?|[^&]++|&"), 0)
 
     def one(t):
+        return F.when(t.startswith("&") & (F.length(t) > 1),
+                      F.coalesce(often[t], F.when(t.startswith("&#"), _numeric_text(t)), named[t], t)).otherwise(t)
+
+    def one_or_loose(t):
         front = F.regexp_extract(t, _BARE_RE, 1)
         loose = F.when(front != "", F.concat(bare[front], F.substring(t, F.length(front) + 2, F.length(t))))
         return F.when(t.startswith("&") & (F.length(t) > 1),
                       F.coalesce(often[t], F.when(t.startswith("&#"), _numeric_text(t)), named[t], loose, t)).otherwise(t)
 
-    return F.when(F.instr(raw, "&") > 0, F.array_join(F.transform(parts, one), "")).otherwise(raw)
+    # the long alternation of names without a semicolon is for texts that have one
+    decoded = F.when(loose_reference, F.transform(parts, one_or_loose)).otherwise(F.transform(parts, one))
+    return F.when(F.instr(raw, "&") > 0, F.array_join(decoded, "")).otherwise(raw)
+
+
+# What follows a tag's name up to its end: a value in quotes may hold '>'. Quotes
+# may come backslash-escaped, inside callback payloads.
+ATTRIBUTE_VALUE = r"""(?:\\?"[^"]*+"|\\?'[^']*+'|[^\s>]*+)"""
+TAG_REST = r"(?:[^>=]++|=\s*+" + ATTRIBUTE_VALUE + r")*+>"
+#: a tag, or a comment; a '<' before anything else is text
+TAG_RE = r"<(?:!--(?s:.*?)-->|[A-Za-z/!?]" + TAG_REST + ")"
+
+
+def other_attributes(name: str) -> str:
+    """Pattern: the attributes of a tag in front of the one called ``name``."""
+    return r"(?:[\s/]*+(?!" + name + r"[\s=>/])[^\s=>/]++(?:\s*+=\s*+" + ATTRIBUTE_VALUE + r")?+)*+[\s/]*+"
 
 
 def strip_tags(fragment) -> Column:
     """Tags removed together with the whitespace around them (every text
     node stripped, nodes joined without a separator)."""
-    return F.regexp_replace(as_col(fragment), r"(?U)\s*<[^>]*>\s*", "")
+    return F.regexp_replace(as_col(fragment), r"(?U)\s*" + TAG_RE + r"\s*", "")
 
 
 def finish_text(stripped) -> Column:
@@ -182,14 +202,14 @@ def html_text(fragment) -> Column:
 
 def page_text(html) -> Column:
     """Whole-page text: tags removed, nothing stripped (``get_text()``)."""
-    return html_unescape(F.regexp_replace(as_col(html), r"<[^>]*>", ""))
+    return html_unescape(F.regexp_replace(as_col(html), TAG_RE, ""))
 
 
 def title_text(html) -> Column:
     """Inner text of the first ``<title>``; null when there is none."""
     h = as_col(html)
-    has = h.rlike(r"(?is)<title\b[^>]*>.*?</title>")
-    return F.when(has, html_text(F.regexp_extract(h, r"(?is)<title\b[^>]*>(.*?)</title>", 1)))
+    pattern = r"(?is)<title\b" + TAG_REST + r"(.*?)</title>"
+    return F.when(h.rlike(pattern), html_text(F.regexp_extract(h, pattern, 1)))
 
 
 def is_error_page(html, http_status=None) -> Column:

@@ -4,9 +4,10 @@ Each parser takes a DataFrame with a text column holding one payload per
 row and returns rows; the work is regex/explode expressions evaluated inside
 whole-stage code generation, so it scales with the number of payloads and
 parallelises per partition. No HTML library is involved: the grid markup is
-regular (rows, cells, one link per subject cell). Nested tables and ``>``
-inside attribute values are not handled; entities are decoded by
-``functions.text.html_unescape`` (the whole HTML table).
+regular (rows, cells, one link per subject cell). Tags are read with their
+attributes, so quoted values may hold ``>``; a row with a nested table is
+read by a fold over its tags that keeps count of open rows and cells. Entities
+are decoded by ``functions.text.html_unescape`` (the whole HTML table).
 """
 
 from __future__ import annotations
@@ -15,21 +16,53 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._col import as_col
-from ..functions.text import (DX_MARKER, GRID_ROW_MARKER, ROW_CALLBACK, finish_text, html_unescape,
-                              strip_tags)
+from ..functions.text import (DX_MARKER, GRID_ROW_MARKER, ROW_CALLBACK, TAG_RE, TAG_REST, finish_text,
+                              html_unescape, other_attributes, strip_tags)
 
 # Markers of the asynchronous page-update format.
 DELTA_RESULTS_MARKER = "updatePanel|DefaultPlaceholder_UpdatePanelResultados|"
 
 _BIG = 2_147_483_647
-# Attribute quotes may come backslash-escaped inside callback payloads.
-_Q = r"""\\?["']?"""
-ROW_RE = (r"(?is)<tr\b[^>]*?\bclass\s*=\s*" + _Q + r"[^>]*?" + GRID_ROW_MARKER
-          + r"[^>]*>(.*?)</tr\s*>")
-CELL_RE = r"(?is)<td\b[^>]*>(.*?)</td\s*>"
-LINK_RE = (r"(?is)<a\b([^>]*?\bonclick\s*=\s*" + _Q + r"[^>]*?" + ROW_CALLBACK
-           + r"[^>]*)>(.*?)</a\s*>")
+
+def _holding(marker: str) -> str:
+    """Pattern: an attribute value with ``marker`` in it."""
+    return (r"""(?:\\?"[^"]*?""" + marker + r"""[^"]*+"|\\?'[^']*?""" + marker + r"""[^']*+'|[^\s>"']*?""" + marker + r"[^\s>]*+)")
+
+
+ROW_START = r"(?i)(?=<tr[\s>/])"
+DATA_ROW_RE = r"(?is)^<tr" + other_attributes("class") + r"class\s*+=\s*+" + _holding(GRID_ROW_MARKER)
+ROW_BODY_RE = r"(?is)^<tr" + TAG_REST + r"(.*?)(?:</tr\s*>|\z)"
+CELL_RE = r"(?is)<td(?=[\s>/])" + TAG_REST + r"(.*?)</td\s*>"
+LINK_RE = (r"(?is)<a(?=[\s/])" + other_attributes("onclick") + r"onclick\s*+=\s*+(" + _holding(ROW_CALLBACK) + ")" + TAG_REST
+           + r"(.*?)</a\s*>")
 KEY_RE = ROW_CALLBACK + r"\((\d+)\)"
+MARKUP_RE = TAG_RE + r"|[^<]++|<"
+_CELLS = "struct<depth:int,done:boolean,open:array<int>,n:int,c0:string,c1:string,c2:string>"
+
+
+def nested_cells(markup: Column) -> Column:
+    """The inner markup of the first three cells of a row, for text that
+    begins after the row's start tag and may run on beyond its end. Cells are
+    numbered as they begin, those of nested tables too; a cell holds all
+    markup between its own tags. An array, empty for fewer than three cells."""
+    start = F.struct(F.lit(1).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<int>").alias("open"), F.lit(0).alias("n"),
+                     F.lit("").alias("c0"), F.lit("").alias("c1"), F.lit("").alias("c2")).cast(_CELLS)
+
+    def step(acc, t):
+        begins, ends = t.rlike(r"(?i)^<td[\s>/]"), t.rlike(r"(?i)^</td[\s>/]")
+        depth = acc["depth"] + F.when(t.rlike(r"(?i)^<tr[\s>/]"), 1).when(t.rlike(r"(?i)^</tr[\s>/]"), -1).otherwise(0)
+        inside = F.when(ends, F.slice(acc["open"], 1, F.greatest(F.size(acc["open"]) - 1, F.lit(0)))).otherwise(acc["open"])
+        done = acc["done"] | (depth <= 0)
+
+        def cell(i):
+            name = f"c{i}"
+            return F.when(~done & F.array_contains(inside, F.lit(i)), F.concat(acc[name], t)).otherwise(acc[name]).alias(name)
+
+        return F.struct(depth.alias("depth"), done.alias("done"), F.when(begins, F.concat(inside, F.array(acc["n"]))).otherwise(inside).alias("open"),
+                        F.when(begins & ~done, acc["n"] + 1).otherwise(acc["n"]).alias("n"), *[cell(i) for i in range(3)]).cast(_CELLS)
+
+    tokens = F.regexp_extract_all(markup, F.lit(MARKUP_RE), 0)
+    return F.aggregate(tokens, start, step, lambda acc: F.when(acc["n"] >= 3, F.array(acc["c0"], acc["c1"], acc["c2"])).otherwise(F.array().cast("array<string>")))
 
 
 def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = None) -> DataFrame:
@@ -37,20 +70,29 @@ def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = No
 
     Output: kept columns + pos, fecha, emisora, asunto, key (string, null when
     the subject cell has no callback link). Rows with fewer than three cells
-    are dropped (P10)."""
+    are dropped (P10). The page is cut where rows begin; a row with cells inside
+    cells is read from the rest of the page, to its own end."""
     keep = keep or []
-    rows = df.select(*keep, F.posexplode(F.regexp_extract_all(F.col(html_col), F.lit(ROW_RE), 1))
-                     .alias("pos", "_tr"))
-    rows = rows.withColumn("_td", F.regexp_extract_all("_tr", F.lit(CELL_RE), 1)) \
-               .filter(F.size("_td") >= 3)
-    # the subject cell is scanned once for the callback link; attributes and
+    parts = df.select(*keep, F.split(F.col(html_col), ROW_START).alias("_parts"))
+    data = F.filter(F.transform("_parts", lambda p, i: F.struct(i.alias("i"), p.alias("p"))), lambda s: s["p"].rlike(DATA_ROW_RE))
+
+    def body(s):
+        own = F.regexp_extract(s["p"], ROW_BODY_RE, 1)
+        # cells in cells: a table inside, or a cell that isn't closed
+        nested = own.rlike(r"(?i)<table[\s>/]") | (F.regexp_count(own, F.lit(r"(?i)<td[\s>/]")) != F.regexp_count(own, F.lit(r"(?i)</td[\s>]")))
+        rest = F.array_join(F.slice(F.col("_parts"), s["i"] + 1, F.size("_parts")), "")
+        return F.struct(nested.alias("nested"), F.when(nested, F.regexp_replace(rest, r"(?is)\A<tr" + TAG_REST, "")).otherwise(own).alias("tr"))
+
+    rows = parts.select(*keep, F.posexplode(F.transform(data, body)).alias("pos", "_row"))
+    rows = rows.select(*keep, "pos", F.when(F.col("_row.nested"), nested_cells(F.col("_row.tr")))
+                       .otherwise(F.regexp_extract_all(F.col("_row.tr"), F.lit(CELL_RE), 1)).alias("_td")).filter(F.size("_td") >= 3)
+    # the subject cell is scanned once for the callback link; the key and the
     # text are then taken from that (short) match
     rows = rows.withColumn("_a", F.regexp_extract(F.get(F.col("_td"), 2), LINK_RE, 0))
     link = F.col("_a")
     has_link = link != ""
-    link_attrs = F.regexp_extract(link, r"(?is)^<a\b([^>]*)>", 1)
-    link_body = F.regexp_extract(link, r"(?is)^<a\b[^>]*>(.*)</a\s*>$", 1)
-    key = F.nullif(F.regexp_extract(link_attrs, KEY_RE, 1), F.lit(""))
+    link_body = F.regexp_extract(link, LINK_RE, 2)
+    key = F.nullif(F.regexp_extract(F.regexp_extract(link, LINK_RE, 1), KEY_RE, 1), F.lit(""))
     # tags are stripped into columns first: each cell regex runs once
     cells = rows.select(
         *keep, "pos",
@@ -114,7 +156,7 @@ def callback_rows(df: DataFrame, text_col: str = "body", keep: list[str] | None
 
 def _attr_raw(tag: Column, name: str) -> Column:
     """Raw attribute text with its quotes ('' when absent, '""' when empty)."""
-    pat = r"(?is)\s" + name + r"""\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    pat = r"(?is)^<\w++" + other_attributes(name) + name + r"""\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
     return F.regexp_extract(tag, pat, 1)
 
 
@@ -123,7 +165,7 @@ def _unquote(raw: Column) -> Column:
     return html_unescape(F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
 
 
-_HIDDEN_TYPE = r"""(?is)\stype\s*=\s*(?:"\s*hidden\s*"|'\s*hidden\s*'|hidden(?=[\s/>]|$))"""
+_HIDDEN_TYPE = r"(?is)^<input" + other_attributes("type") + r"""type\s*+=\s*+(?:"\s*hidden\s*"|'\s*hidden\s*'|hidden(?=[\s/>]|$))"""
 
 
 def hidden_fields(html) -> Column:
@@ -132,7 +174,7 @@ def hidden_fields(html) -> Column:
     first narrowed to hidden ones; each attribute regex then runs once per
     input (a first pass builds a struct of raw attributes, the second pass
     works on its fields: lambdas get no common-subexpression elimination)."""
-    tags = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<input\b[^>]*>"), 0)
+    tags = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<input(?=[\s/>])" + TAG_REST), 0)
     hidden = F.filter(tags, lambda t: t.rlike(_HIDDEN_TYPE))
     raw = F.transform(hidden, lambda t: F.struct(_attr_raw(t, "name").alias("n"), _attr_raw(t, "id").alias("i"),
                                                  _attr_raw(t, "value").alias("v")))

@@ -124,14 +124,16 @@ def render_row(f: DataFrame) -> Column:
                  F.lit(f"{GRID_ROW_MARKER}_Aqua {GRID_ROW_MARKER}Alt")).otherwise(F.lit(f"{GRID_ROW_MARKER}_Aqua"))
     subj = html_escape(F.col("asunto"))
     cell3 = F.when(F.col("key").isNotNull(),
-                   F.concat(F.lit('<a href="javascript:void(0)" onclick="cbp.'), F.lit(ROW_CALLBACK), F.lit("("),
+                   F.concat(F.lit('<a title="1 > 0" href="javascript:void(0)" onclick="cbp.'), F.lit(ROW_CALLBACK), F.lit("("),
                             F.col("key"), F.lit(');">'), subj, F.lit("</a>"))) \
              .otherwise(F.concat(F.lit(" "), subj, F.lit(" ")))
+    # every fifth row has tags with '>' in attribute values, every sixth a table around its subject
+    subject = F.when(F.col("pos") % 6 == 2, F.concat(F.lit('<table class="in"><tbody><tr><td class="x">'), cell3, F.lit("</td></tr></tbody></table>"))).otherwise(cell3)
     return F.concat(
-        F.lit('<tr id="r'), F.col("pos").cast("string"), F.lit('" class="'), cls, F.lit('">'),
+        F.lit('<tr id="r'), F.col("pos").cast("string"), F.when(F.col("pos") % 5 == 3, F.lit('" title="a > b')).otherwise(F.lit("")), F.lit('" class="'), cls, F.lit('">'),
         F.lit('<td class="dxgv"> <span>'), F.col("fecha"), F.lit("</span> </td>"),
         F.lit('<td class="dxgv">'), html_escape(F.coalesce(F.col("emisora"), F.lit(""))), F.lit("</td>"),
-        F.lit('<td class="dxgv">'), cell3, F.lit("</td></tr>\n"))
+        F.when(F.col("pos") % 5 == 3, F.lit('<td title="x > y" class="dxgv">')).otherwise(F.lit('<td class="dxgv">')), subject, F.lit("</td></tr>\n"))
 
 
 def render_grid_pages(filings: DataFrame, total_pages: int = 0, total_rows: int = 0) -> DataFrame:

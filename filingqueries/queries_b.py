@@ -465,7 +465,9 @@ def _model_text(eid, props):
              .when(shape == 1, F.concat(F.lit("```json\n"), props, F.lit("\n```")))
              .when(shape == 2, F.concat(F.lit("json "), props))
              .when(shape == 3, F.concat(F.lit("  ```\n"), props, F.lit("```  ")))
-             .otherwise(F.substring(props, F.lit(2), F.length(props))))
+             .when(eid % 20 == 4, F.substring(props, F.lit(2), F.length(props)))
+             # two values, no comma, no colon
+             .when(eid % 20 == 9, F.concat(props, F.lit(","), props)).when(eid % 20 == 14, F.lit("[1 2]")).otherwise(F.lit('{"a" 1}')))
 
 
 _Q24_SQL = """
@@ -473,7 +475,8 @@ WITH t AS (
   SELECT event_id, props,
     CASE event_id % 5 WHEN 0 THEN props WHEN 1 THEN '```json' || chr(10) || props || chr(10) || '```'
                       WHEN 2 THEN 'json ' || props WHEN 3 THEN '  ```' || chr(10) || props || '```  '
-                      ELSE substr(props, 2) END AS text
+                      ELSE CASE event_id % 20 WHEN 4 THEN substr(props, 2) WHEN 9 THEN props || ',' || props
+                                              WHEN 14 THEN '[1 2]' ELSE '{"a" 1}' END END AS text
   FROM events)
 SELECT event_id, event_id % 5 = 4 AS parse_error,
   CASE WHEN event_id % 5 <> 4 THEN CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,

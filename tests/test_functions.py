@@ -216,3 +216,19 @@ def test_duration_and_age(spark):
     ages = [r[0] for r in one_col(spark, ["2026-01-01T00:00:00", "nope"], "c").select(
         D.age_hours("c", F.lit("2026-01-02 12:00:00").cast("timestamp"))).collect()]
     assert ages == [36.0, float("inf")]
+
+
+@pytest.mark.parametrize("text", [
+    "{}", "[]", '{"a": 1}', "[1, 2, [3, {}]]", '"x"', "-1.5e+3", "0", "true", "null", ' {"a": {"b": [1, {"c": "}]"}]}} ', '{"a": "\\u00e9\\n\\""}',
+    "NaN", '[-Infinity]', '{"a": 1, "a": 2}',
+    "", " ", "{", "}", "[1 2]", '{"a" 1}', '{"a": 1,}', "[1,]", "[,1]", '{"a": 1},{"b": 2}', "{} {}", "[1]]", "01", "-", "1.", ".5", "+1", "1e", "tru",
+    "truefalse", "1 2", '"a', '"a\nb"', '"\\x"', '"\\u12"', "{1: 2}", "{'a': 1}", '{"a": }', '{"a"}', '["a": 1]', "[}", "{]", '{"a": 1]', "nan", "[1, 2", "//",
+    '{"a": undefined}', "[" * 300 + "]" * 300, "[" * 300 + "]" * 299])
+def test_strict_json(spark, text):
+    import json
+    try:
+        json.loads(text)
+        want = True
+    except ValueError:
+        want = False
+    assert one_col(spark, [text]).select(X.is_json("x")).first()[0] is want

@@ -98,6 +98,39 @@ def test_miss_streak(spark):
     assert got == [(1, 0), (1, 3), (2, 2)]
 
 
+def test_miss_streak_over_partitions(spark):
+    """Runs of misses that cross batches and range partitions, a hot cycle,
+    two-column cycles, missing hits."""
+    import random
+    rnd = random.Random(7)
+    rows = [("hot", 1, i, False if 300 <= i < 900 else rnd.random() < 0.8) for i in range(1500)]
+    rows += [(c, rnd.randint(0, 1), i, rnd.choice([True, False, None])) for c in "abcdefgh" for i in range(60)]
+    rows += [("miss", 0, i, False) for i in range(700)] + [("miss", 1, 0, True)] + [(None, 0, i, i > 4) for i in range(8)]
+    df = spark.createDataFrame(rows, "c string, d int, o int, hit boolean")
+
+    def plain(streak):
+        out = []
+        for cycle in {(r[0], r[1]) for r in rows}:
+            run = 0
+            for _, _, o, hit in sorted((r for r in rows if (r[0], r[1]) == cycle), key=lambda r: r[2]):
+                run = run + 1 if hit is False else 0
+                if run == streak and cycle[0] is not None:
+                    break
+                if hit:
+                    out.append((*cycle, o))
+        return sorted(out, key=str)
+
+    was = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for streak, batch in ((1, 10000), (3, 7), (5, 64), (400, 50), (650, 3)):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+            got = miss_streak_cut(df, ["c", "d"], "o", "hit", streak)
+            assert sorted(((r.c, r.d, r.o) for r in got.collect()), key=str) == plain(streak)
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", was)
+    assert miss_streak_cut(df.limit(0), ["c", "d"], "o", "hit").count() == 0
+
+
 def test_limit_pages(spark):
     rows = spark.createDataFrame([(p,) for p in [1, 1, 2, 3, 5, 6]], "page long")
     def pages(m, total=6):

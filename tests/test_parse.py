@@ -84,3 +84,36 @@ def test_json_page_items(spark):
     df = spark.createDataFrame(rows, "t string")
     got = [len(r[0]) for r in df.select(P.json_page_items("t", "struct<id:string,clave:string>")).collect()]
     assert got == [2, 0, 0, 0, 0, 0]
+
+
+HARD = """<table id='t'><!-- <b> -->
+<tr data-x="dxgvDataRow"><td>no</td><td>data</td><td>row</td></tr>
+<tr title="a > b" onclick="if (1 > 0) f('<td>')" class='x dxgvDataRow_A'><td title='1 > 0'>01/01/2026</td><td>A &gt; B</td>
+<td><table><tr><td><a title="c > d" onclick="cb.PerformCallback(7)">Nested <b title=">">subject</b></a></td></tr></table></td></tr>
+<tr class=dxgvDataRow><td><table class="in"><tbody><tr><td>02/01</td><td>/2026</td></tr></tbody></table></td><td>C</td><td>plain</td></tr>
+<tr class="dxgvDataRow"><td>03/01/2026<td>D</td><td>E</td></tr>
+<tr class="dxgvDataRow"><td>04/01/2026</td><td>F</td><td><a href="x" data-onclick="PerformCallback(1)">no link</a></td></tr>
+<tr class="dxgvDataRow"><td>05/01/2026</td><td>G</td><td>outer<table><tr class="dxgvDataRow"><td>06/01/2026</td><td>H</td><td>inner</td></tr></table></td></tr>
+<tr class="dxgvDataRow"><td>07/01/2026</td><td>I</td><td>unclosed
+"""
+
+
+def test_hard_markup(spark):
+    """'>' in attributes, nested tables (whose cells count, in the order in
+    which they begin), a data row inside another, a row cut short."""
+    for text in (HARD, HARD.replace('"', '\\"')):
+        got = rows_of(P.grid_rows(spark.createDataFrame([(1, text)], "id int, body string"), "body", ["id"]))
+        assert got[:2] == [(0, "01/01/2026", "A > B", "Nestedsubject", "7"), (1, "02/01/2026", "02/01", "/2026", None)]
+        assert got[2] == (2, "03/01/2026DE", "D", "E", None) and got[6:] == [(6, "07/01/2026", "I", "unclosed", None)]
+        assert got[3:6] == [(3, "04/01/2026", "F", "no link", None), (4, "05/01/2026", "G", "outer06/01/2026Hinner", None),
+                            (5, "06/01/2026", "H", "inner", None)]
+    page = """<form><input title="a > b" type="hidden" name="n>1" value="v > w"><input value='type="hidden"' name=t>
+<input type=hidden id=i value=bare/><INPUT NAME='x' TYPE=" hidden " disabled></form>"""
+    m = spark.createDataFrame([(page,)], "t string").select(P.hidden_fields("t")).first()[0]
+    assert m == {"n>1": "v > w", "i": "bare/", "x": ""}
+
+
+def test_long_attributes_do_not_recurse(spark):
+    long = '<tr class="dxgvDataRow" title="' + "x > y = " * 20000 + '"><td>1</td><td>2</td><td ' + "a=b " * 3000 + ">3</td></tr>"
+    got = rows_of(P.grid_rows(spark.createDataFrame([(1, long)], "id int, body string"), "body"))
+    assert got == [(0, "1", "2", "3", None)]
