@@ -65,27 +65,44 @@ def nested_cells(markup: Column) -> Column:
     return F.aggregate(tokens, start, step, lambda acc: F.when(acc["n"] >= 3, F.array(acc["c0"], acc["c1"], acc["c2"])).otherwise(F.array().cast("array<string>")))
 
 
+def _own_parts(parts: Column, first: Column) -> Column:
+    """Markup of a row that begins with part number ``first`` (a page is cut
+    where rows begin): its part, and those that follow up to the one in which
+    the tables inside it are closed."""
+    start = F.struct(F.lit(0).alias("tables"), F.lit(False).alias("done"), F.array().cast("array<string>").alias("of")).cast(
+        "struct<tables:int,done:boolean,of:array<string>>")
+
+    def step(acc, p):
+        tables = acc["tables"] + F.regexp_count(p, F.lit(r"(?i)<table[\s>/]")) - F.regexp_count(p, F.lit(r"(?i)</table[\s>]"))
+        return F.when(acc["done"], acc).otherwise(F.struct(tables.alias("tables"), (tables <= 0).alias("done"), F.concat(acc["of"], F.array(p)).alias("of")))
+
+    return F.aggregate(F.slice(parts, first + 1, F.size(parts)), start, step, lambda acc: F.array_join(acc["of"], ""))
+
+
 def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = None) -> DataFrame:
     """G1: grid HTML -> one row per data row (``pos`` = 0-based row index).
 
     Output: kept columns + pos, fecha, emisora, asunto, key (string, null when
     the subject cell has no callback link). Rows with fewer than three cells
     are dropped (P10). The page is cut where rows begin; a row with cells inside
-    cells is read from the rest of the page, to its own end."""
+    cells is read to its own end, over the rows inside it."""
     keep = keep or []
     parts = df.select(*keep, F.split(F.col(html_col), ROW_START).alias("_parts"))
     data = F.filter(F.transform("_parts", lambda p, i: F.struct(i.alias("i"), p.alias("p"))), lambda s: s["p"].rlike(DATA_ROW_RE))
+    # lambdas have no common subexpressions: what is used again is a field
+    own = F.transform(data, lambda s: F.struct(s["i"].alias("i"), F.regexp_extract(s["p"], ROW_BODY_RE, 1).alias("own")))
 
-    def body(s):
-        own = F.regexp_extract(s["p"], ROW_BODY_RE, 1)
+    def nested(s):
         # cells in cells: a table inside, or a cell that isn't closed
-        nested = own.rlike(r"(?i)<table[\s>/]") | (F.regexp_count(own, F.lit(r"(?i)<td[\s>/]")) != F.regexp_count(own, F.lit(r"(?i)</td[\s>]")))
-        rest = F.array_join(F.slice(F.col("_parts"), s["i"] + 1, F.size("_parts")), "")
-        return F.struct(nested.alias("nested"), F.when(nested, F.regexp_replace(rest, r"(?is)\A<tr" + TAG_REST, "")).otherwise(own).alias("tr"))
+        return F.struct(s["i"].alias("i"), s["own"].alias("own"), (s["own"].rlike(r"(?i)<table[\s>/]") | (
+            F.regexp_count(s["own"], F.lit(r"(?i)<td[\s>/]")) != F.regexp_count(s["own"], F.lit(r"(?i)</td[\s>]")))).alias("nested"))
+
+    def cells(s):
+        whole = F.regexp_replace(_own_parts(F.col("_parts"), s["i"]), r"(?is)\A<tr" + TAG_REST, "")
+        return F.when(s["nested"], nested_cells(whole)).otherwise(F.regexp_extract_all(s["own"], F.lit(CELL_RE), 1))
 
-    rows = parts.select(*keep, F.posexplode(F.transform(data, body)).alias("pos", "_row"))
-    rows = rows.select(*keep, "pos", F.when(F.col("_row.nested"), nested_cells(F.col("_row.tr")))
-                       .otherwise(F.regexp_extract_all(F.col("_row.tr"), F.lit(CELL_RE), 1)).alias("_td")).filter(F.size("_td") >= 3)
+    # cells are computed below the explode, so the filter can't repeat them
+    rows = parts.select(*keep, F.posexplode(F.transform(F.transform(own, nested), cells)).alias("pos", "_td")).filter(F.size("_td") >= 3)
     # the subject cell is scanned once for the callback link; the key and the
     # text are then taken from that (short) match
     rows = rows.withColumn("_a", F.regexp_extract(F.get(F.col("_td"), 2), LINK_RE, 0))
