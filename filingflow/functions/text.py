@@ -7,7 +7,7 @@ makes ``.`` and ``$`` treat only ``\\n`` as a line end, like Python.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -149,23 +149,23 @@ def html_unescape(c) -> Column:
     at the front of a token; anything else stays. One pass means ``&amp;lt;``
     gives ``&lt;``. Text without '&' is returned as it is."""
     raw = as_col(c)
-    loose_reference = raw.rlike(r"&[A-Za-z][0-9A-Za-z]*+(?!;)")
     often, named, bare = (_literal_map(m) for m in ({**HTML_ENTITIES, "&amp;": "&"}, _NAMED, _BARE))
     parts = F.regexp_extract_all(raw, F.lit(r"&#[0-9]++;?|&#[xX][0-9a-fA-F]++;?|&[0-9A-Za-z]++;?|[^&]++|&"), 0)
 
     def one(t):
-        return F.when(t.startswith("&") & (F.length(t) > 1),
-                      F.coalesce(often[t], F.when(t.startswith("&#"), _numeric_text(t)), named[t], t)).otherwise(t)
-
-    def one_or_loose(t):
+        # the long alternation of names without a semicolon is for tokens that no table has
         front = F.regexp_extract(t, _BARE_RE, 1)
         loose = F.when(front != "", F.concat(bare[front], F.substring(t, F.length(front) + 2, F.length(t))))
         return F.when(t.startswith("&") & (F.length(t) > 1),
-                      F.coalesce(often[t], F.when(t.startswith("&#"), _numeric_text(t)), named[t], loose, t)).otherwise(t)
+                      F.coalesce(often[t], F.when(t.startswith("&#"), _numeric_text(t)), F.when(t.endswith(";"), named[t]), loose, t)).otherwise(t)
+
+    return F.when(F.instr(raw, "&") > 0, F.array_join(F.transform(parts, one), "")).otherwise(raw)
+
 
-    # the long alternation of names without a semicolon is for texts that have one
-    decoded = F.when(loose_reference, F.transform(parts, one_or_loose)).otherwise(F.transform(parts, one))
-    return F.when(F.instr(raw, "&") > 0, F.array_join(decoded, "")).otherwise(raw)
+def html_unescape_all(columns: list[Column], clean: Callable[[Column], Column] = lambda c: c) -> Column:
+    """``clean`` of each decoded column, as an array: the entity tables stand
+    in the plan once, however many columns there are."""
+    return F.transform(F.array(*columns), lambda c: clean(html_unescape(c)))
 
 
 # What follows a tag's name up to its end: a value in quotes may hold '>'. Quotes
@@ -235,8 +235,15 @@ DETAIL_LABELS = {"emisora": r"Emisora:", "asunto": r"Asunto\s*:?", "fecha": r"Fe
 
 
 def detail_fields(html) -> dict[str, Column]:
-    """F16 over a detail page: issuer, subject and received-at."""
-    t = page_text(html)
+    """F16 over a detail page: issuer, subject and received-at. Jobs put
+    ``page_text`` into a column first and call ``labelled_fields``, so that
+    pages are read once."""
+    return labelled_fields(page_text(html))
+
+
+def labelled_fields(text) -> dict[str, Column]:
+    """F16 over the text of a detail page."""
+    t = as_col(text)
     return {name: labelled_field(t, label) for name, label in DETAIL_LABELS.items()}
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .._col import as_col
-from ..functions.text import (DX_MARKER, GRID_ROW_MARKER, ROW_CALLBACK, TAG_RE, TAG_REST, finish_text,
-                              html_unescape, other_attributes, strip_tags)
+from ..functions.text import (DX_MARKER, GRID_ROW_MARKER, ROW_CALLBACK, TAG_RE, TAG_REST, html_unescape, html_unescape_all,
+                              other_attributes, strip_tags, strip_ws)
 
 # Markers of the asynchronous page-update format.
 DELTA_RESULTS_MARKER = "updatePanel|DefaultPlaceholder_UpdatePanelResultados|"
@@ -117,8 +117,8 @@ def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = No
         strip_tags(F.get(F.col("_td"), 1)).alias("_e"),
         strip_tags(F.when(has_link, link_body).otherwise(F.get(F.col("_td"), 2))).alias("_s"),
         F.when(has_link, key).alias("key"))
-    return cells.select(*keep, "pos", finish_text("_f").alias("fecha"), finish_text("_e").alias("emisora"),
-                        finish_text("_s").alias("asunto"), "key")
+    texts = cells.select(*keep, "pos", html_unescape_all([F.col("_f"), F.col("_e"), F.col("_s")], strip_ws).alias("_texts"), "key")
+    return texts.select(*keep, "pos", *[F.get("_texts", i).alias(n) for i, n in enumerate(("fecha", "emisora", "asunto"))], "key")
 
 
 def delta_grid_html(text) -> Column:
@@ -179,7 +179,7 @@ def _attr_raw(tag: Column, name: str) -> Column:
 
 def _unquote(raw: Column) -> Column:
     quoted = raw.startswith('"') | raw.startswith("'")
-    return html_unescape(F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw))
+    return F.when(quoted, F.substring(raw, F.lit(2), F.length(raw) - 2)).otherwise(raw)
 
 
 _HIDDEN_TYPE = r"(?is)^<input" + other_attributes("type") + r"""type\s*+=\s*+(?:"\s*hidden\s*"|'\s*hidden\s*'|hidden(?=[\s/>]|$))"""
@@ -193,14 +193,14 @@ def hidden_fields(html) -> Column:
     works on its fields: lambdas get no common-subexpression elimination)."""
     tags = F.regexp_extract_all(as_col(html), F.lit(r"(?is)<input(?=[\s/>])" + TAG_REST), 0)
     hidden = F.filter(tags, lambda t: t.rlike(_HIDDEN_TYPE))
-    raw = F.transform(hidden, lambda t: F.struct(_attr_raw(t, "name").alias("n"), _attr_raw(t, "id").alias("i"),
-                                                 _attr_raw(t, "value").alias("v")))
+    raw = F.transform(hidden, lambda t: F.array(*[_attr_raw(t, n) for n in ("name", "id", "value")]))
+    raw = F.transform(raw, lambda r: F.transform(r, _unquote))
+    raw = F.transform(raw, lambda r: F.transform(r, html_unescape))
 
     def entry(r):
-        name, ident = _unquote(r["n"]), _unquote(r["i"])
-        key = F.when((r["n"] != "") & (name != ""), name).when((r["i"] != "") & (ident != ""), ident)
-        return F.when(key.isNotNull(),
-                      F.struct(key.alias("k"), F.when(r["v"] != "", _unquote(r["v"])).otherwise(F.lit("")).alias("v")))
+        name, ident = F.get(r, 0), F.get(r, 1)
+        key = F.when(name != "", name).when(ident != "", ident)
+        return F.when(key.isNotNull(), F.struct(key.alias("k"), F.get(r, 2).alias("v")))
 
     entries = F.filter(F.transform(raw, entry), lambda e: e.isNotNull())
     return F.map_from_entries(entries)

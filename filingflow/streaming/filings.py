@@ -15,7 +15,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.text import SOURCE_NAME, detail_fields, is_error_page, token_from_callback
+from ..functions.text import SOURCE_NAME, is_error_page, labelled_fields, page_text, token_from_callback
 from ..operators.joins import resolve_tokens
 from ..operators.store import FILING_RECORD_SCHEMA, FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, to_filings_rows
 from ..operators.tables import probe, upsert_table
@@ -49,7 +49,8 @@ def batch_filings(batch: DataFrame, tokens: DataFrame, scraped_at: str) -> DataF
     of a key the last captured counts."""
     pages = batch.filter(F.col("kind") == "detail").filter(~is_error_page(F.col("body"), F.col("http_status")))
     last = pages.groupBy("key").agg(F.max_by("body", F.struct("captured_at", "body")).alias("body"))
-    fields = last.select("key", *[c.alias(n) for n, c in detail_fields(F.col("body")).items()])
+    texts = last.select("key", page_text("body").alias("_text"))
+    fields = texts.select("key", *[c.alias(n) for n, c in labelled_fields("_text").items()])
     rows = (fields.join(tokens.select("key", "enc"), "key", "left").withColumn("key", F.col("key").cast("string"))
                   .withColumn("pdf_path", F.lit(None).cast("string")).withColumn("scraped_at", F.lit(scraped_at))
                   .withColumn("filing_type", F.lit(None).cast("string")))
