@@ -31,4 +31,4 @@ def query(name: str, sql: str | None = None):
 
 
 def load_all() -> None:
-    from . import queries_a, queries_b, queries_c, queries_d  # noqa: F401
+    from . import queries_a, queries_b, queries_c, queries_d, queries_e  # noqa: F401
