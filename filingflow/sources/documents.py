@@ -5,8 +5,8 @@ rewrites it whole on every append. Here a document is a directory:
 ``filings/`` holds JSON lines (splittable, appended as new files) and
 ``metadata/`` a counter row per write or append, which the writes count
 themselves; reading the metadata adds the rows up. A
-single-file document in the source format can still be read (it is one
-multi-line JSON value, so Spark reads it in one task by nature).
+single-file document in the source format can be read too, by many tasks
+(``json_array``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..functions.text import truthy
 from ..operators.store import FILING_RECORD_SCHEMA
+from .json_array import read_array
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
@@ -80,10 +81,7 @@ def read_filings_document(spark: SparkSession, path: str,
     schema = schema or FILING_RECORD_SCHEMA
     if _exists(spark, f"{path}/filings"):
         return spark.read.schema(schema).option("recursiveFileLookup", True).json(f"{path}/filings")
-    doc_schema = T.StructType([T.StructField("filings", T.ArrayType(schema))])
-    doc = spark.read.schema(doc_schema).option("multiLine", True).json(path)
-    return doc.select(F.explode(F.coalesce(F.col("filings"), F.array().cast(T.ArrayType(schema)))).alias("f")) \
-              .select("f.*")
+    return read_array(spark, path, "filings").select(F.from_json("element", schema).alias("f")).select("f.*")
 
 
 def export_document(spark: SparkSession, src: str, dest: str, files: int | None = None) -> DataFrame | None:
