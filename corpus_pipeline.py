@@ -19,6 +19,7 @@ from filingflow.llm.line_dedup import dedup_lines
 from filingflow.llm.ngram_join import jaccard_components
 from filingflow.llm.packing import pack
 from filingflow.llm.queries import tokenizer_file
+from filingflow.operators.windows import global_row_number
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -50,18 +51,29 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents linked by five-word shingles at 0.8 the one with the
     smallest id stays. Documents without words or without an id all stay; of
-    several rows with one id, one."""
+    rows that repeat id and text, one. Different texts under one id are
+    documents of their own (in the order of their hashes) and go only if their
+    text is linked with an earlier one."""
     docs = docs.select(*COLUMNS)
-    linked = jaccard_components(docs, n=5, percent=80).where("n_shingles > 0 AND doc_id IS NOT NULL")
-    linked = stored(linked.groupBy("doc_id").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "components")
-    gone = stored(linked.where("component_id <> doc_id").select("doc_id"), "near-copies")
-    apart = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]") & F.col("doc_id").isNotNull()
-    kept = docs.where(apart).join(hinted(gone), "doc_id", "left_anti")
-    twice = stored(linked.where("n > 1").select("doc_id"), "repeated-ids")
+    h = F.xxhash64(F.coalesce("text", F.lit("")))
+    named = docs.where("doc_id IS NOT NULL").select("doc_id", h.alias("__hash"))
+    node = F.col("doc_id")
+    if not named.groupBy("doc_id").agg(F.min("__hash").alias("lo"), F.max("__hash").alias("hi")).where("lo <> hi").isEmpty():
+        # ids of their own, in the order of the documents' ids
+        numbered = global_row_number(named.distinct(), ["doc_id", "__hash"], "__node")
+        docs = stored(docs.withColumn("__hash", h).join(numbered, ["doc_id", "__hash"], "left").select(*COLUMNS, "__node"), "numbered-documents")
+        node = F.col("__node")
+    docs = docs.select(*COLUMNS, node.alias("__node"))
+    linked = jaccard_components(docs, n=5, percent=80, id_col="__node").withColumnRenamed("doc_id", "__node").where("n_shingles > 0 AND __node IS NOT NULL")
+    linked = stored(linked.groupBy("__node").agg(F.min("component_id").alias("component_id"), F.count("*").alias("n")), "components")
+    gone = stored(linked.where("component_id <> __node").select("__node"), "near-copies")
+    apart = F.coalesce(F.col("text"), F.lit("")).rlike("[^\\x20\\x09-\\x0D]") & F.col("__node").isNotNull()
+    kept = docs.where(apart).join(hinted(gone), "__node", "left_anti")
+    twice = stored(linked.where("n > 1").select("__node"), "repeated-rows")
     if not twice.isEmpty():
-        once = kept.join(hinted(twice), "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*COLUMNS[1:])).alias("row")).select("doc_id", "row.*")
-        kept = kept.join(hinted(twice), "doc_id", "left_anti").union(once)
-    return kept.select(*COLUMNS).union(docs.where(~apart))
+        once = kept.join(hinted(twice), "__node", "left_semi").groupBy("__node").agg(F.min(F.struct(*COLUMNS)).alias("row")).select("row.*")
+        kept = kept.join(hinted(twice), "__node", "left_anti").select(*COLUMNS).union(once)
+    return kept.select(*COLUMNS).union(docs.where(~apart).select(*COLUMNS))
 
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
