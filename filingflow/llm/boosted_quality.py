@@ -167,21 +167,25 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, train_rows: int = 2
     """Trees from at most ``train_rows`` labelled documents: those that come
     first by a hash of the id. ``learn`` says, over ``id_col``, which labels
     may be used. Null labels and ids are left out; of several labels of an id
-    the mean counts."""
+    the mean counts, of several texts the one with the smallest hash."""
     chosen = (labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("double").alias("label"))
               .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & learn)
               .groupBy("doc_id").agg((F.avg("label") >= 0.5).cast("int").alias("label"))
               .orderBy(F.xxhash64("doc_id"), "doc_id").limit(train_rows))
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     # a side of at most train_rows narrow rows is broadcast
-    rows = rows.join(F.broadcast(chosen), "doc_id").select("text", "label")
+    rows = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("h"), "text", "label")
+    kind = rows.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches, "text", 4 << 20):
             x = statistics(texts_of(block, "text"))
-            yield pa.RecordBatch.from_arrays([one_array(block.column("label")), pa.array(x.tolist(), pa.list_(pa.float32()))], names=["label", "x"])
+            yield pa.RecordBatch.from_arrays([*[one_array(block.column(c)) for c in ("doc_id", "h", "label")], pa.array(x.tolist(), pa.list_(pa.float32()))],
+                                             names=["doc_id", "h", "label", "x"])
 
-    got = rows.mapInArrow(run, "label int, x array<float>").limit(2 * train_rows).toArrow()
+    # one row per chosen id, however often it is repeated
+    each = rows.mapInArrow(run, f"doc_id {kind}, h long, label int, x array<float>")
+    got = each.groupBy("doc_id").agg(F.min(F.struct("h", "x", "label")).alias("r")).select("r.label", "r.x").toArrow()
     if not got.num_rows:
         return fit(np.zeros((0, len(STATISTICS))), np.zeros(0))
     x = one_array(got.column("x")).flatten().to_numpy().reshape(-1, len(STATISTICS))

@@ -22,6 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
 from .common import blocks, hashes_of, mix64, one_array, prepare, texts_of, words_of
@@ -220,17 +221,28 @@ def fit(texts: pa.Array, langs: list[str], sequences: int = 4000, rounds: int =
     return field
 
 
-def train(docs: DataFrame, learn: Column, train_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> LanguageField:
-    """A field from at most ``train_rows`` documents of known language for
-    which ``learn`` holds: those that come first by a hash of id and text
-    among texts of at most 20,000 characters (longer ones would fill the
-    driver; they are predicted like any other). Fit on the driver."""
-    known = docs.where(learn & F.col(lang_col).isNotNull() & (F.length(text_col) <= 20_000))
-    known = known.withColumn("__h", F.xxhash64(id_col, text_col))
-    # the hash that the last row of the sample has; texts move only below it
-    last = known.select("__h").orderBy("__h").limit(train_rows).agg(F.max("__h")).first()[0]
-    rows = (known.where(F.col("__h") <= F.lit(last)).select(F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"), "__h")
-            .limit(2 * train_rows).toArrow().sort_by([("__h", "ascending"), ("lang", "ascending"), ("text", "ascending")]).slice(0, train_rows))
+def train(docs: DataFrame, learn: Column, train_rows: int = 4000, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          stretch: int = 20_000) -> LanguageField:
+    """A field from documents of known language for which ``learn`` holds: of
+    every language an equal share of ``train_rows`` (one document at least),
+    those that come first by a hash of id and text; repeated ones count once.
+    Of a text of more than ``stretch`` characters a stretch of that length
+    counts, from a place that the hash gives. So the driver, which fits the
+    field, holds at most train_rows x ``stretch`` characters, whatever the
+    lengths, and a language that few or only long texts have is learnt."""
+    known = docs.where(learn & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    known = known.select(F.col(lang_col).cast("string").alias("lang"), F.xxhash64(id_col, text_col).alias("h"), F.col(text_col).cast("string").alias("text"))
+    each = known.select("lang", "h").distinct()
+    langs = each.select("lang").distinct().count()
+    if not langs:
+        return fit(pa.array([], pa.string()), [])
+    # the hash that a language's last row has; texts move only below it
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
+    last = each.withColumn("n", place).where(F.col("n") <= max(1, train_rows // langs)).groupBy("lang").agg(F.max("h").alias("last"))
+    spare = F.greatest(F.length("text") - stretch, F.lit(0))
+    cut = F.substring(F.col("text"), (F.pmod("h", spare + 1) + 1).cast("int"), F.lit(stretch))
+    rows = (known.join(F.broadcast(last), "lang").where("h <= last").select("lang", "h", cut.alias("text")).dropDuplicates(["lang", "h"])
+            .toArrow().sort_by([("h", "ascending"), ("lang", "ascending")]))
     return fit(one_array(rows.column("text")).cast(pa.string()) if rows.num_rows else pa.array([], pa.string()), rows.column("lang").to_pylist())
 
 

@@ -34,12 +34,14 @@ RINGS = [_VALUES[np.bitwise_count(_VALUES) == r] for r in range(WIDTH + 1)]
 
 
 def sign_code(vector: Column) -> Column:
-    """64-bit code of a vector: bit i is set if component i is above zero
-    (components past the 64th don't count). Null for a null vector or one with
-    a null or non-finite component."""
+    """64-bit code of a vector: bit i is set if component i is above zero. Null
+    for a null vector or one with a null or non-finite component. A usable
+    vector of more than 64 components is an error: its nearest neighbours are
+    not those of a prefix."""
     bad = F.exists(vector, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    bits = F.transform(F.slice(vector, 1, BITS), lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
-    return F.when(vector.isNotNull() & ~bad, F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)))
+    bits = F.transform(vector, lambda x, i: F.when(x > 0, F.call_function("shiftleft", F.lit(1).cast("long"), i)).otherwise(F.lit(0).cast("long")))
+    wide = F.raise_error(F.lit(f"a sign code has {BITS} bits, and a vector more components")).cast("long")
+    return F.when(vector.isNotNull() & ~bad & (F.size(vector) > BITS), wide).when(vector.isNotNull() & ~bad, F.aggregate(bits, F.lit(0).cast("long"), lambda a, x: a.bitwiseOR(x)))
 
 
 class SegmentIndex:

@@ -100,7 +100,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _OP7_SQL = """
 WITH c AS (SELECT DISTINCT vec_id, list_sum([CASE WHEN embedding[i] > 0 THEN (1::HUGEINT << (i - 1)::INTEGER) ELSE 0::HUGEINT END
-                                             for i in range(1, least(len(embedding), 64) + 1)])::UBIGINT AS code
+                                             for i in range(1, len(embedding) + 1)])::UBIGINT AS code
            FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL),
 p AS (SELECT q.vec_id AS query_id, r.vec_id AS vec_id, min(bit_count(xor(q.code, r.code)::BIT)) AS distance
       FROM c q JOIN c r ON q.vec_id <> r.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2)

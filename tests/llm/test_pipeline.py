@@ -73,3 +73,16 @@ def test_repeated_rows(spark):
     got = C.near_copies(spark, docs, SF).collect()
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, "a b c d e f g"), (1, "a b c d e f g"), (3, ""), (3, "")]
     assert C.near_copies(spark, docs.limit(0), SF).count() == 0
+
+
+def test_different_texts_under_one_id_stay(spark):
+    """Texts that share nothing but their id are documents of their own; a near
+    copy goes, whichever id it has."""
+    long = " ".join(f"w{i}" for i in range(40))
+    rows = [(1, long, "en", "s", 1), (1, "quite another text of some eight plain words", "en", "s", 2), (1, long, "en", "t", 3), (7, long + " more", "en", "s", 4),
+            (7, "a third text under the same id seven here", None, "s", 5), (None, long, "en", "s", 6), (8, "", "en", "s", 7), (8, None, "en", "s", 8)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    got = C.near_copies(spark, docs, SF).collect()
+    assert sorted((r.doc_id or 0, r.text or "") for r in got) == sorted([
+        (0, long), (1, long), (1, rows[1][1]), (7, rows[4][1]), (8, ""), (8, "")])
+    assert [r.source for r in got if r.doc_id == 1 and r.text == long] == ["s"]
