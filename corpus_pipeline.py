@@ -22,6 +22,8 @@ from filingflow.llm.queries import tokenizer_file
 from filingflow.operators.windows import global_row_number
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+#: share of a document's words that its language must have
+MAJORITY = 0.5
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,12 +35,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a letter, and those in which no language has a third
-    of the words, go. ``lang`` stays as it came."""
+    """Documents without a letter, and those in which no language has
+    ``MAJORITY`` of the words, go, whatever the number of languages learnt.
+    Texts of languages that weren't learnt are spread over several and mostly
+    fall below it. ``lang`` stays as it came."""
     docs = docs.select(*COLUMNS)
     field = train_language(docs, crc_remainder("doc_id", 4) != 2)
     out = predict(docs, field, out="lang_pred", score="lang_score")
-    return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= 1 / 3)).select(*COLUMNS)
+    return out.where((F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= MAJORITY)).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
