@@ -43,7 +43,7 @@ def test_stages(spark):
         elif name == "language ID":
             field = L.train(spark.createDataFrame(before, docs.schema), crc_remainder("doc_id", 4) != 2)
             langs, score = L.predict_block(field, pa.array([r["text"] or "" for r in before]))
-            assert {r.doc_id for r in after} == {r["doc_id"] for r, x, s in zip(before, langs, score) if x != "und" and s >= 1 / 3}
+            assert {r.doc_id for r in after} == {r["doc_id"] for r, x, s in zip(before, langs, score) if x != "und" and s >= C.MAJORITY}
             assert not {9001, 9002, 9003} & {r.doc_id for r in after}
         elif name == "line dedup":
             want = brute.dedup_lines(list(texts.items()))
@@ -75,6 +75,22 @@ def test_repeated_rows(spark):
     assert C.near_copies(spark, docs.limit(0), SF).count() == 0
 
 
+def test_language_stage_rejects(spark):
+    """Learnt from real documents: theirs stay, also the held-out ones; foreign
+    and mixed texts go."""
+    docs = prepare(spark) and table(spark, "/root/testdata/sf0.01", "documents")
+    plain = {r.doc_id for r in docs.where("lang IS NOT NULL AND text IS NOT NULL").collect()}
+    foreign = ["Привет как дела сегодня мы идем в магазин за хлебом", "これは 日本 語 の 文章 です また 会い ましょう", "xkcd qwzx jjkl pppp zzzq vvvk bnmq wqwq",
+               "안녕하세요 오늘은 날씨가 아주 좋습니다 그래서 산책을 갑니다", "καλημέρα σας πώς είστε σήμερα πάμε στην αγορά"]
+    firsts = {r.lang: r.text.split()[:40] for r in docs.where("lang IS NOT NULL AND length(text) BETWEEN 300 AND 5000").orderBy("doc_id").collect()}
+    mixed = [" ".join(w for words in zip(*firsts.values()) for w in words)]  # word by word, as no code-switched text does
+    extra = [(900_000 + i, t, None, "s", len(t)) for i, t in enumerate(foreign + mixed)]
+    got = {r.doc_id for r in C.language(spark, docs.select(*C.COLUMNS).union(spark.createDataFrame(extra, docs.select(*C.COLUMNS).schema)), "").collect()}
+    rejected = [i for i, *_ in extra if i not in got]
+    print(f"rejected: {len(plain - got)} of {len(plain)} documents of a learnt language, {len(rejected)} of {len(extra)} planted ones")
+    assert len(plain - got) <= 0.005 * len(plain) and len(rejected) >= len(extra) - 1
+
+
 def test_different_texts_under_one_id_stay(spark):
     """Texts that share nothing but their id are documents of their own; a near
     copy goes, whichever id it has."""
