@@ -12,6 +12,7 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import secrets
 import sys
 import time
 
@@ -56,10 +57,11 @@ def utc_text(t: dt.datetime) -> str:
 
 
 def log_start(spark: SparkSession, log_dir: str, crawl_type: str, params: dict, now: dt.datetime) -> int:
-    """M4: append a start event. The id is the start in microseconds, so it
-    grows from run to run without reading the log, and two runs at once get
-    two ids unless they start in the same microsecond."""
-    run_id = int(now.timestamp() * 1e6)
+    """M4: append a start event. The id is the start in microseconds and twelve
+    random bits, so it grows from run to run, and two runs that start in the
+    same microsecond without seeing each other get two ids. An id that the log
+    has (a given start time, used again) is not used again."""
+    run_id = (int(now.timestamp() * 1e6) << 12) + secrets.randbelow(1 << 12)
     if _exists(spark, f"{log_dir}/starts"):
         same = spark.read.schema(START_SCHEMA).parquet(f"{log_dir}/starts").filter(F.col("id") >= run_id).agg(F.max("id")).first()[0]
         run_id = max(run_id, int(same or 0) + 1)
