@@ -31,7 +31,7 @@ from pyspark.sql.window import Window
 from .common import one_array, prepare, stored
 
 #: dimensions per step, and the test's width: the larger, the fewer abandoned
-STEP, EPSILON = 16, 2.1
+STEP, EPSILON = 16, 1.2
 #: vectors of a slice, and queries that scan it at once
 SLICE_ROWS, SLICE_QUERIES = 32768, 8192
 #: vectors that a query looks at in its first round, and measures whole before
