@@ -66,7 +66,7 @@ def dedup_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_c
     are left becomes empty. Null and empty texts stay as they are. A null id
     comes before all others. Rows that repeat both id and text are one
     document and get the same result. An input column ``removed_lines`` is
-    replaced; other columns pass through.
+    replaced; other columns pass through, whatever their names.
     """
     prepare(docs.sparkSession)
     text_hash = F.xxhash64(F.col(text_col))
@@ -76,11 +76,12 @@ def dedup_lines(docs: DataFrame, window: int = 3, id_col: str = "doc_id", text_c
     repeated = (windows.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
                 .where(F.col("first") < F.col("last")).select("h1", "h2", "first"))
     later = windows.join(repeated, ["h1", "h2"]).where(place > F.col("first"))
-    covered = (later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines")))).alias("__covered"))
-               .withColumnRenamed("doc_id", "__id").withColumnRenamed("text_hash", "__hash"))
-    out = docs.drop("removed_lines").withColumn("__text_hash", text_hash)
-    out = out.join(covered, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")), "left")
-    kept = _without_lines(F.when(F.col("__covered").isNotNull(), F.col(text_col)), F.col("__covered"))
+    covered = later.groupBy("doc_id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("lines")))).alias("covered"))
+    # the input's columns travel as one, so no name of theirs can clash
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(id_col).alias("id"), text_hash.alias("hash"))
+    out = whole.join(covered, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("hash") == F.col("text_hash")), "left")
+    text = F.col(f"row.`{text_col}`")
+    kept = _without_lines(F.when(F.col("covered").isNotNull(), text), F.col("covered"))
     names = [c for c in docs.columns if c != "removed_lines"]
-    return out.select(*[F.when(F.col("__covered").isNull(), F.col(f"`{c}`")).otherwise(kept).alias(c) if c == text_col else F.col(f"`{c}`") for c in names],
-                      F.coalesce(F.col("__covered"), F.array().cast("array<int>")).alias("removed_lines"))
+    return out.select(*[F.when(F.col("covered").isNull(), text).otherwise(kept).alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in names],
+                      F.coalesce(F.col("covered"), F.array().cast("array<int>")).alias("removed_lines"))

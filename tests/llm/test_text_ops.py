@@ -417,3 +417,11 @@ def test_schemes_cover_all_links():
                 assert len(np.intersect1d(ka, np.concatenate([kb, cb]))) or len(np.intersect1d(kb, ca))
                 x, y = J._folded([J.parity_bitmap(a), J.parity_bitmap(b)])
                 assert np.bitwise_count(x ^ y).sum() <= len(a) + len(b) - 2 * both
+
+
+def test_line_dedup_keeps_columns_of_any_name(spark):
+    text = "one line\ntwo line\nthree line\nown"
+    rows = [(i, text + str(i), "k", i * 2, "x", "y", [9]) for i in (1, 2)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __covered string, __id long, hash string, row string, removed_lines array<int>")
+    got = sorted(dedup_lines(df).collect())
+    assert [tuple(r) for r in got] == [(1, text + "1", "k", 2, "x", "y", []), (2, "own2", "k", 4, "x", "y", [0, 1, 2])]
