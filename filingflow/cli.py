@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from .operators.aggregates import resolve_rate, run_tallies
 from .operators.joins import merge_download_status, new_ids
 from .operators.store import FILING_RECORD_SCHEMA, FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, crawl_log, keep_downloads
-from .operators.tables import probe, read_table, upsert_table
+from .operators.tables import FIRST_BUCKETS, probe, read_table, upsert_table
 from .plans.crawl import GRID_KINDS, crawl_rows, download_results, parse_payloads, select_rows
 from .session import get_spark, reliable_checkpoint
 from .sources.documents import _exists, export_document, write_filings_document
@@ -105,7 +105,7 @@ def cmd_crawl(spark: SparkSession, a: argparse.Namespace) -> int:
         fresh = new_ids(batch, existing).count()
         tallies = run_tallies(batch.select(F.nullif("download_path", F.lit("")).alias("pdf_path"), F.lit(bool(a.download_dir)).alias("downloads_enabled")),
                               a.max_pages).first()
-        upsert_table(spark, a.filings, FILINGS_SCHEMA, keep_downloads(existing, batch) if a.mode == "preserve" else batch, ["filing_id"])
+        upsert_table(spark, a.filings, FILINGS_SCHEMA, keep_downloads(existing, batch) if a.mode == "preserve" else batch, ["filing_id"], buckets=a.buckets)
         if a.json_out:
             record = F.from_json("raw_metadata", FILING_RECORD_SCHEMA)
             document = batch.select(record.alias("r"), "isin").select("r.*", "isin")
@@ -206,7 +206,7 @@ def cmd_cache(spark: SparkSession, a: argparse.Namespace) -> int:
             print("no end: the payloads hold no keyed rows", file=sys.stderr)
             return 1
     fresh, tallies = resolve_missing(spark, cache, payloads, a.start, end, a.as_of)
-    upsert_table(spark, a.cache, TOKEN_CACHE_SCHEMA, fresh, ["key"])
+    upsert_table(spark, a.cache, TOKEN_CACHE_SCHEMA, fresh, ["key"], buckets=a.buckets)
     out = tallies.first().asDict()
     rate, left = resolve_rate(out["resolved"] + out["failed"], out["to_resolve"], time.monotonic() - clock)
     print(json.dumps(out | {"rate_per_sec": round(rate, 3), "remaining_sec": round(left, 3)}))
@@ -283,6 +283,8 @@ def build_parser() -> argparse.ArgumentParser:
     k.add_argument("--start", type=int, required=True)
     k.add_argument("--end", type=int, required=True)
     k.add_argument("--as-of", required=True)
+    for table in (c, k):
+        table.add_argument("--buckets", type=int, default=FIRST_BUCKETS, help="buckets of a new table; it splits them as it grows")
     x = sub.add_parser("extract")
     x.add_argument("--filings")
     x.add_argument("--documents")

@@ -101,3 +101,63 @@ def test_empty_crawl_is_degraded(spark, capsys):
     assert (s["health"], s["total_filings"], s["total_crawl_runs"], code) == ("degraded", 0, 1, 0)
     log = cli.read_log(spark, f"{run}/l").first()
     assert log.errors == "No filings found" and log.filings_found == 0
+
+
+BRONZE = ("payload_id string, kind string, captured_at timestamp, http_status int, content_type string, "
+          "content_disposition string, body string")
+
+
+def _payloads(spark, keys):
+    page = ("<html><head><title>{t}</title></head><body><p>Emisora: E{k}</p>\n<p>Asunto: Aviso {k}</p>\n"
+            "<p>Fecha de recepción: 0{d}/02/2026</p>\n</body></html>")
+    rows = [(str(k), "detail", None, 404 if k % 5 == 0 else 200, None, None, page.format(k=k, t="Detalle", d=k % 9 + 1)) for k in keys]
+    rows += [(str(k), "token_callback", None, 200, None, None, f"/*DX*/<a href=\\\"Detalle.aspx?enc=T{k}\\\">") for k in keys]
+    return spark.createDataFrame(rows, BRONZE)
+
+
+def test_monitor_command_on_payloads(spark):
+    """Payloads become tokens, filings and a JSON document; a second run adds
+    what has landed since; marking sets download fields."""
+    from filingflow.operators.store import FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA
+    from filingflow.operators.tables import read_table
+    from filingflow.sources.documents import read_filings_document, read_metadata
+    from filingflow.streaming.cycles import burst_log
+    run = new_run_dir(spark, "test-cli-payloads")
+    args = ["monitor", "--landing", f"{run}/landing", "--out", f"{run}/out", "--json-out", f"{run}/doc", "--start-key", "2",
+            "--as-of", "2026-02-01T00:00:00", "--once"]
+    for keys in (range(1, 11), range(8, 14)):
+        _payloads(spark, keys).write.mode("append").parquet(f"{run}/landing")
+        assert cli.main(args, spark) == 0
+    want = [k for k in range(3, 14) if k % 5]
+    filings = read_table(spark, f"{run}/out/filings", FILINGS_SCHEMA)
+    assert sorted(r.headline for r in filings.collect()) == sorted(f"Aviso {k}" for k in want)
+    assert {r.key: r.enc for r in read_table(spark, f"{run}/out/tokens", TOKEN_CACHE_SCHEMA).collect()} == {k: f"T{k}" for k in range(3, 14)}
+    assert sorted(int(r.key) for r in read_filings_document(spark, f"{run}/doc").collect()) == want
+    assert read_metadata(spark, f"{run}/doc").first()["total_filings"] == len(want)
+    log = {r.batch_id: (r.new_count, r.last_key, r["mode"]) for r in burst_log(spark, f"{run}/out/state").collect()}
+    assert log == {0: (6, 9, "burst"), 1: (3, 13, "normal")}
+    first = filings.filter("headline = 'Aviso 3'").first()["filing_id"]
+    spark.createDataFrame([(first, "/d/a.pdf", 1), ("nobody", "/x", 1)], "filing_id string, download_path string, seq long").write.parquet(f"{run}/marks")
+    assert cli.main(["mark", "--filings", f"{run}/out/filings", "--updates", f"{run}/marks"], spark) == 0
+    marked = read_table(spark, f"{run}/out/filings", FILINGS_SCHEMA).filter("downloaded").collect()
+    assert [(r.filing_id, r.download_path) for r in marked] == [(first, "/d/a.pdf")]
+
+
+def test_isin_command(spark, capsys):
+    import os
+    from filingflow.local_paths import to_local
+    from filingflow.sources.isin import read_cache
+    run = new_run_dir(spark, "test-cli-isin")
+    rows = [("0", "companies", json.dumps({"content": [{"id": 1, "clave": " abc "}, {"id": 2, "clave": "DEF"}]})),
+            ("1/0", "issues", json.dumps({"content": [{"isin": "MXB", "tipoValor": "BONO"}, {"isin": " MX1 ", "tipoValor": "Acciones"}]})),
+            ("2/0", "issues", json.dumps({"content": []})), ("2/1", "issues", json.dumps({"content": [{"isin": "MX2", "tipoValor": "ACCIONES"}]}))]
+    spark.createDataFrame([(i, k, None, 200, None, None, b) for i, k, b in rows], BRONZE).write.parquet(f"{run}/payloads")
+    os.makedirs(to_local(f"{run}/old"))
+    with open(to_local(f"{run}/old/map.json"), "w") as fh:
+        json.dump({"OLD": "MX9"}, fh)
+    args = ["isin", "--payloads", f"{run}/payloads", "--cache", f"{run}/cache", "--json-cache", f"{run}/old/map.json"]
+    assert cli.main(args, spark) == 0 and json.loads(capsys.readouterr().out)["entries"] == 1  # the old cache is used
+    assert cli.main([*args, "--refresh"], spark) == 0
+    assert {r.ticker_key: r.isin for r in read_cache(spark, f"{run}/cache").collect()} == {"ABC": "MX1", "DEF": "MX2"}
+    capsys.readouterr()
+    assert cli.main(args, spark) == 0 and json.loads(capsys.readouterr().out)["entries"] == 2
