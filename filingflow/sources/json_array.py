@@ -22,6 +22,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,6 +76,28 @@ def segment(p: Place, text: str, name: str) -> tuple[int | None, bool]:
     return begun, ended
 
 
+def write_array(elements: DataFrame, path: str, opening: str, closing: str) -> None:
+    """Write one document: ``opening``, the JSON texts of ``elements`` (one
+    column) in no given order, a line each, ``closing``. A file has one writer;
+    its task holds no more than an Arrow batch, since the elements are computed
+    before the exchange and aren't sorted."""
+    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def batch(values: pa.Array) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([values], names=["value"])
+
+        yield batch(pa.array([opening]))
+        first = True
+        for b in batches:
+            values = b.column(0)
+            if first and len(values):
+                yield batch(values.slice(0, 1))
+                values, first = values.slice(1), False
+            yield batch(pc.binary_join_element_wise(",", values, ""))
+        yield batch(pa.array([closing]))
+
+    elements.repartition(1).mapInArrow(lines, "value string").write.text(path)
+
+
 def _ranges(spark: SparkSession, path: str) -> DataFrame:
     """The file cut at closing braces: path and start of the byte range, and
     the segments, in their order, of a range."""

@@ -16,6 +16,7 @@ from filingflow.plans.extract import process_filings
 from filingflow.plans.stats import compute_stats
 from filingflow.session import new_run_dir
 from filingflow.sources.documents import read_filings_document, write_extracted
+from filingflow.sources.json_array import write_array
 from filingflow.streaming.cycles import baseline_key, burst_log, fold_cycles, poll, watch
 from filingflow.streaming.monitor import MonitorPaths, run_monitor, time_slices, write_drop
 from . import fixtures as fx
@@ -215,10 +216,7 @@ def q57_json_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All filings in one JSON document, as the source system writes it, read
     in byte ranges. The file is written as one stream of lines."""
     path = f"{new_run_dir(spark, 'json-document')}/doc"
-    f = fx.order_filings(spark, sf_dir).select("fecha", F.coalesce("emisora", F.lit("")).alias("emisora"), "asunto", "key", "o_orderkey")
+    f = fx.order_filings(spark, sf_dir).select("fecha", F.coalesce("emisora", F.lit("")).alias("emisora"), "asunto", "key")
     record = F.to_json(F.struct("fecha", "emisora", "asunto", "key", F.struct(F.lit('"]} {').alias("x")).alias("extra")), {"ignoreNullFields": "false"})
-    first = f.agg(F.min("o_orderkey")).first()[0]
-    lines = f.select(F.col("o_orderkey").alias("at"), F.concat(F.when(F.col("o_orderkey") == first, "").otherwise(","), record).alias("value"))
-    ends = spark.createDataFrame([(-1, '{"metadata": {"source": "x", "filings": [{"no": 1}]}, "filings": ['), (None, "]}")], "at long, value string")
-    lines.unionByName(ends).coalesce(1).sortWithinPartitions(F.col("at").asc_nulls_last()).select("value").write.text(path)
+    write_array(f.select(record.alias("element")), path, '{"metadata": {"source": "x", "filings": [{"no": 1}]}, "filings": [', "]}")
     return read_filings_document(spark, path).select("fecha", "emisora", "asunto", "key")
