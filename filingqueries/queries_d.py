@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from filingflow.operators.store import FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA
 from filingflow.operators.tables import read_table, upsert_table
-from filingflow.session import ensure_conf, new_run_dir
+from filingflow.session import ensure_conf, new_run_dir, reliable_checkpoint
 from filingflow.sources.payloads import BRONZE_SCHEMA, read_payloads
 from filingflow.streaming.filings import FilingsPaths, run_filings_monitor
 from . import fixtures as fx
@@ -104,7 +104,8 @@ def q46_crawl_e2e(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze(files, F.col("key"), F.lit("download"), F.lit("%!"), content_type=F.when(k % 6 == 0, F.lit("application/pdf")).otherwise(F.lit("text/html")),
            disposition=F.concat(F.lit("attachment; filename=\"doc%20"), F.col("key"), F.lit(".pdf\""))).write.mode("append").parquet(f"{run}/payloads")
     grids = read_payloads(spark, f"{run}/payloads", GRID_KINDS)
-    rows = select_rows(parse_payloads(grids), grids, _CRAWL_AS_OF, period=3, max_pages=-1)
+    # stored: the pages are parsed once, though the rows are used twice
+    rows = reliable_checkpoint(select_rows(parse_payloads(grids), grids, _CRAWL_AS_OF, period=3, max_pages=-1))
     rows = merge_download_status(rows, download_results(rows, read_payloads(spark, f"{run}/payloads", ["download", "detail"]), "/files"))
     upsert_table(spark, f"{run}/filings", FILINGS_SCHEMA, crawl_rows(rows, None, _CRAWL_AS_OF, batch_seq=1, keep_order=True), ["filing_id"])
     out = read_table(spark, f"{run}/filings", FILINGS_SCHEMA)
