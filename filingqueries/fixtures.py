@@ -139,7 +139,11 @@ def render_row(f: DataFrame) -> Column:
 def render_grid_pages(filings: DataFrame, total_pages: int = 0, total_rows: int = 0) -> DataFrame:
     """Bronze rows (page, kind='grid', body): one HTML grid per page, rows in
     position order, a pager line at the end. Groups hold at most 20 rows."""
-    rows = filings.select("page", "pos", render_row(filings).alias("tr"))
+    # a count of its own: the little text that is shuffled says nothing of the
+    # work on it, and a few large tasks would leave cores idle at the end
+    spark = filings.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
+    rows = filings.repartition(parts, "page").select("page", "pos", render_row(filings).alias("tr"))
     pages = rows.groupBy("page").agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "tr"))), lambda s: s["tr"]), "")
          .alias("trs"))
