@@ -49,12 +49,13 @@ GRID_ROW_MARKER = "dxgvDataRow"
 ROW_CALLBACK = "PerformCallback"
 DX_MARKER = "/*DX*/"
 
-_WS_EDGES = r"(?U)^\s+|\s+$"
+#: Unicode white space
+_WS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip_ws(c) -> Column:
     """Python ``str.strip()``: drop Unicode whitespace at both ends."""
-    return F.regexp_replace(as_col(c), _WS_EDGES, "")
+    return F.btrim(as_col(c), F.lit(_WS))
 
 
 def classify_filing_type(headline, rules: Sequence[tuple[str, str]] = FILING_TYPE_RULES) -> Column:

@@ -29,14 +29,17 @@ def _holding(marker: str) -> str:
     return (r"""(?:\\?"[^"]*?""" + marker + r"""[^"]*+"|\\?'[^']*?""" + marker + r"""[^']*+'|[^\s>"']*?""" + marker + r"[^\s>]*+)")
 
 
-ROW_START = r"(?i)(?=<tr[\s>/])"
+ROW_START = r"(?=<[tT][rR][\s>/])"
 DATA_ROW_RE = r"(?is)^<tr" + other_attributes("class") + r"class\s*+=\s*+" + _holding(GRID_ROW_MARKER)
 ROW_BODY_RE = r"(?is)^<tr" + TAG_REST + r"(.*?)(?:</tr\s*>|\z)"
 CELL_RE = r"(?is)<td(?=[\s>/])" + TAG_REST + r"(.*?)</td\s*>"
 LINK_RE = (r"(?is)<a(?=[\s/])" + other_attributes("onclick") + r"onclick\s*+=\s*+(" + _holding(ROW_CALLBACK) + ")" + TAG_REST
            + r"(.*?)</a\s*>")
 KEY_RE = ROW_CALLBACK + r"\((\d+)\)"
-MARKUP_RE = TAG_RE + r"|[^<]++|<"
+#: a row's or cell's tag, and what lies between two of them in pieces of up to
+#: 64 tags and texts (the recursion depth of the repetition)
+CELL_TAG_RE = r"(?i)^<(/?t[rd])[\s>/]"
+CELL_MARKUP_RE = r"(?:(?!</?[tT][rRdD][\s>/])(?:" + TAG_RE + r"|[^<]++|<)){1,64}+|" + TAG_RE + "|<"
 _CELLS = "struct<depth:int,done:boolean,open:array<int>,n:int,c0:string,c1:string,c2:string>"
 
 
@@ -48,20 +51,24 @@ def nested_cells(markup: Column) -> Column:
     start = F.struct(F.lit(1).alias("depth"), F.lit(False).alias("done"), F.array().cast("array<int>").alias("open"), F.lit(0).alias("n"),
                      F.lit("").alias("c0"), F.lit("").alias("c1"), F.lit("").alias("c2")).cast(_CELLS)
 
-    def step(acc, t):
-        begins, ends = t.rlike(r"(?i)^<td[\s>/]"), t.rlike(r"(?i)^</td[\s>/]")
-        depth = acc["depth"] + F.when(t.rlike(r"(?i)^<tr[\s>/]"), 1).when(t.rlike(r"(?i)^</tr[\s>/]"), -1).otherwise(0)
-        inside = F.when(ends, F.slice(acc["open"], 1, F.greatest(F.size(acc["open"]) - 1, F.lit(0)))).otherwise(acc["open"])
-        done = acc["done"] | (depth <= 0)
+    def step(acc, s):
+        t, kind = s["t"], s["kind"]
+        begins = kind == "td"
+        depth = acc["depth"] + F.when(kind == "tr", 1).when(kind == "/tr", -1).otherwise(0)
+        inside = F.when(kind == "/td", F.slice(acc["open"], 1, F.greatest(F.size(acc["open"]) - 1, F.lit(0)))).otherwise(acc["open"])
+        done = depth <= 0
 
         def cell(i):
             name = f"c{i}"
             return F.when(~done & F.array_contains(inside, F.lit(i)), F.concat(acc[name], t)).otherwise(acc[name]).alias(name)
 
-        return F.struct(depth.alias("depth"), done.alias("done"), F.when(begins, F.concat(inside, F.array(acc["n"]))).otherwise(inside).alias("open"),
-                        F.when(begins & ~done, acc["n"] + 1).otherwise(acc["n"]).alias("n"), *[cell(i) for i in range(3)]).cast(_CELLS)
+        moved = F.struct(depth.alias("depth"), done.alias("done"), F.when(begins, F.concat(inside, F.array(acc["n"]))).otherwise(inside).alias("open"),
+                         F.when(begins & ~done, acc["n"] + 1).otherwise(acc["n"]).alias("n"), *[cell(i) for i in range(3)]).cast(_CELLS)
+        return F.when(acc["done"], acc).otherwise(moved)
 
-    tokens = F.regexp_extract_all(markup, F.lit(MARKUP_RE), 0)
+    # what a piece is gets looked up once: the fold asks for it many times
+    tokens = F.transform(F.regexp_extract_all(markup, F.lit(CELL_MARKUP_RE), 0),
+                         lambda t: F.struct(t.alias("t"), F.lower(F.regexp_extract(t, CELL_TAG_RE, 1)).alias("kind")))
     return F.aggregate(tokens, start, step, lambda acc: F.when(acc["n"] >= 3, F.array(acc["c0"], acc["c1"], acc["c2"])).otherwise(F.array().cast("array<string>")))
 
 
@@ -103,19 +110,17 @@ def grid_rows(df: DataFrame, html_col: str = "body", keep: list[str] | None = No
 
     # cells are computed below the explode, so the filter can't repeat them
     rows = parts.select(*keep, F.posexplode(F.transform(F.transform(own, nested), cells)).alias("pos", "_td")).filter(F.size("_td") >= 3)
-    # the subject cell is scanned once for the callback link; the key and the
-    # text are then taken from that (short) match
-    rows = rows.withColumn("_a", F.regexp_extract(F.get(F.col("_td"), 2), LINK_RE, 0))
-    link = F.col("_a")
-    has_link = link != ""
-    link_body = F.regexp_extract(link, LINK_RE, 2)
-    key = F.nullif(F.regexp_extract(F.regexp_extract(link, LINK_RE, 1), KEY_RE, 1), F.lit(""))
+    # the subject cell's callback link: what its attribute holds, and its text
+    rows = rows.select(*keep, "pos", "_td", F.regexp_extract(F.get(F.col("_td"), 2), LINK_RE, 1).alias("_on"),
+                       F.regexp_extract(F.get(F.col("_td"), 2), LINK_RE, 2).alias("_a"))
+    has_link = F.col("_on") != ""
+    key = F.nullif(F.regexp_extract("_on", KEY_RE, 1), F.lit(""))
     # tags are stripped into columns first: each cell regex runs once
     cells = rows.select(
         *keep, "pos",
         strip_tags(F.get(F.col("_td"), 0)).alias("_f"),
         strip_tags(F.get(F.col("_td"), 1)).alias("_e"),
-        strip_tags(F.when(has_link, link_body).otherwise(F.get(F.col("_td"), 2))).alias("_s"),
+        strip_tags(F.when(has_link, F.col("_a")).otherwise(F.get(F.col("_td"), 2))).alias("_s"),
         F.when(has_link, key).alias("key"))
     texts = cells.select(*keep, "pos", html_unescape_all([F.col("_f"), F.col("_e"), F.col("_s")], strip_ws).alias("_texts"), "key")
     return texts.select(*keep, "pos", *[F.get("_texts", i).alias(n) for i, n in enumerate(("fecha", "emisora", "asunto"))], "key")
