@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..functions.docs import file_suffix, with_model_json
 from ..functions.text import classify_filing_type, truthy
-from ..session import reliable_checkpoint, ship_package
+from ..session import arrow_batches, reliable_checkpoint, ship_package
 
 Extractor = Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]
 
@@ -31,6 +31,8 @@ EXTRACTED_SCHEMA = (
     "amounts array<struct<value:string,currency:string,description:string>>, "
     "key_terms array<string>, summary string, raw_text string, _parse_error boolean")
 DEFAULT_MODEL = "native-default"
+#: documents, and bytes of them, that an extractor gets at once
+EXTRACTOR_ROWS, EXTRACTOR_BYTES = 200, 4 << 20
 
 
 def default_model_text(text: Column) -> Column:
@@ -67,6 +69,14 @@ def run_extractor(docs: DataFrame, extractor: Extractor | None = None) -> DataFr
     return docs.select("source_file", "content").mapInPandas(extractor, "source_file string, model_text string")
 
 
+def extracted(docs: DataFrame, extractor: Extractor | None = None) -> DataFrame:
+    """``run_extractor``, persisted. An extractor holds a batch several times
+    (texts, answers, both as Arrow), so its batches are small: a worker's
+    memory follows them, not the table."""
+    with arrow_batches(docs.sparkSession, EXTRACTOR_ROWS, EXTRACTOR_BYTES):
+        return reliable_checkpoint(run_extractor(docs, extractor))
+
+
 _EMPTY_OBJECT = r"(?U)^\s*(?:```(?:[^\n]*\n)?)?\s*(?:json)?\s*\{\s*\}\s*(?:```)?\s*$"
 
 
@@ -99,7 +109,7 @@ def process_filings(filings: DataFrame, documents: DataFrame, extractor: Extract
     # folder): a model call is the expensive step and must not be repeated
     # when a later stage is retried; it also keeps the parse/filter stages
     # from re-deriving the extractor expression.
-    raw = reliable_checkpoint(run_extractor(docs, extractor))
+    raw = extracted(docs, extractor)
     ext = parse_extraction(raw)
     ext = ext.filter(~F.col("extraction_empty")).drop("extraction_empty")
     j = todo.join(ext, todo[path_col] == ext["source_file"], "inner")
@@ -123,5 +133,5 @@ def extract_single_file(spark, path: str, extractor: Extractor | None = None) ->
     """One document file -> {source, extracted} (same job, one path)."""
     from ..sources.files import binary_files
     docs = binary_files(spark, path).select(F.col("path").alias("source_file"), "content")
-    ext = parse_extraction(reliable_checkpoint(run_extractor(docs, extractor)))
+    ext = parse_extraction(extracted(docs, extractor))
     return ext.select(F.col("source_file").alias("source"), "extracted")
