@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import reliable_checkpoint
+from ..session import reliable_checkpoint, stored
 from .joins import mark_downloaded
 from .store import FILINGS_SCHEMA
 from .windows import latest_per_key
@@ -220,7 +220,8 @@ def upsert_table(spark: SparkSession, table_dir: str, schema: T.StructType, batc
     """M1/M2 on a stored table: only the batch's buckets move."""
     cols = schema.fieldNames()
     latest = latest_per_key(batch.withColumn("_seq", F.col("_seq").cast("long")).select(*cols, *order_cols), key_cols, list(order_cols))
-    latest = reliable_checkpoint(latest.select(*cols))
+    # as Parquet: a checkpoint holds the same rows uncompressed
+    latest = stored(latest.select(*cols), "upsert-batch")
     rewrite_buckets(spark, table_dir, schema, key_cols, latest,
                     lambda old, new: old.join(new.select(*key_cols), key_cols, "left_anti").unionByName(new), buckets, bucket_limit)
 

@@ -29,7 +29,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from ..functions.text import SOURCE_NAME
 from ..operators.tables import probe, upsert_table
-from ..session import reliable_checkpoint
+from ..session import stored
 from ..sources.documents import _exists
 
 # Adaptive look-ahead and poll interval of the monitor.
@@ -60,7 +60,7 @@ def fresh_keys(spark: SparkSession, state: str, batch: DataFrame, batch_id: int)
     ids = (batch.select(F.coalesce("source", F.lit("")).alias("source"), "key").distinct()
                 .select(F.concat_ws("\x1f", "source", F.col("key").cast("string")).alias("id"), "source", "key"))
     others = probe(spark, f"{state}/keys", KEYS_SCHEMA, ids).filter(F.col("batch") != batch_id)
-    fresh = reliable_checkpoint(ids.join(others.select("id"), "id", "left_anti"))
+    fresh = stored(ids.join(others.select("id"), "id", "left_anti"), "fresh-keys")
     upsert_table(spark, f"{state}/keys", KEYS_SCHEMA, fresh.withColumn("batch", F.lit(batch_id).cast("long"))
                  .withColumn("_seq", F.lit(batch_id)).withColumn("_pos", F.col("key")), ["id"])
     return fresh

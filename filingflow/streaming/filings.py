@@ -19,7 +19,7 @@ from ..functions.text import SOURCE_NAME, is_error_page, labelled_fields, page_t
 from ..operators.joins import resolve_tokens
 from ..operators.store import FILING_RECORD_SCHEMA, FILINGS_SCHEMA, TOKEN_CACHE_SCHEMA, to_filings_rows
 from ..operators.tables import probe, upsert_table
-from ..session import reliable_checkpoint
+from ..session import stored
 from ..sources.documents import append_filings
 from ..sources.payloads import BRONZE_SCHEMA
 from .cycles import fresh_keys, record_cycle
@@ -62,12 +62,12 @@ def sink_filings(batch: DataFrame, batch_id: int, paths: FilingsPaths, as_of: st
     batch = batch.persist()
     try:
         cache = probe(s, paths.tokens, TOKEN_CACHE_SCHEMA, batch.select("key"))
-        tokens = reliable_checkpoint(batch_tokens(batch, cache))
+        tokens = stored(batch_tokens(batch, cache), "batch-tokens")
         fresh = (tokens.filter(F.col("resolved_from") == "payload")
                        .select("key", "enc", *[F.lit("").alias(n) for n in ("emisora", "asunto", "fecha")],
                                F.lit(as_of).alias("resolved_at"), F.lit(batch_id).alias("_seq"), F.col("key").alias("_pos")))
         upsert_table(s, paths.tokens, TOKEN_CACHE_SCHEMA, fresh, ["key"])
-        rows = reliable_checkpoint(batch_filings(batch, tokens, as_of).withColumn("_seq", F.lit(batch_id)).withColumn("_pos", F.col("filing_id")))
+        rows = stored(batch_filings(batch, tokens, as_of).withColumn("_seq", F.lit(batch_id)).withColumn("_pos", F.col("filing_id")), "batch-filings")
         upsert_table(s, paths.filings, FILINGS_SCHEMA, rows.drop("key"), ["filing_id"])
         keyed = rows.select(F.lit(SOURCE_NAME).alias("source"), F.col("key").cast("long").alias("key"), "raw_metadata")
         new = fresh_keys(s, paths.state, keyed, batch_id)

@@ -143,7 +143,8 @@ def q47_monitor_filings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit("</p>\n<p>Asunto : "), fx.html_escape(F.trim("asunto")), F.lit("</p>\n<p>Fecha de recepción: "), F.col("fecha"),
                     F.lit("</p>\n</body></html>"))
     details = bronze(f, k, F.lit("detail"), page, http_status=F.when(k % 19 == 3, 404).otherwise(200))
-    calls = bronze(f, k, F.lit("token_callback"), fx.render_token_callback(k))
+    # callbacks need the key alone, so no customer is joined
+    calls = bronze(fx.read(spark, sf_dir, "orders").select("o_orderkey"), k, F.lit("token_callback"), fx.render_token_callback(k))
     base = order_key_bounds(spark, sf_dir)[1] // 10
     pid = F.col("payload_id").cast("long")
     both = details.unionByName(calls)
