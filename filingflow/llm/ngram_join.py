@@ -47,6 +47,8 @@ from .graph import components, hinted
 
 #: members of a tile's side
 TILE = 1024
+#: text bytes handled at once: sets, keys and their lists take many times that
+SETS_BLOCK_BYTES = 2 << 20
 
 
 def _widest(low_sum: int, high_sum: int, percent: int) -> int:
@@ -199,7 +201,7 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 def signatures(rows: DataFrame, n: int, percent: int) -> DataFrame:
     """doc_id, size, f1, f2 (128-bit fingerprint of the set), bitmap, keys, cuts."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", 8 << 20):
+        for block in blocks(batches, "text", SETS_BLOCK_BYTES):
             sets = shingle_sets(texts_of(block, "text"), n)
             prints = [(int(mix64(s).sum(dtype=np.uint64)), int(mix64(s ^ np.uint64(0x2545F491)).sum(dtype=np.uint64))) for s in sets]
             both = [index_keys(s, percent) for s in sets]
@@ -215,7 +217,7 @@ def signatures(rows: DataFrame, n: int, percent: int) -> DataFrame:
 def whole_sets(rows: DataFrame, n: int) -> DataFrame:
     """node, elements: the sets of the given documents."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, "text", 8 << 20):
+        for block in blocks(batches, "text", SETS_BLOCK_BYTES):
             yield pa.RecordBatch.from_arrays([block.column("doc_id").combine_chunks(), _lists(shingle_sets(texts_of(block, "text"), n))], names=["node", "elements"])
 
     return rows.mapInArrow(run, f"node {rows.schema['doc_id'].dataType.simpleString()}, elements array<long>")
