@@ -25,13 +25,18 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from pyspark.sql import types as T
 
-from .common import blocks, hashes_of, mix64, one_array, prepare, texts_of, words_of
+from .common import blocks, give_back, hashes_of, mix64, one_array, prepare, texts_of, words_of
 
 UNKNOWN = "und"
 BUCKETS = 1 << 16
 NGRAMS = (1, 2, 3, 4)
 LEXICON = 8000
 SEGMENT = 64
+#: text bytes of documents that a worker predicts at once
+PREDICT_BLOCK_BYTES = 2 << 20
+#: distinct words whose features are listed at once, places of words times
+#: labels whose marginals are, and characters of training texts cut into words
+WORDS, CELLS, CUT_CHARS = 1 << 12, 1 << 19, 1 << 20
 _OPEN, _CLOSE = 2, 3
 
 
@@ -82,9 +87,28 @@ class LanguageField:
     def emissions(self, words: pa.Array) -> np.ndarray:
         """Scores of distinct words, some thousands at a time."""
         out = np.empty((len(words), len(self.labels)), np.float32)
-        for a in range(0, len(out), 1 << 14):
-            features, offsets = word_features(words.slice(a, 1 << 14), self.lexicon)
-            out[a:a + (1 << 14)] = np.add.reduceat(self.weights[features], offsets[:-1], axis=0)  # every word has features
+        for a in range(0, len(out), WORDS):
+            features, offsets = word_features(words.slice(a, WORDS), self.lexicon)
+            out[a:a + WORDS] = np.add.reduceat(self.weights[features], offsets[:-1], axis=0)  # every word has features
+        return out
+
+    def shares(self, scores: np.ndarray, codes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Sums of the label probabilities of each text's words, given the
+        scores of distinct words. Marginals are worked out for runs of whole
+        texts of about ``CELLS`` places, to which segments are filled up, so
+        that memory follows neither the number of texts nor that of words; a
+        longer text is a run of its own."""
+        n, k = len(offsets) - 1, scores.shape[1]
+        out = np.zeros((n, k))
+        ends = np.cumsum(-(-np.diff(offsets) // SEGMENT) * SEGMENT * k)
+        a = 0
+        while a < n:
+            b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CELLS, side="right")))
+            at = offsets[a:b + 1] - offsets[a]
+            p = self.marginals(scores[codes[offsets[a]:offsets[b]]], at)
+            row = np.repeat(np.arange(b - a), np.diff(at))
+            out[a:b] = np.column_stack([np.bincount(row, weights=p[:, j], minlength=b - a) for j in range(k)])
+            a = b
         return out
 
     def marginals(self, emissions: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -151,12 +175,41 @@ class LanguageField:
         return out / out.sum(axis=1, keepdims=True) if n else out
 
 
+def training_words(texts: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """What ``words_of`` gives, from some texts at a time: words are numbered
+    as they first occur."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64))
+    parts, counts = [], [np.zeros(1, np.int64)]
+    a = 0
+    while a < len(texts):
+        b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + CUT_CHARS, side="right")))
+        codes, words, offsets = words_of(texts.slice(a, b - a))
+        parts.append(pa.DictionaryArray.from_arrays(pa.array(codes.astype(np.int32)), words))
+        counts.append(np.diff(offsets))
+        a = b
+    if not parts:
+        return words_of(texts)
+    coded = pa.chunked_array(parts).unify_dictionaries()
+    codes = np.concatenate([c.indices.to_numpy() for c in coded.chunks])
+    return codes, coded.chunk(0).dictionary, np.cumsum(np.concatenate(counts))
+
+
+def features_of(words: pa.Array, lexicon: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``word_features`` of many words, some thousands at a time."""
+    found, counts = [np.empty(0, np.int32)], [np.zeros(1, np.int64)]
+    for a in range(0, len(words), WORDS):
+        features, offsets = word_features(words.slice(a, WORDS), lexicon)
+        found.append(features.astype(np.int32))
+        counts.append(np.diff(offsets))
+    return np.concatenate(found), np.cumsum(np.concatenate(counts))
+
+
 def fit(texts: pa.Array, langs: list[str], sequences: int = 4000, rounds: int = 60, l2: float = 1e-4, seed: int = 7) -> LanguageField:
     """A field from texts of known language. ``sequences`` label sequences of
     SEGMENT words are drawn, each of one to three runs from random texts
     (languages drawn alike); all of their words are used."""
     labels = sorted(set(langs))
-    codes, words, offsets = words_of(texts)
+    codes, words, offsets = training_words(texts)
     size = np.diff(offsets)
     y = np.array([labels.index(x) for x in langs], np.int64)
     usable = [np.flatnonzero((y == i) & (size > 0)) for i in range(len(labels))]
@@ -183,8 +236,10 @@ def fit(texts: pa.Array, langs: list[str], sequences: int = 4000, rounds: int =
                 a += len(got)
     used, rows = np.unique(rows, return_inverse=True)
     rows = rows.reshape(tags.shape)
-    features, ends = word_features(words.take(pa.array(used)), field.lexicon)
-    owner = np.repeat(np.arange(len(used)), np.diff(ends))
+    features, ends = features_of(words.take(pa.array(used)), field.lexicon)
+    owner = np.repeat(np.arange(len(used), dtype=np.int32), np.diff(ends))
+    del codes, words, hashed, often, top
+    give_back()
     k, n = len(labels), tags.size
     true = np.zeros((len(used), k))
     np.add.at(true, (rows.ravel(), tags.ravel()), 1)
@@ -193,7 +248,8 @@ def fit(texts: pa.Array, langs: list[str], sequences: int = 4000, rounds: int =
     weights, trans = np.zeros((len(field.weights), k)), np.zeros((k, k))
     seen_w, seen_t = np.full(weights.shape, 1e-8), np.full(trans.shape, 1e-8)
     for _ in range(rounds):
-        score = np.add.reduceat(weights[features], ends[:-1], axis=0)
+        score = np.concatenate([np.add.reduceat(weights[features[ends[a]:ends[min(a + WORDS, len(used))]]], ends[a:min(a + WORDS, len(used))] - ends[a], axis=0)
+                                for a in range(0, len(used), WORDS)])
         e = np.exp(score - score.max(axis=1, keepdims=True))[rows]
         a = np.exp(trans)
         alpha, beta = np.empty(e.shape), np.ones(e.shape)
@@ -256,10 +312,8 @@ def predict_block(field: LanguageField, texts: pa.Array) -> tuple[list[str], np.
     lettered = pc.match_substring_regex(words, r"\pL").to_numpy(zero_copy_only=False)
     kept = lettered[codes]
     row = np.repeat(np.arange(n), np.diff(offsets))
-    codes, row = codes[kept], row[kept]
-    count = np.bincount(row, minlength=n)
-    p = field.marginals(field.emissions(words)[codes], np.concatenate([[0], np.cumsum(count)])) if len(codes) else np.zeros((0, k))
-    share = np.column_stack([np.bincount(row, weights=p[:, j], minlength=n) for j in range(k)]) / np.maximum(count, 1)[:, None]
+    count = np.bincount(row[kept], minlength=n)
+    share = field.shares(field.emissions(words), codes[kept], np.concatenate([[0], np.cumsum(count)])) / np.maximum(count, 1)[:, None]
     best = share.argmax(axis=1)
     return [field.labels[b] if c else UNKNOWN for b, c in zip(best, count)], np.where(count > 0, np.clip(share.max(axis=1), 0, 1), 0.0)
 
@@ -275,7 +329,7 @@ def predict(docs: DataFrame, field: LanguageField, text_col: str = "text", out:
     shape = T.StructType([*docs.schema.fields, T.StructField(out, T.StringType()), T.StructField(score, T.DoubleType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches, text_col, 4 << 20):
+        for block in blocks(batches, text_col, PREDICT_BLOCK_BYTES):
             langs, scores = predict_block(shared.value, texts_of(block, text_col))
             yield from block.append_column(out, pa.array(langs, pa.string())).append_column(score, pa.array(scores)).to_batches()
 

@@ -223,6 +223,68 @@ def test_marginals_cross_segments():
     assert np.allclose(field.marginals(x, np.array([0, 5])), want) and field.marginals(e, np.array([0])).shape == (0, 3)
 
 
+def _field(words, labels=4, seed=3):
+    rng = np.random.default_rng(seed)
+    field = L.LanguageField([f"l{i}" for i in range(labels)], np.sort(L.hashes_of(pa.array(words))))
+    field.weights = rng.normal(size=field.weights.shape).astype(np.float32)
+    field.transitions = rng.normal(size=(labels, labels))
+    return field
+
+
+def _peak_mb(work):
+    import tracemalloc
+    tracemalloc.start()
+    work()
+    peak = tracemalloc.get_traced_memory()[1] / 1e6
+    tracemalloc.stop()
+    return peak
+
+
+def test_languages_of_a_block_in_runs(monkeypatch):
+    rng = random.Random(8)
+    words = ["ka", "kolo", "12", "brim", "été", "x1"]
+    texts = pa.array([" ".join(rng.choices(words, k=k)) for k in (0, 3, 64, 65, 700, 0, 1, 130, 20, 0)])
+    field = _field(words[:3])
+    whole = L.predict_block(field, texts)
+    for cells in (1, 4 * 64 * 3, 4 * 64 * 20):
+        monkeypatch.setattr(L, "CELLS", cells)
+        monkeypatch.setattr(L, "WORDS", 2)
+        langs, scores = L.predict_block(field, texts)
+        assert langs == whole[0] and np.allclose(scores, whole[1], atol=1e-12)
+    assert whole[0][0] == whole[0][-1] == "und" and L.predict_block(field, pa.array(["", "12", ""]))[0] == ["und"] * 3
+
+
+def test_memory_of_a_block_of_languages():
+    """What a worker holds besides a block follows neither the number of short texts nor that of words."""
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=7)) for _ in range(40_000)]
+    field = _field(words[:100])
+    short, long_ = pa.array(rng.choices(words[:500], k=150_000)), pa.array([" ".join(rng.choices(words[:500], k=400)) for _ in range(900)])
+    many = pa.array([" ".join(words[i:i + 400]) for i in range(0, len(words), 400)])
+    assert [_peak_mb(lambda t=t: L.predict_block(field, t)) < limit for t, limit in ((short, 40), (long_, 45), (many, 20))] == [True] * 3
+
+
+def test_training_words_and_features_in_parts(monkeypatch):
+    rng = random.Random(10)
+    texts = pa.array([" ".join(rng.choices(["Ka", "kolo", "12", "brim", "été"], k=k)) for k in (4, 0, 30, 1, 0, 9)])
+    wanted = L.words_of(texts)
+    lexicon = np.sort(L.hashes_of(wanted[1])[:3])
+    features = L.word_features(wanted[1], lexicon)
+    for size in (1, 40, 1 << 20):
+        monkeypatch.setattr(L, "CUT_CHARS", size)
+        monkeypatch.setattr(L, "WORDS", size)
+        codes, words, offsets = L.training_words(texts)
+        assert (codes.tolist(), words.to_pylist(), offsets.tolist()) == (wanted[0].tolist(), wanted[1].to_pylist(), wanted[2].tolist())
+        assert all(np.array_equal(a, b) for a, b in zip(L.features_of(words, lexicon), features))
+    assert [len(x) for x in L.training_words(pa.array([], pa.string()))] == [0, 0, 1] and len(L.training_words(pa.array(["", " "]))[0]) == 0
+
+
+def test_memory_of_fitting_languages():
+    rng = random.Random(11)
+    texts = pa.array([" ".join("".join(rng.choices("abcdefghijklmnop", k=9)) for _ in range(200)) for _ in range(300)])
+    assert _peak_mb(lambda: L.fit(texts, ["xx", "yy"] * 150, sequences=600, rounds=1)) < 50
+
+
 def test_languages(spark, empty):
     rng = random.Random(4)
     vocabulary = {"xx": ["ka", "kolo", "kaki", "oklo"], "yy": ["bre", "brim", "imbre", "remb"]}
